@@ -10,9 +10,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators import marts
-from ..operators.clean import silver_from_raw
+from ..operators import marts, star
+from ..operators.clean import rename_columns, silver_from_raw
 from ..sources.ledger import read_ledger
 from ..spec import LedgerSpec
 from . import oracle as O
@@ -51,3 +52,319 @@ FROM silver GROUP BY 1, 2"""
 @query("fraud_by_type_hour", FRAUD_BY_TYPE_HOUR_SQL)
 def q_fraud_by_type_hour(spark, sf_dir):
     return marts.fraud_by_type_hour(silver(spark, sf_dir), SPEC)
+
+
+def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return star.fact_transactions(silver(spark, sf_dir), SPEC)
+
+
+# --- silver ----------------------------------------------------------------
+
+RENAMED_COLUMNS_SQL = """step, type AS transaction_type, amount, nameOrig AS name_orig,
+  oldbalanceOrg AS oldbalance_orig, newbalanceOrig AS newbalance_orig, nameDest AS name_dest,
+  oldbalanceDest AS oldbalance_dest, newbalanceDest AS newbalance_dest,
+  isFraud AS is_fraud, isFlaggedFraud AS is_flagged_fraud, event_id"""
+
+
+@query("silver_rename", O.with_ledger(f"SELECT {RENAMED_COLUMNS_SQL} FROM ledger"))
+def q_silver_rename(spark, sf_dir):
+    return rename_columns(read_ledger(spark, sf_dir))
+
+
+@query("silver_dedup", O.with_silver("SELECT * FROM silver"))
+def q_silver_dedup(spark, sf_dir):
+    return silver(spark, sf_dir)
+
+
+@query(
+    "account_type",
+    O.with_silver("SELECT event_id, name_orig, orig_account_type, name_dest, dest_account_type FROM silver"),
+)
+def q_account_type(spark, sf_dir):
+    return silver(spark, sf_dir).select("event_id", "name_orig", "orig_account_type", "name_dest", "dest_account_type")
+
+
+@query("balance_flag", O.with_silver("SELECT event_id, transaction_type, balance_inconsistent FROM silver"))
+def q_balance_flag(spark, sf_dir):
+    return silver(spark, sf_dir).select("event_id", "transaction_type", "balance_inconsistent")
+
+
+@query(
+    "flag_counts",
+    O.with_silver(
+        """SELECT COUNT(*) AS n_rows, CAST(count_if(balance_inconsistent = 1) AS BIGINT) AS n_inconsistent,
+  CAST(count_if(is_fraud = 1) AS BIGINT) AS n_fraud FROM silver"""
+    ),
+)
+def q_flag_counts(spark, sf_dir):
+    s = silver(spark, sf_dir)
+    return s.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col("balance_inconsistent") == 1).alias("n_inconsistent"),
+        F.count_if(F.col("is_fraud") == 1).alias("n_fraud"),
+    )
+
+
+# --- star schema -----------------------------------------------------------
+
+
+def _hash_key_sql(expr: str) -> str:
+    return f"CAST('0x' || substr(md5({expr}), 1, 15) AS BIGINT)"
+
+
+TXN_KEY_SQL = _hash_key_sql(
+    "concat_ws('|', coalesce(CAST(step AS VARCHAR), '<null>'), coalesce(transaction_type, '<null>'), "
+    "coalesce(CAST(CAST(amount AS DECIMAL(38,6)) AS VARCHAR), '<null>'), coalesce(name_orig, '<null>'), "
+    "coalesce(name_dest, '<null>'))"
+)
+
+FACT_CTE = f"""
+fact AS (
+  SELECT {TXN_KEY_SQL} AS transaction_key, step AS time_key, transaction_type, name_orig, name_dest, amount,
+    oldbalance_orig, newbalance_orig, oldbalance_dest, newbalance_dest, is_fraud, is_flagged_fraud,
+    balance_inconsistent
+  FROM silver)"""
+
+DIM_TIME_CTE = """
+dim_time AS (
+  SELECT step, step AS time_key, CAST(step // 24 + 1 AS INTEGER) AS day, step % 24 AS hour_of_day
+  FROM (SELECT DISTINCT step FROM silver))"""
+
+DIM_TYPE_CTE = """
+dim_type AS (
+  SELECT transaction_type, CAST(dense_rank() OVER (ORDER BY transaction_type) AS INTEGER) AS type_key
+  FROM (SELECT DISTINCT transaction_type FROM silver))"""
+
+DIM_ACCOUNT_CTE = f"""
+dim_account AS (
+  SELECT account_id, min(account_type) AS account_type,
+    {_hash_key_sql("coalesce(account_id, '<null>')")} AS account_key
+  FROM (SELECT name_orig AS account_id, orig_account_type AS account_type FROM silver
+        UNION ALL SELECT name_dest, dest_account_type FROM silver)
+  GROUP BY account_id)"""
+
+
+@query("dim_time", O.with_silver("SELECT * FROM dim_time", DIM_TIME_CTE))
+def q_dim_time(spark, sf_dir):
+    return star.dim_time(silver(spark, sf_dir), SPEC)
+
+
+@query("dim_transaction_type", O.with_silver("SELECT * FROM dim_type", DIM_TYPE_CTE))
+def q_dim_transaction_type(spark, sf_dir):
+    return star.dim_transaction_type(silver(spark, sf_dir))
+
+
+@query("dim_account", O.with_silver("SELECT * FROM dim_account", DIM_ACCOUNT_CTE))
+def q_dim_account(spark, sf_dir):
+    return star.dim_account(silver(spark, sf_dir))
+
+
+@query("fact_transactions", O.with_silver("SELECT * FROM fact", FACT_CTE))
+def q_fact_transactions(spark, sf_dir):
+    return fact(spark, sf_dir)
+
+
+@query(
+    "star_lookup",
+    O.with_silver(
+        f"""SELECT f.transaction_key, f.time_key, t.day, t.hour_of_day, k.type_key,
+  {_hash_key_sql("coalesce(f.name_orig, '<null>')")} AS orig_account_key,
+  {_hash_key_sql("coalesce(f.name_dest, '<null>')")} AS dest_account_key, f.amount, f.is_fraud
+FROM fact f JOIN dim_time t ON f.time_key = t.time_key JOIN dim_type k ON f.transaction_type = k.transaction_type""",
+        FACT_CTE,
+        DIM_TIME_CTE,
+        DIM_TYPE_CTE,
+    ),
+)
+def q_star_lookup(spark, sf_dir):
+    s = silver(spark, sf_dir)
+    return star.star_lookup(star.fact_transactions(s, SPEC), star.dim_time(s, SPEC), star.dim_transaction_type(s))
+
+
+@query(
+    "orphan_keys",
+    O.with_silver(
+        """SELECT r.role, COUNT(*) AS n_keys, CAST(count_if(d.key IS NULL) AS BIGINT) AS n_missing_keys,
+  CAST(coalesce(SUM(CASE WHEN d.key IS NULL THEN r.n_rows END), 0) AS BIGINT) AS n_missing_rows
+FROM (SELECT role, key, COUNT(*) AS n_rows FROM (
+        SELECT 'sender' AS role, name_orig AS key FROM fact
+        UNION ALL SELECT 'receiver', name_dest FROM fact
+        UNION ALL SELECT 'time', CAST(time_key AS VARCHAR) FROM fact
+        UNION ALL SELECT 'type', transaction_type FROM fact) GROUP BY role, key) r
+LEFT JOIN (SELECT 'sender' AS role, account_id AS key FROM dim_account
+           UNION ALL SELECT 'receiver', account_id FROM dim_account
+           UNION ALL SELECT 'time', CAST(time_key AS VARCHAR) FROM dim_time
+           UNION ALL SELECT 'type', transaction_type FROM dim_type) d
+  ON r.role = d.role AND r.key = d.key
+GROUP BY r.role""",
+        FACT_CTE,
+        DIM_TIME_CTE,
+        DIM_TYPE_CTE,
+        DIM_ACCOUNT_CTE,
+    ),
+)
+def q_orphan_keys(spark, sf_dir):
+    s = silver(spark, sf_dir)
+    return star.integrity_report(
+        star.fact_transactions(s, SPEC), star.dim_account(s), star.dim_time(s, SPEC), star.dim_transaction_type(s)
+    )
+
+
+# --- marts -----------------------------------------------------------------
+
+ACCOUNT_TOTALS_CTE = """
+account_totals AS (
+  SELECT name_orig, CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS total_out,
+    COUNT(*) AS n_transactions, CAST(SUM(is_fraud) AS BIGINT) AS n_fraud
+  FROM silver GROUP BY name_orig)"""
+
+TOP_ACCOUNTS_CTE = """
+top_accounts AS (SELECT * FROM account_totals ORDER BY total_out DESC, name_orig LIMIT 1000)"""
+
+BAND_SQL = """CASE WHEN amount < 1000 THEN '0-1K' WHEN amount < 10000 THEN '1K-10K'
+  WHEN amount < 100000 THEN '10K-100K' WHEN amount < 1000000 THEN '100K-1M' WHEN amount >= 1000000 THEN '1M+' END"""
+
+BY_BAND_CTE = f"""
+by_band AS (
+  SELECT {BAND_SQL} AS amount_band, COUNT(*) AS n_transactions, CAST(SUM(is_fraud) AS BIGINT) AS n_fraud
+  FROM silver GROUP BY 1)"""
+
+BY_TYPE_HOUR_CTE = """
+by_type_hour AS (
+  SELECT transaction_type, step % 24 AS hour_of_day, COUNT(*) AS n_transactions,
+    CAST(SUM(is_fraud) AS BIGINT) AS n_fraud
+  FROM silver GROUP BY 1, 2)"""
+
+
+def by_type_hour(spark, sf_dir):
+    return marts.fraud_by_type_hour(silver(spark, sf_dir), SPEC)
+
+
+@query("top_accounts", O.with_silver("SELECT * FROM top_accounts", ACCOUNT_TOTALS_CTE, TOP_ACCOUNTS_CTE))
+def q_top_accounts(spark, sf_dir):
+    return marts.top_accounts(silver(spark, sf_dir), spec=SPEC)
+
+
+@query(
+    "fraud_by_amount_band",
+    O.with_silver(
+        f"SELECT *, {O.ratio('n_fraud', 'n_transactions', 4)} AS fraud_rate FROM by_band", BY_BAND_CTE
+    ),
+)
+def q_fraud_by_amount_band(spark, sf_dir):
+    return marts.fraud_by_amount_band(silver(spark, sf_dir), SPEC)
+
+
+@query(
+    "kpi_summary",
+    O.with_silver(
+        f"""SELECT COUNT(*) AS n_transactions, CAST(SUM(is_fraud) AS BIGINT) AS n_fraud,
+  {O.ratio('SUM(is_fraud)', 'COUNT(*)', 4, 100)} AS fraud_pct,
+  CAST(SUM(balance_inconsistent) AS BIGINT) AS n_balance_inconsistent FROM fact""",
+        FACT_CTE,
+    ),
+)
+def q_kpi_summary(spark, sf_dir):
+    return marts.kpi_summary(fact(spark, sf_dir))
+
+
+@query(
+    "kpi_first",
+    O.with_silver(
+        f"""SELECT COUNT(*) AS n_transactions, CAST(SUM(is_fraud) AS BIGINT) AS n_fraud,
+  {O.ratio('SUM(is_fraud)', 'COUNT(*)', 4, 100)} AS fraud_pct,
+  CAST(SUM(balance_inconsistent) AS BIGINT) AS n_balance_inconsistent FROM fact LIMIT 1""",
+        FACT_CTE,
+    ),
+)
+def q_kpi_first(spark, sf_dir):
+    return marts.first_row(marts.kpi_summary(fact(spark, sf_dir)))
+
+
+@query(
+    "fraud_pct_by_type",
+    O.with_silver(
+        f"""SELECT transaction_type, CAST(SUM(n_transactions) AS BIGINT) AS total, CAST(SUM(n_fraud) AS BIGINT) AS frauds,
+  {O.ratio('SUM(n_fraud)', 'SUM(n_transactions)', 3, 100)} AS fraud_pct
+FROM by_type_hour GROUP BY transaction_type""",
+        BY_TYPE_HOUR_CTE,
+    ),
+)
+def q_fraud_pct_by_type(spark, sf_dir):
+    return marts.fraud_pct_by_type(by_type_hour(spark, sf_dir))
+
+
+@query(
+    "risky_hours",
+    O.with_silver(
+        f"""SELECT hour_of_day, CAST(SUM(n_fraud) AS BIGINT) AS frauds,
+  {O.ratio('SUM(n_fraud)', 'SUM(n_transactions)', 3, 100)} AS fraud_pct
+FROM by_type_hour GROUP BY hour_of_day ORDER BY frauds DESC, hour_of_day LIMIT 10""",
+        BY_TYPE_HOUR_CTE,
+    ),
+)
+def q_risky_hours(spark, sf_dir):
+    return marts.risky_hours(by_type_hour(spark, sf_dir))
+
+
+@query(
+    "band_report",
+    O.with_silver(
+        f"""SELECT amount_band, n_transactions, n_fraud, {O.ratio('n_fraud', 'n_transactions', 2, 100)} AS fraud_pct
+FROM by_band ORDER BY CASE amount_band WHEN '0-1K' THEN 1 WHEN '1K-10K' THEN 2 WHEN '10K-100K' THEN 3
+  WHEN '100K-1M' THEN 4 ELSE 5 END""",
+        BY_BAND_CTE,
+    ),
+)
+def q_band_report(spark, sf_dir):
+    return marts.band_report(marts.fraud_by_amount_band(silver(spark, sf_dir), SPEC), SPEC)
+
+
+@query(
+    "top10_accounts",
+    O.with_silver(
+        """SELECT name_orig, ROUND(total_out, 2) AS total_out, n_transactions, n_fraud
+FROM top_accounts ORDER BY total_out DESC, name_orig LIMIT 10""",
+        ACCOUNT_TOTALS_CTE,
+        TOP_ACCOUNTS_CTE,
+    ),
+)
+def q_top10_accounts(spark, sf_dir):
+    return marts.top_k_accounts(marts.top_accounts(silver(spark, sf_dir), spec=SPEC), 10)
+
+
+@query(
+    "fraud_vs_inconsistency",
+    O.with_silver(
+        """SELECT is_fraud, balance_inconsistent, COUNT(*) AS n FROM fact
+GROUP BY is_fraud, balance_inconsistent ORDER BY is_fraud DESC, balance_inconsistent DESC""",
+        FACT_CTE,
+    ),
+)
+def q_fraud_vs_inconsistency(spark, sf_dir):
+    return marts.fraud_vs_inconsistency(fact(spark, sf_dir))
+
+
+@query(
+    "type_report_ordered",
+    O.with_silver(
+        f"""SELECT transaction_type, CAST(SUM(n_transactions) AS BIGINT) AS n_transactions,
+  CAST(SUM(n_fraud) AS BIGINT) AS n_fraud,
+  {O.ratio('SUM(n_fraud)', 'SUM(n_transactions)', 3, 100)} AS fraud_pct
+FROM by_type_hour GROUP BY transaction_type""",
+        BY_TYPE_HOUR_CTE,
+    ),
+)
+def q_type_report_ordered(spark, sf_dir):
+    return marts.type_report_ordered(by_type_hour(spark, sf_dir), SPEC)
+
+
+@query(
+    "hour_series",
+    O.with_silver(
+        "SELECT hour_of_day, CAST(SUM(n_fraud) AS BIGINT) AS n_fraud FROM by_type_hour GROUP BY hour_of_day ORDER BY hour_of_day",
+        BY_TYPE_HOUR_CTE,
+    ),
+)
+def q_hour_series(spark, sf_dir):
+    return marts.hour_series(by_type_hour(spark, sf_dir))
