@@ -12,7 +12,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import marts, star
+from ..functions.columns import money_text
+from ..operators import features as feats
+from ..operators import marts, metrics, quality, star
+from ..operators.split import stratified_split
 from ..operators.clean import rename_columns, silver_from_raw
 from ..sources.ledger import read_ledger
 from ..spec import LedgerSpec
@@ -368,3 +371,249 @@ def q_type_report_ordered(spark, sf_dir):
 )
 def q_hour_series(spark, sf_dir):
     return marts.hour_series(by_type_hour(spark, sf_dir))
+
+
+# --- quality gates (as reports) ---------------------------------------------
+
+
+@query(
+    "gate_required_columns",
+    O.with_ledger(
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, TRUE AS present, CAST(count_if({c} IS NULL) AS BIGINT) AS n_null FROM ledger"
+            for c in SPEC.required_columns
+        )
+    ),
+)
+def q_gate_required_columns(spark, sf_dir):
+    return quality.required_columns_report(read_ledger(spark, sf_dir), SPEC.required_columns)
+
+
+@query(
+    "gate_negative_amounts",
+    O.with_ledger(
+        """SELECT COUNT(*) AS n_rows, CAST(count_if(amount < 0) AS BIGINT) AS n_negative,
+  CAST(count_if(amount IS NULL) AS BIGINT) AS n_null_amount FROM ledger"""
+    ),
+)
+def q_gate_negative_amounts(spark, sf_dir):
+    return quality.amount_report(read_ledger(spark, sf_dir))
+
+
+@query(
+    "gate_domain",
+    O.with_ledger(
+        """SELECT type AS value, COUNT(*) AS n_rows,
+  coalesce(type IN ('CASH_IN','CASH_OUT','TRANSFER','PAYMENT','DEBIT'), FALSE) AS in_domain
+FROM ledger GROUP BY type"""
+    ),
+)
+def q_gate_domain(spark, sf_dir):
+    return quality.domain_report(read_ledger(spark, sf_dir), "type", SPEC.types)
+
+
+@query("gate_nonempty", O.with_silver("SELECT COUNT(*) AS n_rows, COUNT(*) > 0 AS non_empty FROM silver"))
+def q_gate_nonempty(spark, sf_dir):
+    return quality.volume_report(silver(spark, sf_dir))
+
+
+@query(
+    "gate_duplicates",
+    O.with_silver(
+        """SELECT 'bronze' AS layer, CAST(SUM(n) AS BIGINT) AS n_rows, COUNT(*) AS n_keys,
+  CAST(SUM(n) - COUNT(*) AS BIGINT) AS n_duplicates
+FROM (SELECT COUNT(*) AS n FROM ledger GROUP BY step, type, amount, nameOrig, nameDest)
+UNION ALL
+SELECT 'silver', CAST(SUM(n) AS BIGINT), COUNT(*), CAST(SUM(n) - COUNT(*) AS BIGINT)
+FROM (SELECT COUNT(*) AS n FROM silver GROUP BY step, transaction_type, amount, name_orig, name_dest)"""
+    ),
+)
+def q_gate_duplicates(spark, sf_dir):
+    keys = list(SPEC.dedup_keys)
+    bronze = quality.duplicates_report(rename_columns(read_ledger(spark, sf_dir)), keys)
+    clean = quality.duplicates_report(silver(spark, sf_dir), keys)
+    return bronze.select(F.lit("bronze").alias("layer"), "*").unionByName(clean.select(F.lit("silver").alias("layer"), "*"))
+
+
+@query(
+    "gate_inconsistency_rate",
+    O.with_silver(
+        """SELECT transaction_type, COUNT(*) AS n_rows,
+  CAST(coalesce(SUM(balance_inconsistent), 0) AS BIGINT) AS n_inconsistent,
+  CAST(count_if(balance_inconsistent IS NULL) AS BIGINT) AS n_unknown,
+  CAST(coalesce(SUM(balance_inconsistent), 0) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS rate,
+  CASE transaction_type WHEN 'CASH_OUT' THEN CAST(0.93 AS DOUBLE) WHEN 'TRANSFER' THEN CAST(0.97 AS DOUBLE)
+    WHEN 'PAYMENT' THEN CAST(0.62 AS DOUBLE) WHEN 'DEBIT' THEN CAST(0.40 AS DOUBLE) END AS threshold,
+  coalesce(CAST(coalesce(SUM(balance_inconsistent), 0) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) >
+    CASE transaction_type WHEN 'CASH_OUT' THEN CAST(0.93 AS DOUBLE) WHEN 'TRANSFER' THEN CAST(0.97 AS DOUBLE)
+    WHEN 'PAYMENT' THEN CAST(0.62 AS DOUBLE) WHEN 'DEBIT' THEN CAST(0.40 AS DOUBLE) END, FALSE) AS violated
+FROM silver GROUP BY transaction_type"""
+    ),
+)
+def q_gate_inconsistency_rate(spark, sf_dir):
+    return quality.inconsistency_report(silver(spark, sf_dir), SPEC.thresholds)
+
+
+# --- ML: features, split, metrics ------------------------------------------
+
+FEATURES_CTE = """
+features AS (
+  SELECT step, name_orig, name_dest, coalesce(amount, 0.0) AS amount, step % 24 AS hour_of_day,
+    CAST(transaction_type = 'TRANSFER' AS INTEGER) AS is_transfer,
+    coalesce(oldbalance_orig, 0.0) AS oldbalance_orig, coalesce(newbalance_orig, 0.0) AS newbalance_orig,
+    coalesce(oldbalance_dest, 0.0) AS oldbalance_dest, coalesce(newbalance_dest, 0.0) AS newbalance_dest,
+    coalesce(oldbalance_orig, 0.0) - coalesce(amount, 0.0) - coalesce(newbalance_orig, 0.0) AS error_balance_orig,
+    coalesce(oldbalance_dest, 0.0) + coalesce(amount, 0.0) - coalesce(newbalance_dest, 0.0) AS error_balance_dest,
+    balance_inconsistent, is_fraud AS label
+  FROM silver WHERE transaction_type IN ('TRANSFER', 'CASH_OUT'))"""
+
+SPLIT_KEY_SQL = (
+    "concat_ws('|', '42', coalesce(CAST(step AS VARCHAR), '<null>'), coalesce(CAST(is_transfer AS VARCHAR), '<null>'), "
+    "coalesce(CAST(CAST(amount AS DECIMAL(38,6)) AS VARCHAR), '<null>'), coalesce(name_orig, '<null>'), "
+    "coalesce(name_dest, '<null>'))"
+)
+
+SPLIT_CTE = f"""
+hashed AS (SELECT *, {_hash_key_sql(SPLIT_KEY_SQL)} AS h FROM features),
+split AS (
+  SELECT *, row_number() OVER (PARTITION BY label ORDER BY h) <=
+            floor(COUNT(*) OVER (PARTITION BY label) * 0.25 + 0.5) AS is_test
+  FROM hashed)"""
+
+
+def split_key():
+    return [
+        F.col("step").cast("string"),
+        F.col("is_transfer").cast("string"),
+        money_text("amount"),
+        F.col("name_orig"),
+        F.col("name_dest"),
+    ]
+
+
+def features(spark, sf_dir):
+    return feats.build_features(silver(spark, sf_dir), SPEC)
+
+
+def split_features(spark, sf_dir):
+    return stratified_split(features(spark, sf_dir), split_key(), "label", SPEC.test_fraction, SPEC.seed)
+
+
+@query("ml_features", O.with_silver("SELECT * FROM features", FEATURES_CTE))
+def q_ml_features(spark, sf_dir):
+    return features(spark, sf_dir)
+
+
+@query(
+    "stratified_split",
+    O.with_silver(
+        "SELECT step, name_orig, name_dest, amount, is_transfer, label, is_test FROM split",
+        FEATURES_CTE,
+        SPLIT_CTE,
+    ),
+)
+def q_stratified_split(spark, sf_dir):
+    return split_features(spark, sf_dir).select(
+        "step", "name_orig", "name_dest", "amount", "is_transfer", "label", "is_test"
+    )
+
+
+@query(
+    "split_class_rates",
+    O.with_silver(
+        """SELECT CASE WHEN is_test THEN 'test' ELSE 'train' END AS split, COUNT(*) AS n_rows,
+  CAST(SUM(label) AS BIGINT) AS n_fraud, CAST(SUM(label) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS fraud_rate
+FROM split GROUP BY 1""",
+        FEATURES_CTE,
+        SPLIT_CTE,
+    ),
+)
+def q_split_class_rates(spark, sf_dir):
+    s = split_features(spark, sf_dir)
+    return s.groupBy(F.when(F.col("is_test"), "test").otherwise("train").alias("split")).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum(F.col("label").cast("long")).alias("n_fraud"),
+        (F.sum(F.col("label").cast("long")).cast("double") / F.count(F.lit(1)).cast("double")).alias("fraud_rate"),
+    )
+
+
+def rule_score():
+    """A fixed, tie-heavy score: amount in 10k steps, +0.5 when the balance
+    flag is set."""
+    return F.floor(F.col("amount") / 10000).cast("double") + F.lit(0.5) * F.coalesce(
+        F.col("balance_inconsistent"), F.lit(0)
+    ).cast("double")
+
+
+RULE_SCORE_SQL = (
+    "CAST(floor(amount / 10000) AS DOUBLE) + 0.5 * CAST(coalesce(balance_inconsistent, 0) AS DOUBLE)"
+)
+
+
+@query(
+    "average_precision",
+    O.with_silver(
+        f"""SELECT CASE WHEN SUM(tp) > 0 THEN
+  CAST(SUM(CAST(tp * (CAST(ctp AS DOUBLE) / CAST(cn AS DOUBLE)) AS DECIMAL(38,9))) AS DOUBLE) / CAST(SUM(tp) AS DOUBLE)
+  END AS average_precision
+FROM (SELECT s, tp, SUM(tp) OVER (ORDER BY s DESC ROWS UNBOUNDED PRECEDING) AS ctp,
+             SUM(n) OVER (ORDER BY s DESC ROWS UNBOUNDED PRECEDING) AS cn
+      FROM (SELECT {RULE_SCORE_SQL} AS s, SUM(label) AS tp, COUNT(*) AS n FROM features GROUP BY 1))""",
+        FEATURES_CTE,
+    ),
+)
+def q_average_precision(spark, sf_dir):
+    return metrics.average_precision(features(spark, sf_dir).withColumn("score", rule_score()), "label", "score")
+
+
+CONFUSION_CTE = """
+cm AS (
+  SELECT CAST(count_if(is_fraud = 0 AND is_flagged_fraud = 0) AS BIGINT) AS tn,
+    CAST(count_if(is_fraud = 0 AND is_flagged_fraud = 1) AS BIGINT) AS fp,
+    CAST(count_if(is_fraud = 1 AND is_flagged_fraud = 0) AS BIGINT) AS fn,
+    CAST(count_if(is_fraud = 1 AND is_flagged_fraud = 1) AS BIGINT) AS tp
+  FROM silver)"""
+
+
+@query(
+    "confusion",
+    O.with_silver(
+        """SELECT 0 AS actual, 0 AS predicted, tn AS n FROM cm UNION ALL SELECT 0, 1, fp FROM cm
+UNION ALL SELECT 1, 0, fn FROM cm UNION ALL SELECT 1, 1, tp FROM cm""",
+        CONFUSION_CTE,
+    ),
+)
+def q_confusion(spark, sf_dir):
+    return metrics.confusion_matrix(silver(spark, sf_dir), "is_fraud", "is_flagged_fraud")
+
+
+def _div(a: str, b: str) -> str:
+    return f"(CASE WHEN ({b}) = 0 THEN 0.0 ELSE CAST({a} AS DOUBLE) / CAST({b} AS DOUBLE) END)"
+
+
+REPORT_CTE = f"""
+pr AS (
+  SELECT tn, fp, fn, tp, tn + fp AS s0, fn + tp AS s1, tn + fp + fn + tp AS total,
+    {_div('tn', 'tn + fn')} AS p0, {_div('tn', 'tn + fp')} AS r0, {_div('2 * tn', '2 * tn + fn + fp')} AS f0,
+    {_div('tp', 'tp + fp')} AS p1, {_div('tp', 'tp + fn')} AS r1, {_div('2 * tp', '2 * tp + fp + fn')} AS f1
+  FROM cm)"""
+
+
+def _wavg(a: str, b: str) -> str:
+    return _div(f"{a} * s0 + {b} * s1", "total")
+
+
+@query(
+    "classification_report",
+    O.with_silver(
+        f"""SELECT '0' AS class_label, p0 AS precision, r0 AS recall, f0 AS f1_score, s0 AS support FROM pr
+UNION ALL SELECT '1', p1, r1, f1, s1 FROM pr
+UNION ALL SELECT 'accuracy', NULL, NULL, {_div('tn + tp', 'total')}, total FROM pr
+UNION ALL SELECT 'macro avg', (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, total FROM pr
+UNION ALL SELECT 'weighted avg', {_wavg('p0', 'p1')}, {_wavg('r0', 'r1')}, {_wavg('f0', 'f1')}, total FROM pr""",
+        CONFUSION_CTE,
+        REPORT_CTE,
+    ),
+)
+def q_classification_report(spark, sf_dir):
+    return metrics.classification_report(silver(spark, sf_dir), "is_fraud", "is_flagged_fraud")
