@@ -17,8 +17,13 @@ from ..operators import features as feats
 from ..operators import marts, metrics, quality, star
 from ..operators.split import stratified_split
 from ..operators.clean import rename_columns, silver_from_raw
+from ..operators.clean import stamp_lineage
+from ..session import scratch_path
+from ..sources import files, sinks, warehouse
 from ..sources.ledger import read_ledger
-from ..spec import LedgerSpec
+from ..spec import RAW_COLUMNS, LedgerSpec
+from ..streaming import land, messages
+from .medallion import build_gold, gold_tables, run_medallion
 from . import oracle as O
 
 # The derived ledger carries event_id: it is the ingestion order, so the
@@ -617,3 +622,344 @@ UNION ALL SELECT 'weighted avg', {_wavg('p0', 'p1')}, {_wavg('r0', 'r1')}, {_wav
 )
 def q_classification_report(spark, sf_dir):
     return metrics.classification_report(silver(spark, sf_dir), "is_fraud", "is_flagged_fraud")
+
+
+# --- sources, sinks, serving ------------------------------------------------
+
+RAW_SQL = ", ".join(RAW_COLUMNS)
+RAW_ORACLE = O.with_ledger(f"SELECT {RAW_SQL} FROM ledger")
+
+
+def raw(spark, sf_dir):
+    return read_ledger(spark, sf_dir).select(*RAW_COLUMNS)
+
+
+def _bronze_table(spark, sf_dir) -> str:
+    path = scratch_path(spark, "bronze")
+    sinks.write_table(stamp_lineage(read_ledger(spark, sf_dir), "events.parquet"), path, partition_by=["type"])
+    return path
+
+
+@query("csv_ingest_roundtrip", RAW_ORACLE)
+def q_csv_ingest_roundtrip(spark, sf_dir):
+    csv_dir = scratch_path(spark, "raw-csv")
+    files.write_csv(raw(spark, sf_dir), csv_dir)
+    clean, _ = files.split_corrupt(files.read_raw_csv(spark, csv_dir))
+    bronze_dir = scratch_path(spark, "bronze-csv")
+    sinks.write_table(stamp_lineage(clean), bronze_dir, partition_by=["type"])
+    return files.read_table(spark, bronze_dir).select(*RAW_COLUMNS)
+
+
+@query(
+    "csv_corrupt_rows",
+    O.with_ledger(
+        """SELECT CAST(count_if(isFlaggedFraud = 0) AS BIGINT) AS n_clean,
+  CAST(count_if(isFlaggedFraud = 1) AS BIGINT) AS n_corrupt,
+  CAST(count_if(isFlaggedFraud = 0) AS BIGINT) AS n_amount_parsed FROM ledger"""
+    ),
+)
+def q_csv_corrupt_rows(spark, sf_dir):
+    """Rows the legacy system flagged are written with an unreadable amount;
+    the reader must keep them aside, not drop or null them silently."""
+    bad_amount = F.when(F.col("isFlaggedFraud") == 1, F.lit("n/a")).otherwise(F.col("amount").cast("string"))
+    csv_dir = scratch_path(spark, "raw-csv-bad")
+    files.write_csv(raw(spark, sf_dir).withColumn("amount", bad_amount), csv_dir)
+    df = files.read_raw_csv(spark, csv_dir)
+    corrupt = F.col(files.CORRUPT_COLUMN).isNotNull()
+    return df.agg(
+        F.count_if(~corrupt).alias("n_clean"),
+        F.count_if(corrupt).alias("n_corrupt"),
+        F.count("amount").alias("n_amount_parsed"),
+    )
+
+
+@query(
+    "parquet_partition_counts",
+    O.with_ledger("SELECT type, COUNT(*) AS n_rows FROM ledger GROUP BY type"),
+)
+def q_parquet_partition_counts(spark, sf_dir):
+    bronze = files.read_table(spark, _bronze_table(spark, sf_dir))
+    return bronze.groupBy("type").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query(
+    "ingest_stamp",
+    O.with_ledger(
+        "SELECT 'events.parquet' AS source_file, COUNT(*) AS n_rows, COUNT(*) AS n_stamped FROM ledger"
+    ),
+)
+def q_ingest_stamp(spark, sf_dir):
+    bronze = files.read_table(spark, _bronze_table(spark, sf_dir))
+    return bronze.groupBy("source_file").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("ingestion_timestamp").alias("n_stamped")
+    )
+
+
+@query("json_roundtrip", RAW_ORACLE)
+def q_json_roundtrip(spark, sf_dir):
+    return messages.parse_messages(messages.to_messages(raw(spark, sf_dir))).select(*RAW_COLUMNS)
+
+
+@query("kafka_payload", RAW_ORACLE)
+def q_kafka_payload(spark, sf_dir):
+    """Publish through the text sink used in place of a topic; read back."""
+    topic_dir = scratch_path(spark, "topic")
+    messages.publish_messages(messages.to_messages(raw(spark, sf_dir)), topic_dir, fmt="text")
+    return messages.parse_messages(spark.read.text(topic_dir)).select(*RAW_COLUMNS)
+
+
+@query(
+    "bounded_replay",
+    O.with_ledger(f"SELECT {RAW_SQL}, event_id FROM ledger ORDER BY event_id LIMIT 1000"),
+)
+def q_bounded_replay(spark, sf_dir):
+    return files.replay(read_ledger(spark, sf_dir), 1000, ["event_id"])
+
+
+@query(
+    "column_pruned_scan",
+    O.with_silver(
+        "SELECT amount, hour_of_day, is_transfer, oldbalance_orig, newbalance_orig, oldbalance_dest, "
+        "newbalance_dest, error_balance_orig, error_balance_dest, balance_inconsistent, label FROM features",
+        FEATURES_CTE,
+    ),
+)
+def q_column_pruned_scan(spark, sf_dir):
+    path = scratch_path(spark, "features")
+    sinks.write_table(features(spark, sf_dir), path)
+    return files.read_columns(spark, path, [*feats.FEATURE_TABLE_COLUMNS[3:13], "label"])
+
+
+@query("flat_parquet_roundtrip", O.with_silver("SELECT * FROM silver"))
+def q_flat_parquet_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "silver")
+    s = silver(spark, sf_dir)
+    sinks.write_table(s, path)
+    sinks.write_table(s, path)  # a second overwrite must not add rows
+    return files.read_table(spark, path)
+
+
+GOLD_COUNTS_SQL = O.with_silver(
+    """SELECT 'dim_time' AS table_name, COUNT(*) AS n_rows FROM dim_time
+UNION ALL SELECT 'dim_transaction_type', COUNT(*) FROM dim_type
+UNION ALL SELECT 'dim_account', COUNT(*) FROM dim_account
+UNION ALL SELECT 'fact_transactions', COUNT(*) FROM fact
+UNION ALL SELECT 'agg_fraud_by_type_hour', COUNT(*) FROM by_type_hour
+UNION ALL SELECT 'agg_top_accounts', COUNT(*) FROM top_accounts
+UNION ALL SELECT 'agg_fraud_by_amount_band', COUNT(*) FROM by_band""",
+    FACT_CTE,
+    DIM_TIME_CTE,
+    DIM_TYPE_CTE,
+    DIM_ACCOUNT_CTE,
+    BY_TYPE_HOUR_CTE,
+    ACCOUNT_TOTALS_CTE,
+    TOP_ACCOUNTS_CTE,
+    BY_BAND_CTE,
+)
+
+
+def _counts_frame(spark, counts: dict[str, int]) -> DataFrame:
+    return spark.createDataFrame(list(counts.items()), "table_name string, n_rows bigint")
+
+
+@query("write_counts", GOLD_COUNTS_SQL)
+def q_write_counts(spark, sf_dir):
+    """Rows per gold table, as observed during the writes (no recount)."""
+    return _counts_frame(spark, build_gold(silver(spark, sf_dir), scratch_path(spark, "gold"), SPEC))
+
+
+@query(
+    "sql_over_files",
+    O.with_silver(
+        f"""SELECT transaction_type, CAST(SUM(n_transactions) AS BIGINT) AS total, CAST(SUM(n_fraud) AS BIGINT) AS frauds,
+  {O.ratio('SUM(n_fraud)', 'SUM(n_transactions)', 3, 100)} AS fraud_pct
+FROM by_type_hour GROUP BY transaction_type""",
+        BY_TYPE_HOUR_CTE,
+    ),
+)
+def q_sql_over_files(spark, sf_dir):
+    path = scratch_path(spark, "agg_fraud_by_type_hour")
+    sinks.write_table(by_type_hour(spark, sf_dir), path)
+    return files.sql_over_files(
+        spark,
+        """SELECT transaction_type, SUM(n_transactions) AS total, SUM(n_fraud) AS frauds,
+  CAST((SUM(n_fraud) * 200000 + SUM(n_transactions)) div (2 * SUM(n_transactions)) AS DOUBLE)
+    / CAST(1000 AS DOUBLE) AS fraud_pct
+FROM {agg} GROUP BY transaction_type ORDER BY fraud_pct DESC, transaction_type""",
+        agg=path,
+    )
+
+
+SERVED_COUNTS_SQL = O.with_silver(
+    """SELECT 'agg_fraud_by_type_hour' AS table_name, COUNT(*) AS n_rows FROM by_type_hour
+UNION ALL SELECT 'agg_top_accounts', COUNT(*) FROM top_accounts
+UNION ALL SELECT 'agg_fraud_by_amount_band', COUNT(*) FROM by_band
+UNION ALL SELECT 'dim_transaction_type', COUNT(*) FROM dim_type
+UNION ALL SELECT 'kpi_summary', 1""",
+    DIM_TYPE_CTE,
+    BY_TYPE_HOUR_CTE,
+    ACCOUNT_TOTALS_CTE,
+    TOP_ACCOUNTS_CTE,
+    BY_BAND_CTE,
+)
+
+
+def serving_tables(s: DataFrame) -> dict[str, DataFrame]:
+    g = gold_tables(s, SPEC)
+    return {
+        "agg_fraud_by_type_hour": g["agg_fraud_by_type_hour"],
+        "agg_top_accounts": g["agg_top_accounts"],
+        "agg_fraud_by_amount_band": g["agg_fraud_by_amount_band"],
+        "dim_transaction_type": g["dim_transaction_type"],
+        "kpi_summary": marts.kpi_summary(g["fact_transactions"]),
+    }
+
+
+@query("warehouse_roundtrip", SERVED_COUNTS_SQL)
+def q_warehouse_roundtrip(spark, sf_dir):
+    """Publish the served tables twice (replace semantics), read them back."""
+    target = warehouse.DirectoryTarget(scratch_path(spark, "warehouse"))
+    tables = serving_tables(silver(spark, sf_dir))
+    warehouse.load_serving(tables, target)
+    warehouse.load_serving(tables, target)
+    counts = {name: warehouse.read_served(spark, name, target).count() for name in tables}
+    return _counts_frame(spark, counts)
+
+
+@query(
+    "metrics_json",
+    O.with_silver(
+        f"""SELECT '0' AS class_label, p0 AS precision, r0 AS recall, f0 AS f1_score, s0 AS support FROM pr
+UNION ALL SELECT '1', p1, r1, f1, s1 FROM pr
+UNION ALL SELECT 'accuracy', NULL, NULL, {_div('tn + tp', 'total')}, total FROM pr
+UNION ALL SELECT 'macro avg', (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, total FROM pr
+UNION ALL SELECT 'weighted avg', {_wavg('p0', 'p1')}, {_wavg('r0', 'r1')}, {_wavg('f0', 'f1')}, total FROM pr""",
+        CONFUSION_CTE,
+        REPORT_CTE,
+    ),
+)
+def q_metrics_json(spark, sf_dir):
+    """Persist the evaluation report as JSON and read it back."""
+    report = metrics.classification_report(silver(spark, sf_dir), "is_fraud", "is_flagged_fraud")
+    path = scratch_path(spark, "metrics")
+    report.coalesce(1).write.mode("overwrite").json(path)
+    return spark.read.schema(report.schema).json(path)
+
+
+MEDALLION_SQL = O.with_silver(
+    """SELECT 'bronze' AS layer, 'transactions' AS table_name, COUNT(*) AS n_rows FROM ledger
+UNION ALL SELECT 'silver', 'transactions', COUNT(*) FROM silver
+UNION ALL SELECT 'gold', 'dim_time', COUNT(*) FROM dim_time
+UNION ALL SELECT 'gold', 'dim_transaction_type', COUNT(*) FROM dim_type
+UNION ALL SELECT 'gold', 'dim_account', COUNT(*) FROM dim_account
+UNION ALL SELECT 'gold', 'fact_transactions', COUNT(*) FROM fact
+UNION ALL SELECT 'gold', 'agg_fraud_by_type_hour', COUNT(*) FROM by_type_hour
+UNION ALL SELECT 'gold', 'agg_top_accounts', COUNT(*) FROM top_accounts
+UNION ALL SELECT 'gold', 'agg_fraud_by_amount_band', COUNT(*) FROM by_band
+UNION ALL SELECT 'gold', 'ml_features', COUNT(*) FROM features""",
+    FACT_CTE,
+    DIM_TIME_CTE,
+    DIM_TYPE_CTE,
+    DIM_ACCOUNT_CTE,
+    BY_TYPE_HOUR_CTE,
+    ACCOUNT_TOTALS_CTE,
+    TOP_ACCOUNTS_CTE,
+    BY_BAND_CTE,
+    FEATURES_CTE,
+)
+
+
+@query("medallion_summary", MEDALLION_SQL)
+def q_medallion_summary(spark, sf_dir):
+    return run_medallion(spark, read_ledger(spark, sf_dir), scratch_path(spark, "medallion"), SPEC, "events.parquet")
+
+
+# --- streaming --------------------------------------------------------------
+
+TOPIC = "ledger-transactions"
+
+
+def _message_files(spark, sf_dir, n_files: int = 4, corrupt_flagged: bool = False) -> str:
+    """Write the ledger as JSON message files (the stand-in for a topic)."""
+    msgs = messages.to_messages(raw(spark, sf_dir).withColumn("_f", F.col("isFlaggedFraud")).repartition(n_files))
+    if corrupt_flagged:
+        src = raw(spark, sf_dir).repartition(n_files)
+        value = F.to_json(messages.message_struct())
+        msgs = src.select(
+            F.when(F.col("isFlaggedFraud") == 1, F.expr("substring(to_json(struct(*)), 1, 20)"))
+            .otherwise(value)
+            .alias("value")
+        )
+    path = scratch_path(spark, "messages")
+    msgs.write.mode("overwrite").text(path)
+    return path
+
+
+def _land(spark, src_dir, out, ckpt, quarantine=None):
+    return land.land_stream(
+        land.file_source(spark, src_dir, files_per_batch=1), out, ckpt, f"kafka:{TOPIC}", quarantine_path=quarantine
+    )
+
+
+@query("stream_land", RAW_ORACLE)
+def q_stream_land(spark, sf_dir):
+    src = _message_files(spark, sf_dir)
+    out = scratch_path(spark, "landing")
+    _land(spark, src, out, scratch_path(spark, "ckpt"))
+    return files.read_table(spark, out).select(*RAW_COLUMNS)
+
+
+@query(
+    "stream_rerun_adds_nothing",
+    O.with_ledger(
+        """SELECT 1 AS run, COUNT(*) AS n_landed, COUNT(*) AS n_in_sink FROM ledger
+UNION ALL SELECT 2, 0, COUNT(*) FROM ledger"""
+    ),
+)
+def q_stream_rerun_adds_nothing(spark, sf_dir):
+    src = _message_files(spark, sf_dir)
+    out, ckpt = scratch_path(spark, "landing"), scratch_path(spark, "ckpt")
+    rows = []
+    for run in (1, 2):
+        r = _land(spark, src, out, ckpt)
+        rows.append((run, r.landed, files.read_table(spark, out).count()))
+    return spark.createDataFrame(rows, "run int, n_landed bigint, n_in_sink bigint")
+
+
+@query(
+    "stream_quarantine",
+    O.with_ledger(
+        """SELECT CAST(count_if(isFlaggedFraud = 0) AS BIGINT) AS n_landed,
+  CAST(count_if(isFlaggedFraud = 1) AS BIGINT) AS n_quarantined FROM ledger"""
+    ),
+)
+def q_stream_quarantine(spark, sf_dir):
+    """Messages of flagged rows arrive truncated (malformed JSON); they must
+    land in quarantine while the rest of the stream lands normally."""
+    src = _message_files(spark, sf_dir, corrupt_flagged=True)
+    out, bad = scratch_path(spark, "landing"), scratch_path(spark, "quarantine")
+    _land(spark, src, out, scratch_path(spark, "ckpt"), quarantine=bad)
+    n_landed = files.read_table(spark, out).count()
+    n_bad = files.read_table(spark, bad).count()
+    return spark.createDataFrame([(n_landed, n_bad)], "n_landed bigint, n_quarantined bigint")
+
+
+@query(
+    "stream_batch_union",
+    O.with_ledger(
+        """SELECT 'batch' AS origin, type, COUNT(*) AS n_rows FROM ledger GROUP BY type
+UNION ALL SELECT 'stream', type, COUNT(*) FROM ledger GROUP BY type"""
+    ),
+)
+def q_stream_batch_union(spark, sf_dir):
+    """Batch bronze and the streamed landing zone share one schema, so one
+    ``unionByName`` reads both origins."""
+    batch = files.read_table(spark, _bronze_table(spark, sf_dir))
+    out = scratch_path(spark, "landing")
+    _land(spark, _message_files(spark, sf_dir), out, scratch_path(spark, "ckpt"))
+    stream = files.read_table(spark, out)
+    cols = [*RAW_COLUMNS, "ingestion_timestamp", "source_file"]
+    both = batch.select(*cols, F.lit("batch").alias("origin")).unionByName(
+        stream.select(*cols, F.lit("stream").alias("origin"))
+    )
+    return both.groupBy("origin", "type").agg(F.count(F.lit(1)).alias("n_rows"))

@@ -28,6 +28,7 @@ def get_spark(app_name: str = "ledgerspark", master: str | None = None) -> Spark
         builder = builder.master(master)
     spark = (
         builder.config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
