@@ -23,7 +23,9 @@ from ..sources import files, sinks, warehouse
 from ..sources.ledger import read_ledger
 from ..spec import RAW_COLUMNS, LedgerSpec
 from ..streaming import land, messages
+from . import training
 from .medallion import build_gold, gold_tables, run_medallion
+from ..operators import models
 from . import oracle as O
 
 # The derived ledger carries event_id: it is the ingestion order, so the
@@ -963,3 +965,77 @@ def q_stream_batch_union(spark, sf_dir):
         stream.select(*cols, F.lit("stream").alias("origin"))
     )
     return both.groupBy("origin", "type").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+# --- ML models ----------------------------------------------------------------
+
+FEATURE_LIST = list(models.FEATURE_COLUMNS)
+
+
+def _z_stats_sql() -> str:
+    parts = []
+    for f in FEATURE_LIST:
+        col = f"CAST(coalesce({f}, 0) AS DOUBLE)"
+        parts.append(
+            f"""SELECT '{f}' AS feature, ROUND(AVG(z), 6) + 0.0 AS mean, ROUND(stddev_samp(z), 6) + 0.0 AS std
+FROM (SELECT CASE WHEN sd = 0 THEN 0.0 ELSE ({col} - m) / sd END AS z
+      FROM train, (SELECT AVG({col}) AS m, stddev_samp({col}) AS sd FROM train))"""
+        )
+    return " UNION ALL ".join(parts)
+
+
+@query(
+    "scaled_stats",
+    O.with_silver(
+        _z_stats_sql(),
+        FEATURES_CTE,
+        SPLIT_CTE,
+        "\ntrain AS (SELECT * FROM split WHERE NOT is_test)",
+    ),
+)
+def q_scaled_stats(spark, sf_dir):
+    """Mean and std of each standardised feature on the training rows: the
+    scaler is fitted on train only, so these are 0 and 1."""
+    train_rows = models.fill_features(split_features(spark, sf_dir).filter(~F.col("is_test")))
+    z = models.scaled_columns(models.fit_scaler(train_rows), train_rows)
+    stats = z.agg(*[x for f in FEATURE_LIST for x in (F.avg(f).alias(f"m_{f}"), F.stddev_samp(f).alias(f"s_{f}"))])
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(f).alias("feature"),
+                (F.round(F.col(f"m_{f}"), 6) + F.lit(0.0)).alias("mean"),
+                (F.round(F.col(f"s_{f}"), 6) + F.lit(0.0)).alias("std"),
+            )
+            for f in FEATURE_LIST
+        ]
+    )
+    return stats.select(F.explode(rows).alias("r")).select("r.*")
+
+
+def trained(spark, sf_dir):
+    return training.train(features(spark, sf_dir), SPEC)
+
+
+@query("lr_scores")
+def q_lr_scores(spark, sf_dir):
+    return training.logistic_scores(trained(spark, sf_dir))
+
+
+@query("iforest_scores")
+def q_iforest_scores(spark, sf_dir):
+    return training.forest_scores(trained(spark, sf_dir))
+
+
+@query("model_evaluation")
+def q_model_evaluation(spark, sf_dir):
+    return training.train_and_evaluate(spark, features(spark, sf_dir), SPEC)
+
+
+@query("model_roundtrip")
+def q_model_roundtrip(spark, sf_dir):
+    """Persist the fitted pipeline, load it back, score the test rows."""
+    t = trained(spark, sf_dir)
+    path = scratch_path(spark, "model")
+    models.save_model(t.logistic, path)
+    reloaded = models.load_model(path)
+    return models.score_logistic(reloaded, training.test_rows(t)).select(*training.SCORED_COLUMNS)
