@@ -39,7 +39,10 @@ def average_precision(df: DataFrame, label: str = "label", score: str = "score",
     probs = [i / buckets for i in range(1, buckets)]
     cuts = sorted(set(per_score.approxQuantile("_s", probs, 1.0 / (4 * buckets)))) if buckets > 1 else []
     splits = [float("-inf")] + [c for c in cuts if c not in (float("-inf"), float("inf"))] + [float("inf")]
-    ranged = Bucketizer(splits=splits, inputCol="_s", outputCol="_r", handleInvalid="keep").transform(per_score)
+    if len(splits) > 2:
+        ranged = Bucketizer(splits=splits, inputCol="_s", outputCol="_r", handleInvalid="keep").transform(per_score)
+    else:
+        ranged = per_score.withColumn("_r", F.lit(0.0))
     totals = ranged.groupBy("_r").agg(F.sum("_tp").alias("_rtp"), F.sum("_n").alias("_rn"))
     higher = Window.orderBy(F.desc("_r")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(

@@ -77,11 +77,25 @@ def fit_logistic(
 
 
 def score_logistic(model: PipelineModel, df: DataFrame, cols: Sequence[str] = FEATURE_COLUMNS) -> DataFrame:
-    """Adds ``score`` (P(label = 1)) and integer ``prediction`` (cut 0.5)."""
-    out = model.transform(fill_features(df, cols))
-    return out.withColumn("score", vector_to_array("probability")[1]).withColumn(
-        "prediction", F.col("prediction").cast("int")
-    ).drop(RAW_VECTOR, SCALED_VECTOR, "rawPrediction", "probability")
+    """Adds ``score`` (P(label = 1)) and integer ``prediction`` (cut 0.5).
+
+    The fitted scaler produces the standardised vector; the logistic
+    stage is applied as a plain expression ``sigmoid(b + w . z)`` built
+    from its coefficients, so scoring stays in whole-stage codegen (and
+    does not serialise the model object into tasks).
+    """
+    scaler, lr = PipelineModel(stages=model.stages[:-1]), model.stages[-1]
+    z = vector_to_array(SCALED_VECTOR)
+    margin = F.lit(float(lr.intercept))
+    for i, w in enumerate(lr.coefficients.toArray()):
+        margin = margin + F.lit(float(w)) * z[i]
+    out = scaler.transform(fill_features(df, cols))
+    return (
+        out.withColumn("_margin", margin)
+        .withColumn("score", F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("_margin"))))
+        .withColumn("prediction", (F.col("_margin") > 0).cast("int"))
+        .drop(RAW_VECTOR, SCALED_VECTOR, "_margin")
+    )
 
 
 def scaled_columns(model: PipelineModel, df: DataFrame, cols: Sequence[str] = FEATURE_COLUMNS) -> DataFrame:
