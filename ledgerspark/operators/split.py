@@ -5,16 +5,19 @@ Every row gets a 60-bit hash of (seed, row key).  Within each class the
 set -- an exact per-class share that depends only on the data and the
 seed, never on partitioning or row order.
 
-Finding the per-class cut without a global sort:
+Finding the per-class cut without a global sort (two histogram levels):
 
 1. histogram of the hash's top 16 bits per class (<= classes x 65 536
-   rows, partial-aggregated);
-2. running counts over that small histogram locate the bucket holding
-   each class's cut and how many of its rows still belong to the test set;
-3. only rows inside those boundary buckets (about n / 65 536 per class)
+   rows, partial-aggregated); running counts over that small table locate
+   the bucket holding each class's cut and how many of its rows are still
+   needed;
+2. the same on the next 16 bits, over the rows of that boundary bucket
+   only;
+3. only rows inside the level-2 boundary bucket (about n / 2^32 per class)
    are ranked, by a window partitioned by class.
 
-Rows below the boundary bucket are test, rows above are train.
+Rows hashed below the cut are test, rows above are train.  The cut tables
+hold one row per class, a proven bound, so they are broadcast.
 """
 
 from __future__ import annotations
@@ -27,13 +30,28 @@ from pyspark.sql import functions as F
 from ..functions.columns import surrogate_key
 
 HASH_BITS = 60
-BUCKET_BITS = 16
+LEVEL_BITS = 16
+MASK = (1 << LEVEL_BITS) - 1
 
 
 def row_hash(seed: int, parts: Sequence[Column]) -> Column:
     return surrogate_key(F.lit(str(seed)), *parts)
 
 
+def _cut(rows: DataFrame, label: str, bucket: str, target: Column | str) -> DataFrame:
+    """Per class: the bucket where the running count reaches ``target`` and
+    how many rows of that bucket are still needed.  ``rows`` carries the
+    class's target in column ``target``."""
+    hist = rows.groupBy(label, bucket, target).agg(F.count(F.lit(1)).alias("_n"))
+    running = Window.partitionBy(label).orderBy(bucket).rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        hist.withColumn("_upto", F.sum("_n").over(running))
+        .withColumn("_before", F.col("_upto") - F.col("_n"))
+        .filter((F.col("_before") < F.col(target)) & (F.col("_upto") >= F.col(target)))
+        .select(label, F.col(bucket).alias(f"{bucket}_cut"), (F.col(target) - F.col("_before")).alias(f"{bucket}_need"))
+    )
+
+
 def stratified_split(
     df: DataFrame,
     key: Sequence[Column],
@@ -45,31 +63,28 @@ def stratified_split(
     """``df`` plus a boolean ``out_col`` marking the test rows.
 
     ``key`` must identify a row (e.g. the business key); ties of the
-    60-bit hash are broken by the key text, so the result is exact.
+    60-bit hash are broken by the key, so the result is exact.
     """
-    h = df.withColumn("_h", row_hash(seed, key)).withColumn(
-        "_b", F.shiftright(F.col("_h"), HASH_BITS - BUCKET_BITS)
+    h = df.withColumn("_h", row_hash(seed, key))
+    h = h.withColumn("_b1", F.shiftright("_h", HASH_BITS - LEVEL_BITS)).withColumn(
+        "_b2", F.shiftright("_h", HASH_BITS - 2 * LEVEL_BITS).bitwiseAND(F.lit(MASK))
     )
-    hist = h.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    by_bucket = Window.partitionBy(label).orderBy("_b")
-    whole = Window.partitionBy(label)
-    cuts = (
-        hist.withColumn("_upto", F.sum("_n").over(by_bucket.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("_class_n", F.sum("_n").over(whole))
-        .withColumn("_target", F.floor(F.col("_class_n") * F.lit(test_fraction) + F.lit(0.5)).cast("long"))
-        .withColumn("_before", F.col("_upto") - F.col("_n"))
-        .filter((F.col("_before") < F.col("_target")) & (F.col("_upto") >= F.col("_target")))
-        .select(label, F.col("_b").alias("_cut"), (F.col("_target") - F.col("_before")).alias("_need"))
-    )
-    # One row per class: bounded by the number of labels.
-    cuts = F.broadcast(cuts)
-    joined = h.join(cuts, label, "left")
-    at_cut = F.col("_b") == F.col("_cut")
-    decided = joined.filter(~at_cut | F.col("_cut").isNull()).withColumn(
-        out_col, F.coalesce(F.col("_b") < F.col("_cut"), F.lit(False))
+    sizes = h.groupBy(label).agg(F.count(F.lit(1)).alias("_class_n"))
+    targets = sizes.select(
+        label, F.floor(F.col("_class_n") * F.lit(test_fraction) + F.lit(0.5)).cast("long").alias("_target")
     )
+    # One row per class throughout: bounded, safe to broadcast.
+    with_target = h.join(F.broadcast(targets), label)
+    cut1 = F.broadcast(_cut(with_target, label, "_b1", "_target"))
+    lvl2 = with_target.join(cut1, label).filter(F.col("_b1") == F.col("_b1_cut"))
+    cut2 = F.broadcast(_cut(lvl2, label, "_b2", "_b1_need"))
+
+    joined = with_target.join(cut1, label, "left").join(cut2, label, "left")
+    at_cut = (F.col("_b1") == F.col("_b1_cut")) & (F.col("_b2") == F.col("_b2_cut"))
+    below = (F.col("_b1") < F.col("_b1_cut")) | ((F.col("_b1") == F.col("_b1_cut")) & (F.col("_b2") < F.col("_b2_cut")))
+    decided = joined.filter(~F.coalesce(at_cut, F.lit(False))).withColumn(out_col, F.coalesce(below, F.lit(False)))
     boundary = joined.filter(at_cut)
     rank = F.row_number().over(Window.partitionBy(label).orderBy("_h", *key))
-    ranked = boundary.withColumn(out_col, rank <= F.col("_need"))
+    ranked = boundary.withColumn(out_col, rank <= F.col("_b2_need"))
     cols = df.columns + [out_col]
     return decided.select(*cols).unionByName(ranked.select(*cols))

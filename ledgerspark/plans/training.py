@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import money_text
 from ..operators import iforest, metrics, models
 from ..operators.split import stratified_split
+from ..session import checkpoint_root
 from ..spec import FEATURE_COLUMNS, FOREST_SAMPLE, FOREST_TREES, MIN_CONTAMINATION, LedgerSpec
 
 SCORED_COLUMNS = ["step", "name_orig", "name_dest", "amount", "label", "score", "prediction"]
@@ -46,7 +47,15 @@ def split(features: DataFrame, spec: LedgerSpec = LedgerSpec()) -> DataFrame:
 
 
 def train(features: DataFrame, spec: LedgerSpec = LedgerSpec(), trees: int = FOREST_TREES, psi: int = FOREST_SAMPLE) -> Trained:
-    s = split(features, spec)
+    """Split once, then fit both models on the training rows.
+
+    The split table is checkpointed (written under ``spark.checkpoint.dir``)
+    before fitting: the solvers, the forest sampler, the quantile cut and
+    both scorings then read that table instead of re-running the split's
+    lineage, and a lost executor recomputes nothing before it.
+    """
+    checkpoint_root(features.sparkSession)
+    s = split(features, spec).checkpoint(eager=True)
     train_rows = models.fill_features(s.filter(~F.col("is_test")))
     logistic = models.fit_logistic(train_rows)
     fraud_rate = train_rows.agg(F.avg(F.col("label").cast("double")).alias("r")).first()["r"] or 0.0
