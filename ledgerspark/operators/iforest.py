@@ -188,3 +188,20 @@ def anomaly_cut(scored: DataFrame, contamination: float, score: str = "score", a
     quantile of the training scores (approximate, rank error 1/accuracy)."""
     q = scored.agg(F.percentile_approx(score, 1.0 - contamination, accuracy).alias("q")).first()["q"]
     return float(q) if q is not None else float("inf")
+
+
+def save_forest(spark, model: IsolationForestModel, path: str) -> None:
+    """Persist the forest as a Parquet table of nodes plus one metadata row."""
+    path = path.rstrip("/")
+    spark.createDataFrame(model.nodes, NODE_SCHEMA).write.mode("overwrite").parquet(f"{path}/nodes")
+    meta = spark.createDataFrame(
+        [(model.psi, model.trees, model.features)], "psi int, trees int, features array<string>"
+    )
+    meta.write.mode("overwrite").json(f"{path}/meta")
+
+
+def load_forest(spark, path: str) -> IsolationForestModel:
+    path = path.rstrip("/")
+    meta = spark.read.json(f"{path}/meta").first()
+    nodes = spark.read.parquet(f"{path}/nodes").toPandas()
+    return IsolationForestModel(nodes=nodes, features=list(meta["features"]), psi=int(meta["psi"]), trees=int(meta["trees"]))

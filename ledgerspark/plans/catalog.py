@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import money_text
 from ..operators import features as feats
-from ..operators import marts, metrics, quality, star
+from ..operators import iforest, marts, metrics, quality, star
 from ..operators.split import stratified_split
 from ..operators.clean import rename_columns, silver_from_raw
 from ..operators.clean import stamp_lineage
@@ -1033,9 +1033,29 @@ def q_model_evaluation(spark, sf_dir):
 
 @query("model_roundtrip")
 def q_model_roundtrip(spark, sf_dir):
-    """Persist the fitted pipeline, load it back, score the test rows."""
+    """Persist both fitted models, load them back, score the test rows."""
     t = trained(spark, sf_dir)
-    path = scratch_path(spark, "model")
-    models.save_model(t.logistic, path)
-    reloaded = models.load_model(path)
-    return models.score_logistic(reloaded, training.test_rows(t)).select(*training.SCORED_COLUMNS)
+    lr_path, forest_path = scratch_path(spark, "model-lr"), scratch_path(spark, "model-forest")
+    models.save_model(t.logistic, lr_path)
+    iforest.save_forest(spark, t.forest, forest_path)
+    test = training.test_rows(t)
+    lr = models.score_logistic(models.load_model(lr_path), test).select(*training.SCORED_COLUMNS)
+    forest = iforest.score_isolation_forest(test, iforest.load_forest(spark, forest_path))
+    forest = forest.withColumn("prediction", (F.col("score") > F.lit(t.forest_cut)).cast("int"))
+    return lr.withColumn("model", F.lit("logistic_regression")).unionByName(
+        forest.select(*training.SCORED_COLUMNS).withColumn("model", F.lit("isolation_forest"))
+    )
+
+
+@query(
+    "stream_bounded_landing",
+    O.with_ledger(f"SELECT {RAW_SQL} FROM ledger ORDER BY event_id LIMIT 1000"),
+)
+def q_stream_bounded_landing(spark, sf_dir):
+    """Stop after 1000 messages: the first 1000 by offset are landed."""
+    msgs = messages.to_messages(read_ledger(spark, sf_dir), key="event_id").withColumn(
+        "offset", F.col("key").cast("long")
+    )
+    out = scratch_path(spark, "landing")
+    land.land_bounded(msgs, out, f"kafka:{TOPIC}", max_rows=1000, order_by=("offset",))
+    return files.read_table(spark, out).select(*RAW_COLUMNS)

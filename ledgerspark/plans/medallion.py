@@ -15,7 +15,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from ..operators import features as feats
 from ..operators import marts, quality, star
 from ..operators.clean import stamp_lineage, to_silver
-from ..sources.files import read_table
+from ..sources.files import read_raw_csv, read_table, split_corrupt
 from ..sources.sinks import write_table, write_tables
 from ..spec import LedgerSpec
 
@@ -28,6 +28,37 @@ SUMMARY_SCHEMA = StructType(
 )
 
 
+def ingest_bronze(
+    spark: SparkSession,
+    csv_path: str,
+    out: str,
+    quarantine: str | None = None,
+    partition_by: str = "type",
+) -> int:
+    """Raw CSV (fixed schema) -> bronze Parquet partitioned by type.
+
+    Each row is stamped with the ingestion time and the name of the file
+    it came from; malformed lines go to ``quarantine`` (if given) instead of
+    entering bronze as silent nulls.  Returns the bronze row count.
+    """
+    clean, bad = split_corrupt(read_raw_csv(spark, csv_path))
+    if quarantine:
+        write_table(stamp_lineage(bad), quarantine)
+    return write_table(stamp_lineage(clean), out, partition_by=[partition_by])
+
+
+def build_silver(spark: SparkSession, bronze: str, out: str, spec: LedgerSpec = LedgerSpec()) -> DataFrame:
+    """Bronze table -> silver table; returns the silver frame read back
+    from what was written (not a recomputation)."""
+    write_table(to_silver(read_table(spark, bronze), spec), out)
+    return read_table(spark, out)
+
+
+def build_feature_table(spark: SparkSession, silver: str, out: str, spec: LedgerSpec = LedgerSpec()) -> DataFrame:
+    write_table(feats.build_features(read_table(spark, silver), spec), out)
+    return read_table(spark, out)
+
+
 def gold_tables(silver: DataFrame, spec: LedgerSpec = LedgerSpec()) -> dict[str, DataFrame]:
     return {
         "dim_time": star.dim_time(silver, spec),

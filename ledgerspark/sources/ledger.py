@@ -43,7 +43,11 @@ def _case(col, mapping: dict, default):
 def ledger_from_events(events: DataFrame) -> DataFrame:
     """Raw ledger (``RAW_SCHEMA`` + ``event_id``) from an events frame."""
     eid = F.col("event_id")
-    step = (F.timestamp_diff("HOUR", F.lit(EPOCH).cast("timestamp_ntz"), F.col("ts").cast("timestamp_ntz")) + 1).cast("int")
+    # Whole hours since EPOCH, computed on the naive timestamp (date and
+    # hour-of-day fields), so no session time zone can shift it.
+    ts = F.col("ts").cast("timestamp_ntz")
+    hours = F.datediff(F.to_date(ts), F.to_date(F.lit(EPOCH))) * 24 + F.hour(ts)
+    step = (hours + 1).cast("int")
     txn_type = _case(F.col("event_type"), EVENT_TO_TYPE, OTHER_TYPE)
     multiplier = F.element_at(F.array(*[F.lit(m) for m in AMOUNT_MULTIPLIER]), (eid % 5 + 1).cast("int"))
     amount = (F.col("value").cast("decimal(18,2)") * multiplier).cast("double")

@@ -123,3 +123,52 @@ def land_stream(
         quarantined=counts.get("quarantined", 0),
         batches=len(landing.recentProgress),
     )
+
+
+def land_bounded(
+    messages: DataFrame,
+    out_path: str,
+    lineage: str,
+    max_rows: int = 0,
+    order_by: tuple[str, ...] = (),
+    quarantine_path: str | None = None,
+    partition_by: str = "type",
+) -> LandingRun:
+    """Bounded landing from a batch read of the source (for Kafka, a batch
+    read between ``startingOffsets`` and ``endingOffsets``): the first
+    ``max_rows`` messages in ``order_by`` order (e.g. partition, offset),
+    or all of them when ``max_rows`` is 0.  Appends to the same landing
+    zone and quarantine as :func:`land_stream`."""
+    from ..sources.sinks import write_table
+
+    picked = messages.orderBy(*order_by).limit(max_rows) if max_rows and max_rows > 0 else messages
+    parsed = parse_messages(picked)
+    ok = valid_messages(parsed)
+    landed = write_table(
+        stamp_lineage(parsed.filter(ok).select(*RAW_COLUMNS), lineage), out_path, partition_by=[partition_by], mode="append"
+    )
+    bad = 0
+    if quarantine_path:
+        bad = write_table(
+            parsed.filter(~ok).select(
+                "raw_value", F.current_timestamp().alias("quarantined_at"), F.lit(lineage).alias("source_file")
+            ),
+            quarantine_path,
+            mode="append",
+        )
+    return LandingRun(landed=landed, quarantined=bad, batches=1)
+
+
+def kafka_batch(
+    spark: SparkSession, bootstrap_servers: str, topic: str, starting: str = "earliest", ending: str = "latest"
+) -> DataFrame:
+    """A bounded batch read of a topic, ordered by (partition, offset)."""
+    return (
+        spark.read.format("kafka")
+        .option("kafka.bootstrap.servers", bootstrap_servers)
+        .option("subscribe", topic)
+        .option("startingOffsets", starting)
+        .option("endingOffsets", ending)
+        .load()
+        .select(F.col("value").cast("string").alias("value"), "partition", "offset")
+    )

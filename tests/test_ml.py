@@ -187,3 +187,13 @@ def test_model_save_and_load(spark, tmp_dir):
     again = models.score_logistic(models.load_model(tmp_dir), df).select("score").collect()
     first = models.score_logistic(model, df).select("score").collect()
     assert again == first
+
+
+def test_forest_save_and_load(spark, tmp_dir):
+    df = _toy_features(spark, n=200)
+    model = iforest.fit_isolation_forest(df, FEATURE_COLUMNS, [F.col("name_orig")], trees=4, psi=32, seed=5)
+    iforest.save_forest(spark, model, tmp_dir)
+    again = iforest.load_forest(spark, tmp_dir)
+    a = iforest.score_isolation_forest(df, model).select("score").collect()
+    b = iforest.score_isolation_forest(df, again).select("score").collect()
+    assert a == b and again.psi == 32 and again.trees == 4

@@ -89,3 +89,13 @@ def test_bad_messages_are_quarantined(spark):
     r, out = _run(spark, src, quarantine=q)
     assert (r.landed, r.quarantined) == (1, 3)
     assert read_table(spark, q).count() == 3
+
+
+def test_bounded_landing_takes_first_messages_by_offset(spark):
+    rows = [tuple([i] + list(ROW[1:])) for i in range(10)]
+    df = spark.createDataFrame(rows, RAW_SCHEMA)
+    msgs = messages.to_messages(df, key="step").withColumn("offset", messages.F.col("key").cast("long"))
+    out = scratch_path(spark, "landing")
+    r = land.land_bounded(msgs, out, "kafka:payments", max_rows=4, order_by=("offset",))
+    assert r.landed == 4
+    assert sorted(x.step for x in read_table(spark, out).collect()) == [0, 1, 2, 3]
