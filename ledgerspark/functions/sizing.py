@@ -5,6 +5,10 @@ is only safe when the side's size is bounded, so we check first: count
 at most ``max_rows + 1`` rows (the ``limit`` stops the job early) and
 broadcast only under the bound.  Above it the join is left to the
 planner (sort-merge, or AQE's runtime conversion from measured sizes).
+
+The check is meant for materialised inputs (a written dimension table, a
+checkpoint): there the bounded count reads a few row groups.  On a frame
+with an expensive lineage it would run that lineage once more.
 """
 
 from __future__ import annotations

@@ -18,7 +18,7 @@ from ..operators import iforest, marts, metrics, quality, star
 from ..operators.split import stratified_split
 from ..operators.clean import rename_columns, silver_from_raw
 from ..operators.clean import stamp_lineage
-from ..session import scratch_path
+from ..session import checkpoint_root, scratch_path
 from ..sources import files, sinks, warehouse
 from ..sources.ledger import read_ledger
 from ..spec import RAW_COLUMNS, LedgerSpec
@@ -187,7 +187,11 @@ FROM fact f JOIN dim_time t ON f.time_key = t.time_key JOIN dim_type k ON f.tran
     ),
 )
 def q_star_lookup(spark, sf_dir):
-    s = silver(spark, sf_dir)
+    # As in the batch chain, the dimensions come from a materialised silver
+    # table: the size check before broadcasting them is then a cheap scan,
+    # not a second run of the dedup shuffle.
+    checkpoint_root(spark)
+    s = silver(spark, sf_dir).checkpoint(eager=True)
     return star.star_lookup(star.fact_transactions(s, SPEC), star.dim_time(s, SPEC), star.dim_transaction_type(s))
 
 
