@@ -38,11 +38,10 @@ def row_hash(seed: int, parts: Sequence[Column]) -> Column:
     return surrogate_key(F.lit(str(seed)), *parts)
 
 
-def _cut(rows: DataFrame, label: str, bucket: str, target: Column | str) -> DataFrame:
+def _cut(hist: DataFrame, label: str, bucket: str, target: str) -> DataFrame:
     """Per class: the bucket where the running count reaches ``target`` and
-    how many rows of that bucket are still needed.  ``rows`` carries the
-    class's target in column ``target``."""
-    hist = rows.groupBy(label, bucket, target).agg(F.count(F.lit(1)).alias("_n"))
+    how many rows of that bucket are still needed.  ``hist`` holds
+    (label, bucket, target, _n) -- a small table."""
     running = Window.partitionBy(label).orderBy(bucket).rowsBetween(Window.unboundedPreceding, 0)
     return (
         hist.withColumn("_upto", F.sum("_n").over(running))
@@ -63,23 +62,31 @@ def stratified_split(
     """``df`` plus a boolean ``out_col`` marking the test rows.
 
     ``key`` must identify a row (e.g. the business key); ties of the
-    60-bit hash are broken by the key, so the result is exact.
+    60-bit hash are broken by the key, so the result is exact.  Three
+    passes over ``df``: level-1 histogram, level-2 histogram (boundary
+    bucket only), assignment.
     """
     h = df.withColumn("_h", row_hash(seed, key))
     h = h.withColumn("_b1", F.shiftright("_h", HASH_BITS - LEVEL_BITS)).withColumn(
         "_b2", F.shiftright("_h", HASH_BITS - 2 * LEVEL_BITS).bitwiseAND(F.lit(MASK))
     )
-    sizes = h.groupBy(label).agg(F.count(F.lit(1)).alias("_class_n"))
-    targets = sizes.select(
-        label, F.floor(F.col("_class_n") * F.lit(test_fraction) + F.lit(0.5)).cast("long").alias("_target")
+    hist1 = h.groupBy(label, "_b1").agg(F.count(F.lit(1)).alias("_n"))
+    # Class sizes are sums over the small level-1 histogram: no extra pass.
+    class_n = F.sum("_n").over(Window.partitionBy(label))
+    hist1 = hist1.withColumn(
+        "_target", F.floor(class_n * F.lit(test_fraction) + F.lit(0.5)).cast("long")
     )
-    # One row per class throughout: bounded, safe to broadcast.
-    with_target = h.join(F.broadcast(targets), label)
-    cut1 = F.broadcast(_cut(with_target, label, "_b1", "_target"))
-    lvl2 = with_target.join(cut1, label).filter(F.col("_b1") == F.col("_b1_cut"))
-    cut2 = F.broadcast(_cut(lvl2, label, "_b2", "_b1_need"))
+    # One row per class from here on: bounded, safe to broadcast.
+    cut1 = F.broadcast(_cut(hist1, label, "_b1", "_target"))
+    hist2 = (
+        h.join(cut1, label)
+        .filter(F.col("_b1") == F.col("_b1_cut"))
+        .groupBy(label, "_b2", "_b1_need")
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    cut2 = F.broadcast(_cut(hist2, label, "_b2", "_b1_need"))
 
-    joined = with_target.join(cut1, label, "left").join(cut2, label, "left")
+    joined = h.join(cut1, label, "left").join(cut2, label, "left")
     at_cut = (F.col("_b1") == F.col("_b1_cut")) & (F.col("_b2") == F.col("_b2_cut"))
     below = (F.col("_b1") < F.col("_b1_cut")) | ((F.col("_b1") == F.col("_b1_cut")) & (F.col("_b2") < F.col("_b2_cut")))
     decided = joined.filter(~F.coalesce(at_cut, F.lit(False))).withColumn(out_col, F.coalesce(below, F.lit(False)))
