@@ -10,6 +10,7 @@ row twice.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -63,6 +64,23 @@ def _rows(query, name: str) -> int:
     return total
 
 
+def _await_idle(query, idle_s: float, timeout_s: float | None, poll_s: float = 0.5) -> None:
+    """Block until ``query`` has seen no input for ``idle_s`` seconds (or
+    ``timeout_s`` elapsed, or it terminated)."""
+    start = last_input = time.monotonic()
+    last_batch = None
+    while query.isActive:
+        now = time.monotonic()
+        p = query.lastProgress
+        if p is not None and p["batchId"] != last_batch:
+            last_batch = p["batchId"]
+            if p["numInputRows"] > 0:
+                last_input = now
+        if now - last_input >= idle_s or (timeout_s is not None and now - start >= timeout_s):
+            return
+        query.awaitTermination(poll_s)
+
+
 def land_stream(
     source: DataFrame,
     out_path: str,
@@ -73,12 +91,14 @@ def land_stream(
     available_now: bool = True,
     processing_time: str | None = None,
     timeout_s: float | None = None,
+    idle_timeout_s: float | None = None,
 ) -> LandingRun:
     """Run the landing job.
 
     ``available_now`` drains what is there and stops (bounded run);
     otherwise ``processing_time`` sets a periodic trigger and the call
-    returns after ``timeout_s`` seconds (the stream keeps its checkpoint,
+    returns after ``timeout_s`` seconds, or once no micro-batch has brought
+    input for ``idle_timeout_s`` seconds (the stream keeps its checkpoint,
     so the next start resumes where this one stopped).
     """
     parsed = parse_messages(source)
@@ -111,11 +131,15 @@ def land_stream(
             .start(quarantine_path)
         )
         queries.append(("quarantined", q))
-    for _, q in queries:
-        if available_now:
+    if available_now:
+        for _, q in queries:
             q.awaitTermination()
+    else:
+        if idle_timeout_s:
+            _await_idle(landing, idle_timeout_s, timeout_s)
         else:
-            q.awaitTermination(timeout_s)
+            landing.awaitTermination(timeout_s)
+        for _, q in queries:
             q.stop()
     counts = {name: _rows(q, name) for name, q in queries}
     return LandingRun(

@@ -99,3 +99,14 @@ def test_bounded_landing_takes_first_messages_by_offset(spark):
     r = land.land_bounded(msgs, out, "kafka:payments", max_rows=4, order_by=("offset",))
     assert r.landed == 4
     assert sorted(x.step for x in read_table(spark, out).collect()) == [0, 1, 2, 3]
+
+
+def test_periodic_trigger_stops_when_idle(spark):
+    src = _files(spark, [[_msg()], [_msg(step=2)]])
+    out, ckpt = scratch_path(spark, "landing"), scratch_path(spark, "ckpt")
+    r = land.land_stream(
+        land.file_source(spark, src), out, ckpt, "kafka:payments",
+        available_now=False, processing_time="200 milliseconds", idle_timeout_s=2.0, timeout_s=60,
+    )
+    assert r.landed == 2
+    assert read_table(spark, out).count() == 2
