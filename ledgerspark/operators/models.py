@@ -46,12 +46,11 @@ def with_class_weights(train: DataFrame, label: str = "label", weight: str = "we
     counts = {int(r[label]): int(r["n"]) for r in train.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
     n = sum(counts.values())
     k = len(counts)
-    w = F.lit(None).cast("double")
-    expr = None
+    expr = F.lit(None).cast("double")
     for cls, n_c in counts.items():
         term = F.lit(n / (k * n_c))
-        expr = F.when(F.col(label) == cls, term) if expr is None else expr.when(F.col(label) == cls, term)
-    return train.withColumn(weight, expr if expr is not None else w), n
+        expr = F.when(F.col(label) == cls, term).otherwise(expr)
+    return train.withColumn(weight, expr), n
 
 
 def fit_logistic(

@@ -886,18 +886,16 @@ TOPIC = "ledger-transactions"
 
 
 def _message_files(spark, sf_dir, n_files: int = 4, corrupt_flagged: bool = False) -> str:
-    """Write the ledger as JSON message files (the stand-in for a topic)."""
-    msgs = messages.to_messages(raw(spark, sf_dir).withColumn("_f", F.col("isFlaggedFraud")).repartition(n_files))
+    """Write the ledger as JSON message files (the stand-in for a topic).
+
+    With ``corrupt_flagged`` the messages of rows the legacy system flagged
+    are cut to their first 20 characters (malformed JSON)."""
+    src = raw(spark, sf_dir).repartition(n_files)
+    value = F.to_json(messages.message_struct())
     if corrupt_flagged:
-        src = raw(spark, sf_dir).repartition(n_files)
-        value = F.to_json(messages.message_struct())
-        msgs = src.select(
-            F.when(F.col("isFlaggedFraud") == 1, F.expr("substring(to_json(struct(*)), 1, 20)"))
-            .otherwise(value)
-            .alias("value")
-        )
+        value = F.when(F.col("isFlaggedFraud") == 1, F.substring(value, 1, 20)).otherwise(value)
     path = scratch_path(spark, "messages")
-    msgs.write.mode("overwrite").text(path)
+    src.select(value.alias("value")).write.mode("overwrite").text(path)
     return path
 
 
