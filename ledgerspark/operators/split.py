@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import surrogate_key
+from ..session import checkpoint_root
 
 HASH_BITS = 60
 LEVEL_BITS = 16
@@ -58,18 +59,24 @@ def stratified_split(
     test_fraction: float = 0.25,
     seed: int = 42,
     out_col: str = "is_test",
+    materialize: bool = False,
 ) -> DataFrame:
     """``df`` plus a boolean ``out_col`` marking the test rows.
 
     ``key`` must identify a row (e.g. the business key); ties of the
     60-bit hash are broken by the key, so the result is exact.  Three
     passes over ``df``: level-1 histogram, level-2 histogram (boundary
-    bucket only), assignment.
+    bucket only), assignment.  When ``df`` is not a stored table (its
+    lineage has shuffles), ``materialize`` checkpoints the hashed rows
+    once so the passes do not each replay that lineage.
     """
     h = df.withColumn("_h", row_hash(seed, key))
     h = h.withColumn("_b1", F.shiftright("_h", HASH_BITS - LEVEL_BITS)).withColumn(
         "_b2", F.shiftright("_h", HASH_BITS - 2 * LEVEL_BITS).bitwiseAND(F.lit(MASK))
     )
+    if materialize:
+        checkpoint_root(df.sparkSession)
+        h = h.checkpoint(eager=True)
     hist1 = h.groupBy(label, "_b1").agg(F.count(F.lit(1)).alias("_n"))
     # Class sizes are sums over the small level-1 histogram: no extra pass.
     class_n = F.sum("_n").over(Window.partitionBy(label))

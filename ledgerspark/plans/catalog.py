@@ -507,7 +507,9 @@ def features(spark, sf_dir):
 
 
 def split_features(spark, sf_dir):
-    return stratified_split(features(spark, sf_dir), split_key(), "label", SPEC.test_fraction, SPEC.seed)
+    return stratified_split(
+        features(spark, sf_dir), split_key(), "label", SPEC.test_fraction, SPEC.seed, materialize=True
+    )
 
 
 @query("ml_features", O.with_silver("SELECT * FROM features", FEATURES_CTE))

@@ -42,8 +42,8 @@ class Trained:
     contamination: float
 
 
-def split(features: DataFrame, spec: LedgerSpec = LedgerSpec()) -> DataFrame:
-    return stratified_split(features, row_key(), "label", spec.test_fraction, spec.seed)
+def split(features: DataFrame, spec: LedgerSpec = LedgerSpec(), materialize: bool = True) -> DataFrame:
+    return stratified_split(features, row_key(), "label", spec.test_fraction, spec.seed, materialize=materialize)
 
 
 def train(features: DataFrame, spec: LedgerSpec = LedgerSpec(), trees: int = FOREST_TREES, psi: int = FOREST_SAMPLE) -> Trained:
