@@ -32,10 +32,13 @@ def write_table(
     value across several tasks, so a value holding a third of the rows
     does not end up in one task, while each task still writes few files.
     """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
+    # Observed after the rebalance, i.e. in the writing (result) stage: its
+    # count is applied once per successful task even when a lost executor
+    # forces upstream map stages to be recomputed.
     obs = Observation()
     counted = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    if partition_by:
-        counted = counted.hint("rebalance", *partition_by)
     writer = counted.write.mode(mode).format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
