@@ -101,3 +101,18 @@ def run_medallion(
     n = write_table(feats.build_features(silver, spec), f"{root}/gold/ml_features")
     counts.append(("gold", "ml_features", n))
     return spark.createDataFrame(counts, SUMMARY_SCHEMA)
+
+
+SERVED_TABLES = ("agg_fraud_by_type_hour", "agg_top_accounts", "agg_fraud_by_amount_band", "dim_transaction_type")
+
+
+def load_warehouse(spark: SparkSession, gold_root: str, target) -> dict[str, int]:
+    """Publish the served gold tables plus a one-row KPI summary computed
+    from the fact table; return table -> rows loaded.  Only aggregates are
+    served, never the fact or account tables."""
+    from ..sources.warehouse import load_serving
+
+    root = gold_root.rstrip("/")
+    tables = {name: read_table(spark, f"{root}/{name}") for name in SERVED_TABLES}
+    tables["kpi_summary"] = marts.kpi_summary(read_table(spark, f"{root}/fact_transactions"))
+    return load_serving(tables, target)

@@ -118,3 +118,26 @@ def test_star_lookup_broadcasts_small_dims(spark, make_silver):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
     assert out.count() == 10
+
+
+def test_medallion_then_warehouse_load(spark, make_silver, tmp_dir):
+    from ledgerspark.plans.medallion import load_warehouse
+    from ledgerspark.sources.warehouse import DirectoryTarget, read_served
+    from ledgerspark.spec import RAW_SCHEMA
+    from ledgerspark.plans.medallion import run_medallion
+
+    rows = [
+        (1, "CASH_OUT", 200.0, "C1", 1000.0, 800.0, "M9", 0.0, 0.0, 0, 0),
+        (1, "CASH_OUT", 200.0, "C1", 1000.0, 800.0, "M9", 0.0, 0.0, 0, 0),
+        (2, "TRANSFER", 50.0, "C2", 100.0, 50.0, "C3", 5.0, 55.0, 1, 0),
+        (3, "PAYMENT", 10.0, "C2", 50.0, 40.0, "M4", 0.0, 0.0, 0, 0),
+    ]
+    summary = {(r.layer, r.table_name): r.n_rows for r in
+               run_medallion(spark, spark.createDataFrame(rows, RAW_SCHEMA), tmp_dir, source_name="t.csv").collect()}
+    assert summary[("bronze", "transactions")] == 4 and summary[("silver", "transactions")] == 3
+    assert summary[("gold", "ml_features")] == 2  # CASH_OUT + TRANSFER
+    target = DirectoryTarget(f"{tmp_dir}/warehouse")
+    loaded = load_warehouse(spark, f"{tmp_dir}/gold", target)
+    assert loaded["kpi_summary"] == 1 and loaded["dim_transaction_type"] == 3
+    kpi = read_served(spark, "kpi_summary", target).first()
+    assert (kpi.n_transactions, kpi.n_fraud, kpi.fraud_pct) == (3, 1, 33.3333)
