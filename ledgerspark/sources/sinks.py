@@ -19,6 +19,7 @@ def write_table(
     mode: str = "overwrite",
     dynamic_overwrite: bool = False,
     fmt: str = "parquet",
+    cluster: bool = False,
 ) -> int:
     """Write ``df`` and return the number of rows written.
 
@@ -27,16 +28,18 @@ def write_table(
     is idempotent).  ``dynamic_overwrite=True`` replaces only the
     partitions present in ``df`` (incremental partition refresh).
 
-    For a partitioned write the rows are clustered by the partition
-    columns with a ``rebalance`` hint: AQE splits an oversized partition
-    value across several tasks, so a value holding a third of the rows
-    does not end up in one task, while each task still writes few files.
+    A partitioned write needs no shuffle: each task writes one file per
+    partition value it holds (a handful for a low-cardinality column).
+    ``cluster=True`` adds a ``rebalance`` hint on the partition columns for
+    fewer, larger files at the price of a full shuffle; AQE then splits an
+    oversized value across tasks, so a value holding a third of the rows
+    still does not land in one task.
     """
-    if partition_by:
+    if partition_by and cluster:
         df = df.hint("rebalance", *partition_by)
-    # Observed after the rebalance, i.e. in the writing (result) stage: its
-    # count is applied once per successful task even when a lost executor
-    # forces upstream map stages to be recomputed.
+    # Observed at the top of the plan, i.e. in the writing (result) stage:
+    # its count is applied once per successful task even when a lost
+    # executor forces upstream map stages to be recomputed.
     obs = Observation()
     counted = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = counted.write.mode(mode).format(fmt)
