@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..functions.columns import surrogate_key
+from ..session import ship_package
 
 EULER_GAMMA = 0.5772156649015329
 NODE_SCHEMA = (
@@ -132,6 +133,7 @@ def fit_isolation_forest(
     oversample: float = 2.0,
 ) -> IsolationForestModel:
     """Fit on ``df`` (nulls in ``features`` must already be filled)."""
+    ship_package(df.sparkSession)
     n = df.count()
     psi = int(min(psi, max(n, 1)))
     p = min(1.0, oversample * trees * psi / max(n, 1))
@@ -179,6 +181,7 @@ def _scorer(model: IsolationForestModel, out_col: str):
 
 def score_isolation_forest(df: DataFrame, model: IsolationForestModel, out_col: str = "score") -> DataFrame:
     """Adds the anomaly score in (0, 1); higher = more anomalous."""
+    ship_package(df.sparkSession)
     schema = StructType(list(df.schema.fields) + [StructField(out_col, DoubleType(), False)])
     return df.mapInPandas(_scorer(model, out_col), schema)
 

@@ -8,8 +8,10 @@ tests -- do we create one ourselves.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -59,6 +61,34 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/ledgerspark/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in executor Python workers.
+
+    Operators that run Python inside tasks (the isolation forest) pickle
+    functions by module reference, so the workers must import
+    ``ledgerspark``.  The package is zipped once on the driver and added
+    with ``addPyFile``, which serves it to every executor (the usual way to
+    ship a library with a job).  Done once per SparkContext.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="ledgerspark-pyfiles-"), "ledgerspark.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _, names in os.walk(pkg):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(root, name)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme so Python file APIs can use a local path."""
     if path.startswith("file://"):
@@ -72,4 +102,4 @@ def is_local_fs(path: str) -> bool:
     return "://" not in path or path.startswith("file:")
 
 
-__all__ = ["get_spark", "checkpoint_root", "scratch_path", "local_path", "is_local_fs"]
+__all__ = ["get_spark", "checkpoint_root", "scratch_path", "ship_package", "local_path", "is_local_fs"]
