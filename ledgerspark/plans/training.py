@@ -60,6 +60,9 @@ def train(features: DataFrame, spec: LedgerSpec = LedgerSpec(), trees: int = FOR
     logistic = models.fit_logistic(train_rows)
     fraud_rate = train_rows.agg(F.avg(F.col("label").cast("double")).alias("r")).first()["r"] or 0.0
     contamination = max(float(fraud_rate), MIN_CONTAMINATION)
+    # The forest is grown on the unscaled features: split points are drawn
+    # uniformly between a node's min and max per feature, so any per-feature
+    # affine scaling gives the same forest in distribution; no scaler needed.
     forest = iforest.fit_isolation_forest(train_rows, FEATURE_COLUMNS, row_key(), trees=trees, psi=psi, seed=spec.seed)
     cut = iforest.anomaly_cut(iforest.score_isolation_forest(train_rows, forest), contamination)
     return Trained(s, logistic, forest, cut, contamination)
@@ -104,3 +107,16 @@ def train_and_evaluate(spark: SparkSession, features: DataFrame, spec: LedgerSpe
     return evaluate(logistic_scores(t), "logistic_regression").unionByName(
         evaluate(forest_scores(t), "isolation_forest")
     )
+
+
+def save_models(t: Trained, root: str) -> None:
+    """Persist the fitted pipeline (scaler + logistic regression) and the
+    forest's node table under ``root`` (a shared folder)."""
+    root = root.rstrip("/")
+    models.save_model(t.logistic, f"{root}/logistic_regression")
+    iforest.save_forest(t.split.sparkSession, t.forest, f"{root}/isolation_forest")
+
+
+def save_metrics(metrics_df: DataFrame, path: str) -> None:
+    """Write the (few-row) tidy metrics table as one JSON file."""
+    metrics_df.coalesce(1).write.mode("overwrite").json(path)
