@@ -197,3 +197,25 @@ def test_forest_save_and_load(spark, tmp_dir):
     a = iforest.score_isolation_forest(df, model).select("score").collect()
     b = iforest.score_isolation_forest(df, again).select("score").collect()
     assert a == b and again.psi == 32 and again.trees == 4
+
+
+def test_training_plan_end_to_end(spark, tmp_dir):
+    from ledgerspark.plans import training
+
+    df = _toy_features(spark, n=400)
+    t = training.train(df, trees=10, psi=32)
+    assert 0.0 < t.contamination < 1.0
+    lr = training.logistic_scores(t)
+    forest = training.forest_scores(t)
+    n_test = t.split.filter("is_test").count()
+    assert lr.count() == forest.count() == n_test == 100  # 25 % of 400, exact per class
+    metrics_df = training.evaluate(lr, "lr").unionByName(training.evaluate(forest, "if"))
+    training.save_metrics(metrics_df, f"{tmp_dir}/metrics")
+    back = {(r.model, r.metric): r.value for r in spark.read.json(f"{tmp_dir}/metrics").collect()}
+    assert back[("lr", "n_test")] == 100.0
+    assert back[("lr", "tn")] + back[("lr", "fp")] + back[("lr", "fn")] + back[("lr", "tp")] == 100.0
+    assert back[("lr", "average_precision")] > 0.5  # the shifted class is easy
+    training.save_models(t, f"{tmp_dir}/models")
+    again = iforest.load_forest(spark, f"{tmp_dir}/models/isolation_forest")
+    assert again.trees == 10
+    assert models.load_model(f"{tmp_dir}/models/logistic_regression") is not None
