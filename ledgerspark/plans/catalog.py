@@ -24,7 +24,7 @@ from ..sources.ledger import read_ledger
 from ..spec import RAW_COLUMNS, LedgerSpec
 from ..streaming import land, messages
 from . import training
-from .medallion import build_gold, gold_tables, run_medallion
+from .medallion import build_gold, gold_tables, ingest_bronze, run_medallion
 from ..operators import models
 from . import oracle as O
 
@@ -652,9 +652,8 @@ def _bronze_table(spark, sf_dir) -> str:
 def q_csv_ingest_roundtrip(spark, sf_dir):
     csv_dir = scratch_path(spark, "raw-csv")
     files.write_csv(raw(spark, sf_dir), csv_dir)
-    clean, _ = files.split_corrupt(files.read_raw_csv(spark, csv_dir))
     bronze_dir = scratch_path(spark, "bronze-csv")
-    sinks.write_table(stamp_lineage(clean), bronze_dir, partition_by=["type"])
+    ingest_bronze(spark, csv_dir, bronze_dir, quarantine=scratch_path(spark, "bronze-quarantine"))
     return files.read_table(spark, bronze_dir).select(*RAW_COLUMNS)
 
 

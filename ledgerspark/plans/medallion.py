@@ -10,12 +10,13 @@ written.  Row counts come from observations on the writes.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..operators import features as feats
 from ..operators import marts, quality, star
 from ..operators.clean import stamp_lineage, to_silver
-from ..sources.files import read_raw_csv, read_table, split_corrupt
+from ..sources.files import CORRUPT_COLUMN, read_raw_csv, read_table, split_corrupt
 from ..sources.sinks import write_table, write_tables
 from ..spec import LedgerSpec
 
@@ -38,13 +39,28 @@ def ingest_bronze(
     """Raw CSV (fixed schema) -> bronze Parquet partitioned by type.
 
     Each row is stamped with the ingestion time and the name of the file
-    it came from; malformed lines go to ``quarantine`` (if given) instead of
-    entering bronze as silent nulls.  Returns the bronze row count.
+    it came from.  Malformed lines, and rows without a partition value
+    (which would otherwise land in a default partition), go to
+    ``quarantine`` when given, as the raw line or the row as JSON text.
+    Returns the bronze row count.
     """
     clean, bad = split_corrupt(read_raw_csv(spark, csv_path))
+    no_key = F.col(partition_by).isNull()
     if quarantine:
-        write_table(stamp_lineage(bad), quarantine)
-    return write_table(stamp_lineage(clean), out, partition_by=[partition_by])
+        row_json = F.to_json(F.struct(*clean.columns))
+
+        def rejected(df, reason, text):
+            return stamp_lineage(df).select(
+                text.alias("raw_value"), F.lit(reason).alias("reason"), "ingestion_timestamp", "source_file"
+            )
+
+        write_table(
+            rejected(bad, "malformed line", F.coalesce(F.col(CORRUPT_COLUMN), row_json)).unionByName(
+                rejected(clean.filter(no_key), f"no {partition_by}", row_json)
+            ),
+            quarantine,
+        )
+    return write_table(stamp_lineage(clean.filter(~no_key)), out, partition_by=[partition_by])
 
 
 def build_silver(spark: SparkSession, bronze: str, out: str, spec: LedgerSpec = LedgerSpec()) -> DataFrame:

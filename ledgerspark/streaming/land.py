@@ -48,6 +48,17 @@ def file_source(spark: SparkSession, path: str, files_per_batch: int = 1) -> Dat
     return spark.readStream.format("text").option("maxFilesPerTrigger", str(files_per_batch)).load(path)
 
 
+def _rejected(parsed: DataFrame, lineage: str) -> DataFrame:
+    """Quarantine rows: the message text, why, and the lineage stamp (the
+    same shape as the batch ingest quarantine)."""
+    return parsed.select(
+        "raw_value",
+        F.lit("undecodable message").alias("reason"),
+        F.current_timestamp().alias("ingestion_timestamp"),
+        F.lit(lineage).alias("source_file"),
+    )
+
+
 @dataclass
 class LandingRun:
     landed: int
@@ -119,8 +130,7 @@ def land_stream(
     queries.append(("landed", landing))
     if quarantine_path:
         bad = (
-            parsed.filter(~ok)
-            .select("raw_value", F.current_timestamp().alias("quarantined_at"), F.lit(lineage).alias("source_file"))
+            _rejected(parsed.filter(~ok), lineage)
             .observe("quarantined", F.count(F.lit(1)).alias("rows"))
         )
         q = (
@@ -174,9 +184,7 @@ def land_bounded(
     bad = 0
     if quarantine_path:
         bad = write_table(
-            parsed.filter(~ok).select(
-                "raw_value", F.current_timestamp().alias("quarantined_at"), F.lit(lineage).alias("source_file")
-            ),
+            _rejected(parsed.filter(~ok), lineage),
             quarantine_path,
             mode="append",
         )

@@ -90,3 +90,16 @@ def test_warehouse_replace_and_types(spark, tmp_dir):
     assert back.count() == 2
     assert dict(back.dtypes) == {"k": "bigint", "v": "double", "s": "string"}
     assert sorted((r.k, r.v, r.s) for r in back.collect()) == [(1, 0.5, "x"), (2, 1.5, "y")]
+
+
+def test_ingest_bronze_quarantines_bad_lines_and_missing_type(spark):
+    from ledgerspark.plans.medallion import ingest_bronze
+
+    path = scratch_path(spark, "csv")
+    _write_text(path, [HEADER, GOOD, "2,CASH_OUT,abc,C1,1,1,C2,0,0,0,0", "3,,5.0,C1,1,1,C2,0,0,0,0"])
+    out, q = scratch_path(spark, "bronze"), scratch_path(spark, "quarantine")
+    assert ingest_bronze(spark, path, out, quarantine=q) == 1
+    bronze = files.read_table(spark, out).collect()
+    assert [(r.step, r.type, r.source_file) for r in bronze] == [(1, "TRANSFER", "part-0.csv")]
+    bad = sorted(r.raw_value for r in files.read_table(spark, q).collect())
+    assert len(bad) == 2 and any("abc" in b for b in bad) and any('"step":3' in b for b in bad)
