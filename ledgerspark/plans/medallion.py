@@ -94,15 +94,21 @@ def build_gold(silver: DataFrame, root: str, spec: LedgerSpec = LedgerSpec()) ->
 
 def run_medallion(
     spark: SparkSession,
-    raw: DataFrame,
+    raw: DataFrame | str,
     root: str,
     spec: LedgerSpec = LedgerSpec(),
     source_name: str | None = None,
 ) -> DataFrame:
-    """Run the whole chain under ``root``; return (layer, table, rows)."""
+    """Run the whole chain under ``root``; return (layer, table, rows).
+
+    ``raw`` is a raw-ledger frame or the path of the raw CSV files (then
+    malformed lines are quarantined under ``root/quarantine``)."""
     root = root.rstrip("/")
     counts: list[tuple[str, str, int]] = []
-    n = write_table(stamp_lineage(raw, source_name), f"{root}/bronze", partition_by=["type"])
+    if isinstance(raw, str):
+        n = ingest_bronze(spark, raw, f"{root}/bronze", quarantine=f"{root}/quarantine")
+    else:
+        n = write_table(stamp_lineage(raw, source_name), f"{root}/bronze", partition_by=["type"])
     counts.append(("bronze", "transactions", n))
     bronze = read_table(spark, f"{root}/bronze")
     quality.validate_bronze(bronze, spec)

@@ -103,3 +103,14 @@ def test_ingest_bronze_quarantines_bad_lines_and_missing_type(spark):
     assert [(r.step, r.type, r.source_file) for r in bronze] == [(1, "TRANSFER", "part-0.csv")]
     bad = sorted(r.raw_value for r in files.read_table(spark, q).collect())
     assert len(bad) == 2 and any("abc" in b for b in bad) and any('"step":3' in b for b in bad)
+
+
+def test_medallion_from_csv_path(spark):
+    from ledgerspark.plans.medallion import run_medallion
+
+    path = scratch_path(spark, "csv")
+    _write_text(path, [HEADER, GOOD, "2,CASH_OUT,abc,C1,1,1,C2,0,0,0,0"])
+    root = scratch_path(spark, "chain")
+    got = {(r.layer, r.table_name): r.n_rows for r in run_medallion(spark, path, root).collect()}
+    assert got[("bronze", "transactions")] == 1 and got[("silver", "transactions")] == 1
+    assert files.read_table(spark, f"{root}/quarantine").count() == 1
