@@ -616,18 +616,18 @@ def _wavg(a: str, b: str) -> str:
     return _div(f"{a} * s0 + {b} * s1", "total")
 
 
-@query(
-    "classification_report",
-    O.with_silver(
-        f"""SELECT '0' AS class_label, p0 AS precision, r0 AS recall, f0 AS f1_score, s0 AS support FROM pr
+CLASSIFICATION_REPORT_SQL = O.with_silver(
+    f"""SELECT '0' AS class_label, p0 AS precision, r0 AS recall, f0 AS f1_score, s0 AS support FROM pr
 UNION ALL SELECT '1', p1, r1, f1, s1 FROM pr
 UNION ALL SELECT 'accuracy', NULL, NULL, {_div('tn + tp', 'total')}, total FROM pr
 UNION ALL SELECT 'macro avg', (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, total FROM pr
 UNION ALL SELECT 'weighted avg', {_wavg('p0', 'p1')}, {_wavg('r0', 'r1')}, {_wavg('f0', 'f1')}, total FROM pr""",
-        CONFUSION_CTE,
-        REPORT_CTE,
-    ),
+    CONFUSION_CTE,
+    REPORT_CTE,
 )
+
+
+@query("classification_report", CLASSIFICATION_REPORT_SQL)
 def q_classification_report(spark, sf_dir):
     return metrics.classification_report(silver(spark, sf_dir), "is_fraud", "is_flagged_fraud")
 
@@ -833,18 +833,7 @@ def q_warehouse_roundtrip(spark, sf_dir):
     return _counts_frame(spark, counts)
 
 
-@query(
-    "metrics_json",
-    O.with_silver(
-        f"""SELECT '0' AS class_label, p0 AS precision, r0 AS recall, f0 AS f1_score, s0 AS support FROM pr
-UNION ALL SELECT '1', p1, r1, f1, s1 FROM pr
-UNION ALL SELECT 'accuracy', NULL, NULL, {_div('tn + tp', 'total')}, total FROM pr
-UNION ALL SELECT 'macro avg', (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, total FROM pr
-UNION ALL SELECT 'weighted avg', {_wavg('p0', 'p1')}, {_wavg('r0', 'r1')}, {_wavg('f0', 'f1')}, total FROM pr""",
-        CONFUSION_CTE,
-        REPORT_CTE,
-    ),
-)
+@query("metrics_json", CLASSIFICATION_REPORT_SQL)
 def q_metrics_json(spark, sf_dir):
     """Persist the evaluation report as JSON and read it back."""
     report = metrics.classification_report(silver(spark, sf_dir), "is_fraud", "is_flagged_fraud")

@@ -110,3 +110,20 @@ def test_periodic_trigger_stops_when_idle(spark):
     )
     assert r.landed == 2
     assert read_table(spark, out).count() == 2
+
+
+def test_stream_and_batch_give_the_same_rows(spark):
+    from ledgerspark.sources.sinks import write_table
+
+    rows = [tuple([i, t] + list(ROW[2:])) for i, t in enumerate(["TRANSFER", "CASH_OUT", "DEBIT", "PAYMENT"])]
+    df = spark.createDataFrame(rows, RAW_SCHEMA)
+    batch_dir = scratch_path(spark, "bronze")
+    write_table(df, batch_dir, partition_by=["type"])
+    src = _files(spark, [[json.dumps(dict(zip(RAW_COLUMNS, r))) for r in rows]])
+    _, out = _run(spark, src)
+    batch = sorted(tuple(r) for r in read_table(spark, batch_dir).select(*RAW_COLUMNS).collect())
+    stream = sorted(tuple(r) for r in read_table(spark, out).select(*RAW_COLUMNS).collect())
+    assert batch == stream == sorted(rows)
+    assert dict(read_table(spark, batch_dir).select(*RAW_COLUMNS).dtypes) == dict(
+        read_table(spark, out).select(*RAW_COLUMNS).dtypes
+    )
