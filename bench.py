@@ -57,8 +57,8 @@ def main() -> None:
         .appName("ledgerspark-bench")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEMORY", "8g"))
-        .config("spark.sql.shuffle.partitions", str(int(cpus) * 2))
+        .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEMORY", "3g"))
+        .config("spark.sql.shuffle.partitions", os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", f"{scratch}/ckpt")
