@@ -26,18 +26,21 @@ def average_precision(df: DataFrame, label: str = "label", score: str = "score",
     Distributed exactly, without a single-partition window:
 
     * rows collapse to one per distinct score (tp, n) -- partial aggregate;
-    * approximate quantiles of the distinct scores split them into at most
+    * approximate quantiles of the scores split them into at most
       ``buckets`` score ranges of similar size (only the cut points reach
       the driver);
     * per-range totals (<= ``buckets`` rows) give each range the counts of
       all higher ranges;
     * a window partitioned by range runs the sums inside each range.
     """
-    per_score = df.filter(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("_s")).agg(
-        F.sum(F.col(label).cast("long")).alias("_tp"), F.count(F.lit(1)).alias("_n")
+    scored = df.filter(F.col(score).isNotNull()).select(
+        F.col(score).cast("double").alias("_s"), F.col(label).cast("long").alias("_y")
     )
+    per_score = scored.groupBy("_s").agg(F.sum("_y").alias("_tp"), F.count(F.lit(1)).alias("_n"))
+    # Range boundaries only balance the work (the result is exact for any
+    # boundaries), so they come from one shuffle-free pass over the scores.
     probs = [i / buckets for i in range(1, buckets)]
-    cuts = sorted(set(per_score.approxQuantile("_s", probs, 1.0 / (4 * buckets)))) if buckets > 1 else []
+    cuts = sorted(set(scored.approxQuantile("_s", probs, 1.0 / (4 * buckets)))) if buckets > 1 else []
     splits = [float("-inf")] + [c for c in cuts if c not in (float("-inf"), float("inf"))] + [float("inf")]
     if len(splits) > 2:
         ranged = Bucketizer(splits=splits, inputCol="_s", outputCol="_r", handleInvalid="keep").transform(per_score)
