@@ -141,3 +141,16 @@ def test_medallion_then_warehouse_load(spark, make_silver, tmp_dir):
     assert loaded["kpi_summary"] == 1 and loaded["dim_transaction_type"] == 3
     kpi = read_served(spark, "kpi_summary", target).first()
     assert (kpi.n_transactions, kpi.n_fraud, kpi.fraud_pct) == (3, 1, 33.3333)
+
+
+def test_feature_type_filter_reaches_the_silver_scan(spark, make_silver, tmp_dir):
+    from ledgerspark.operators.features import build_features
+    from ledgerspark.sources.sinks import write_table
+
+    write_table(make_silver([dict(), dict(step=2, transaction_type="CASH_IN")]), tmp_dir)
+    feats = build_features(read_table(spark, tmp_dir))
+    plan = feats._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(transaction_type, [CASH_OUT,TRANSFER])]" in plan or (
+        "PushedFilters:" in plan and "In(transaction_type" in plan
+    )
+    assert feats.count() == 1
