@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +18,14 @@ def stamp_lineage(df: DataFrame, source: str | None = None) -> DataFrame:
     ``source`` is a literal lineage tag (a file name, ``kafka:<topic>``);
     without one the file each row came from is taken from ``_metadata``.
     """
-    src = F.lit(source) if source is not None else F.col("_metadata.file_name")
+    if source is not None:
+        src = F.lit(source)
+    else:
+        try:  # only file scans expose the hidden _metadata column
+            df.select(F.col("_metadata.file_name")).schema
+            src = F.col("_metadata.file_name")
+        except AnalysisException:
+            src = F.lit(None).cast("string")
     return df.withColumn("ingestion_timestamp", F.current_timestamp()).withColumn("source_file", src)
 
 
@@ -36,6 +44,9 @@ def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> Data
     one row per task.
     """
     keys = list(keys)
+    missing = [c for c in [*keys, *order] if c not in df.columns]
+    if missing:
+        raise ValueError(f"dedup columns not in the frame: {missing}")
     order = [c for c in order if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in order]
     packed = order + rest

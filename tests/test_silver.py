@@ -79,3 +79,23 @@ def test_silver_flag_is_plain_expression(spark):
     plan = to_silver(spark.createDataFrame(rows, RAW_SCHEMA))._jdf.queryExecution().executedPlan().toString()
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
     assert F is not None
+
+
+def test_dedup_rejects_unknown_order_column(spark):
+    import pytest
+
+    df = spark.createDataFrame([(1, "A")], "k int, t string")
+    with pytest.raises(ValueError, match="event_id"):
+        dedup(df, ["k"], order=["event_id"])
+
+
+def test_lineage_stamp_on_files_and_in_memory_frames(spark, tmp_dir):
+    from ledgerspark.operators.clean import stamp_lineage
+
+    mem = spark.createDataFrame([(1,)], "x int")
+    row = stamp_lineage(mem).first()
+    assert row.source_file is None and row.ingestion_timestamp is not None
+    assert stamp_lineage(mem, "kafka:t").first().source_file == "kafka:t"
+    mem.write.parquet(tmp_dir)
+    names = {r.source_file for r in stamp_lineage(spark.read.parquet(tmp_dir)).collect()}
+    assert len(names) == 1 and next(iter(names)).endswith(".parquet")
