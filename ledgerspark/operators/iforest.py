@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..functions.columns import surrogate_key
-from ..session import ship_package
+from ..session import checkpoint_root, ship_package
+from .quantile import percentile
 
 EULER_GAMMA = 0.5772156649015329
 NODE_SCHEMA = (
@@ -186,10 +187,13 @@ def score_isolation_forest(df: DataFrame, model: IsolationForestModel, out_col:
     return df.mapInPandas(_scorer(model, out_col), schema)
 
 
-def anomaly_cut(scored: DataFrame, contamination: float, score: str = "score", accuracy: int = 100_000) -> float:
-    """Score above which a row is predicted anomalous: the (1 - contamination)
-    quantile of the training scores (approximate, rank error 1/accuracy)."""
-    q = scored.agg(F.percentile_approx(score, 1.0 - contamination, accuracy).alias("q")).first()["q"]
+def anomaly_cut(scored: DataFrame, contamination: float, score: str = "score") -> float:
+    """Score above which a row is predicted anomalous: the exact
+    (1 - contamination) percentile of the training scores (linear
+    interpolation).  The scores are checkpointed first because the exact
+    percentile makes a few passes and scoring runs trees in Python."""
+    checkpoint_root(scored.sparkSession)
+    q = percentile(scored.select(score).checkpoint(eager=True), score, 1.0 - contamination)
     return float(q) if q is not None else float("inf")
 
 
