@@ -42,24 +42,32 @@ def _locate(counts: list[tuple], rank: int) -> tuple[object, int]:
     raise ValueError("rank beyond the number of rows")
 
 
-def order_statistic(df: DataFrame, col: str, rank: int, lo: float, hi: float) -> float:
-    """Value at 0-based ``rank`` of the non-null values of ``col``."""
-    x = F.col(col).cast("double")
-    rows = df.select(x.alias("_x")).filter(F.col("_x").isNotNull())
+def order_statistics(df: DataFrame, col: str, ranks: list[int], lo: float, hi: float) -> list[float]:
+    """Values at the 0-based ``ranks`` of the non-null values of ``col``.
+
+    Ranks falling in the same range share its histogram pass, so two
+    neighbouring ranks usually cost three small aggregations in total."""
+    rows = df.select(F.col(col).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
     if hi <= lo:
-        return float(lo)
+        return [float(lo)] * len(ranks)
     w1 = (hi - lo) / LEVEL
     b1 = _bucket(F.col("_x"), lo, w1)
-    hist1 = rows.groupBy(b1.alias("b")).agg(F.count(F.lit(1)).alias("n")).orderBy("b").collect()
-    k1, r1 = _locate([(h.b, h.n) for h in hist1], rank)
-    in1 = rows.filter(b1 == F.lit(k1))
-    lo2, w2 = lo + k1 * w1, w1 / LEVEL
-    b2 = _bucket(F.col("_x"), lo2, w2)
-    hist2 = in1.groupBy(b2.alias("b")).agg(F.count(F.lit(1)).alias("n")).orderBy("b").collect()
-    k2, r2 = _locate([(h.b, h.n) for h in hist2], r1)
-    values = in1.filter(b2 == F.lit(k2)).groupBy("_x").agg(F.count(F.lit(1)).alias("n")).orderBy("_x").collect()
-    value, _ = _locate([(v._x, v.n) for v in values], r2)
-    return float(value)
+    hist1 = [(h.b, h.n) for h in rows.groupBy(b1.alias("b")).agg(F.count(F.lit(1)).alias("n")).orderBy("b").collect()]
+    at1 = {r: _locate(hist1, r) for r in ranks}
+    out: dict[int, float] = {}
+    for k1 in sorted({k for k, _ in at1.values()}):
+        in1 = rows.filter(b1 == F.lit(k1))
+        lo2, w2 = lo + k1 * w1, w1 / LEVEL
+        b2 = _bucket(F.col("_x"), lo2, w2)
+        hist2 = [(h.b, h.n) for h in in1.groupBy(b2.alias("b")).agg(F.count(F.lit(1)).alias("n")).orderBy("b").collect()]
+        at2 = {r: _locate(hist2, r1) for r, (k, r1) in at1.items() if k == k1}
+        for k2 in sorted({k for k, _ in at2.values()}):
+            vals = in1.filter(b2 == F.lit(k2)).groupBy("_x").agg(F.count(F.lit(1)).alias("n")).orderBy("_x").collect()
+            counts = [(v._x, v.n) for v in vals]
+            for r, (k, r2) in at2.items():
+                if k == k2:
+                    out[r] = float(_locate(counts, r2)[0])
+    return [out[r] for r in ranks]
 
 
 def percentile(df: DataFrame, col: str, q: float) -> float | None:
@@ -75,10 +83,9 @@ def percentile(df: DataFrame, col: str, q: float) -> float | None:
     pos = (n - 1) * q
     k = int(math.floor(pos))
     frac = pos - k
-    lower = order_statistic(df, col, k, stats.lo, stats.hi)
     if frac == 0 or k + 1 >= n:
-        return lower
-    upper = order_statistic(df, col, k + 1, stats.lo, stats.hi)
+        return order_statistics(df, col, [k], stats.lo, stats.hi)[0]
+    lower, upper = order_statistics(df, col, [k, k + 1], stats.lo, stats.hi)
     # The same interpolation arithmetic as numpy's default method.
     if frac >= 0.5:
         return upper - (upper - lower) * (1 - frac)
