@@ -2,1060 +2,13 @@
 
 Every query takes ``(spark, sf_dir)``, reads the given tables (the ledger
 is derived from ``events``) and returns a DataFrame.  ``ORACLES`` holds
-the DuckDB SQL for each query that SQL can express.
+the DuckDB SQL for each query that SQL can express.  The queries live in
+``plans/queries/`` (one module per area); this module is the entry point.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from .queries import ORACLES, QUERIES, SPEC
+from .queries.inputs import features, rule_score, silver, split_features
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from ..functions.columns import money_text
-from ..operators import features as feats
-from ..operators import iforest, marts, metrics, quality, star
-from ..operators.split import stratified_split
-from ..operators.clean import rename_columns, silver_from_raw
-from ..operators.clean import stamp_lineage
-from ..session import checkpoint_root, scratch_path
-from ..sources import files, sinks, warehouse
-from ..sources.ledger import read_ledger
-from ..spec import RAW_COLUMNS, LedgerSpec
-from ..streaming import land, messages
-from . import training
-from .medallion import build_gold, gold_tables, ingest_bronze, run_medallion
-from ..operators import models
-from . import oracle as O
-
-# The derived ledger carries event_id: it is the ingestion order, so the
-# dedup survivor is the first event of each business key.
-SPEC = LedgerSpec(dedup_order=("event_id",))
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None):
-    def register(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLES[name] = sql
-        return fn
-
-    return register
-
-
-def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver_from_raw(read_ledger(spark, sf_dir), SPEC)
-
-
-def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver materialised once (checkpoint under ``spark.checkpoint.dir``),
-    for queries that derive several outputs from it -- as the batch chain
-    does with its written silver table."""
-    checkpoint_root(spark)
-    return silver(spark, sf_dir).checkpoint(eager=True)
-
-
-# --- gold marts ------------------------------------------------------------
-
-FRAUD_BY_TYPE_HOUR_SQL = O.with_silver(
-    f"""SELECT transaction_type, step % 24 AS hour_of_day, COUNT(*) AS n_transactions,
-  CAST(SUM(is_fraud) AS BIGINT) AS n_fraud, {O.ratio('SUM(is_fraud)', 'COUNT(*)', 4)} AS fraud_rate
-FROM silver GROUP BY 1, 2"""
-)
-
-
-@query("fraud_by_type_hour", FRAUD_BY_TYPE_HOUR_SQL)
-def q_fraud_by_type_hour(spark, sf_dir):
-    return marts.fraud_by_type_hour(silver(spark, sf_dir), SPEC)
-
-
-def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star.fact_transactions(silver(spark, sf_dir), SPEC)
-
-
-# --- silver ----------------------------------------------------------------
-
-RENAMED_COLUMNS_SQL = """step, type AS transaction_type, amount, nameOrig AS name_orig,
-  oldbalanceOrg AS oldbalance_orig, newbalanceOrig AS newbalance_orig, nameDest AS name_dest,
-  oldbalanceDest AS oldbalance_dest, newbalanceDest AS newbalance_dest,
-  isFraud AS is_fraud, isFlaggedFraud AS is_flagged_fraud, event_id"""
-
-
-@query("silver_rename", O.with_ledger(f"SELECT {RENAMED_COLUMNS_SQL} FROM ledger"))
-def q_silver_rename(spark, sf_dir):
-    return rename_columns(read_ledger(spark, sf_dir))
-
-
-@query("silver_dedup", O.with_silver("SELECT * FROM silver"))
-def q_silver_dedup(spark, sf_dir):
-    return silver(spark, sf_dir)
-
-
-@query(
-    "account_type",
-    O.with_silver("SELECT event_id, name_orig, orig_account_type, name_dest, dest_account_type FROM silver"),
-)
-def q_account_type(spark, sf_dir):
-    return silver(spark, sf_dir).select("event_id", "name_orig", "orig_account_type", "name_dest", "dest_account_type")
-
-
-@query("balance_flag", O.with_silver("SELECT event_id, transaction_type, balance_inconsistent FROM silver"))
-def q_balance_flag(spark, sf_dir):
-    return silver(spark, sf_dir).select("event_id", "transaction_type", "balance_inconsistent")
-
-
-@query(
-    "flag_counts",
-    O.with_silver(
-        """SELECT COUNT(*) AS n_rows, CAST(count_if(balance_inconsistent = 1) AS BIGINT) AS n_inconsistent,
-  CAST(count_if(is_fraud = 1) AS BIGINT) AS n_fraud FROM silver"""
-    ),
-)
-def q_flag_counts(spark, sf_dir):
-    s = silver(spark, sf_dir)
-    return s.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(F.col("balance_inconsistent") == 1).alias("n_inconsistent"),
-        F.count_if(F.col("is_fraud") == 1).alias("n_fraud"),
-    )
-
-
-# --- star schema -----------------------------------------------------------
-
-
-def _hash_key_sql(expr: str) -> str:
-    return f"CAST('0x' || substr(md5({expr}), 1, 15) AS BIGINT)"
-
-
-TXN_KEY_SQL = _hash_key_sql(
-    "concat_ws('|', coalesce(CAST(step AS VARCHAR), '<null>'), coalesce(transaction_type, '<null>'), "
-    "coalesce(CAST(CAST(amount AS DECIMAL(38,6)) AS VARCHAR), '<null>'), coalesce(name_orig, '<null>'), "
-    "coalesce(name_dest, '<null>'))"
-)
-
-FACT_CTE = f"""
-fact AS (
-  SELECT {TXN_KEY_SQL} AS transaction_key, step AS time_key, transaction_type, name_orig, name_dest, amount,
-    oldbalance_orig, newbalance_orig, oldbalance_dest, newbalance_dest, is_fraud, is_flagged_fraud,
-    balance_inconsistent
-  FROM silver)"""
-
-DIM_TIME_CTE = """
-dim_time AS (
-  SELECT step, step AS time_key, CAST(step // 24 + 1 AS INTEGER) AS day, step % 24 AS hour_of_day
-  FROM (SELECT DISTINCT step FROM silver))"""
-
-DIM_TYPE_CTE = """
-dim_type AS (
-  SELECT transaction_type, CAST(dense_rank() OVER (ORDER BY transaction_type) AS INTEGER) AS type_key
-  FROM (SELECT DISTINCT transaction_type FROM silver))"""
-
-DIM_ACCOUNT_CTE = f"""
-dim_account AS (
-  SELECT account_id, min(account_type) AS account_type,
-    {_hash_key_sql("coalesce(account_id, '<null>')")} AS account_key
-  FROM (SELECT name_orig AS account_id, orig_account_type AS account_type FROM silver
-        UNION ALL SELECT name_dest, dest_account_type FROM silver)
-  GROUP BY account_id)"""
-
-
-@query("dim_time", O.with_silver("SELECT * FROM dim_time", DIM_TIME_CTE))
-def q_dim_time(spark, sf_dir):
-    return star.dim_time(silver(spark, sf_dir), SPEC)
-
-
-@query("dim_transaction_type", O.with_silver("SELECT * FROM dim_type", DIM_TYPE_CTE))
-def q_dim_transaction_type(spark, sf_dir):
-    return star.dim_transaction_type(silver(spark, sf_dir))
-
-
-@query("dim_account", O.with_silver("SELECT * FROM dim_account", DIM_ACCOUNT_CTE))
-def q_dim_account(spark, sf_dir):
-    return star.dim_account(silver(spark, sf_dir))
-
-
-@query("fact_transactions", O.with_silver("SELECT * FROM fact", FACT_CTE))
-def q_fact_transactions(spark, sf_dir):
-    return fact(spark, sf_dir)
-
-
-@query(
-    "star_lookup",
-    O.with_silver(
-        f"""SELECT f.transaction_key, f.time_key, t.day, t.hour_of_day, k.type_key,
-  {_hash_key_sql("coalesce(f.name_orig, '<null>')")} AS orig_account_key,
-  {_hash_key_sql("coalesce(f.name_dest, '<null>')")} AS dest_account_key, f.amount, f.is_fraud
-FROM fact f JOIN dim_time t ON f.time_key = t.time_key JOIN dim_type k ON f.transaction_type = k.transaction_type""",
-        FACT_CTE,
-        DIM_TIME_CTE,
-        DIM_TYPE_CTE,
-    ),
-)
-def q_star_lookup(spark, sf_dir):
-    # As in the batch chain, the dimensions come from a materialised silver
-    # table: the size check before broadcasting them is then a cheap scan,
-    # not a second run of the dedup shuffle.
-    s = silver_table(spark, sf_dir)
-    return star.star_lookup(star.fact_transactions(s, SPEC), star.dim_time(s, SPEC), star.dim_transaction_type(s))
-
-
-@query(
-    "orphan_keys",
-    O.with_silver(
-        """SELECT r.role, COUNT(*) AS n_keys, CAST(count_if(d.key IS NULL) AS BIGINT) AS n_missing_keys,
-  CAST(coalesce(SUM(CASE WHEN d.key IS NULL THEN r.n_rows END), 0) AS BIGINT) AS n_missing_rows
-FROM (SELECT role, key, COUNT(*) AS n_rows FROM (
-        SELECT 'sender' AS role, name_orig AS key FROM fact
-        UNION ALL SELECT 'receiver', name_dest FROM fact
-        UNION ALL SELECT 'time', CAST(time_key AS VARCHAR) FROM fact
-        UNION ALL SELECT 'type', transaction_type FROM fact) GROUP BY role, key) r
-LEFT JOIN (SELECT 'sender' AS role, account_id AS key FROM dim_account
-           UNION ALL SELECT 'receiver', account_id FROM dim_account
-           UNION ALL SELECT 'time', CAST(time_key AS VARCHAR) FROM dim_time
-           UNION ALL SELECT 'type', transaction_type FROM dim_type) d
-  ON r.role = d.role AND r.key = d.key
-GROUP BY r.role""",
-        FACT_CTE,
-        DIM_TIME_CTE,
-        DIM_TYPE_CTE,
-        DIM_ACCOUNT_CTE,
-    ),
-)
-def q_orphan_keys(spark, sf_dir):
-    # Fact and three dimensions all derive from silver: materialise it once.
-    s = silver_table(spark, sf_dir)
-    return star.integrity_report(
-        star.fact_transactions(s, SPEC), star.dim_account(s), star.dim_time(s, SPEC), star.dim_transaction_type(s)
-    )
-
-
-# --- marts -----------------------------------------------------------------
-
-ACCOUNT_TOTALS_CTE = """
-account_totals AS (
-  SELECT name_orig, CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS total_out,
-    COUNT(*) AS n_transactions, CAST(SUM(is_fraud) AS BIGINT) AS n_fraud
-  FROM silver GROUP BY name_orig)"""
-
-TOP_ACCOUNTS_CTE = """
-top_accounts AS (SELECT * FROM account_totals ORDER BY total_out DESC, name_orig LIMIT 1000)"""
-
-BAND_SQL = """CASE WHEN amount < 1000 THEN '0-1K' WHEN amount < 10000 THEN '1K-10K'
-  WHEN amount < 100000 THEN '10K-100K' WHEN amount < 1000000 THEN '100K-1M' WHEN amount >= 1000000 THEN '1M+' END"""
-
-BY_BAND_CTE = f"""
-by_band AS (
-  SELECT {BAND_SQL} AS amount_band, COUNT(*) AS n_transactions, CAST(SUM(is_fraud) AS BIGINT) AS n_fraud
-  FROM silver GROUP BY 1)"""
-
-BY_TYPE_HOUR_CTE = """
-by_type_hour AS (
-  SELECT transaction_type, step % 24 AS hour_of_day, COUNT(*) AS n_transactions,
-    CAST(SUM(is_fraud) AS BIGINT) AS n_fraud
-  FROM silver GROUP BY 1, 2)"""
-
-
-def by_type_hour(spark, sf_dir):
-    return marts.fraud_by_type_hour(silver(spark, sf_dir), SPEC)
-
-
-@query("top_accounts", O.with_silver("SELECT * FROM top_accounts", ACCOUNT_TOTALS_CTE, TOP_ACCOUNTS_CTE))
-def q_top_accounts(spark, sf_dir):
-    return marts.top_accounts(silver(spark, sf_dir), spec=SPEC)
-
-
-@query(
-    "fraud_by_amount_band",
-    O.with_silver(
-        f"SELECT *, {O.ratio('n_fraud', 'n_transactions', 4)} AS fraud_rate FROM by_band", BY_BAND_CTE
-    ),
-)
-def q_fraud_by_amount_band(spark, sf_dir):
-    return marts.fraud_by_amount_band(silver(spark, sf_dir), SPEC)
-
-
-@query(
-    "kpi_summary",
-    O.with_silver(
-        f"""SELECT COUNT(*) AS n_transactions, CAST(SUM(is_fraud) AS BIGINT) AS n_fraud,
-  {O.ratio('SUM(is_fraud)', 'COUNT(*)', 4, 100)} AS fraud_pct,
-  CAST(SUM(balance_inconsistent) AS BIGINT) AS n_balance_inconsistent FROM fact""",
-        FACT_CTE,
-    ),
-)
-def q_kpi_summary(spark, sf_dir):
-    return marts.kpi_summary(fact(spark, sf_dir))
-
-
-@query(
-    "kpi_first",
-    O.with_silver(
-        f"""SELECT COUNT(*) AS n_transactions, CAST(SUM(is_fraud) AS BIGINT) AS n_fraud,
-  {O.ratio('SUM(is_fraud)', 'COUNT(*)', 4, 100)} AS fraud_pct,
-  CAST(SUM(balance_inconsistent) AS BIGINT) AS n_balance_inconsistent FROM fact LIMIT 1""",
-        FACT_CTE,
-    ),
-)
-def q_kpi_first(spark, sf_dir):
-    return marts.first_row(marts.kpi_summary(fact(spark, sf_dir)))
-
-
-@query(
-    "fraud_pct_by_type",
-    O.with_silver(
-        f"""SELECT transaction_type, CAST(SUM(n_transactions) AS BIGINT) AS total, CAST(SUM(n_fraud) AS BIGINT) AS frauds,
-  {O.ratio('SUM(n_fraud)', 'SUM(n_transactions)', 3, 100)} AS fraud_pct
-FROM by_type_hour GROUP BY transaction_type""",
-        BY_TYPE_HOUR_CTE,
-    ),
-)
-def q_fraud_pct_by_type(spark, sf_dir):
-    return marts.fraud_pct_by_type(by_type_hour(spark, sf_dir))
-
-
-@query(
-    "risky_hours",
-    O.with_silver(
-        f"""SELECT hour_of_day, CAST(SUM(n_fraud) AS BIGINT) AS frauds,
-  {O.ratio('SUM(n_fraud)', 'SUM(n_transactions)', 3, 100)} AS fraud_pct
-FROM by_type_hour GROUP BY hour_of_day ORDER BY frauds DESC, hour_of_day LIMIT 10""",
-        BY_TYPE_HOUR_CTE,
-    ),
-)
-def q_risky_hours(spark, sf_dir):
-    return marts.risky_hours(by_type_hour(spark, sf_dir))
-
-
-@query(
-    "band_report",
-    O.with_silver(
-        f"""SELECT amount_band, n_transactions, n_fraud, {O.ratio('n_fraud', 'n_transactions', 2, 100)} AS fraud_pct
-FROM by_band ORDER BY CASE amount_band WHEN '0-1K' THEN 1 WHEN '1K-10K' THEN 2 WHEN '10K-100K' THEN 3
-  WHEN '100K-1M' THEN 4 ELSE 5 END""",
-        BY_BAND_CTE,
-    ),
-)
-def q_band_report(spark, sf_dir):
-    return marts.band_report(marts.fraud_by_amount_band(silver(spark, sf_dir), SPEC), SPEC)
-
-
-@query(
-    "top10_accounts",
-    O.with_silver(
-        """SELECT name_orig, ROUND(total_out, 2) AS total_out, n_transactions, n_fraud
-FROM top_accounts ORDER BY total_out DESC, name_orig LIMIT 10""",
-        ACCOUNT_TOTALS_CTE,
-        TOP_ACCOUNTS_CTE,
-    ),
-)
-def q_top10_accounts(spark, sf_dir):
-    return marts.top_k_accounts(marts.top_accounts(silver(spark, sf_dir), spec=SPEC), 10)
-
-
-@query(
-    "fraud_vs_inconsistency",
-    O.with_silver(
-        """SELECT is_fraud, balance_inconsistent, COUNT(*) AS n FROM fact
-GROUP BY is_fraud, balance_inconsistent ORDER BY is_fraud DESC, balance_inconsistent DESC""",
-        FACT_CTE,
-    ),
-)
-def q_fraud_vs_inconsistency(spark, sf_dir):
-    return marts.fraud_vs_inconsistency(fact(spark, sf_dir))
-
-
-@query(
-    "type_report_ordered",
-    O.with_silver(
-        f"""SELECT transaction_type, CAST(SUM(n_transactions) AS BIGINT) AS n_transactions,
-  CAST(SUM(n_fraud) AS BIGINT) AS n_fraud,
-  {O.ratio('SUM(n_fraud)', 'SUM(n_transactions)', 3, 100)} AS fraud_pct
-FROM by_type_hour GROUP BY transaction_type""",
-        BY_TYPE_HOUR_CTE,
-    ),
-)
-def q_type_report_ordered(spark, sf_dir):
-    return marts.type_report_ordered(by_type_hour(spark, sf_dir), SPEC)
-
-
-@query(
-    "hour_series",
-    O.with_silver(
-        "SELECT hour_of_day, CAST(SUM(n_fraud) AS BIGINT) AS n_fraud FROM by_type_hour GROUP BY hour_of_day ORDER BY hour_of_day",
-        BY_TYPE_HOUR_CTE,
-    ),
-)
-def q_hour_series(spark, sf_dir):
-    return marts.hour_series(by_type_hour(spark, sf_dir))
-
-
-# --- quality gates (as reports) ---------------------------------------------
-
-
-@query(
-    "gate_required_columns",
-    O.with_ledger(
-        " UNION ALL ".join(
-            f"SELECT '{c}' AS column_name, TRUE AS present, CAST(count_if({c} IS NULL) AS BIGINT) AS n_null FROM ledger"
-            for c in SPEC.required_columns
-        )
-    ),
-)
-def q_gate_required_columns(spark, sf_dir):
-    return quality.required_columns_report(read_ledger(spark, sf_dir), SPEC.required_columns)
-
-
-@query(
-    "gate_negative_amounts",
-    O.with_ledger(
-        """SELECT COUNT(*) AS n_rows, CAST(count_if(amount < 0) AS BIGINT) AS n_negative,
-  CAST(count_if(amount IS NULL) AS BIGINT) AS n_null_amount FROM ledger"""
-    ),
-)
-def q_gate_negative_amounts(spark, sf_dir):
-    return quality.amount_report(read_ledger(spark, sf_dir))
-
-
-@query(
-    "gate_domain",
-    O.with_ledger(
-        """SELECT type AS value, COUNT(*) AS n_rows,
-  coalesce(type IN ('CASH_IN','CASH_OUT','TRANSFER','PAYMENT','DEBIT'), FALSE) AS in_domain
-FROM ledger GROUP BY type"""
-    ),
-)
-def q_gate_domain(spark, sf_dir):
-    return quality.domain_report(read_ledger(spark, sf_dir), "type", SPEC.types)
-
-
-@query("gate_nonempty", O.with_silver("SELECT COUNT(*) AS n_rows, COUNT(*) > 0 AS non_empty FROM silver"))
-def q_gate_nonempty(spark, sf_dir):
-    return quality.volume_report(silver(spark, sf_dir))
-
-
-@query(
-    "gate_duplicates",
-    O.with_silver(
-        """SELECT 'bronze' AS layer, CAST(SUM(n) AS BIGINT) AS n_rows, COUNT(*) AS n_keys,
-  CAST(SUM(n) - COUNT(*) AS BIGINT) AS n_duplicates
-FROM (SELECT COUNT(*) AS n FROM ledger GROUP BY step, type, amount, nameOrig, nameDest)
-UNION ALL
-SELECT 'silver', CAST(SUM(n) AS BIGINT), COUNT(*), CAST(SUM(n) - COUNT(*) AS BIGINT)
-FROM (SELECT COUNT(*) AS n FROM silver GROUP BY step, transaction_type, amount, name_orig, name_dest)"""
-    ),
-)
-def q_gate_duplicates(spark, sf_dir):
-    keys = list(SPEC.dedup_keys)
-    bronze = quality.duplicates_report(rename_columns(read_ledger(spark, sf_dir)), keys)
-    clean = quality.duplicates_report(silver(spark, sf_dir), keys)
-    return bronze.select(F.lit("bronze").alias("layer"), "*").unionByName(clean.select(F.lit("silver").alias("layer"), "*"))
-
-
-@query(
-    "gate_inconsistency_rate",
-    O.with_silver(
-        """SELECT transaction_type, COUNT(*) AS n_rows,
-  CAST(coalesce(SUM(balance_inconsistent), 0) AS BIGINT) AS n_inconsistent,
-  CAST(count_if(balance_inconsistent IS NULL) AS BIGINT) AS n_unknown,
-  CAST(coalesce(SUM(balance_inconsistent), 0) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS rate,
-  CASE transaction_type WHEN 'CASH_OUT' THEN CAST(0.93 AS DOUBLE) WHEN 'TRANSFER' THEN CAST(0.97 AS DOUBLE)
-    WHEN 'PAYMENT' THEN CAST(0.62 AS DOUBLE) WHEN 'DEBIT' THEN CAST(0.40 AS DOUBLE) END AS threshold,
-  coalesce(CAST(coalesce(SUM(balance_inconsistent), 0) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) >
-    CASE transaction_type WHEN 'CASH_OUT' THEN CAST(0.93 AS DOUBLE) WHEN 'TRANSFER' THEN CAST(0.97 AS DOUBLE)
-    WHEN 'PAYMENT' THEN CAST(0.62 AS DOUBLE) WHEN 'DEBIT' THEN CAST(0.40 AS DOUBLE) END, FALSE) AS violated
-FROM silver GROUP BY transaction_type"""
-    ),
-)
-def q_gate_inconsistency_rate(spark, sf_dir):
-    return quality.inconsistency_report(silver(spark, sf_dir), SPEC.thresholds)
-
-
-# --- ML: features, split, metrics ------------------------------------------
-
-FEATURES_CTE = """
-features AS (
-  SELECT step, name_orig, name_dest, coalesce(amount, 0.0) AS amount, step % 24 AS hour_of_day,
-    CAST(transaction_type = 'TRANSFER' AS INTEGER) AS is_transfer,
-    coalesce(oldbalance_orig, 0.0) AS oldbalance_orig, coalesce(newbalance_orig, 0.0) AS newbalance_orig,
-    coalesce(oldbalance_dest, 0.0) AS oldbalance_dest, coalesce(newbalance_dest, 0.0) AS newbalance_dest,
-    coalesce(oldbalance_orig, 0.0) - coalesce(amount, 0.0) - coalesce(newbalance_orig, 0.0) AS error_balance_orig,
-    coalesce(oldbalance_dest, 0.0) + coalesce(amount, 0.0) - coalesce(newbalance_dest, 0.0) AS error_balance_dest,
-    balance_inconsistent, is_fraud AS label
-  FROM silver WHERE transaction_type IN ('TRANSFER', 'CASH_OUT'))"""
-
-SPLIT_KEY_SQL = (
-    "concat_ws('|', '42', coalesce(CAST(step AS VARCHAR), '<null>'), coalesce(CAST(is_transfer AS VARCHAR), '<null>'), "
-    "coalesce(CAST(CAST(amount AS DECIMAL(38,6)) AS VARCHAR), '<null>'), coalesce(name_orig, '<null>'), "
-    "coalesce(name_dest, '<null>'))"
-)
-
-SPLIT_CTE = f"""
-hashed AS (SELECT *, {_hash_key_sql(SPLIT_KEY_SQL)} AS h FROM features),
-split AS (
-  SELECT *, row_number() OVER (PARTITION BY label ORDER BY h) <=
-            floor(COUNT(*) OVER (PARTITION BY label) * 0.25 + 0.5) AS is_test
-  FROM hashed)"""
-
-
-def split_key():
-    return [
-        F.col("step").cast("string"),
-        F.col("is_transfer").cast("string"),
-        money_text("amount"),
-        F.col("name_orig"),
-        F.col("name_dest"),
-    ]
-
-
-def features(spark, sf_dir):
-    return feats.build_features(silver(spark, sf_dir), SPEC)
-
-
-def split_features(spark, sf_dir):
-    return stratified_split(
-        features(spark, sf_dir), split_key(), "label", SPEC.test_fraction, SPEC.seed, materialize=True
-    )
-
-
-@query("ml_features", O.with_silver("SELECT * FROM features", FEATURES_CTE))
-def q_ml_features(spark, sf_dir):
-    return features(spark, sf_dir)
-
-
-@query(
-    "stratified_split",
-    O.with_silver(
-        "SELECT step, name_orig, name_dest, amount, is_transfer, label, is_test FROM split",
-        FEATURES_CTE,
-        SPLIT_CTE,
-    ),
-)
-def q_stratified_split(spark, sf_dir):
-    return split_features(spark, sf_dir).select(
-        "step", "name_orig", "name_dest", "amount", "is_transfer", "label", "is_test"
-    )
-
-
-@query(
-    "split_class_rates",
-    O.with_silver(
-        """SELECT CASE WHEN is_test THEN 'test' ELSE 'train' END AS split, COUNT(*) AS n_rows,
-  CAST(SUM(label) AS BIGINT) AS n_fraud, CAST(SUM(label) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS fraud_rate
-FROM split GROUP BY 1""",
-        FEATURES_CTE,
-        SPLIT_CTE,
-    ),
-)
-def q_split_class_rates(spark, sf_dir):
-    s = split_features(spark, sf_dir)
-    return s.groupBy(F.when(F.col("is_test"), "test").otherwise("train").alias("split")).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.sum(F.col("label").cast("long")).alias("n_fraud"),
-        (F.sum(F.col("label").cast("long")).cast("double") / F.count(F.lit(1)).cast("double")).alias("fraud_rate"),
-    )
-
-
-def rule_score():
-    """A fixed, tie-heavy score: amount in 10k steps, +0.5 when the balance
-    flag is set."""
-    return F.floor(F.col("amount") / 10000).cast("double") + F.lit(0.5) * F.coalesce(
-        F.col("balance_inconsistent"), F.lit(0)
-    ).cast("double")
-
-
-RULE_SCORE_SQL = (
-    "CAST(floor(amount / 10000) AS DOUBLE) + 0.5 * CAST(coalesce(balance_inconsistent, 0) AS DOUBLE)"
-)
-
-
-@query(
-    "average_precision",
-    O.with_silver(
-        f"""SELECT CASE WHEN SUM(tp) > 0 THEN
-  CAST(SUM(CAST(tp * (CAST(ctp AS DOUBLE) / CAST(cn AS DOUBLE)) AS DECIMAL(38,9))) AS DOUBLE) / CAST(SUM(tp) AS DOUBLE)
-  END AS average_precision
-FROM (SELECT s, tp, SUM(tp) OVER (ORDER BY s DESC ROWS UNBOUNDED PRECEDING) AS ctp,
-             SUM(n) OVER (ORDER BY s DESC ROWS UNBOUNDED PRECEDING) AS cn
-      FROM (SELECT {RULE_SCORE_SQL} AS s, SUM(label) AS tp, COUNT(*) AS n FROM features GROUP BY 1))""",
-        FEATURES_CTE,
-    ),
-)
-def q_average_precision(spark, sf_dir):
-    return metrics.average_precision(features(spark, sf_dir).withColumn("score", rule_score()), "label", "score")
-
-
-CONFUSION_CTE = """
-cm AS (
-  SELECT CAST(count_if(is_fraud = 0 AND is_flagged_fraud = 0) AS BIGINT) AS tn,
-    CAST(count_if(is_fraud = 0 AND is_flagged_fraud = 1) AS BIGINT) AS fp,
-    CAST(count_if(is_fraud = 1 AND is_flagged_fraud = 0) AS BIGINT) AS fn,
-    CAST(count_if(is_fraud = 1 AND is_flagged_fraud = 1) AS BIGINT) AS tp
-  FROM silver)"""
-
-
-@query(
-    "confusion",
-    O.with_silver(
-        """SELECT 0 AS actual, 0 AS predicted, tn AS n FROM cm UNION ALL SELECT 0, 1, fp FROM cm
-UNION ALL SELECT 1, 0, fn FROM cm UNION ALL SELECT 1, 1, tp FROM cm""",
-        CONFUSION_CTE,
-    ),
-)
-def q_confusion(spark, sf_dir):
-    return metrics.confusion_matrix(silver(spark, sf_dir), "is_fraud", "is_flagged_fraud")
-
-
-def _div(a: str, b: str) -> str:
-    return f"(CASE WHEN ({b}) = 0 THEN 0.0 ELSE CAST({a} AS DOUBLE) / CAST({b} AS DOUBLE) END)"
-
-
-REPORT_CTE = f"""
-pr AS (
-  SELECT tn, fp, fn, tp, tn + fp AS s0, fn + tp AS s1, tn + fp + fn + tp AS total,
-    {_div('tn', 'tn + fn')} AS p0, {_div('tn', 'tn + fp')} AS r0, {_div('2 * tn', '2 * tn + fn + fp')} AS f0,
-    {_div('tp', 'tp + fp')} AS p1, {_div('tp', 'tp + fn')} AS r1, {_div('2 * tp', '2 * tp + fp + fn')} AS f1
-  FROM cm)"""
-
-
-def _wavg(a: str, b: str) -> str:
-    return _div(f"{a} * s0 + {b} * s1", "total")
-
-
-CLASSIFICATION_REPORT_SQL = O.with_silver(
-    f"""SELECT '0' AS class_label, p0 AS precision, r0 AS recall, f0 AS f1_score, s0 AS support FROM pr
-UNION ALL SELECT '1', p1, r1, f1, s1 FROM pr
-UNION ALL SELECT 'accuracy', NULL, NULL, {_div('tn + tp', 'total')}, total FROM pr
-UNION ALL SELECT 'macro avg', (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, total FROM pr
-UNION ALL SELECT 'weighted avg', {_wavg('p0', 'p1')}, {_wavg('r0', 'r1')}, {_wavg('f0', 'f1')}, total FROM pr""",
-    CONFUSION_CTE,
-    REPORT_CTE,
-)
-
-
-@query("classification_report", CLASSIFICATION_REPORT_SQL)
-def q_classification_report(spark, sf_dir):
-    return metrics.classification_report(silver(spark, sf_dir), "is_fraud", "is_flagged_fraud")
-
-
-# --- sources, sinks, serving ------------------------------------------------
-
-RAW_SQL = ", ".join(RAW_COLUMNS)
-RAW_ORACLE = O.with_ledger(f"SELECT {RAW_SQL} FROM ledger")
-
-
-def raw(spark, sf_dir):
-    return read_ledger(spark, sf_dir).select(*RAW_COLUMNS)
-
-
-def _bronze_table(spark, sf_dir) -> str:
-    path = scratch_path(spark, "bronze")
-    sinks.write_table(stamp_lineage(read_ledger(spark, sf_dir), "events.parquet"), path, partition_by=["type"])
-    return path
-
-
-@query("csv_ingest_roundtrip", RAW_ORACLE)
-def q_csv_ingest_roundtrip(spark, sf_dir):
-    csv_dir = scratch_path(spark, "raw-csv")
-    files.write_csv(raw(spark, sf_dir), csv_dir)
-    bronze_dir = scratch_path(spark, "bronze-csv")
-    ingest_bronze(spark, csv_dir, bronze_dir, quarantine=scratch_path(spark, "bronze-quarantine"))
-    return files.read_table(spark, bronze_dir).select(*RAW_COLUMNS)
-
-
-@query(
-    "csv_corrupt_rows",
-    O.with_ledger(
-        """SELECT CAST(count_if(isFlaggedFraud = 0) AS BIGINT) AS n_clean,
-  CAST(count_if(isFlaggedFraud = 1) AS BIGINT) AS n_corrupt,
-  CAST(count_if(isFlaggedFraud = 0) AS BIGINT) AS n_amount_parsed FROM ledger"""
-    ),
-)
-def q_csv_corrupt_rows(spark, sf_dir):
-    """Rows the legacy system flagged are written with an unreadable amount;
-    the reader must keep them aside, not drop or null them silently."""
-    bad_amount = F.when(F.col("isFlaggedFraud") == 1, F.lit("n/a")).otherwise(F.col("amount").cast("string"))
-    csv_dir = scratch_path(spark, "raw-csv-bad")
-    files.write_csv(raw(spark, sf_dir).withColumn("amount", bad_amount), csv_dir)
-    df = files.read_raw_csv(spark, csv_dir)
-    corrupt = F.col(files.CORRUPT_COLUMN).isNotNull()
-    return df.agg(
-        F.count_if(~corrupt).alias("n_clean"),
-        F.count_if(corrupt).alias("n_corrupt"),
-        F.count("amount").alias("n_amount_parsed"),
-    )
-
-
-@query(
-    "parquet_partition_counts",
-    O.with_ledger("SELECT type, COUNT(*) AS n_rows FROM ledger GROUP BY type"),
-)
-def q_parquet_partition_counts(spark, sf_dir):
-    bronze = files.read_table(spark, _bronze_table(spark, sf_dir))
-    return bronze.groupBy("type").agg(F.count(F.lit(1)).alias("n_rows"))
-
-
-@query(
-    "ingest_stamp",
-    O.with_ledger(
-        "SELECT 'events.parquet' AS source_file, COUNT(*) AS n_rows, COUNT(*) AS n_stamped FROM ledger"
-    ),
-)
-def q_ingest_stamp(spark, sf_dir):
-    bronze = files.read_table(spark, _bronze_table(spark, sf_dir))
-    return bronze.groupBy("source_file").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count("ingestion_timestamp").alias("n_stamped")
-    )
-
-
-@query("json_roundtrip", RAW_ORACLE)
-def q_json_roundtrip(spark, sf_dir):
-    return messages.parse_messages(messages.to_messages(raw(spark, sf_dir))).select(*RAW_COLUMNS)
-
-
-@query("kafka_payload", RAW_ORACLE)
-def q_kafka_payload(spark, sf_dir):
-    """Publish through the text sink used in place of a topic; read back."""
-    topic_dir = scratch_path(spark, "topic")
-    messages.publish_messages(messages.to_messages(raw(spark, sf_dir)), topic_dir, fmt="text")
-    return messages.parse_messages(spark.read.text(topic_dir)).select(*RAW_COLUMNS)
-
-
-@query(
-    "bounded_replay",
-    O.with_ledger(f"SELECT {RAW_SQL}, event_id FROM ledger ORDER BY event_id LIMIT 1000"),
-)
-def q_bounded_replay(spark, sf_dir):
-    return files.replay(read_ledger(spark, sf_dir), 1000, ["event_id"])
-
-
-@query(
-    "column_pruned_scan",
-    O.with_silver(
-        "SELECT amount, hour_of_day, is_transfer, oldbalance_orig, newbalance_orig, oldbalance_dest, "
-        "newbalance_dest, error_balance_orig, error_balance_dest, balance_inconsistent, label FROM features",
-        FEATURES_CTE,
-    ),
-)
-def q_column_pruned_scan(spark, sf_dir):
-    path = scratch_path(spark, "features")
-    sinks.write_table(features(spark, sf_dir), path)
-    return files.read_columns(spark, path, [*feats.FEATURE_TABLE_COLUMNS[3:13], "label"])
-
-
-@query("flat_parquet_roundtrip", O.with_silver("SELECT * FROM silver"))
-def q_flat_parquet_roundtrip(spark, sf_dir):
-    path = scratch_path(spark, "silver")
-    s = silver(spark, sf_dir)
-    sinks.write_table(s, path)
-    sinks.write_table(s, path)  # a second overwrite must not add rows
-    return files.read_table(spark, path)
-
-
-GOLD_COUNTS_SQL = O.with_silver(
-    """SELECT 'dim_time' AS table_name, COUNT(*) AS n_rows FROM dim_time
-UNION ALL SELECT 'dim_transaction_type', COUNT(*) FROM dim_type
-UNION ALL SELECT 'dim_account', COUNT(*) FROM dim_account
-UNION ALL SELECT 'fact_transactions', COUNT(*) FROM fact
-UNION ALL SELECT 'agg_fraud_by_type_hour', COUNT(*) FROM by_type_hour
-UNION ALL SELECT 'agg_top_accounts', COUNT(*) FROM top_accounts
-UNION ALL SELECT 'agg_fraud_by_amount_band', COUNT(*) FROM by_band""",
-    FACT_CTE,
-    DIM_TIME_CTE,
-    DIM_TYPE_CTE,
-    DIM_ACCOUNT_CTE,
-    BY_TYPE_HOUR_CTE,
-    ACCOUNT_TOTALS_CTE,
-    TOP_ACCOUNTS_CTE,
-    BY_BAND_CTE,
-)
-
-
-def _counts_frame(spark, counts: dict[str, int]) -> DataFrame:
-    return spark.createDataFrame(list(counts.items()), "table_name string, n_rows bigint")
-
-
-@query("write_counts", GOLD_COUNTS_SQL)
-def q_write_counts(spark, sf_dir):
-    """Rows per gold table, as observed during the writes (no recount)."""
-    return _counts_frame(spark, build_gold(silver_table(spark, sf_dir), scratch_path(spark, "gold"), SPEC))
-
-
-@query(
-    "sql_over_files",
-    O.with_silver(
-        f"""SELECT transaction_type, CAST(SUM(n_transactions) AS BIGINT) AS total, CAST(SUM(n_fraud) AS BIGINT) AS frauds,
-  {O.ratio('SUM(n_fraud)', 'SUM(n_transactions)', 3, 100)} AS fraud_pct
-FROM by_type_hour GROUP BY transaction_type""",
-        BY_TYPE_HOUR_CTE,
-    ),
-)
-def q_sql_over_files(spark, sf_dir):
-    path = scratch_path(spark, "agg_fraud_by_type_hour")
-    sinks.write_table(by_type_hour(spark, sf_dir), path)
-    return files.sql_over_files(
-        spark,
-        """SELECT transaction_type, SUM(n_transactions) AS total, SUM(n_fraud) AS frauds,
-  CAST((SUM(n_fraud) * 200000 + SUM(n_transactions)) div (2 * SUM(n_transactions)) AS DOUBLE)
-    / CAST(1000 AS DOUBLE) AS fraud_pct
-FROM {agg} GROUP BY transaction_type ORDER BY fraud_pct DESC, transaction_type""",
-        agg=path,
-    )
-
-
-SERVED_COUNTS_SQL = O.with_silver(
-    """SELECT 'agg_fraud_by_type_hour' AS table_name, COUNT(*) AS n_rows FROM by_type_hour
-UNION ALL SELECT 'agg_top_accounts', COUNT(*) FROM top_accounts
-UNION ALL SELECT 'agg_fraud_by_amount_band', COUNT(*) FROM by_band
-UNION ALL SELECT 'dim_transaction_type', COUNT(*) FROM dim_type
-UNION ALL SELECT 'kpi_summary', 1""",
-    DIM_TYPE_CTE,
-    BY_TYPE_HOUR_CTE,
-    ACCOUNT_TOTALS_CTE,
-    TOP_ACCOUNTS_CTE,
-    BY_BAND_CTE,
-)
-
-
-def serving_tables(s: DataFrame) -> dict[str, DataFrame]:
-    g = gold_tables(s, SPEC)
-    return {
-        "agg_fraud_by_type_hour": g["agg_fraud_by_type_hour"],
-        "agg_top_accounts": g["agg_top_accounts"],
-        "agg_fraud_by_amount_band": g["agg_fraud_by_amount_band"],
-        "dim_transaction_type": g["dim_transaction_type"],
-        "kpi_summary": marts.kpi_summary(g["fact_transactions"]),
-    }
-
-
-@query("warehouse_roundtrip", SERVED_COUNTS_SQL)
-def q_warehouse_roundtrip(spark, sf_dir):
-    """Publish the served tables twice (replace semantics), read them back."""
-    target = warehouse.DirectoryTarget(scratch_path(spark, "warehouse"))
-    tables = serving_tables(silver_table(spark, sf_dir))
-    warehouse.load_serving(tables, target)
-    warehouse.load_serving(tables, target)
-    counts = {name: warehouse.read_served(spark, name, target).count() for name in tables}
-    return _counts_frame(spark, counts)
-
-
-@query("metrics_json", CLASSIFICATION_REPORT_SQL)
-def q_metrics_json(spark, sf_dir):
-    """Persist the evaluation report as JSON and read it back."""
-    report = metrics.classification_report(silver(spark, sf_dir), "is_fraud", "is_flagged_fraud")
-    path = scratch_path(spark, "metrics")
-    report.coalesce(1).write.mode("overwrite").json(path)
-    return spark.read.schema(report.schema).json(path)
-
-
-MEDALLION_SQL = O.with_silver(
-    """SELECT 'bronze' AS layer, 'transactions' AS table_name, COUNT(*) AS n_rows FROM ledger
-UNION ALL SELECT 'silver', 'transactions', COUNT(*) FROM silver
-UNION ALL SELECT 'gold', 'dim_time', COUNT(*) FROM dim_time
-UNION ALL SELECT 'gold', 'dim_transaction_type', COUNT(*) FROM dim_type
-UNION ALL SELECT 'gold', 'dim_account', COUNT(*) FROM dim_account
-UNION ALL SELECT 'gold', 'fact_transactions', COUNT(*) FROM fact
-UNION ALL SELECT 'gold', 'agg_fraud_by_type_hour', COUNT(*) FROM by_type_hour
-UNION ALL SELECT 'gold', 'agg_top_accounts', COUNT(*) FROM top_accounts
-UNION ALL SELECT 'gold', 'agg_fraud_by_amount_band', COUNT(*) FROM by_band
-UNION ALL SELECT 'gold', 'ml_features', COUNT(*) FROM features""",
-    FACT_CTE,
-    DIM_TIME_CTE,
-    DIM_TYPE_CTE,
-    DIM_ACCOUNT_CTE,
-    BY_TYPE_HOUR_CTE,
-    ACCOUNT_TOTALS_CTE,
-    TOP_ACCOUNTS_CTE,
-    BY_BAND_CTE,
-    FEATURES_CTE,
-)
-
-
-@query("medallion_summary", MEDALLION_SQL)
-def q_medallion_summary(spark, sf_dir):
-    return run_medallion(spark, read_ledger(spark, sf_dir), scratch_path(spark, "medallion"), SPEC, "events.parquet")
-
-
-# --- streaming --------------------------------------------------------------
-
-TOPIC = "ledger-transactions"
-
-
-def _message_files(spark, sf_dir, n_files: int = 4, corrupt_flagged: bool = False) -> str:
-    """Write the ledger as JSON message files (the stand-in for a topic).
-
-    With ``corrupt_flagged`` the messages of rows the legacy system flagged
-    are cut to their first 20 characters (malformed JSON)."""
-    src = raw(spark, sf_dir).repartition(n_files)
-    value = F.to_json(messages.message_struct())
-    if corrupt_flagged:
-        value = F.when(F.col("isFlaggedFraud") == 1, F.substring(value, 1, 20)).otherwise(value)
-    path = scratch_path(spark, "messages")
-    src.select(value.alias("value")).write.mode("overwrite").text(path)
-    return path
-
-
-def _land(spark, src_dir, out, ckpt, quarantine=None):
-    return land.land_stream(
-        land.file_source(spark, src_dir, files_per_batch=1), out, ckpt, f"kafka:{TOPIC}", quarantine_path=quarantine
-    )
-
-
-@query("stream_land", RAW_ORACLE)
-def q_stream_land(spark, sf_dir):
-    src = _message_files(spark, sf_dir)
-    out = scratch_path(spark, "landing")
-    _land(spark, src, out, scratch_path(spark, "ckpt"))
-    return files.read_table(spark, out).select(*RAW_COLUMNS)
-
-
-@query(
-    "stream_rerun_adds_nothing",
-    O.with_ledger(
-        """SELECT 1 AS run, COUNT(*) AS n_landed, COUNT(*) AS n_in_sink FROM ledger
-UNION ALL SELECT 2, 0, COUNT(*) FROM ledger"""
-    ),
-)
-def q_stream_rerun_adds_nothing(spark, sf_dir):
-    src = _message_files(spark, sf_dir)
-    out, ckpt = scratch_path(spark, "landing"), scratch_path(spark, "ckpt")
-    rows = []
-    for run in (1, 2):
-        r = _land(spark, src, out, ckpt)
-        rows.append((run, r.landed, files.read_table(spark, out).count()))
-    return spark.createDataFrame(rows, "run int, n_landed bigint, n_in_sink bigint")
-
-
-@query(
-    "stream_quarantine",
-    O.with_ledger(
-        """SELECT CAST(count_if(isFlaggedFraud = 0) AS BIGINT) AS n_landed,
-  CAST(count_if(isFlaggedFraud = 1) AS BIGINT) AS n_quarantined FROM ledger"""
-    ),
-)
-def q_stream_quarantine(spark, sf_dir):
-    """Messages of flagged rows arrive truncated (malformed JSON); they must
-    land in quarantine while the rest of the stream lands normally."""
-    src = _message_files(spark, sf_dir, corrupt_flagged=True)
-    out, bad = scratch_path(spark, "landing"), scratch_path(spark, "quarantine")
-    _land(spark, src, out, scratch_path(spark, "ckpt"), quarantine=bad)
-    n_landed = files.read_table(spark, out).count()
-    n_bad = files.read_table(spark, bad).count()
-    return spark.createDataFrame([(n_landed, n_bad)], "n_landed bigint, n_quarantined bigint")
-
-
-@query(
-    "stream_batch_union",
-    O.with_ledger(
-        """SELECT 'batch' AS origin, type, COUNT(*) AS n_rows FROM ledger GROUP BY type
-UNION ALL SELECT 'stream', type, COUNT(*) FROM ledger GROUP BY type"""
-    ),
-)
-def q_stream_batch_union(spark, sf_dir):
-    """Batch bronze and the streamed landing zone share one schema, so one
-    ``unionByName`` reads both origins."""
-    batch = files.read_table(spark, _bronze_table(spark, sf_dir))
-    out = scratch_path(spark, "landing")
-    _land(spark, _message_files(spark, sf_dir), out, scratch_path(spark, "ckpt"))
-    stream = files.read_table(spark, out)
-    cols = [*RAW_COLUMNS, "ingestion_timestamp", "source_file"]
-    both = batch.select(*cols, F.lit("batch").alias("origin")).unionByName(
-        stream.select(*cols, F.lit("stream").alias("origin"))
-    )
-    return both.groupBy("origin", "type").agg(F.count(F.lit(1)).alias("n_rows"))
-
-
-# --- ML models ----------------------------------------------------------------
-
-FEATURE_LIST = list(models.FEATURE_COLUMNS)
-
-
-def _z_stats_sql() -> str:
-    parts = []
-    for f in FEATURE_LIST:
-        col = f"CAST(coalesce({f}, 0) AS DOUBLE)"
-        parts.append(
-            f"""SELECT '{f}' AS feature, ROUND(AVG(z), 6) + 0.0 AS mean, ROUND(stddev_samp(z), 6) + 0.0 AS std
-FROM (SELECT CASE WHEN sd = 0 THEN 0.0 ELSE ({col} - m) / sd END AS z
-      FROM train, (SELECT AVG({col}) AS m, stddev_samp({col}) AS sd FROM train))"""
-        )
-    return " UNION ALL ".join(parts)
-
-
-@query(
-    "scaled_stats",
-    O.with_silver(
-        _z_stats_sql(),
-        FEATURES_CTE,
-        SPLIT_CTE,
-        "\ntrain AS (SELECT * FROM split WHERE NOT is_test)",
-    ),
-)
-def q_scaled_stats(spark, sf_dir):
-    """Mean and std of each standardised feature on the training rows: the
-    scaler is fitted on train only, so these are 0 and 1."""
-    train_rows = models.fill_features(split_features(spark, sf_dir).filter(~F.col("is_test")))
-    z = models.scaled_columns(models.fit_scaler(train_rows), train_rows)
-    stats = z.agg(*[x for f in FEATURE_LIST for x in (F.avg(f).alias(f"m_{f}"), F.stddev_samp(f).alias(f"s_{f}"))])
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(f).alias("feature"),
-                (F.round(F.col(f"m_{f}"), 6) + F.lit(0.0)).alias("mean"),
-                (F.round(F.col(f"s_{f}"), 6) + F.lit(0.0)).alias("std"),
-            )
-            for f in FEATURE_LIST
-        ]
-    )
-    return stats.select(F.explode(rows).alias("r")).select("r.*")
-
-
-def trained(spark, sf_dir):
-    return training.train(features(spark, sf_dir), SPEC)
-
-
-@query("lr_scores")
-def q_lr_scores(spark, sf_dir):
-    return training.logistic_scores(trained(spark, sf_dir))
-
-
-@query("iforest_scores")
-def q_iforest_scores(spark, sf_dir):
-    return training.forest_scores(trained(spark, sf_dir))
-
-
-@query("model_evaluation")
-def q_model_evaluation(spark, sf_dir):
-    return training.train_and_evaluate(spark, features(spark, sf_dir), SPEC)
-
-
-@query("model_roundtrip")
-def q_model_roundtrip(spark, sf_dir):
-    """Persist both fitted models, load them back, score the test rows."""
-    t = trained(spark, sf_dir)
-    lr_path, forest_path = scratch_path(spark, "model-lr"), scratch_path(spark, "model-forest")
-    models.save_model(t.logistic, lr_path)
-    iforest.save_forest(spark, t.forest, forest_path)
-    test = training.test_rows(t)
-    lr = models.score_logistic(models.load_model(lr_path), test).select(*training.SCORED_COLUMNS)
-    forest = iforest.score_isolation_forest(test, iforest.load_forest(spark, forest_path))
-    forest = forest.withColumn("prediction", (F.col("score") > F.lit(t.forest_cut)).cast("int"))
-    return lr.withColumn("model", F.lit("logistic_regression")).unionByName(
-        forest.select(*training.SCORED_COLUMNS).withColumn("model", F.lit("isolation_forest"))
-    )
-
-
-@query(
-    "stream_bounded_landing",
-    O.with_ledger(f"SELECT {RAW_SQL} FROM ledger ORDER BY event_id LIMIT 1000"),
-)
-def q_stream_bounded_landing(spark, sf_dir):
-    """Stop after 1000 messages: the first 1000 by offset are landed."""
-    msgs = messages.to_messages(read_ledger(spark, sf_dir), key="event_id").withColumn(
-        "offset", F.col("key").cast("long")
-    )
-    out = scratch_path(spark, "landing")
-    land.land_bounded(msgs, out, f"kafka:{TOPIC}", max_rows=1000, order_by=("offset",))
-    return files.read_table(spark, out).select(*RAW_COLUMNS)
+__all__ = ["ORACLES", "QUERIES", "SPEC", "features", "rule_score", "silver", "split_features"]
