@@ -1,0 +1 @@
+"""Column expressions and plan helpers (built-in Spark expressions only)."""

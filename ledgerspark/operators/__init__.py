@@ -1,0 +1 @@
+"""DataFrame -> DataFrame operators: cleaning, star schema, marts, gates, ML, metrics."""

@@ -1,0 +1 @@
+"""Composed jobs: the batch chain, training, and the registered queries."""

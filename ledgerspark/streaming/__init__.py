@@ -1,0 +1 @@
+"""Structured Streaming ingestion: messages, landing zone, quarantine."""
