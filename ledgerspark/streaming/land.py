@@ -48,6 +48,12 @@ def file_source(spark: SparkSession, path: str, files_per_batch: int = 1) -> Dat
     return spark.readStream.format("text").option("maxFilesPerTrigger", str(files_per_batch)).load(path)
 
 
+def default_quarantine(out_path: str) -> str:
+    """Where undecodable messages go when no quarantine is named: a sibling
+    of the landing zone (they are never dropped)."""
+    return out_path.rstrip("/") + "__quarantine"
+
+
 def _rejected(parsed: DataFrame, lineage: str) -> DataFrame:
     """Quarantine rows: the message text, why, and the lineage stamp (the
     same shape as the batch ingest quarantine)."""
@@ -106,12 +112,14 @@ def land_stream(
 ) -> LandingRun:
     """Run the landing job.
 
-    ``available_now`` drains what is there and stops (bounded run);
+    Undecodable messages go to ``quarantine_path`` (default: a sibling of
+    the landing zone).  ``available_now`` drains what is there and stops;
     otherwise ``processing_time`` sets a periodic trigger and the call
     returns after ``timeout_s`` seconds, or once no micro-batch has brought
     input for ``idle_timeout_s`` seconds (the stream keeps its checkpoint,
     so the next start resumes where this one stopped).
     """
+    quarantine_path = quarantine_path or default_quarantine(out_path)
     parsed = parse_messages(source)
     ok = valid_messages(parsed)
     good = stamp_lineage(parsed.filter(ok).select(*RAW_COLUMNS), lineage).observe(
@@ -128,19 +136,16 @@ def land_stream(
         .start(out_path)
     )
     queries.append(("landed", landing))
-    if quarantine_path:
-        bad = (
-            _rejected(parsed.filter(~ok), lineage)
-            .observe("quarantined", F.count(F.lit(1)).alias("rows"))
-        )
-        q = (
-            bad.writeStream.format("parquet")
-            .outputMode("append")
-            .option("checkpointLocation", f"{checkpoint}/quarantine")
-            .trigger(**trigger)
-            .start(quarantine_path)
-        )
-        queries.append(("quarantined", q))
+    # Undecodable messages are always kept, in their own file sink.
+    bad = _rejected(parsed.filter(~ok), lineage).observe("quarantined", F.count(F.lit(1)).alias("rows"))
+    quarantine = (
+        bad.writeStream.format("parquet")
+        .outputMode("append")
+        .option("checkpointLocation", f"{checkpoint}/quarantine")
+        .trigger(**trigger)
+        .start(quarantine_path)
+    )
+    queries.append(("quarantined", quarantine))
     if available_now:
         for _, q in queries:
             q.awaitTermination()
@@ -175,19 +180,14 @@ def land_bounded(
     zone and quarantine as :func:`land_stream`."""
     from ..sources.sinks import write_table
 
+    quarantine_path = quarantine_path or default_quarantine(out_path)
     picked = messages.orderBy(*order_by).limit(max_rows) if max_rows and max_rows > 0 else messages
     parsed = parse_messages(picked)
     ok = valid_messages(parsed)
     landed = write_table(
         stamp_lineage(parsed.filter(ok).select(*RAW_COLUMNS), lineage), out_path, partition_by=[partition_by], mode="append"
     )
-    bad = 0
-    if quarantine_path:
-        bad = write_table(
-            _rejected(parsed.filter(~ok), lineage),
-            quarantine_path,
-            mode="append",
-        )
+    bad = write_table(_rejected(parsed.filter(~ok), lineage), quarantine_path, mode="append")
     return LandingRun(landed=landed, quarantined=bad, batches=1)
 
 
