@@ -103,13 +103,15 @@ def star_lookup(
     account id, so they are computed in place: joining a multi-billion
     row fact twice to the account dimension would shuffle the fact twice
     for a value the hash already gives.  Presence of every account in the
-    dimension is what :func:`orphan_keys` checks.
+    dimension is what :func:`orphan_keys` checks.  The joins are left
+    joins: a fact row whose key is missing keeps a null dimension key
+    instead of disappearing.
     """
     t = sized_broadcast(time_dim.select("time_key", "day", "hour_of_day"), max_dim_rows)
     k = sized_broadcast(type_dim.select("transaction_type", "type_key"), max_dim_rows)
     return (
-        fact.join(t, "time_key", "inner")
-        .join(k, "transaction_type", "inner")
+        fact.join(t, "time_key", "left")
+        .join(k, "transaction_type", "left")
         .select(
             "transaction_key",
             "time_key",

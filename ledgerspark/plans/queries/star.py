@@ -35,7 +35,8 @@ def q_fact_transactions(spark, sf_dir):
         f"""SELECT f.transaction_key, f.time_key, t.day, t.hour_of_day, k.type_key,
   {hash_key_sql("coalesce(f.name_orig, '<null>')")} AS orig_account_key,
   {hash_key_sql("coalesce(f.name_dest, '<null>')")} AS dest_account_key, f.amount, f.is_fraud
-FROM fact f JOIN dim_time t ON f.time_key = t.time_key JOIN dim_type k ON f.transaction_type = k.transaction_type""",
+FROM fact f LEFT JOIN dim_time t ON f.time_key = t.time_key
+LEFT JOIN dim_type k ON f.transaction_type = k.transaction_type""",
         FACT_CTE,
         DIM_TIME_CTE,
         DIM_TYPE_CTE,

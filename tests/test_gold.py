@@ -154,3 +154,11 @@ def test_feature_type_filter_reaches_the_silver_scan(spark, make_silver, tmp_dir
         "PushedFilters:" in plan and "In(transaction_type" in plan
     )
     assert feats.count() == 1
+
+
+def test_star_lookup_keeps_fact_rows_with_missing_keys(spark, make_silver):
+    silver = make_silver([dict(step=1, name_orig="C1"), dict(step=2, name_orig="C2")])
+    time_dim = star.dim_time(silver).filter(F.col("step") == 1)
+    out = star.star_lookup(star.fact_transactions(silver), time_dim, star.dim_transaction_type(silver))
+    got = sorted((r.time_key, r.day) for r in out.collect())
+    assert got == [(1, 1), (2, None)]
