@@ -18,16 +18,42 @@ from pyspark.sql import SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
-def get_spark(app_name: str = "ledgerspark", master: str | None = None) -> SparkSession:
+# Target bytes per shuffle partition after AQE coalescing.
+SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def scale_conf(shuffle_bytes: int, partition_bytes: int = SHUFFLE_PARTITION_BYTES) -> dict[str, str]:
+    """Shuffle settings for an expected shuffle volume.
+
+    AQE merges small shuffle partitions but never splits a large one
+    (except skewed join sides), so the *initial* partition count must be
+    big enough for the largest shuffle: ``shuffle_bytes / partition_bytes``
+    (at least 200).  AQE then coalesces every smaller shuffle down to
+    ``partition_bytes`` per task, so one setting serves all stages.
+    """
+    n = max(200, -(-int(shuffle_bytes) // int(partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(partition_bytes // 8),
+    }
+
+
+def get_spark(
+    app_name: str = "ledgerspark", master: str | None = None, shuffle_bytes: int | None = None
+) -> SparkSession:
     """A session tuned for the ledger jobs.
 
     Shuffle width is left to AQE: it coalesces small shuffles and splits
-    skewed join partitions at run time, so no fixed partition count is
-    baked in for a cluster run.
+    skewed join partitions at run time.  ``shuffle_bytes`` (the expected
+    size of the largest shuffle, e.g. the deduplicated ledger) sizes the
+    initial partition count so that no reduce task starts oversized.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    for key, value in (scale_conf(shuffle_bytes) if shuffle_bytes else {}).items():
+        builder = builder.config(key, value)
     spark = (
         builder.config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -102,4 +128,4 @@ def is_local_fs(path: str) -> bool:
     return "://" not in path or path.startswith("file:")
 
 
-__all__ = ["get_spark", "checkpoint_root", "scratch_path", "ship_package", "local_path", "is_local_fs"]
+__all__ = ["get_spark", "scale_conf", "checkpoint_root", "scratch_path", "ship_package", "local_path", "is_local_fs"]

@@ -114,3 +114,12 @@ def test_medallion_from_csv_path(spark):
     got = {(r.layer, r.table_name): r.n_rows for r in run_medallion(spark, path, root).collect()}
     assert got[("bronze", "transactions")] == 1 and got[("silver", "transactions")] == 1
     assert files.read_table(spark, f"{root}/quarantine").count() == 1
+
+
+def test_scale_conf_sizes_initial_shuffle_width():
+    from ledgerspark.session import scale_conf
+
+    assert scale_conf(10 * 1024**2)["spark.sql.shuffle.partitions"] == "200"
+    big = scale_conf(100 * 1024**4)  # 100 TiB
+    assert big["spark.sql.shuffle.partitions"] == str(100 * 1024**4 // (128 * 1024**2))
+    assert big["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == str(128 * 1024**2)
