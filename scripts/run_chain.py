@@ -40,9 +40,11 @@ def main() -> int:
     ap.add_argument("--serve", help="Parquet-folder warehouse to publish the served tables to")
     ap.add_argument("--train", action="store_true", help="fit and evaluate the fraud models")
     ap.add_argument("--master", help="Spark master, e.g. local[8] (default: from spark-submit)")
+    ap.add_argument("--shuffle-gb", type=float, help="expected size of the largest shuffle, sizes shuffle width")
     args = ap.parse_args()
 
-    spark = get_spark("ledgerspark-chain", master=args.master)
+    shuffle_bytes = int(args.shuffle_gb * 1024**3) if args.shuffle_gb else None
+    spark = get_spark("ledgerspark-chain", master=args.master, shuffle_bytes=shuffle_bytes)
     spark.sparkContext.setLogLevel("WARN")
     out = args.out.rstrip("/")
     try:
