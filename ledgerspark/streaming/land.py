@@ -1,11 +1,11 @@
 """Landing a transaction stream into an append-only Parquet zone.
 
 ``readStream`` (Kafka, or text files in tests) -> ``from_json`` with the
-raw schema -> lineage stamp -> ``writeStream`` Parquet partitioned by
-type.  Rows whose required fields did not decode go to a quarantine sink
-instead of stopping the job.  Both sinks are file sinks with their own
-checkpoint, so a restart (or a re-run over the same input) never lands a
-row twice.
+raw schema -> lineage stamp -> Parquet partitioned by type.  Rows whose
+required fields did not decode go to a quarantine instead of stopping the
+job.  Each micro-batch is written idempotently to its own batch folder
+and the stream checkpoint records finished batches, so a restart (or a
+re-run over the same input) never lands a row twice.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,15 +73,6 @@ class LandingRun:
     batches: int
 
 
-def _rows(query, name: str) -> int:
-    total = 0
-    for p in query.recentProgress:
-        m = (p.observedMetrics or {}).get(name)
-        if m is not None:
-            total += int(m["rows"])
-    return total
-
-
 def _await_idle(query, idle_s: float, timeout_s: float | None, poll_s: float = 0.5) -> None:
     """Block until ``query`` has seen no input for ``idle_s`` seconds (or
     ``timeout_s`` elapsed, or it terminated)."""
@@ -112,56 +104,57 @@ def land_stream(
 ) -> LandingRun:
     """Run the landing job.
 
-    Undecodable messages go to ``quarantine_path`` (default: a sibling of
-    the landing zone).  ``available_now`` drains what is there and stops;
-    otherwise ``processing_time`` sets a periodic trigger and the call
-    returns after ``timeout_s`` seconds, or once no micro-batch has brought
-    input for ``idle_timeout_s`` seconds (the stream keeps its checkpoint,
-    so the next start resumes where this one stopped).
+    One streaming query reads the source once.  Each micro-batch is parsed
+    once (persisted for its two writes; its size is capped by the source's
+    per-batch limit), then valid rows go to ``out_path/batch_id=N/`` (by
+    ``partition_by``) and undecodable messages to
+    ``quarantine_path/batch_id=N/`` (default: a sibling of the landing
+    zone).  Both writes overwrite their batch folder, so a batch replayed
+    after a failure replaces its own output: exactly-once, with the
+    checkpoint recording which batches are done.
+
+    ``available_now`` drains what is there and stops; otherwise
+    ``processing_time`` sets a periodic trigger and the call returns after
+    ``timeout_s`` seconds, or once no micro-batch has brought input for
+    ``idle_timeout_s`` seconds (the next start resumes from the checkpoint).
     """
-    quarantine_path = quarantine_path or default_quarantine(out_path)
-    parsed = parse_messages(source)
-    ok = valid_messages(parsed)
-    good = stamp_lineage(parsed.filter(ok).select(*RAW_COLUMNS), lineage).observe(
-        "landed", F.count(F.lit(1)).alias("rows")
-    )
+    from ..sources.sinks import write_table
+
+    quarantine_path = (quarantine_path or default_quarantine(out_path)).rstrip("/")
+    out_path = out_path.rstrip("/")
+    totals = {"landed": 0, "quarantined": 0, "batches": 0}
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        parsed = parse_messages(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            ok = valid_messages(parsed)
+            counts = parsed.agg(F.count_if(ok).alias("good"), F.count_if(~ok).alias("bad")).first()
+            if counts.good:
+                good = stamp_lineage(parsed.filter(ok).select(*RAW_COLUMNS), lineage)
+                totals["landed"] += write_table(good, f"{out_path}/batch_id={batch_id}", partition_by=[partition_by])
+            if counts.bad:
+                bad = _rejected(parsed.filter(~ok), lineage)
+                totals["quarantined"] += write_table(bad, f"{quarantine_path}/batch_id={batch_id}")
+            totals["batches"] += 1
+        finally:
+            parsed.unpersist()
+
     trigger = {"availableNow": True} if available_now else {"processingTime": processing_time or "10 seconds"}
-    queries = []
-    landing = (
-        good.writeStream.format("parquet")
-        .partitionBy(partition_by)
-        .outputMode("append")
+    query = (
+        source.writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", f"{checkpoint}/landing")
         .trigger(**trigger)
-        .start(out_path)
-    )
-    queries.append(("landed", landing))
-    # Undecodable messages are always kept, in their own file sink.
-    bad = _rejected(parsed.filter(~ok), lineage).observe("quarantined", F.count(F.lit(1)).alias("rows"))
-    quarantine = (
-        bad.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", f"{checkpoint}/quarantine")
-        .trigger(**trigger)
-        .start(quarantine_path)
+        .start()
     )
-    queries.append(("quarantined", quarantine))
     if available_now:
-        for _, q in queries:
-            q.awaitTermination()
+        query.awaitTermination()
     else:
         if idle_timeout_s:
-            _await_idle(landing, idle_timeout_s, timeout_s)
+            _await_idle(query, idle_timeout_s, timeout_s)
         else:
-            landing.awaitTermination(timeout_s)
-        for _, q in queries:
-            q.stop()
-    counts = {name: _rows(q, name) for name, q in queries}
-    return LandingRun(
-        landed=counts.get("landed", 0),
-        quarantined=counts.get("quarantined", 0),
-        batches=len(landing.recentProgress),
-    )
+            query.awaitTermination(timeout_s)
+        query.stop()
+    return LandingRun(landed=totals["landed"], quarantined=totals["quarantined"], batches=totals["batches"])
 
 
 def land_bounded(
@@ -176,18 +169,19 @@ def land_bounded(
     """Bounded landing from a batch read of the source (for Kafka, a batch
     read between ``startingOffsets`` and ``endingOffsets``): the first
     ``max_rows`` messages in ``order_by`` order (e.g. partition, offset),
-    or all of them when ``max_rows`` is 0.  Appends to the same landing
-    zone and quarantine as :func:`land_stream`."""
+    or all of them when ``max_rows`` is 0.  Lands in the same layout as
+    :func:`land_stream`, under a batch folder named by the run's start
+    time in milliseconds."""
     from ..sources.sinks import write_table
 
-    quarantine_path = quarantine_path or default_quarantine(out_path)
+    quarantine_path = (quarantine_path or default_quarantine(out_path)).rstrip("/")
+    batch = f"batch_id={int(time.time() * 1000)}"
     picked = messages.orderBy(*order_by).limit(max_rows) if max_rows and max_rows > 0 else messages
     parsed = parse_messages(picked)
     ok = valid_messages(parsed)
-    landed = write_table(
-        stamp_lineage(parsed.filter(ok).select(*RAW_COLUMNS), lineage), out_path, partition_by=[partition_by], mode="append"
-    )
-    bad = write_table(_rejected(parsed.filter(~ok), lineage), quarantine_path, mode="append")
+    good = stamp_lineage(parsed.filter(ok).select(*RAW_COLUMNS), lineage)
+    landed = write_table(good, f"{out_path.rstrip('/')}/{batch}", partition_by=[partition_by])
+    bad = write_table(_rejected(parsed.filter(~ok), lineage), f"{quarantine_path}/{batch}")
     return LandingRun(landed=landed, quarantined=bad, batches=1)
 
 

@@ -45,14 +45,17 @@ def test_partitioned_landing(spark):
     src = _files(spark, [[_msg(type="CASH_OUT", amount=10.0), _msg(type="TRANSFER", amount=30.0)]])
     r, out = _run(spark, src)
     assert r.landed == 2
-    dirs = sorted(d for d in os.listdir(local_path(out)) if d.startswith("type="))
+    batches = [b for b in os.listdir(local_path(out)) if b.startswith("batch_id=")]
+    assert len(batches) == 1
+    batch_dir = os.path.join(local_path(out), batches[0])
+    dirs = sorted(d for d in os.listdir(batch_dir) if d.startswith("type="))
     assert dirs == ["type=CASH_OUT", "type=TRANSFER"]
     rows = read_table(spark, out).collect()
     assert {x.source_file for x in rows} == {"kafka:payments"}
     assert all(x.ingestion_timestamp is not None for x in rows)
     # the partition value lives in the path, not in the data files
-    part = [f for f in os.listdir(os.path.join(local_path(out), "type=CASH_OUT")) if f.endswith(".parquet")][0]
-    raw = spark.read.parquet(os.path.join(local_path(out), "type=CASH_OUT", part))
+    part = [f for f in os.listdir(os.path.join(batch_dir, "type=CASH_OUT")) if f.endswith(".parquet")][0]
+    raw = spark.read.parquet(os.path.join(batch_dir, "type=CASH_OUT", part))
     assert "type" not in raw.columns
 
 
@@ -60,7 +63,7 @@ def test_empty_input_writes_nothing(spark):
     src = _files(spark, [])
     r, out = _run(spark, src)
     assert r.landed == 0
-    assert not os.path.exists(local_path(out)) or not [d for d in os.listdir(local_path(out)) if d.startswith("type=")]
+    assert not os.path.exists(local_path(out)) or not os.listdir(local_path(out))
 
 
 def test_same_row_in_two_batches_is_kept_twice(spark):
