@@ -80,8 +80,9 @@ def _await_idle(query, idle_s: float, timeout_s: float | None, poll_s: float = 0
     last_batch = None
     while query.isActive:
         now = time.monotonic()
-        if query.status["isTriggerActive"]:
-            last_input = now  # a batch is running: not idle
+        status = query.status
+        if status["isTriggerActive"] and status["isDataAvailable"]:
+            last_input = now  # a batch with data is running: not idle
         p = query.lastProgress
         if p is not None and p["batchId"] != last_batch:
             last_batch = p["batchId"]
