@@ -12,7 +12,8 @@ from ...sources.ledger import read_ledger
 from ...spec import RAW_COLUMNS
 from ...streaming import messages
 from .. import oracle as O
-from ..medallion import build_gold, ingest_bronze, run_medallion
+from .. import analytics
+from ..medallion import build_gold, gold_tables, ingest_bronze, run_medallion
 from ..oracle import (
     ACCOUNT_TOTALS_CTE,
     BY_BAND_CTE,
@@ -37,7 +38,8 @@ from .inputs import (
     silver,
     silver_table,
 )
-from .registry import SPEC, query
+from . import marts as _marts  # noqa: F401  (registers the reports first)
+from .registry import ORACLES, SPEC, query
 
 
 GOLD_COUNTS_SQL = O.with_silver(
@@ -210,16 +212,28 @@ FROM by_type_hour GROUP BY transaction_type""",
     ),
 )
 def q_sql_over_files(spark, sf_dir):
-    path = scratch_path(spark, "agg_fraud_by_type_hour")
-    sinks.write_table(by_type_hour(spark, sf_dir), path)
-    return files.sql_over_files(
-        spark,
-        """SELECT transaction_type, SUM(n_transactions) AS total, SUM(n_fraud) AS frauds,
-  CAST((SUM(n_fraud) * 200000 + SUM(n_transactions)) div (2 * SUM(n_transactions)) AS DOUBLE)
-    / CAST(1000 AS DOUBLE) AS fraud_pct
-FROM {agg} GROUP BY transaction_type ORDER BY fraud_pct DESC, transaction_type""",
-        agg=path,
-    )
+    return _sql_report(spark, sf_dir, "fraud_pct_by_type")
+
+
+def _sql_report(spark, sf_dir, name):
+    """Write the one gold table a report reads, then run its SQL on the file."""
+    table, _ = analytics.REPORTS[name]
+    root = scratch_path(spark, "gold")
+    sinks.write_table(gold_tables(silver(spark, sf_dir), SPEC)[table], f"{root}/{table}")
+    return analytics.report(spark, root, name)
+
+
+def _register_sql_report(name):
+    # Same result as the DataFrame report of the same name, so same oracle.
+    @query(f"sql_{name}", ORACLES[name])
+    def run(spark, sf_dir):
+        return _sql_report(spark, sf_dir, name)
+
+    return run
+
+
+for _name in ("risky_hours", "band_report", "top10_accounts", "fraud_vs_inconsistency"):
+    _register_sql_report(_name)
 
 
 @query("warehouse_roundtrip", SERVED_COUNTS_SQL)
