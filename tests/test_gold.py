@@ -162,3 +162,22 @@ def test_star_lookup_keeps_fact_rows_with_missing_keys(spark, make_silver):
     out = star.star_lookup(star.fact_transactions(silver), time_dim, star.dim_transaction_type(silver))
     got = sorted((r.time_key, r.day) for r in out.collect())
     assert got == [(1, 1), (2, None)]
+
+
+def test_rates_equal_reference_style_rounding(spark):
+    """The exact half-up rates equal round(avg(flag), 4) / ROUND(sum*100.0/count, 4)
+    as Spark computes them, on the whole test ledger."""
+    from ledgerspark.functions.columns import hour_of_day
+    from ledgerspark.plans.catalog import SPEC, silver
+
+    s = silver(spark, "/root/testdata/sf0.01")
+    ours = marts.fraud_by_type_hour(s, SPEC)
+    ref = s.groupBy("transaction_type", hour_of_day("step").alias("hour_of_day")).agg(
+        F.round(F.avg("is_fraud"), 4).alias("ref_rate")
+    )
+    joined = ours.join(ref, ["transaction_type", "hour_of_day"])
+    assert joined.count() == 120
+    assert joined.filter(F.col("fraud_rate") != F.col("ref_rate")).count() == 0
+    kpi = marts.kpi_summary(s).first().fraud_pct
+    ref_pct = s.agg(F.round(F.sum("is_fraud") * 100.0 / F.count(F.lit(1)), 4).alias("p")).first().p
+    assert kpi == float(ref_pct)
