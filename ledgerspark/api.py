@@ -57,9 +57,7 @@ def train_and_evaluate(
     ``out_root/models`` and the tidy metrics to ``out_root/metrics`` (JSON).
     Returns the metrics."""
     t = training.train(files.read_table(spark, features_path), spec)
-    report = training.evaluate(training.logistic_scores(t), "logistic_regression").unionByName(
-        training.evaluate(training.forest_scores(t), "isolation_forest")
-    )
+    report = training.evaluation(t)
     out_root = out_root.rstrip("/")
     training.save_models(t, f"{out_root}/models")
     training.save_metrics(report, f"{out_root}/metrics")

@@ -100,13 +100,40 @@ def evaluate(scored: DataFrame, model_name: str) -> DataFrame:
     rest = counts.select(
         F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).alias("value")) for c in names])).alias("m")
     ).select("m.*")
-    return ap.unionByName(rest).select(F.lit(model_name).alias("model"), "metric", "value")
+    # The per-class report, flattened: report.<class>.<precision|recall|f1_score|support>.
+    fields = ("precision", "recall", "f1_score", "support")
+    report = metrics.classification_report(scored, "label", "prediction").select(
+        F.explode(
+            F.array(
+                *[
+                    F.struct(
+                        F.concat(F.lit("report."), F.col("class_label"), F.lit("." + f)).alias("metric"),
+                        F.col(f).cast("double").alias("value"),
+                    )
+                    for f in fields
+                ]
+            )
+        ).alias("m")
+    ).select("m.*").filter(F.col("value").isNotNull())
+    return ap.unionByName(rest).unionByName(report).select(F.lit(model_name).alias("model"), "metric", "value")
 
 
 def train_and_evaluate(spark: SparkSession, features: DataFrame, spec: LedgerSpec = LedgerSpec()) -> DataFrame:
+    """Fit both models and return their tidy metrics, plus ``n_train``."""
     t = train(features, spec)
-    return evaluate(logistic_scores(t), "logistic_regression").unionByName(
-        evaluate(forest_scores(t), "isolation_forest")
+    return evaluation(t)
+
+
+def evaluation(t: Trained) -> DataFrame:
+    """Tidy metrics of both fitted models, including the training size."""
+    n_train = t.split.filter(~F.col("is_test")).agg(F.count(F.lit(1)).cast("double").alias("value"))
+    sizes = n_train.select(F.lit("n_train").alias("metric"), "value")
+    per_model = [sizes.select(F.lit(m).alias("model"), "metric", "value") for m in ("logistic_regression", "isolation_forest")]
+    return (
+        evaluate(logistic_scores(t), "logistic_regression")
+        .unionByName(evaluate(forest_scores(t), "isolation_forest"))
+        .unionByName(per_model[0])
+        .unionByName(per_model[1])
     )
 
 

@@ -63,9 +63,7 @@ def main() -> int:
     if args.train:
         features = read_table(spark, f"{out}/gold/ml_features")
         t = training.train(features, SPEC if args.events else LedgerSpec())
-        report = training.evaluate(training.logistic_scores(t), "logistic_regression").unionByName(
-            training.evaluate(training.forest_scores(t), "isolation_forest")
-        )
+        report = training.evaluation(t)
         training.save_models(t, f"{out}/ml/models")
         training.save_metrics(report, f"{out}/ml/metrics")
         for r in report.collect():
