@@ -13,9 +13,8 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import StandardScaler, StandardScalerModel, VectorAssembler
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..spec import FEATURE_COLUMNS
@@ -75,32 +74,42 @@ def fit_logistic(
     return Pipeline(stages=[*scaler_stages(cols), lr]).fit(weighted)
 
 
+def scaled_expressions(model: PipelineModel, cols: Sequence[str] = FEATURE_COLUMNS) -> list[Column]:
+    """The fitted standardisation as column expressions: (x - mean) * (1/std),
+    and 0 for a column whose training std is 0 (the scaler's convention)."""
+    scaler = next(st for st in model.stages if isinstance(st, StandardScalerModel))
+    mean, std = scaler.mean.toArray(), scaler.std.toArray()
+    return [
+        ((F.col(c).cast("double") - F.lit(float(m))) * F.lit(1.0 / float(sd)) if sd != 0 else F.lit(0.0)).alias(c)
+        for c, m, sd in zip(cols, mean, std)
+    ]
+
+
 def score_logistic(model: PipelineModel, df: DataFrame, cols: Sequence[str] = FEATURE_COLUMNS) -> DataFrame:
     """Adds ``score`` (P(label = 1)) and integer ``prediction`` (cut 0.5).
 
-    The fitted scaler produces the standardised vector; the logistic
-    stage is applied as a plain expression ``sigmoid(b + w . z)`` built
-    from its coefficients, so scoring stays in whole-stage codegen (and
-    does not serialise the model object into tasks).
+    The fitted pipeline is applied as plain expressions -- standardisation
+    from the scaler's mean/std, then ``sigmoid(b + w . z)`` from the
+    coefficients -- so scoring has no vector stages, stays in whole-stage
+    codegen, and never ships the model object into tasks.
     """
-    scaler, lr = PipelineModel(stages=model.stages[:-1]), model.stages[-1]
-    z = vector_to_array(SCALED_VECTOR)
+    lr = model.stages[-1]
+    z = scaled_expressions(model, cols)
     margin = F.lit(float(lr.intercept))
-    for i, w in enumerate(lr.coefficients.toArray()):
-        margin = margin + F.lit(float(w)) * z[i]
-    out = scaler.transform(fill_features(df, cols))
+    for zi, w in zip(z, lr.coefficients.toArray()):
+        margin = margin + F.lit(float(w)) * zi
+    filled = fill_features(df, cols)
     return (
-        out.withColumn("_margin", margin)
+        filled.withColumn("_margin", margin)
         .withColumn("score", F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("_margin"))))
         .withColumn("prediction", (F.col("_margin") > 0).cast("int"))
-        .drop(RAW_VECTOR, SCALED_VECTOR, "_margin")
+        .drop("_margin")
     )
 
 
 def scaled_columns(model: PipelineModel, df: DataFrame, cols: Sequence[str] = FEATURE_COLUMNS) -> DataFrame:
     """The standardised features as plain columns (same names)."""
-    out = model.transform(fill_features(df, cols)).withColumn("_z", vector_to_array(SCALED_VECTOR))
-    return out.select(*[F.col("_z")[i].alias(c) for i, c in enumerate(cols)])
+    return fill_features(df, cols).select(*scaled_expressions(model, cols))
 
 
 def save_model(model: PipelineModel, path: str) -> None:
