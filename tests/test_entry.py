@@ -35,10 +35,22 @@ def _norm(v):
     return v
 
 
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
+             "MapInPandas", "FlatMapGroupsInPandas")
+
+
+def _check_plan(df):
+    """No all-pairs join and no Python stage in any SQL-checked query."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    bad = [op for op in FORBIDDEN if op in plan]
+    assert not bad, bad
+
+
 def _compare(spark, name, con):
     df = E.queries()[name](spark, SF)
     cols = df.columns
     got = Counter(tuple(_norm(r[c]) for c in sorted(cols)) for r in df.collect())
+    _check_plan(df)
     cur = con.execute(E.oracle_sql()[name])
     ocols = [d[0] for d in cur.description]
     assert sorted(cols) == sorted(ocols)
