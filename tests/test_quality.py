@@ -99,3 +99,11 @@ def test_required_columns_report_counts_nulls(spark):
     df = spark.createDataFrame([(1, None), (None, None)], "step int, amount double")
     got = {r.column_name: (r.present, r.n_null) for r in required_columns_report(df, ["step", "amount", "nameOrig"]).collect()}
     assert got == {"step": (True, 1), "amount": (True, 2), "nameOrig": (False, None)}
+
+
+def test_bronze_rejects_null_required_values(spark):
+    null_name = list(GOOD)
+    null_name[3] = None  # nameOrig
+    df = spark.createDataFrame([GOOD, tuple(null_name)], RAW_SCHEMA.simpleString())
+    with pytest.raises(QualityError, match="nameOrig=1"):
+        validate_bronze(df)
