@@ -1,4 +1,5 @@
-"""Session helper and the shared scratch location.
+"""Session helper, shuffle sizing, the shared scratch folder, and shipping
+the package to executor Python workers.
 
 Intermediate tables and stream checkpoints go under the folder the
 cluster names in ``spark.checkpoint.dir`` (a shared file system on a
