@@ -1,18 +1,24 @@
 """Scale / skew probe for the core operators.
 
-usage: python scripts/scale_probe.py [k ...] [--hot]
+usage: python scripts/scale_probe.py [k ...] [--hot] [--eventlog]
 
 Amplifies the sf0.1 ``events`` table k-fold inside Spark (each copy gets
 fresh event ids; everything else is the given data), derives the ledger,
 and times the core operators through the ``noop`` sink.  ``--hot`` sends
 a third of all rows to one sender account to check that aggregations and
 joins do not funnel a hot key into one task.  Prints one JSON line per k.
+``--eventlog`` writes Spark's event log to a scratch folder and adds, for
+the heaviest stages, task count and max / median task time (a straggler
+task shows up as a large ratio).
 """
 
 from __future__ import annotations
 
+import functools
+import glob
 import json
 import os
+import statistics
 import sys
 import tempfile
 import time
@@ -33,9 +39,15 @@ ID_STRIDE = 10**9
 
 
 def amplified_events(spark, k: int, hot: bool):
+    """k copies of the events table with fresh ids: a union of k scans, so
+    the copies are read by k parallel tasks as separate input files would
+    be (one ``explode`` inside a single scan task would serialise the whole
+    map side)."""
     ev = read_events(spark, SF_DIR)
-    rep = ev.withColumn("_r", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
-    out = rep.withColumn("event_id", F.col("event_id") + F.col("_r").cast("long") * F.lit(ID_STRIDE)).drop("_r")
+    out = functools.reduce(
+        lambda a, b: a.unionByName(b),
+        [ev.withColumn("event_id", F.col("event_id") + F.lit(i * ID_STRIDE)) for i in range(k)],
+    )
     if hot:
         third = F.pmod(F.xxhash64("event_id"), F.lit(3)) == 0
         out = out.withColumn("user_id", F.when(third, F.lit(0)).otherwise(F.col("user_id")))
@@ -49,18 +61,56 @@ def timed(build) -> float:
     return round(time.perf_counter() - t0, 3)
 
 
+def _lines(path: str):
+    """Lines of an event-log file (Spark 4 writes zstd-compressed rolling logs)."""
+    if path.endswith(".zstd"):
+        import io
+
+        import zstandard
+
+        with open(path, "rb") as fh:
+            reader = zstandard.ZstdDecompressor().stream_reader(fh, read_across_frames=True)
+            yield from io.TextIOWrapper(reader, encoding="utf-8")
+    else:
+        with open(path) as fh:
+            yield from fh
+
+
+def stage_skew(log_dir: str, top: int = 6) -> list[dict]:
+    """Heaviest stages in the event log: tasks, total / median / max task ms."""
+    tasks: dict[int, list[int]] = {}
+    for path in glob.glob(os.path.join(log_dir, "**", "events_*"), recursive=True):
+        for line in _lines(path):
+            if '"SparkListenerTaskEnd"' not in line:
+                continue
+            ev = json.loads(line)
+            info = ev["Task Info"]
+            tasks.setdefault(ev["Stage ID"], []).append(info["Finish Time"] - info["Launch Time"])
+    stages = []
+    for sid, ds in tasks.items():
+        med = statistics.median(ds)
+        stages.append({"stage": sid, "tasks": len(ds), "total_ms": sum(ds), "median_ms": med, "max_ms": max(ds),
+                       "max_over_median": round(max(ds) / med, 2) if med else None})
+    return sorted(stages, key=lambda d: -d["total_ms"])[:top]
+
+
 def main():
     args = [a for a in sys.argv[1:] if not a.startswith("--")]
     hot = "--hot" in sys.argv
     ks = [int(a) for a in args] or [1, 10]
+    scratch = tempfile.mkdtemp(prefix="ledgerspark-probe-")
+    builder = SparkSession.builder.master("local[8]")
+    if "--eventlog" in sys.argv:
+        os.makedirs(f"{scratch}/events", exist_ok=True)
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", f"{scratch}/events")
     spark = (
-        SparkSession.builder.master("local[8]")
+        builder
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "64")
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="ledgerspark-probe-"))
+        .config("spark.checkpoint.dir", f"{scratch}/ckpt")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -87,6 +137,9 @@ def main():
         n = raw.count()
         print(json.dumps({"k": k, "raw_rows": n, "hot": hot, "sec": t, "total": round(sum(t.values()), 3)}))
     spark.stop()
+    if "--eventlog" in sys.argv:
+        for st in stage_skew(f"{scratch}/events"):
+            print(json.dumps(st))
 
 
 if __name__ == "__main__":
