@@ -5,9 +5,10 @@ The value at 0-based rank k is found by narrowing a value range twice:
 1. split [min, max] into 65 536 equal ranges; one aggregation counts rows
    per range (partial-aggregated, <= 65 536 rows) and running counts over
    that small table locate the range holding rank k;
-2. split that range again into 65 536 sub-ranges, counting only its rows;
-3. inside the located sub-range (width (max - min) / 2^32) count rows per
-   distinct value and pick the value at the remaining rank.
+2. repeat inside the located range, counting only its rows, until it holds
+   at most 100 000 rows (usually after one or two levels);
+3. count the rows of that range per distinct value and pick the value at
+   the remaining rank.
 
 Buckets are computed with the same monotone expression in every pass, so
 the bucket order always agrees with the value order; rounding cannot put a
@@ -42,31 +43,53 @@ def _locate(counts: list[tuple], rank: int) -> tuple[object, int]:
     raise ValueError("rank beyond the number of rows")
 
 
-def order_statistics(df: DataFrame, col: str, ranks: list[int], lo: float, hi: float) -> list[float]:
+# Rows in a located range small enough to count per value on the driver.
+MAX_FINAL_ROWS = 100_000
+# Each level divides the range by 2^16; past ~4 levels a double range has
+# no room left, so the remaining rows hold (nearly) one distinct value.
+MAX_LEVELS = 5
+
+
+def order_statistics(
+    df: DataFrame, col: str, ranks: list[int], lo: float, hi: float, n: int | None = None
+) -> list[float]:
     """Values at the 0-based ``ranks`` of the non-null values of ``col``.
 
-    Ranks falling in the same range share its histogram pass, so two
-    neighbouring ranks usually cost three small aggregations in total."""
+    Each level splits the current range into 65 536 sub-ranges and counts
+    rows per sub-range (one aggregation, only over the rows of the current
+    range); the rank's sub-range becomes the next range.  Narrowing stops
+    once a range holds at most ``MAX_FINAL_ROWS`` rows (or after
+    ``MAX_LEVELS``), and then rows are counted per distinct value.  Ranks
+    that fall in the same range share its passes.
+    """
     rows = df.select(F.col(col).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
-    if hi <= lo:
-        return [float(lo)] * len(ranks)
-    w1 = (hi - lo) / LEVEL
-    b1 = _bucket(F.col("_x"), lo, w1)
-    hist1 = [(h.b, h.n) for h in rows.groupBy(b1.alias("b")).agg(F.count(F.lit(1)).alias("n")).orderBy("b").collect()]
-    at1 = {r: _locate(hist1, r) for r in ranks}
     out: dict[int, float] = {}
-    for k1 in sorted({k for k, _ in at1.values()}):
-        in1 = rows.filter(b1 == F.lit(k1))
-        lo2, w2 = lo + k1 * w1, w1 / LEVEL
-        b2 = _bucket(F.col("_x"), lo2, w2)
-        hist2 = [(h.b, h.n) for h in in1.groupBy(b2.alias("b")).agg(F.count(F.lit(1)).alias("n")).orderBy("b").collect()]
-        at2 = {r: _locate(hist2, r1) for r, (k, r1) in at1.items() if k == k1}
-        for k2 in sorted({k for k, _ in at2.values()}):
-            vals = in1.filter(b2 == F.lit(k2)).groupBy("_x").agg(F.count(F.lit(1)).alias("n")).orderBy("_x").collect()
+
+    def solve(frame: DataFrame, rank_map: dict[int, int], lo_: float, width: float, n_rows: int, level: int):
+        if n_rows <= MAX_FINAL_ROWS or level >= MAX_LEVELS or width <= 0:
+            vals = frame.groupBy("_x").agg(F.count(F.lit(1)).alias("n")).orderBy("_x").collect()
             counts = [(v._x, v.n) for v in vals]
-            for r, (k, r2) in at2.items():
-                if k == k2:
-                    out[r] = float(_locate(counts, r2)[0])
+            for r, rr in rank_map.items():
+                out[r] = float(_locate(counts, rr)[0])
+            return
+        w = width / LEVEL
+        b = _bucket(F.col("_x"), lo_, w)
+        hist = [(h.b, h.n) for h in frame.groupBy(b.alias("b")).agg(F.count(F.lit(1)).alias("n")).orderBy("b").collect()]
+        sizes = dict(hist)
+        located = {r: _locate(hist, rr) for r, rr in rank_map.items()}
+        for k in sorted({k for k, _ in located.values()}):
+            solve(
+                frame.filter(b == F.lit(k)),
+                {r: rr for r, (kk, rr) in located.items() if kk == k},
+                lo_ + k * w,
+                w,
+                sizes[k],
+                level + 1,
+            )
+
+    if hi <= lo:
+        return [float(lo)] * len(ranks)
+    solve(rows, {r: r for r in ranks}, lo, hi - lo, rows.count() if n is None else n, 0)
     return [out[r] for r in ranks]
 
 
@@ -84,8 +107,8 @@ def percentile(df: DataFrame, col: str, q: float) -> float | None:
     k = int(math.floor(pos))
     frac = pos - k
     if frac == 0 or k + 1 >= n:
-        return order_statistics(df, col, [k], stats.lo, stats.hi)[0]
-    lower, upper = order_statistics(df, col, [k, k + 1], stats.lo, stats.hi)
+        return order_statistics(df, col, [k], stats.lo, stats.hi, n)[0]
+    lower, upper = order_statistics(df, col, [k, k + 1], stats.lo, stats.hi, n)
     # The same interpolation arithmetic as numpy's default method.
     if frac >= 0.5:
         return upper - (upper - lower) * (1 - frac)
