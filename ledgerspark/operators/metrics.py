@@ -19,7 +19,12 @@ AP_BUCKETS = 1024
 AP_TERM_SCALE = 9
 
 
-def average_precision(df: DataFrame, label: str = "label", score: str = "score", buckets: int = AP_BUCKETS) -> DataFrame:
+# Target rows per score range when the range count is chosen automatically.
+AP_ROWS_PER_RANGE = 1_000_000
+AP_MAX_BUCKETS = 65_536
+
+
+def average_precision(df: DataFrame, label: str = "label", score: str = "score", buckets: int | None = None) -> DataFrame:
     """One row: ``average_precision`` = sum over thresholds of
     (recall step) x precision, thresholds = distinct scores, descending.
 
@@ -27,8 +32,9 @@ def average_precision(df: DataFrame, label: str = "label", score: str = "score",
 
     * rows collapse to one per distinct score (tp, n) -- partial aggregate;
     * approximate quantiles of the scores split them into at most
-      ``buckets`` score ranges of similar size (only the cut points reach
-      the driver);
+      ``buckets`` score ranges of similar size -- by default about a
+      million rows per range, 1 024 to 65 536 ranges (only the cut points
+      reach the driver);
     * per-range totals (<= ``buckets`` rows) give each range the counts of
       all higher ranges;
     * a window partitioned by range runs the sums inside each range.
@@ -39,6 +45,9 @@ def average_precision(df: DataFrame, label: str = "label", score: str = "score",
     per_score = scored.groupBy("_s").agg(F.sum("_y").alias("_tp"), F.count(F.lit(1)).alias("_n"))
     # Range boundaries only balance the work (the result is exact for any
     # boundaries), so they come from one shuffle-free pass over the scores.
+    if buckets is None:
+        n = scored.count()
+        buckets = min(AP_MAX_BUCKETS, max(AP_BUCKETS, -(-n // AP_ROWS_PER_RANGE)))
     probs = [i / buckets for i in range(1, buckets)]
     cuts = sorted(set(scored.approxQuantile("_s", probs, 1.0 / (4 * buckets)))) if buckets > 1 else []
     splits = [float("-inf")] + [c for c in cuts if c not in (float("-inf"), float("inf"))] + [float("inf")]
@@ -53,7 +62,7 @@ def average_precision(df: DataFrame, label: str = "label", score: str = "score",
         F.coalesce(F.sum("_rtp").over(higher), F.lit(0)).alias("_otp"),
         F.coalesce(F.sum("_rn").over(higher), F.lit(0)).alias("_on"),
     )
-    # At most `buckets` + 1 rows: a proven bound, so broadcasting is safe.
+    # At most `buckets` + 1 rows (<= 65 537): a proven bound, so broadcasting is safe.
     inside = Window.partitionBy("_r").orderBy(F.desc("_s")).rowsBetween(Window.unboundedPreceding, 0)
     run = ranged.join(F.broadcast(offsets), "_r").select(
         "_tp",
