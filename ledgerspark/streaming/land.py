@@ -14,7 +14,7 @@ import time
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.clean import stamp_lineage
@@ -131,11 +131,13 @@ def land_stream(
         parsed = parse_messages(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             ok = valid_messages(parsed)
-            counts = parsed.agg(F.count_if(ok).alias("good"), F.count_if(~ok).alias("bad")).first()
-            if counts.good:
-                good = stamp_lineage(parsed.filter(ok).select(*RAW_COLUMNS), lineage)
-                totals["landed"] += write_table(good, f"{out_path}/batch_id={batch_id}", partition_by=[partition_by])
-            if counts.bad:
+            # The landing write also counts the batch's undecodable rows, so
+            # an all-valid batch costs a single job.
+            seen = Observation()
+            counted = parsed.observe(seen, F.count_if(~ok).alias("bad"))
+            good = stamp_lineage(counted.filter(ok).select(*RAW_COLUMNS), lineage)
+            totals["landed"] += write_table(good, f"{out_path}/batch_id={batch_id}", partition_by=[partition_by])
+            if seen.get["bad"]:
                 bad = _rejected(parsed.filter(~ok), lineage)
                 totals["quarantined"] += write_table(bad, f"{quarantine_path}/batch_id={batch_id}")
             totals["batches"] += 1
