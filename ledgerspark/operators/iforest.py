@@ -132,10 +132,12 @@ def fit_isolation_forest(
     psi: int = 256,
     seed: int = 42,
     oversample: float = 2.0,
+    n: int | None = None,
 ) -> IsolationForestModel:
-    """Fit on ``df`` (nulls in ``features`` must already be filled)."""
+    """Fit on ``df`` (nulls in ``features`` must already be filled); ``n``
+    is its row count when already known."""
     ship_package(df.sparkSession)
-    n = df.count()
+    n = df.count() if n is None else n
     psi = int(min(psi, max(n, 1)))
     p = min(1.0, oversample * trees * psi / max(n, 1))
     cut = int(p * (1 << 60))

@@ -39,10 +39,17 @@ def fit_scaler(train: DataFrame, cols: Sequence[str] = FEATURE_COLUMNS) -> Pipel
     return Pipeline(stages=scaler_stages(cols)).fit(fill_features(train, cols))
 
 
-def with_class_weights(train: DataFrame, label: str = "label", weight: str = "weight") -> tuple[DataFrame, int]:
-    """Add balanced class weights; returns (frame, n).  Only the per-class
-    counts (one row per class) reach the driver."""
-    counts = {int(r[label]): int(r["n"]) for r in train.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+def class_counts(df: DataFrame, label: str = "label") -> dict[int, int]:
+    """Rows per class (one row per class reaches the driver)."""
+    return {int(r[label]): int(r["n"]) for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def with_class_weights(
+    train: DataFrame, label: str = "label", weight: str = "weight", counts: dict[int, int] | None = None
+) -> tuple[DataFrame, int]:
+    """Add balanced class weights ``n / (k * n_class)``; returns (frame, n).
+    ``counts`` (rows per class) is computed when not given."""
+    counts = class_counts(train, label) if counts is None else counts
     n = sum(counts.values())
     k = len(counts)
     expr = F.lit(None).cast("double")
@@ -58,9 +65,10 @@ def fit_logistic(
     label: str = "label",
     max_iter: int = 1000,
     c: float = 1.0,
+    counts: dict[int, int] | None = None,
 ) -> PipelineModel:
     """Scaler + weighted logistic regression, fitted on ``train`` only."""
-    weighted, n = with_class_weights(fill_features(train, cols), label)
+    weighted, n = with_class_weights(fill_features(train, cols), label, counts=counts)
     lr = LogisticRegression(
         featuresCol=SCALED_VECTOR,
         labelCol=label,

@@ -57,13 +57,18 @@ def train(features: DataFrame, spec: LedgerSpec = LedgerSpec(), trees: int = FOR
     checkpoint_root(features.sparkSession)
     s = split(features, spec).checkpoint(eager=True)
     train_rows = models.fill_features(s.filter(~F.col("is_test")))
-    logistic = models.fit_logistic(train_rows)
-    fraud_rate = train_rows.agg(F.avg(F.col("label").cast("double")).alias("r")).first()["r"] or 0.0
+    # One pass for the class sizes: class weights, contamination, forest size.
+    counts = models.class_counts(train_rows)
+    n_train = sum(counts.values())
+    logistic = models.fit_logistic(train_rows, counts=counts)
+    fraud_rate = counts.get(1, 0) / n_train if n_train else 0.0
     contamination = max(float(fraud_rate), MIN_CONTAMINATION)
     # The forest is grown on the unscaled features: split points are drawn
     # uniformly between a node's min and max per feature, so any per-feature
     # affine scaling gives the same forest in distribution; no scaler needed.
-    forest = iforest.fit_isolation_forest(train_rows, FEATURE_COLUMNS, row_key(), trees=trees, psi=psi, seed=spec.seed)
+    forest = iforest.fit_isolation_forest(
+        train_rows, FEATURE_COLUMNS, row_key(), trees=trees, psi=psi, seed=spec.seed, n=n_train
+    )
     cut = iforest.anomaly_cut(iforest.score_isolation_forest(train_rows, forest), contamination)
     return Trained(s, logistic, forest, cut, contamination)
 
