@@ -101,7 +101,11 @@ def classification_report(df: DataFrame, label: str = "label", prediction: str =
     and support-weighted averages.  A zero denominator gives 0.0.
     The accuracy row carries the accuracy in ``f1_score`` and the total
     in ``support``."""
-    c = confusion_counts(df, label, prediction)
+    return report_from_counts(confusion_counts(df, label, prediction))
+
+
+def report_from_counts(c: DataFrame) -> DataFrame:
+    """The classification report from a one-row frame with tn, fp, fn, tp."""
     tn, fp, fn, tp = (F.col(x) for x in ("tn", "fp", "fn", "tp"))
     s0, s1 = tn + fp, fn + tp
     p0, r0, f0 = safe_div(tn, tn + fn), safe_div(tn, tn + fp), safe_div(2 * tn, 2 * tn + fn + fp)

@@ -105,9 +105,10 @@ def evaluate(scored: DataFrame, model_name: str) -> DataFrame:
     rest = counts.select(
         F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).alias("value")) for c in names])).alias("m")
     ).select("m.*")
-    # The per-class report, flattened: report.<class>.<precision|recall|f1_score|support>.
+    # The per-class report from the same counts, flattened:
+    # report.<class>.<precision|recall|f1_score|support>.
     fields = ("precision", "recall", "f1_score", "support")
-    report = metrics.classification_report(scored, "label", "prediction").select(
+    report = metrics.report_from_counts(counts).select(
         F.explode(
             F.array(
                 *[
