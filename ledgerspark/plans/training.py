@@ -40,6 +40,7 @@ class Trained:
     forest: iforest.IsolationForestModel
     forest_cut: float
     contamination: float
+    n_train: int
 
 
 def split(features: DataFrame, spec: LedgerSpec = LedgerSpec(), materialize: bool = True) -> DataFrame:
@@ -70,7 +71,7 @@ def train(features: DataFrame, spec: LedgerSpec = LedgerSpec(), trees: int = FOR
         train_rows, FEATURE_COLUMNS, row_key(), trees=trees, psi=psi, seed=spec.seed, n=n_train
     )
     cut = iforest.anomaly_cut(iforest.score_isolation_forest(train_rows, forest), contamination)
-    return Trained(s, logistic, forest, cut, contamination)
+    return Trained(s, logistic, forest, cut, contamination, n_train)
 
 
 def test_rows(t: Trained) -> DataFrame:
@@ -87,8 +88,9 @@ def forest_scores(t: Trained) -> DataFrame:
 
 
 def evaluate(scored: DataFrame, model_name: str) -> DataFrame:
-    """Tidy rows (model, metric, value): AP, the four confusion cells,
-    test size and test fraud rate (two passes: AP, then one aggregate)."""
+    """Tidy rows (model, metric, value): AP, the four confusion cells, test
+    size, test fraud rate and the flattened per-class report (AP, then one
+    aggregate for everything else)."""
     ap = metrics.average_precision(scored, "label", "score").select(
         F.lit("average_precision").alias("metric"), F.col("average_precision").alias("value")
     )
@@ -132,15 +134,14 @@ def train_and_evaluate(spark: SparkSession, features: DataFrame, spec: LedgerSpe
 
 def evaluation(t: Trained) -> DataFrame:
     """Tidy metrics of both fitted models, including the training size."""
-    n_train = t.split.filter(~F.col("is_test")).agg(F.count(F.lit(1)).cast("double").alias("value"))
-    sizes = n_train.select(F.lit("n_train").alias("metric"), "value")
-    per_model = [sizes.select(F.lit(m).alias("model"), "metric", "value") for m in ("logistic_regression", "isolation_forest")]
-    return (
-        evaluate(logistic_scores(t), "logistic_regression")
-        .unionByName(evaluate(forest_scores(t), "isolation_forest"))
-        .unionByName(per_model[0])
-        .unionByName(per_model[1])
+    scored = evaluate(logistic_scores(t), "logistic_regression").unionByName(
+        evaluate(forest_scores(t), "isolation_forest")
     )
+    sizes = t.split.sparkSession.createDataFrame(
+        [(m, "n_train", float(t.n_train)) for m in ("logistic_regression", "isolation_forest")],
+        "model string, metric string, value double",
+    )
+    return scored.unionByName(sizes)
 
 
 def save_models(t: Trained, root: str) -> None:
