@@ -1,6 +1,5 @@
 """Session helpers: size-checked broadcast, package shipping, scratch paths."""
 
-
 from pyspark.sql import functions as F
 
 from ledgerspark.functions.sizing import row_count_at_most, sized_broadcast
