@@ -45,8 +45,9 @@ def write_table(
     writer = counted.write.mode(mode).format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if dynamic_overwrite:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
+    # Explicit either way, so a session default cannot change what a full
+    # reload means.
+    writer = writer.option("partitionOverwriteMode", "dynamic" if dynamic_overwrite else "static")
     writer.save(path)
     return int(obs.get["rows"])
 

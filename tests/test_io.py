@@ -123,3 +123,13 @@ def test_scale_conf_sizes_initial_shuffle_width():
     big = scale_conf(100 * 1024**4)  # 100 TiB
     assert big["spark.sql.shuffle.partitions"] == str(100 * 1024**4 // (128 * 1024**2))
     assert big["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == str(128 * 1024**2)
+
+
+def test_static_overwrite_even_when_the_session_default_is_dynamic(spark, tmp_dir):
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        sinks.write_table(_frame(spark, ["A", "B"]), tmp_dir, partition_by=["type"])
+        sinks.write_table(_frame(spark, ["A"]), tmp_dir, partition_by=["type"])
+        assert sorted(r.type for r in files.read_table(spark, tmp_dir).collect()) == ["A"]
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
