@@ -17,6 +17,8 @@ from __future__ import annotations
 import argparse
 import sys
 
+from pyspark.sql import SparkSession
+
 from .operators.quality import QualityError
 from .plans import training
 from .plans.medallion import load_warehouse, run_medallion
@@ -41,6 +43,7 @@ def main(argv: list[str] | None = None) -> int:
     args = ap.parse_args(argv)
 
     shuffle_bytes = int(args.shuffle_gb * 1024**3) if args.shuffle_gb else None
+    owns_session = SparkSession.getActiveSession() is None
     spark = get_spark("ledgerspark-chain", master=args.master, shuffle_bytes=shuffle_bytes)
     spark.sparkContext.setLogLevel("WARN")
     out = args.out.rstrip("/")
@@ -65,7 +68,8 @@ def main(argv: list[str] | None = None) -> int:
         training.save_metrics(report, f"{out}/ml/metrics")
         for r in report.collect():
             print(f"model   {r.model:<20} {r.metric:<18} {r.value:.6g}")
-    spark.stop()
+    if owns_session:
+        spark.stop()
     return 0
 
 

@@ -56,3 +56,13 @@ def test_produce_and_consume(spark):
     again = api.consume(spark, f"{root}/land2", f"{root}/ckpt2", "payments", source_path=f"{root}/topic",
                         batch_timeout=0)
     assert again == 0 and read_table(spark, f"{root}/land2").count() == 20
+
+
+def test_command_line_chain(spark, capsys):
+    from ledgerspark.cli import main
+
+    out = scratch_path(spark, "cli")
+    assert main(["--events", "/root/testdata/sf0.001", "--out", out, "--serve", f"{out}/wh"]) == 0
+    printed = capsys.readouterr().out
+    assert "silver  transactions" in printed and "served  kpi_summary" in printed
+    assert read_table(spark, f"{out}/silver").count() == 1000
