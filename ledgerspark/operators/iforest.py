@@ -17,6 +17,9 @@ Training never moves the data to one process:
    proven bound, ~51k rows for 100 x 256), so it is shipped to the tasks
    and ``mapInPandas`` scores Arrow batches with vectorised traversal:
    ``s = 2 ** (-E[h(x)] / c(psi))``, high = more anomalous.
+5. **Cut.**  A row is predicted anomalous above the exact
+   ``(1 - contamination)`` percentile of the training scores
+   (:func:`anomaly_cut`, distributed, see ``quantile.py``).
 """
 
 from __future__ import annotations
