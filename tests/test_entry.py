@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from ledgerspark.plans.catalog import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["events"]
@@ -25,7 +26,7 @@ def test_every_oracle_has_a_query():
 
 
 def test_no_reserved_query_names():
-    for name in E.queries():
+    for name in QUERIES:
         assert "pipeline" not in name and not name.startswith("op")
 
 
@@ -59,8 +60,8 @@ def _compare(spark, name, con):
     assert got == want, name
 
 
-ORACLE_NAMES = sorted(E.oracle_sql())
-ROWS_ONLY = sorted(set(E.queries()) - set(E.oracle_sql()))
+ORACLE_NAMES = sorted(ORACLES)
+ROWS_ONLY = sorted(set(QUERIES) - set(ORACLES))
 
 
 @pytest.fixture(scope="module")
