@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .common import SPACE, first_of_repeats, stored, without
 
-BLOCK_BYTES = 1024
+BLOCK_BYTES = 4096
 
 
 def _normal() -> Column:
@@ -82,7 +82,7 @@ def text_classes(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataF
     again = _blocks(docs, block_bytes).alias("b")
     same = F.col("b.doc_id").eqNullSafe(F.col("l.doc_id")) & (F.col("b.text_sha256") == F.col("l.text_sha256"))
     content = stored(
-        again.join(live.alias("l"), same, "left_semi").select(
+        again.join(live.alias("l").hint("merge"), same, "left_semi").select(
             "doc_id", "text_sha256", F.monotonically_increasing_id().alias("text_no"), "blocks"
         ),
         "exact-content",

@@ -181,7 +181,7 @@ def mix_documents(docs: DataFrame, **params) -> DataFrame:
     """
     documents, taken = mix(docs, keep_text=True, **params)
     times = taken.groupBy("row_no", "epoch").agg(F.max("end_word").alias("n_taken"))
-    rows = documents.select("row_no", "size", "doc").join(times, "row_no")
+    rows = documents.select("row_no", "size", "doc").join(times.hint("merge"), "row_no")
     some = F.concat_ws(" ", F.slice(F.regexp_extract_all("doc.text", F.lit(WORD), F.lit(0)), 1, F.col("n_taken").cast("int")))
     text = F.when(F.col("n_taken") < F.col("size"), some).otherwise(F.col("doc.text"))
     kinds = dict(docs.dtypes)

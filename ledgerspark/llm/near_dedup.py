@@ -272,7 +272,7 @@ def near_classes(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     live = heads.join(weight.select("tid"), "tid").select("tid", "doc_id", "text_key").alias("l")
     again = _keyed(docs).alias("k")
     same = F.col("k.doc_id").eqNullSafe(F.col("l.doc_id")) & (F.col("k.text_key") == F.col("l.text_key"))
-    wanted = again.join(live, same).select("l.tid", "k.text")
+    wanted = again.join(live.hint("merge"), same).select("l.tid", "k.text")
     texts = stored(wanted.mapInPandas(_described, "tid long, mark binary, shingles binary"), "near-texts")
     texts = stored(texts.dropDuplicates(["tid"]), "near-texts") if _repeats(signed) else texts
 

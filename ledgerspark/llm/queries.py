@@ -13,6 +13,7 @@ from .near_dedup import near_dedup
 from .packing import pack
 from .quality_rules import apply_policy, rule_ledger
 from .sharding import shard_rows
+from .suffix_dedup import suffix_dedup
 from .toxicity import toxicity
 from .warc import warc_round_trip
 
@@ -72,6 +73,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(_table(spark, sf_dir, "documents"))
 
 
+@_query("op6_suffix_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(_table(spark, sf_dir, "documents"))
+
+
 @_query("op7_mixing")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_taken(_table(spark, sf_dir, "documents"))

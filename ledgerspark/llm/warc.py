@@ -105,7 +105,7 @@ def write_archives(pages: DataFrame, path: str, min_revisit_bytes: int = MIN_REV
         "warc-firsts",
     )
     revisits = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
-    marked = base.join(firsts, "hex", "left").select(
+    marked = base.join(firsts.hint("merge"), "hex", "left").select(
         "page_id", "url", "payload", "first_id", "first_url", revisits.alias("revisits"))
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
