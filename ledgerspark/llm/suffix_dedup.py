@@ -16,7 +16,8 @@ Such a run is decided as a whole where it can be, and split where it cannot:
   the last round has settled.
 
 Identifiers of strings are 128-bit hashes (64-bit for the first q-grams,
-which only ever send starts on to the next round).
+which only ever send starts on to the next round), made from running sums
+over the text, so that those of all rounds cost a few array operations.
 """
 
 from __future__ import annotations
@@ -26,7 +27,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +41,7 @@ CHUNK = 1 << 23
 
 U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
+SPAN = ["tid", "m", "low", "high"]
 RUN = np.dtype([("m", "<i4"), ("first", "<i4"), ("last", "<i4"), ("gram", "<i8")])
 
 
@@ -85,11 +86,59 @@ def runs(text: bytes, length: int = LENGTH, gram: int = GRAM) -> np.ndarray:
     return np.concatenate(found) if found else np.empty(0, RUN)
 
 
-def _name(text: bytes, start: int, end: int, kind: int) -> bytes | None:
-    """The identifier of a string of a text, None if it reaches beyond the text."""
-    if start < 0 or end > len(text):
-        return None
-    return xxhash.xxh3_128_digest(text[start:end], kind)
+_BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
+_BYTE = [_mix(np.arange(256, dtype=np.uint64) + U(1000 * k + 1)) for k in (1, 2)]
+_POWERS: list[tuple[np.ndarray, np.ndarray]] = []
+
+
+def _powers(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each base its first n powers and those of its inverse, modulo 2^64; remembered."""
+    if not _POWERS or len(_POWERS[0][0]) < n:
+        size = 1 << max(n, 4096).bit_length()
+        _POWERS.clear()
+        for base in _BASES:
+            both = []
+            for value in (base, pow(base, -1, 1 << 64)):
+                line = np.full(size, value, np.uint64)
+                line[0] = 1
+                both.append(np.cumprod(line, dtype=np.uint64))
+            _POWERS.append((both[0], both[1]))
+    return _POWERS
+
+
+def names(text: np.ndarray, start: np.ndarray, end: np.ndarray, kind: np.ndarray) -> list[np.ndarray]:
+    """Two 64-bit numbers that identify the strings text[start:end] of each kind.
+
+    Sums of the bytes' random numbers times powers of a base: any string's
+    sum is a difference of two running sums, moved to the text's start.
+    """
+    found = []
+    for table, (power, back) in zip(_BYTE, _powers(len(text) + 1), strict=True):
+        sums = np.zeros(len(text) + 1, np.uint64)
+        np.cumsum(table[text] * power[: len(text)], out=sums[1:], dtype=np.uint64)
+        found.append(_mix((sums[end] - sums[start]) * back[start] + kind.astype(np.uint64) * U(_BASE)).view(np.int64))
+    return found
+
+
+def _ranges(text: np.ndarray, m: np.ndarray, low: np.ndarray, high: np.ndarray, kind: np.ndarray, length: int):
+    """Core and hull identifiers of the ranges of offsets low..high before m, and whether the hull is in the text.
+
+    Long texts are read in chunks with the strings' reach on both sides.
+    """
+    core, hull = [np.empty(len(m), np.int64) for _ in "ab"], [np.empty(len(m), np.int64) for _ in "ab"]
+    inside = (m - high >= 0) & (m - low + length <= len(text))
+    for at in range(0, max(len(text), 1), CHUNK):
+        on = np.flatnonzero((m >= at) & (m < at + CHUNK))
+        if not len(on):
+            continue
+        left = max(0, at - length)
+        part = text[left : at + CHUNK + 2 * length]
+        a, b, k = m[on] - left - low[on], m[on] - left - high[on], kind[on]
+        fits = inside[on]
+        for out, start, end in ((core, a, b + length), (hull, np.where(fits, b, 0), np.where(fits, a + length, 0))):
+            for line, value in zip(out, names(part, start, end, k), strict=True):
+                line[on] = value
+    return core, hull, inside
 
 
 def _unpacked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -104,63 +153,61 @@ def _unpacked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 yield out
 
 
-def _first_round(length: int, gram: int):
-    """Hulls of whole runs; core is the shared q-gram."""
-
-    def name(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for tid, copies, text, items in zip(batch["tid"], batch["copies"], batch["text"], batch["items"], strict=True):
-                text = bytes(text)
-                reach = length - gram
-                rows = [
-                    (tid, r["m"], r["m"] - r["last"], r["m"] - r["first"], r["gram"], copies > 1,
-                     _name(text, r["m"] - reach, r["m"] + length, length))
-                    for r in items
-                ]
-                yield pd.DataFrame(rows, columns=["tid", "m", "low", "high", "gram", "settled", "hull"])
-
-    return name
+_NAMED = ["tid", "m", "low", "high", "settled", "core1", "core2", "hull1", "hull2", "inside"]
+_NAMED_TYPES = ("tid long, m int, low int, high int, settled boolean, core1 long, core2 long, "
+                "hull1 long, hull2 long, inside boolean")
 
 
-def _next_round(grid: int, length: int, gram: int):
-    """Cores and hulls of the ranges of ``grid`` offsets that the runs' open offsets fall into."""
+def _round(grid: int, length: int, gram: int):
+    """Cores and hulls of the ranges of ``grid`` offsets that the texts' open offsets fall into."""
 
     def name(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for tid, text, items in zip(batch["tid"], batch["text"], batch["items"], strict=True):
-                text, rows = bytes(text), []
-                for r in items:
-                    m = r["m"]
-                    for k in range(r["low"] // grid, r["high"] // grid + 1):
-                        a, b = k * grid, min(k * grid + grid - 1, length - gram)
-                        core = _name(text, m - a, m - b + length, k)
-                        hull = core if a == b else _name(text, m - b, m - a + length, k)
-                        rows.append((tid, m, max(a, r["low"]), min(b, r["high"]), r["settled"], core, hull))
-                yield pd.DataFrame(rows, columns=["tid", "m", "low", "high", "settled", "core", "hull"])
+            made, size = [], 0
+            columns = [batch[c] for c in ("tid", "text", "m", "low", "high", "settled")]
+            for tid, text, m, low, high, settled in zip(*columns, strict=True):
+                m, low, high = (np.asarray(v, np.int64) for v in (m, low, high))
+                first = low // grid
+                n = high // grid - first + 1
+                own = np.repeat(np.arange(len(m)), n)
+                kind = first[own] + np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)
+                a, b, m = kind * grid, np.minimum(kind * grid + grid - 1, length - gram), m[own]
+                core, hull, inside = _ranges(np.frombuffer(text, np.uint8), m, a, b, kind, length)
+                made.append((np.full(len(own), tid), m, np.maximum(a, low[own]), np.minimum(b, high[own]),
+                             np.asarray(settled, bool)[own], *core, *hull, inside))
+                size += len(own)
+                if size > 200_000:
+                    yield pd.DataFrame(dict(zip(_NAMED, map(np.concatenate, zip(*made, strict=True)), strict=True)))
+                    made, size = [], 0
+            if made:
+                yield pd.DataFrame(dict(zip(_NAMED, map(np.concatenate, zip(*made, strict=True)), strict=True)))
 
     return name
 
 
-def _decide(named: DataFrame, core: str) -> tuple[DataFrame, DataFrame]:
+def _decide(named: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(repeated, open) of ranges with their core and hull.
 
     repeated: the ranges whose strings all occur again.  open: what the next
     round needs: undecided ranges, and of the repeated ones that share their
     core one of each hull (``settled``), as the undecided may repeat it.
     """
-    cores = named.groupBy(core).agg(
+    core, hull = ["core1", "core2"], ["hull1", "hull2"]
+    cores = named.groupBy(*core).agg(
         F.count(F.lit(1)).alias("n_core"), F.max((~F.col("settled")).cast("int")).alias("has_open"))
-    cores = stored(cores.where("n_core > 1 AND has_open = 1").select(core), "suffix-cores")
-    hulls = named.where(F.col("hull").isNotNull()).groupBy("hull").agg(
+    cores = stored(cores.where("n_core > 1 AND has_open = 1").select(*core), "suffix-cores")
+    hulls = named.where("inside").groupBy(*hull).agg(
         F.count(F.lit(1)).alias("n_hull"), F.min(F.struct("tid", "m")).alias("first"))
-    hulls = stored(hulls.where("n_hull > 1"), "suffix-hulls")
-    judged = stored(named.join(hulls, "hull", "left").withColumn("again", F.col("n_hull").isNotNull()), "suffix-judged")
+    hulls = stored(hulls.where("n_hull > 1").withColumn("inside", F.lit(True)), "suffix-hulls")
+    judged = named.join(hulls, [*hull, "inside"], "left").withColumn("again", F.col("n_hull").isNotNull())
+    judged = stored(judged.drop(*hull, "inside", "n_hull"), "suffix-judged")
     # Where a core is shared, one range of each repeated hull stands for all.
     stands = ~F.col("again") | ((F.col("first.tid") == F.col("tid")) & (F.col("first.m") == F.col("m")))
     ahead = judged.where(stands).join(cores, core, "left_semi")
     ahead = ahead.withColumn("settled", F.col("settled") | F.col("again"))
     # A core left with settled ranges alone needs no further round.
-    needed = stored(ahead.groupBy(core).agg(F.min(F.col("settled").cast("int")).alias("s")).where("s = 0").select(core), "suffix-needed")
+    needed = ahead.groupBy(*core).agg(F.min(F.col("settled").cast("int")).alias("s")).where("s = 0").select(*core)
+    needed = stored(needed, "suffix-needed")
     return judged.where(~F.col("settled") & F.col("again")), stored(
         ahead.join(needed, core, "left_semi").select("tid", "m", "low", "high", "settled"), "suffix-open")
 
@@ -171,11 +218,11 @@ def _cut(length: int):
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for tid, text, items in zip(batch["tid"], batch["text"], batch["items"], strict=True):
-                text = bytes(text)
+            for tid, text, m, low, high in zip(*(batch[c] for c in ("tid", "text", "m", "low", "high")), strict=True):
+                text, m = memoryview(text), np.asarray(m, np.int64)
                 kept, removed, spans, end = hashlib.sha256(), 0, 0, 0
                 start = 0  # of the stretch that is kept
-                for first, last in sorted((r["m"] - r["high"], r["m"] - r["low"]) for r in items):
+                for first, last in sorted(zip((m - high).tolist(), (m - low).tolist(), strict=True)):
                     stop = last + length
                     if spans == 0 or first > end:
                         kept.update(text[start:first])
@@ -192,8 +239,9 @@ def _cut(length: int):
 
 
 def _items(rows: DataFrame, *columns: str) -> DataFrame:
-    """(tid, items): a text's rows; no more than the text has bytes."""
-    return rows.groupBy("tid").agg(F.collect_list(F.struct(*columns)).alias("items"))
+    """A text's rows as aligned arrays, one per column; no more than the text has bytes."""
+    packed = rows.groupBy("tid").agg(F.collect_list(F.struct(*columns)).alias("items"))
+    return packed.select("tid", *[F.col(f"items.{c}").alias(c) for c in columns])
 
 
 def _key() -> Column:
@@ -235,31 +283,29 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, grids:
     grams = firsts.select("tid", "runs").mapInPandas(_unpacked, run_type)
     shared = stored(grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"), "suffix-grams")
     candidates = stored(grams.join(shared.hint("merge"), "gram"), "suffix-candidates")
-    marks = _items(candidates, "m", "first", "last", "gram")
-    wanted = firsts.select("tid", "doc_id", "key", "copies").join(marks, "tid").alias("w")
+    # In the first round a range is a whole run: its core is the q-gram.
+    marks = candidates.select("tid", "m", (F.col("m") - F.col("last")).alias("low"), (F.col("m") - F.col("first")).alias("high"))
+    wanted = firsts.select("tid", "doc_id", "key", "copies").join(_items(marks, *SPAN[1:]), "tid").alias("w")
     same = F.col("s.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("s.key") == F.col("w.key"))
     again = source.withColumn("key", _key()).alias("s")
-    live = stored(again.join(wanted.hint("merge"), same).select("w.tid", "w.copies", F.col("s.data").alias("text"), "w.items"), "suffix-live")
-    if heads.groupBy("doc_id", "key").count().where("count > 1 AND key IS NOT NULL").limit(1).count():
-        live = stored(live.dropDuplicates(["tid"]), "suffix-live")
-
-    schema = "tid long, m int, low int, high int, gram long, settled boolean, hull binary"
-    named = stored(live.mapInPandas(_first_round(length, gram), schema), "suffix-named")
-    repeated, open_ = _decide(named, "gram")
-    span = ["tid", "m", "low", "high"]
-    spans = [repeated.select(*span)]
-    schema = "tid long, m int, low int, high int, settled boolean, core binary, hull binary"
-    for grid in grids:
-        asked = _items(open_, "m", "low", "high", "settled")
-        ranges = live.select("tid", "text").join(asked.hint("merge"), "tid")
-        named = stored(ranges.mapInPandas(_next_round(grid, length, gram), schema), "suffix-named")
-        # Whole strings in the last round: core and hull are one.
-        repeated, open_ = _decide(named, "core")
-        spans.append(repeated.select(*span))
+    live = again.join(wanted.hint("merge"), same).select(
+        "w.tid", F.col("s.data").alias("text"), *[f"w.{c}" for c in SPAN[1:]],
+        F.transform("w.m", lambda m: F.col("w.copies") > 1).alias("settled"))
+    live = stored(live, "suffix-live")
+    if not heads.groupBy("doc_id", "key").count().where("count > 1").isEmpty():
+        live = stored(live.dropDuplicates(["tid"]), "suffix-live")  # rows repeated with their id
+
+    ranges, spans = live, []
+    for grid in (length, *grids):
+        named = stored(ranges.mapInPandas(_round(grid, length, gram), _NAMED_TYPES), "suffix-named")
+        # In the last round the ranges are single strings, so that core and hull are one.
+        repeated, open_ = _decide(named)
+        spans.append(repeated.select(*SPAN))
+        ranges = live.select("tid", "text").join(_items(open_, *SPAN[1:], "settled").hint("merge"), "tid")
     every = spans[0]
     for more in spans[1:]:
         every = every.unionByName(more)
-    cut = live.select("tid", "text").join(_items(every, "m", "low", "high").hint("merge"), "tid")
+    cut = live.select("tid", "text").join(_items(every, *SPAN[1:]).hint("merge"), "tid")
     cut = stored(cut.mapInPandas(_cut(length), "tid long, n_removed long, n_spans long, kept_sha256 string"), "suffix-cut")
 
     found = stored(texts.join(cut, "tid", "left").drop("tid"), "suffix-found")
