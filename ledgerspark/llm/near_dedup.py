@@ -30,8 +30,9 @@ BANDS, ROWS = 21, 6
 REGISTERS = 128
 #: Share of agreeing registers below which a pair is not compared in full: 3.5 deviations below 0.8.
 LIKELY = 0.68
-#: Members of a bucket compared as one tile.
-TILE = 256
+#: Bytes of shingles, and members, of a bucket that are compared as one tile.
+TILE_BYTES = 2 * 1024 * 1024
+TILE = 512
 CACHE_ENTRIES = 400_000
 
 U = np.uint64
@@ -148,12 +149,13 @@ def _signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _described(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Fingerprint (a byte per register) and packed shingles of each text."""
+    """Fingerprint (a byte per register), band keys and packed shingles of each text."""
     for batch in batches:
         items = [shingles(bytes(t)) for t in batch["text"]]
         regs = np.concatenate([registers(items[k : k + 500]) for k in range(0, len(items), 500)]) if items else []
         marks = [_mix(r.astype(np.uint64)).astype(np.uint8).tobytes() for r in regs]
-        yield pd.DataFrame({"tid": batch["tid"], "mark": marks, "shingles": [_pack(i) for i in items]})
+        bands = list(band_keys(regs)) if items else []
+        yield pd.DataFrame({"tid": batch["tid"], "mark": marks, "bands": bands, "shingles": [_pack(i) for i in items]})
 
 
 def _alike(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -165,21 +167,45 @@ def _alike(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch.loc[keep, ["a", "b"]]
 
 
-def _tiles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pairs of different classes that agree in enough registers, of two tiles of a bucket."""
-    for batch in batches:
-        for left, right in zip(batch["left"], batch["right"], strict=True):
-            side = []
-            for tile in (left, right):
-                side.append((
-                    np.array([r["tid"] for r in tile]), np.array([r["cls"] for r in tile]),
-                    np.stack([np.frombuffer(r["mark"], np.uint8) for r in tile]),
-                ))
-            (ta, ca, ma), (tb, cb, mb) = side
-            for k in range(len(ta)):
-                on = np.flatnonzero((ca[k] != cb) & ((ma[k] == mb).mean(axis=1) >= LIKELY))
-                if len(on):
-                    yield pd.DataFrame({"a": np.minimum(ta[k], tb[on]), "b": np.maximum(ta[k], tb[on])})
+def _tiles(threshold: float):
+    """Links between different classes of two tiles of a bucket.
+
+    A pair is compared in the first bucket that it shares only, and not if
+    links found before already join its classes: so a link is left out only
+    where it would change no class.
+    """
+
+    def side(tile) -> tuple:
+        return (
+            [r["tid"] for r in tile], np.array([r["cls"] for r in tile]),
+            np.stack([np.frombuffer(r["mark"], np.uint8) for r in tile]), np.stack([r["bands"] for r in tile]),
+            [_unpack(r["shingles"]) for r in tile],
+        )
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for bucket, left, right in zip(batch["bucket"], batch["left"], batch["right"], strict=True):
+                (ta, ca, ma, ba, sa), (tb, cb, mb, bb, sb) = side(left), side(right)
+                joined, links = {}, []
+
+                def find(c: int) -> int:
+                    while (up := joined.get(c, c)) != c:  # noqa: B023
+                        c = up
+                    return c
+
+                for k in range(len(ta)):
+                    agree = (ma[k] == mb).mean(axis=1)
+                    here = ba[k][(ba[k] == bb).argmax(axis=1)] == bucket
+                    on = np.flatnonzero((ca[k] != cb) & (agree >= LIKELY) & here)
+                    for j in on[np.argsort(-agree[on], kind="stable")]:
+                        one, two = find(int(ca[k])), find(int(cb[j]))
+                        if one != two and probability_jaccard(sa[k], sb[j]) >= threshold:
+                            joined[one] = two
+                            links.append((min(ta[k], tb[j]), max(ta[k], tb[j])))
+                if links:
+                    yield pd.DataFrame(links, columns=["a", "b"])
+
+    return compare
 
 
 def _similar(threshold: float):
@@ -238,7 +264,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", _text_key().alias("text_key"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
 
 
-def _links(pairs: DataFrame, texts: DataFrame, threshold: float, marked: bool) -> DataFrame:
+def _links(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) of similarity ``threshold`` or more."""
     def both(column: str) -> DataFrame:
         one = texts.select(F.col("tid").alias("a"), F.col(column).alias(f"{column}_a"))
@@ -246,8 +272,7 @@ def _links(pairs: DataFrame, texts: DataFrame, threshold: float, marked: bool) -
         return pairs.join(one, "a").join(two, "b")
 
     pairs = stored(pairs.distinct(), "near-pairs")
-    if not marked:
-        pairs = stored(both("mark").mapInPandas(_alike, "a long, b long"), "near-likely")
+    pairs = stored(both("mark").mapInPandas(_alike, "a long, b long"), "near-likely")
     return stored(both("shingles").mapInPandas(_similar(threshold), "a long, b long"), "near-links")
 
 
@@ -273,7 +298,7 @@ def near_classes(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     again = _keyed(docs).alias("k")
     same = F.col("k.doc_id").eqNullSafe(F.col("l.doc_id")) & (F.col("k.text_key") == F.col("l.text_key"))
     wanted = again.join(live.hint("merge"), same).select("l.tid", "k.text")
-    texts = stored(wanted.mapInPandas(_described, "tid long, mark binary, shingles binary"), "near-texts")
+    texts = stored(wanted.mapInPandas(_described, "tid long, mark binary, bands array<long>, shingles binary"), "near-texts")
     texts = stored(texts.dropDuplicates(["tid"]), "near-texts") if _repeats(signed) else texts
 
     # Every member of a bucket against the member with most company: one comparison each.
@@ -282,10 +307,10 @@ def near_classes(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     centres = stored(ranked.groupBy("bucket").agg(centre).select("bucket", F.negative("best.minus").alias("centre")), "near-centres")
     pairs = members.join(centres, "bucket").where("tid <> centre").select(
         F.least("tid", "centre").alias("a"), F.greatest("tid", "centre").alias("b"))
-    links = _links(pairs, texts, threshold, marked=False)
+    links = _links(pairs, texts, threshold)
 
     # In buckets of several classes still, every member outside the largest class against every
-    # member of another class: tile by tile, so that only likely pairs leave a task.
+    # member of another class: tile by tile, so that only links leave a task.
     roots = components(links)
     classed = members.join(roots.withColumnRenamed("node", "tid"), "tid", "left").select(
         "bucket", "tid", F.coalesce("root", "tid").alias("cls"))
@@ -297,14 +322,20 @@ def near_classes(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
         .where("classes > 1").select("bucket", "size", F.col("top.cls").alias("top")),
         "near-mixed",
     )
-    open_ = classed.join(mixed, "bucket").join(texts.select("tid", "mark"), "tid")
-    tile = F.pmod(F.xxhash64("tid", "bucket"), F.ceil(F.col("size") / TILE)).alias("tile")
-    open_ = stored(open_.select("bucket", "tid", "cls", "mark", (F.col("cls") != F.col("top")).alias("outside"), tile), "near-open")
-    item = F.collect_list(F.struct("tid", "cls", "mark"))
-    every = stored(open_.groupBy("bucket", "tile").agg(item.alias("right")).select("bucket", "right"), "near-tiles")
-    some = stored(open_.where("outside").groupBy("bucket", "tile").agg(item.alias("left")).select("bucket", "left"), "near-outside")
-    pairs = some.join(every, "bucket").mapInPandas(_tiles, "a long, b long")
-    links = links.unionByName(_links(pairs, texts, threshold, marked=True))
+    inside = stored(classed.join(mixed, "bucket"), "near-inside")
+    lengths = texts.select("tid", F.octet_length("shingles").alias("bytes"))
+    loads = inside.join(lengths, "tid").groupBy("bucket").agg(F.sum("bytes").alias("bytes"))
+    tiles = loads.select("bucket", F.ceil(F.col("bytes") / TILE_BYTES).alias("by_bytes"))
+    open_ = inside.join(stored(tiles, "near-loads"), "bucket").join(texts, "tid")
+    tile = F.pmod(F.xxhash64("tid", "bucket"), F.greatest(F.col("by_bytes"), F.ceil(F.col("size") / TILE))).alias("tile")
+    item = F.struct("tid", "cls", "mark", "bands", "shingles").alias("item")
+    open_ = stored(open_.select("bucket", tile, (F.col("cls") != F.col("top")).alias("outside"), item), "near-open")
+
+    def packed(rows: DataFrame, name: str) -> DataFrame:
+        return stored(rows.groupBy("bucket", "tile").agg(F.collect_list("item").alias(name)).drop("tile"), "near-tiles")
+
+    pairs = packed(open_.where("outside"), "left").join(packed(open_, "right"), "bucket")
+    links = links.unionByName(stored(pairs.mapInPandas(_tiles(threshold), "a long, b long"), "near-links"))
 
     roots = components(links)
     named = firsts.join(roots.withColumnRenamed("node", "tid"), "tid", "left").select(
