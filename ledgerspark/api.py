@@ -72,10 +72,13 @@ def row_to_message(raw: DataFrame) -> DataFrame:
     return messages.to_messages(raw)
 
 
-def produce(raw: DataFrame, target: str, limit: int = 1000, order_by: tuple[str, ...] = (), kafka: dict | None = None) -> int:
+def produce(raw: DataFrame, target: str, limit: int = 0, order_by: tuple[str, ...] = (), kafka: dict | None = None) -> int:
     """Publish the first ``limit`` rows (0 = all) as JSON messages, to a
     Kafka topic (``kafka`` options: ``kafka.bootstrap.servers``, ``topic``)
-    or as text files under ``target``.  Returns the number sent."""
+    or as text files under ``target``.  A limit needs an order, so that it
+    names the same rows each time.  Returns the number sent."""
+    if limit > 0 and not order_by:
+        raise ValueError("limit needs order_by")
     obs = Observation()
     counted = messages.to_messages(files.replay(raw, limit, order_by)).observe(obs, F.count(F.lit(1)).alias("n"))
     if kafka:

@@ -98,10 +98,11 @@ def money_text(amount: str | Column) -> Column:
 def exact_sum(amount: str | Column, scale: int = 2) -> Column:
     """Sum of a money column in fixed-point, returned as double.
 
-    Summing doubles depends on the order of additions; summing cents is
-    exact and order-free, so every run (and every engine) agrees.
+    Summing doubles depends on the order of additions; a sum of decimals
+    does not, so every run (and every engine) agrees.  Amounts enter with
+    six decimals and only the total is rounded.
     """
-    return F.sum(_c(amount).cast(f"decimal(18,{scale})")).cast("double")
+    return F.round(F.sum(_c(amount).cast("decimal(28,6)")), scale).cast("double")
 
 
 def half_up_ratio(num: str | Column, den: str | Column, dp: int, scale: int = 1) -> Column:

@@ -14,6 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from ..spec import LedgerSpec
 
 # How many offending values to name in an error message.
@@ -107,6 +108,14 @@ def inconsistency_report(
 # --- enforcement ------------------------------------------------------------
 
 
+def stored_report(report: DataFrame, name: str) -> DataFrame:
+    """``report`` written to the shared scratch folder and read back."""
+    spark = report.sparkSession
+    path = scratch_path(spark, name)
+    report.write.parquet(path)
+    return spark.read.schema(report.schema).parquet(path)
+
+
 def _raise(problems: list[str], layer: str) -> None:
     if problems:
         raise QualityError(f"{layer} quality gate failed: " + "; ".join(problems))
@@ -123,39 +132,38 @@ def bronze_profile(df: DataFrame, spec: LedgerSpec = LedgerSpec(), type_col: str
     return df.groupBy(F.col(type_col).alias("value")).agg(*aggs)
 
 
-# A domain of a handful of types: more distinct values than this is itself
-# a violation, and keeps the profile collected to the driver bounded.
-MAX_TYPE_VALUES = 1000
-
-
 def validate_bronze(df: DataFrame, spec: LedgerSpec = LedgerSpec(), type_col: str = "type") -> list:
     """Required columns present and non-null, no negative amount, every type
-    in the domain (a null type is out of the domain).  One job; returns the
-    per-type profile rows on success."""
+    in the domain (a null type is out of the domain).  Returns the per-type
+    profile rows on success (no more than the domain has values).
+
+    Every row counts: the totals are summed by Spark over all types, and
+    only the message names no more than the first offending types."""
     problems: list[str] = []
     missing = [c for c in spec.required_columns if c not in df.columns]
     if missing:
         problems.append(f"missing columns {missing}")
     if type_col not in df.columns:
         _raise(problems + [f"missing column {type_col!r}"], "bronze")
-    profile = bronze_profile(df, spec, type_col).limit(MAX_TYPE_VALUES + 1).collect()
-    if len(profile) > MAX_TYPE_VALUES:
-        problems.append(f"more than {MAX_TYPE_VALUES} distinct {type_col} values")
+    table = stored_report(bronze_profile(df, spec, type_col), "bronze-profile")
     present = [c for c in spec.required_columns if c in df.columns]
-    nulls = {c: sum(r[f"null_{c}"] for r in profile) for c in present}
+    known = F.coalesce(F.col("value").isin(*spec.types), F.lit(False))
+    sums = [F.sum(c).alias(c) for c in table.columns if c not in ("value", "n_rows")]
+    total = table.agg(F.count_if(~known).alias("n_offenders"), *sums).first()
+    nulls = {c: total[f"null_{c}"] or 0 for c in present}
     bad_nulls = [f"{c}={n}" for c, n in nulls.items() if n]
     if bad_nulls:
         problems.append(f"null values in required columns ({', '.join(bad_nulls)})")
     if "amount" in df.columns:
-        n_neg = sum(r.n_negative for r in profile)
+        n_neg = total.n_negative or 0
         if n_neg:
             problems.append(f"{n_neg} negative amounts")
-    offenders = sorted((r for r in profile if r.value not in spec.types), key=lambda r: -r.n_rows)
-    if offenders:
-        names = ", ".join(f"{r.value!r} ({r.n_rows})" for r in offenders[:MESSAGE_VALUES])
-        problems.append(f"{len(offenders)} unexpected types: {names}")
+    if total.n_offenders:
+        first = table.filter(~known).orderBy(F.desc("n_rows"), "value").limit(MESSAGE_VALUES).collect()
+        names = ", ".join(f"{r.value!r} ({r.n_rows})" for r in first)
+        problems.append(f"{total.n_offenders} unexpected types: {names}")
     _raise(problems, "bronze")
-    return profile
+    return table.collect()
 
 
 def validate_silver(df: DataFrame, spec: LedgerSpec = LedgerSpec()) -> DataFrame:
@@ -168,8 +176,12 @@ def validate_silver(df: DataFrame, spec: LedgerSpec = LedgerSpec()) -> DataFrame
         problems.append("table is empty")
     if dup.n_duplicates:
         problems.append(f"{dup.n_duplicates} residual duplicates on {list(spec.dedup_keys)}")
-    report = inconsistency_report(df, spec.thresholds).orderBy("transaction_type")
-    for r in report.filter("violated").limit(MESSAGE_VALUES).collect():
+    report = stored_report(inconsistency_report(df, spec.thresholds), "silver-rates").orderBy("transaction_type")
+    violated = report.filter("violated")
+    n_violated = violated.count()
+    if n_violated > MESSAGE_VALUES:
+        problems.append(f"{n_violated} types above their threshold, the first {MESSAGE_VALUES}")
+    for r in violated.limit(MESSAGE_VALUES).collect():
         problems.append(f"{r.transaction_type}: rate {r.rate:.1%} > threshold {r.threshold:.1%}")
     _raise(problems, "silver")
     return report

@@ -17,6 +17,7 @@ from ..operators import features as feats
 from ..operators import marts, quality, star
 from ..operators.clean import stamp_lineage, to_silver
 from ..sources.files import CORRUPT_COLUMN, read_raw_csv, read_table, split_corrupt
+from ..session import scratch_path
 from ..sources.sinks import write_table, write_tables
 from ..spec import LedgerSpec
 
@@ -41,26 +42,30 @@ def ingest_bronze(
     Each row is stamped with the ingestion time and the name of the file
     it came from.  Malformed lines, and rows without a partition value
     (which would otherwise land in a default partition), go to
-    ``quarantine`` when given, as the raw line or the row as JSON text.
+    ``quarantine`` (default: ``<out>__quarantine``), as the raw line or the
+    row as JSON text: bronze and quarantine rows add up to the input.
     Returns the bronze row count.
+
+    The text is parsed once, with every column, into a staging table; both
+    parts are split from that, so neither depends on the columns read later.
     """
-    clean, bad = split_corrupt(read_raw_csv(spark, csv_path))
+    staging = scratch_path(spark, "ingest")
+    write_table(stamp_lineage(read_raw_csv(spark, csv_path)), staging)
+    clean, bad = split_corrupt(read_table(spark, staging))
+    lineage = ["ingestion_timestamp", "source_file"]
+    row_json = F.to_json(F.struct(*[c for c in clean.columns if c not in lineage]))
     no_key = F.col(partition_by).isNull()
-    if quarantine:
-        row_json = F.to_json(F.struct(*clean.columns))
-
-        def rejected(df, reason, text):
-            return stamp_lineage(df).select(
-                text.alias("raw_value"), F.lit(reason).alias("reason"), "ingestion_timestamp", "source_file"
-            )
-
-        write_table(
-            rejected(bad, "malformed line", F.coalesce(F.col(CORRUPT_COLUMN), row_json)).unionByName(
-                rejected(clean.filter(no_key), f"no {partition_by}", row_json)
-            ),
-            quarantine,
-        )
-    return write_table(stamp_lineage(clean.filter(~no_key)), out, partition_by=[partition_by])
+
+    def rejected(df, reason, text):
+        return df.select(text.alias("raw_value"), F.lit(reason).alias("reason"), *lineage)
+
+    write_table(
+        rejected(bad, "malformed line", F.coalesce(F.col(CORRUPT_COLUMN), row_json)).unionByName(
+            rejected(clean.filter(no_key), f"no {partition_by}", row_json)
+        ),
+        quarantine or out.rstrip("/") + "__quarantine",
+    )
+    return write_table(clean.filter(~no_key), out, partition_by=[partition_by])
 
 
 def build_silver(spark: SparkSession, bronze: str, out: str, spec: LedgerSpec = LedgerSpec()) -> DataFrame:

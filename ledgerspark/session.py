@@ -76,6 +76,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="ledgerspark-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, root)
     if not spark.sparkContext.getCheckpointDir():

@@ -28,16 +28,19 @@ def kafka_source(
     topic: str,
     batch_rows: int = STREAM_BATCH_ROWS,
     starting_offsets: str = "earliest",
+    fail_on_data_loss: bool = True,
 ) -> DataFrame:
     """Topic subscription; ``batch_rows`` caps each micro-batch.  Needs the
-    Kafka connector on the classpath (not present in this environment)."""
+    Kafka connector on the classpath (not present in this environment).
+    Offsets that retention has removed fail the stream unless
+    ``fail_on_data_loss`` is off."""
     return (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", bootstrap_servers)
         .option("subscribe", topic)
         .option("startingOffsets", starting_offsets)
         .option("maxOffsetsPerTrigger", str(batch_rows))
-        .option("failOnDataLoss", "false")
+        .option("failOnDataLoss", str(fail_on_data_loss).lower())
         .load()
         .select(F.col("value").cast("string").alias("value"))
     )
