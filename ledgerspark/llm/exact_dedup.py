@@ -41,9 +41,9 @@ def _blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
     )
 
 
-def _numbered_names(distinct: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """Integer names in sort order; unique, with gaps between range partitions."""
-    ranked = distinct.repartitionByRange(*keys).sortWithinPartitions(*keys)
+def _numbered_names(distinct: DataFrame, keys: list[str], then: list[str], name: str) -> DataFrame:
+    """Integer names in the order of ``keys`` and ``then``; unique, with gaps between range partitions."""
+    ranked = distinct.repartitionByRange(*keys).sortWithinPartitions(*keys, *then)
     return stored(ranked.withColumn("name", F.monotonically_increasing_id()), name)
 
 
@@ -91,7 +91,9 @@ def text_classes(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataF
     parts = content.select(
         "text_no", F.size("blocks").alias("n"), F.posexplode("blocks").alias("i", "block")
     )
-    names = _numbered_names(parts.select("block").distinct(), ["block"], "exact-names")
+    # The hash leads the order, so that choosing range bounds samples numbers and no blocks.
+    distinct = parts.select("block").distinct().withColumn("h", F.xxhash64("block"))
+    names = _numbered_names(distinct, ["h"], ["block"], "exact-names").drop("h")
     now = stored(parts.join(names, "block").select("text_no", "n", "i", "name"), "exact-level")
 
     level, done = 0, []
@@ -113,7 +115,7 @@ def text_classes(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataF
             .withColumn("n", F.floor((F.col("n") + 1) / 2).cast("int")),
             "exact-pairs",
         )
-        names = _numbered_names(pairs.select("left", "right").distinct(), ["left", "right"], "exact-names")
+        names = _numbered_names(pairs.select("left", "right").distinct(), ["left", "right"], [], "exact-names")
         now = stored(pairs.join(names, ["left", "right"]).select("text_no", "n", "i", "name"), "exact-level")
     roots = done[0]
     for more in done[1:]:
