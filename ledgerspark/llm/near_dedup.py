@@ -119,15 +119,53 @@ def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, n
     both, ia, ib = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
     if not len(both):
         return 0.0
-    pairs, counts = np.unique(np.stack([a[1][ia], b[1][ib]], axis=1), axis=0, return_counts=True)
-    only_a, only_b = a[1].sum() - a[1][ia].sum(), b[1].sum() - b[1][ib].sum()
-    wa, wb = pairs[:, 0].astype(float), pairs[:, 1].astype(float)
+    xa, xb = a[1][ia], b[1][ib]
+    pairs, counts = np.unique(xa.astype(np.uint64) << U(32) | xb.astype(np.uint64), return_counts=True)
+    only_a, only_b = a[1].sum() - xa.sum(), b[1].sum() - xb.sum()
+    wa, wb = (pairs >> U(32)).astype(float), (pairs & U(0xFFFFFFFF)).astype(float)
     total = 0.0
     for x, y, n in zip(wa, wb, counts, strict=True):
         total += n / (only_a / x + only_b / y + (np.maximum(wa / x, wb / y) * counts).sum())
     return float(total)
 
 
+class _Shelf:
+    """Weighted shingle sets laid end to end, to compare one set with all of them at once."""
+
+    def __init__(self, items: list[tuple[np.ndarray, np.ndarray]]):
+        sizes = np.array([len(h) for h, _ in items])
+        self.items, self.starts = items, np.cumsum(sizes) - sizes
+        self.words, self.ids = np.unique(np.concatenate([h for h, _ in items]), return_inverse=True)
+        self.weights = np.concatenate([w for _, w in items])
+        self.totals = np.add.reduceat(self.weights, self.starts)
+        self.plain = self.totals == sizes  # every shingle once
+        self.shares = self.weights / np.repeat(self.totals, sizes)
+
+    def similar(self, a: tuple[np.ndarray, np.ndarray], among: np.ndarray, threshold: float) -> np.ndarray:
+        """Those of the sets numbered ``among`` whose similarity to ``a`` is ``threshold`` or more.
+
+        Between sets that hold each shingle once it is the shared part of their
+        union; for others the shared part of the weights' distributions is an
+        upper bound, and ``probability_jaccard`` decides.
+        """
+        at = np.minimum(np.searchsorted(self.words, a[0]), len(self.words) - 1)
+        there = self.words[at] == a[0]
+        weight = np.zeros(len(self.words))
+        weight[at[there]] = a[1][there]
+        met, total = weight[self.ids], a[1].sum()
+        common = np.add.reduceat(met > 0, self.starts, dtype=np.int64)[among]
+        sure = common / (total + self.totals[among] - common) >= threshold
+        plain = self.plain[among] & (total == len(a[0]))
+        if plain.all():
+            return among[sure]
+        bound = np.add.reduceat(np.minimum(met / total, self.shares), self.starts)[among]
+        keep = [
+            k if p else b >= threshold - 1e-9 and probability_jaccard(a, self.items[j]) >= threshold
+            for k, p, b, j in zip(sure, plain, bound, among, strict=True)
+        ]
+        return among[np.array(keep, bool)]
+
+
 def _pack(item: tuple[np.ndarray, np.ndarray]) -> bytes:
     return item[0].astype("<u8").tobytes() + item[1].astype("<u4").tobytes()
 
@@ -186,7 +224,7 @@ def _tiles(threshold: float):
         for batch in batches:
             for bucket, left, right in zip(batch["bucket"], batch["left"], batch["right"], strict=True):
                 (ta, ca, ma, ba, sa), (tb, cb, mb, bb, sb) = side(left), side(right)
-                joined, links = {}, []
+                joined, links, shelf = {}, [], _Shelf(sb)
 
                 def find(c: int) -> int:
                     while (up := joined.get(c, c)) != c:  # noqa: B023
@@ -197,9 +235,10 @@ def _tiles(threshold: float):
                     agree = (ma[k] == mb).mean(axis=1)
                     here = ba[k][(ba[k] == bb).argmax(axis=1)] == bucket
                     on = np.flatnonzero((ca[k] != cb) & (agree >= LIKELY) & here)
-                    for j in on[np.argsort(-agree[on], kind="stable")]:
+                    on = on[[find(int(c)) != find(int(ca[k])) for c in cb[on]]] if len(on) else on
+                    for j in shelf.similar(sa[k], on, threshold) if len(on) else ():
                         one, two = find(int(ca[k])), find(int(cb[j]))
-                        if one != two and probability_jaccard(sa[k], sb[j]) >= threshold:
+                        if one != two:
                             joined[one] = two
                             links.append((min(ta[k], tb[j]), max(ta[k], tb[j])))
                 if links:

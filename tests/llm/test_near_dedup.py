@@ -13,8 +13,12 @@ def shingle_counts(text):
 
 
 def similarity(a, b):
-    every = set(a) | set(b)
-    return sum(1 / sum(max(a[e] / a[d], b[e] / b[d]) for e in every) for d in set(a) & set(b))
+    """The sum over common d of 1 / (the sum over all e of max(a[e] / a[d], b[e] / b[d]))."""
+    every = list(set(a) | set(b))
+    wa, wb = (np.array([w[e] for e in every], float) for w in (a, b))
+    both = (wa > 0) & (wb > 0)
+    totals = np.maximum(wa / wa[both][:, None], wb / wb[both][:, None]).sum(axis=1)
+    return float((1 / totals).sum())
 
 
 def test_exact_similarity():
