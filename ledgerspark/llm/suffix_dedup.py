@@ -204,7 +204,8 @@ def _decide(named: DataFrame) -> tuple[DataFrame, DataFrame]:
     # Where a core is shared, one range of each repeated hull stands for all.
     stands = ~F.col("again") | ((F.col("first.tid") == F.col("tid")) & (F.col("first.m") == F.col("m")))
     ahead = judged.where(stands).join(cores, core, "left_semi")
-    ahead = ahead.withColumn("settled", F.col("settled") | F.col("again"))
+    # Stored, so that AQE may split a hot core in the join, and the count below combines before its shuffle.
+    ahead = stored(ahead.withColumn("settled", F.col("settled") | F.col("again")), "suffix-ahead")
     # A core left with settled ranges alone needs no further round.
     needed = ahead.groupBy(*core).agg(F.min(F.col("settled").cast("int")).alias("s")).where("s = 0").select(*core)
     needed = stored(needed, "suffix-needed")
