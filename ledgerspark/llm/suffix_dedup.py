@@ -64,7 +64,10 @@ def gram_buckets(data: np.ndarray, gram: int = GRAM) -> np.ndarray:
 
 
 def runs(text: bytes, length: int = LENGTH, gram: int = GRAM) -> np.ndarray:
-    """The runs (m, first, last, gram) of the starts 0..n-length: position and bucket of their common q-gram."""
+    """The runs (m, first, last, gram) of the starts 0..n-length: position and bucket of their common q-gram.
+
+    A run that goes on in the next chunks is one run: two would count as two places.
+    """
     n, wide = len(text) - length + 1, length - gram + 1
     found = []
     for at in range(0, n, CHUNK):
@@ -82,7 +85,11 @@ def runs(text: bytes, length: int = LENGTH, gram: int = GRAM) -> np.ndarray:
         part["m"], part["first"] = place[first] + at, first + at
         part["last"] = np.append(first[1:], len(place)) - 1 + at
         part["gram"] = bucket[place[first]].view(np.int64)
-        found.append(part)
+        if len(part) and found and found[-1]["m"][-1] == part["m"][0]:
+            found[-1]["last"][-1] = part["last"][0]
+            part = part[1:]
+        if len(part):
+            found.append(part)
     return np.concatenate(found) if found else np.empty(0, RUN)
 
 

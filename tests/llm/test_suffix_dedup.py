@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 
 from ledgerspark.llm import suffix_dedup as S
 
@@ -51,5 +52,32 @@ def test_runs_do_not_depend_on_chunks(monkeypatch):
     assert whole == cut and len(whole) == 5000 - 399
 
 
+@pytest.mark.parametrize("chunk", (60, 700))
+def test_a_run_across_chunks_is_one_run(monkeypatch, chunk):
+    rng = random.Random(1)
+    text = "".join(rng.choice("abcdefgh ") for _ in range(5000)).encode()
+    whole = S.runs(text)
+    monkeypatch.setattr(S, "CHUNK", chunk)
+    assert np.array_equal(S.runs(text), whole)
+
+
+@pytest.fixture
+def small_chunks(monkeypatch):
+    """CHUNK of 300 bytes, in the Python workers too: the module travels by value."""
+    monkeypatch.setattr(S, "CHUNK", 300)
+    cloudpickle.register_pickle_by_value(S)
+    yield
+    cloudpickle.unregister_pickle_by_value(S)
+
+
+def test_long_texts_in_small_chunks(make_docs, small_chunks):
+    rng = random.Random(5)
+    once = ["".join(rng.choice("abcdefgh \n") for _ in range(3000)) for _ in range(4)]
+    passage = once[3][400:1000]
+    rows = [(0, once[0]), (1, once[1][:1500] + passage + once[1][1500:]), (2, once[2] + passage[:450]), (3, "xy" * 700)]
+    got = S.suffix_dedup(make_docs(rows), length=100, gram=8, grids=(16, 1))
+    assert Counter(map(tuple, got.collect())) == brute(rows, 100)
+
+
 def test_empty_table(make_docs):
     assert S.suffix_dedup(make_docs([])).count() == 0
