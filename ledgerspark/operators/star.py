@@ -2,7 +2,7 @@
 
 Keys are reproducible: account and transaction keys are a 60-bit hash of
 the natural key (same value on every run, every partitioning, and in
-DuckDB), so the fact can carry foreign keys without a lookup join.
+DuckDB).
 """
 
 from __future__ import annotations
@@ -95,34 +95,46 @@ def star_lookup(
     time_dim: DataFrame,
     type_dim: DataFrame,
     max_dim_rows: int = SMALL_DIM_ROWS,
+    accounts: DataFrame | None = None,
 ) -> DataFrame:
     """Resolve the fact's foreign keys against the dimensions.
 
     Time and type dimensions are small and joined by a size-checked
-    broadcast (no shuffle of the fact).  Account keys are hashes of the
-    account id, so they are computed in place: joining a multi-billion
-    row fact twice to the account dimension would shuffle the fact twice
-    for a value the hash already gives.  Presence of every account in the
-    dimension is what :func:`orphan_keys` checks.  The joins are left
-    joins: a fact row whose key is missing keeps a null dimension key
-    instead of disappearing.
+    broadcast (no shuffle of the fact).  The account dimension is looked up
+    for sender and receiver, giving key and type of each; an id that is null
+    finds the dimension's null row.  These joins are shuffled by account id
+    unless the planner measures the dimension as small, and AQE splits the
+    fact rows of a hot account.  All joins are left joins: a fact row whose
+    key is missing keeps a null dimension key instead of disappearing.
+    Without ``accounts`` nothing is looked up: the account keys are the
+    hashes that the dimension would hold, and there are no types.
     """
     t = sized_broadcast(time_dim.select("time_key", "day", "hour_of_day"), max_dim_rows)
     k = sized_broadcast(type_dim.select("transaction_type", "type_key"), max_dim_rows)
-    return (
-        fact.join(t, "time_key", "left")
-        .join(k, "transaction_type", "left")
-        .select(
-            "transaction_key",
-            "time_key",
-            "day",
-            "hour_of_day",
-            "type_key",
-            surrogate_key("name_orig").alias("orig_account_key"),
-            surrogate_key("name_dest").alias("dest_account_key"),
-            "amount",
-            "is_fraud",
+    found = fact.join(t, "time_key", "left").join(k, "transaction_type", "left")
+    types = []
+    for role in ("orig", "dest"):
+        if accounts is None:
+            found = found.withColumn(f"{role}_account_key", surrogate_key(f"name_{role}"))
+            continue
+        types.append(f"{role}_account_type")
+        a = accounts.select(
+            F.col("account_id").alias(f"{role}_id"),
+            F.col("account_key").alias(f"{role}_account_key"),
+            F.col("account_type").alias(types[-1]),
         )
+        found = found.join(a, F.col(f"name_{role}").eqNullSafe(F.col(f"{role}_id")), "left")
+    return found.select(
+        "transaction_key",
+        "time_key",
+        "day",
+        "hour_of_day",
+        "type_key",
+        "orig_account_key",
+        "dest_account_key",
+        "amount",
+        "is_fraud",
+        *types,
     )
 
 

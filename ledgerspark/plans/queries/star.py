@@ -43,11 +43,38 @@ LEFT JOIN dim_type k ON f.transaction_type = k.transaction_type""",
     ),
 )
 def q_star_lookup(spark, sf_dir):
+    # The columns of its SQL; star_lookup_accounts has the types as well.
+    return _lookup(spark, sf_dir).drop("orig_account_type", "dest_account_type")
+
+
+@query(
+    "star_lookup_accounts",
+    O.with_silver(
+        """SELECT f.transaction_key, f.time_key, t.day, t.hour_of_day, k.type_key,
+  o.account_key AS orig_account_key, d.account_key AS dest_account_key, f.amount, f.is_fraud,
+  o.account_type AS orig_account_type, d.account_type AS dest_account_type
+FROM fact f LEFT JOIN dim_time t ON f.time_key = t.time_key
+LEFT JOIN dim_type k ON f.transaction_type = k.transaction_type
+LEFT JOIN dim_account o ON f.name_orig IS NOT DISTINCT FROM o.account_id
+LEFT JOIN dim_account d ON f.name_dest IS NOT DISTINCT FROM d.account_id""",
+        FACT_CTE,
+        DIM_TIME_CTE,
+        DIM_TYPE_CTE,
+        DIM_ACCOUNT_CTE,
+    ),
+)
+def q_star_lookup_accounts(spark, sf_dir):
+    return _lookup(spark, sf_dir)
+
+
+def _lookup(spark, sf_dir):
     # As in the batch chain, the dimensions come from a materialised silver
     # table: the size check before broadcasting them is then a cheap scan,
     # not a second run of the dedup shuffle.
     s = silver_table(spark, sf_dir)
-    return star.star_lookup(star.fact_transactions(s, SPEC), star.dim_time(s, SPEC), star.dim_transaction_type(s))
+    return star.star_lookup(
+        star.fact_transactions(s, SPEC), star.dim_time(s, SPEC), star.dim_transaction_type(s), accounts=star.dim_account(s)
+    )
 
 
 @query(

@@ -164,6 +164,36 @@ def test_star_lookup_keeps_fact_rows_with_missing_keys(spark, make_silver):
     assert got == [(1, 1), (2, None)]
 
 
+def test_star_lookup_takes_keys_and_types_from_the_account_dimension(spark, make_silver):
+    silver = make_silver([
+        dict(step=1, name_orig="C1", name_dest="M9"),
+        dict(step=2, name_orig="C2", name_dest="C1"),
+        dict(step=3, name_orig="C1", name_dest="M8"),
+    ])
+    accounts = star.dim_account(silver).filter(~F.col("account_id").isin("C2", "M8"))
+    accounts = accounts.withColumn("account_type", F.concat(F.lit("type of "), "account_id"))
+    key = {r.account_id: r.account_key for r in accounts.collect()}
+    out = star.star_lookup(
+        star.fact_transactions(silver), star.dim_time(silver), star.dim_transaction_type(silver), accounts=accounts
+    )
+    got = {r.time_key: (r.orig_account_key, r.orig_account_type, r.dest_account_key, r.dest_account_type)
+           for r in out.collect()}
+    assert got == {
+        1: (key["C1"], "type of C1", key["M9"], "type of M9"),
+        2: (None, None, key["C1"], "type of C1"),
+        3: (key["C1"], "type of C1", None, None),
+    }
+
+
+def test_star_lookup_of_a_null_account_finds_the_null_row(spark, make_silver):
+    silver = make_silver([dict(step=1, name_orig="C1")]).withColumn("name_orig", F.lit(None).cast("string"))
+    row = star.star_lookup(
+        star.fact_transactions(silver), star.dim_time(silver), star.dim_transaction_type(silver),
+        accounts=star.dim_account(silver),
+    ).first()
+    assert row.orig_account_key is not None and row.dest_account_key is not None
+
+
 def test_rates_equal_reference_style_rounding(spark):
     """The exact half-up rates equal round(avg(flag), 4) / ROUND(sum*100.0/count, 4)
     as Spark computes them, on the whole test ledger."""
