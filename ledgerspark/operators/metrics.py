@@ -38,15 +38,20 @@ def average_precision(df: DataFrame, label: str = "label", score: str = "score",
     * per-range totals (<= ``buckets`` rows) give each range the counts of
       all higher ranges;
     * a window partitioned by range runs the sums inside each range.
+
+    A row without a score (null, NaN) or with a label other than 0 and 1 has
+    no place in the ranking: such rows are counted and raise ``ValueError``.
     """
-    scored = df.filter(F.col(score).isNotNull()).select(
-        F.col(score).cast("double").alias("_s"), F.col(label).cast("long").alias("_y")
-    )
+    s, y = F.col(score).cast("double"), F.col(label)
+    scored = df.select(s.alias("_s"), y.cast("long").alias("_y"))
+    ranked = s.isNotNull() & ~F.isnan(s) & y.isNotNull() & y.isin(0, 1)
+    n, n_ranked = df.agg(F.count(F.lit(1)), F.count_if(ranked)).first()
+    if n > n_ranked:
+        raise ValueError(f"{n - n_ranked} of {n} rows have no {score} or a {label} other than 0 and 1")
     per_score = scored.groupBy("_s").agg(F.sum("_y").alias("_tp"), F.count(F.lit(1)).alias("_n"))
     # Range boundaries only balance the work (the result is exact for any
     # boundaries), so they come from one shuffle-free pass over the scores.
     if buckets is None:
-        n = scored.count()
         buckets = min(AP_MAX_BUCKETS, max(AP_BUCKETS, -(-n // AP_ROWS_PER_RANGE)))
     probs = [i / buckets for i in range(1, buckets)]
     cuts = sorted(set(scored.approxQuantile("_s", probs, 1.0 / (4 * buckets)))) if buckets > 1 else []
@@ -75,14 +80,19 @@ def average_precision(df: DataFrame, label: str = "label", score: str = "score",
 
 
 def confusion_counts(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """One row with tn, fp, fn, tp (single pass)."""
+    """One row with tn, fp, fn, tp (single pass); rows in none of the cells (nulls, other values) raise."""
     y, p = F.col(label), F.col(prediction)
-    return df.agg(
+    cells = ["tn", "fp", "fn", "tp"]
+    counts = df.agg(
         F.count_if((y == 0) & (p == 0)).alias("tn"),
         F.count_if((y == 0) & (p == 1)).alias("fp"),
         F.count_if((y == 1) & (p == 0)).alias("fn"),
         F.count_if((y == 1) & (p == 1)).alias("tp"),
+        F.count(F.lit(1)).alias("n"),
     )
+    left = F.col("n") - sum(F.col(c) for c in cells)
+    message = F.concat(left.cast("string"), F.lit(f" rows have a {label} or {prediction} other than 0 and 1"))
+    return counts.select(*[F.when(left == 0, F.col(c)).otherwise(F.raise_error(message).cast("long")).alias(c) for c in cells])
 
 
 def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:

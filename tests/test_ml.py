@@ -219,3 +219,18 @@ def test_training_plan_end_to_end(spark, tmp_dir):
     again = iforest.load_forest(spark, f"{tmp_dir}/models/isolation_forest")
     assert again.trees == 10
     assert models.load_model(f"{tmp_dir}/models/logistic_regression") is not None
+
+
+@pytest.mark.parametrize("row", [(1, None), (1, float("nan")), (None, 0.5), (2, 0.5)])
+def test_average_precision_raises_on_rows_it_cannot_rank(spark, row):
+    df = spark.createDataFrame([(1, 0.9), (0, 0.1), row], "label int, score double")
+    with pytest.raises(ValueError, match="1 of 3 rows"):
+        metrics.average_precision(df)
+
+
+@pytest.mark.parametrize("row", [(1, None), (None, 0), (2, 1), (0, -1)])
+def test_confusion_counts_raise_on_rows_in_no_cell(spark, row):
+    df = spark.createDataFrame([(1, 1), (0, 0), row], "label int, prediction int")
+    with pytest.raises(Exception, match="1 rows have"):
+        metrics.confusion_counts(df).collect()
+    assert tuple(metrics.confusion_counts(df.limit(0)).first()) == (0, 0, 0, 0)
