@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .collocations import collocations
 from .exact_dedup import exact_dedup
 from .langid import language_id
 from .mixing import mix_taken
@@ -149,3 +150,48 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_policy(rule_ledger(_table(spark, sf_dir, "documents")))
+
+
+@_query(
+    "op11_collocations",
+    r"""
+    WITH p AS (
+      SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\x0A-\x0D]')) AS piece
+      FROM documents
+    ), w AS (
+      SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p
+    ), g AS (
+      SELECT lang, m, unnest(list_transform(range(1, CAST(len(ws) AS BIGINT) - m + 2),
+        lambda i: array_to_string(ws[i : i + m - 1], ' '))) AS phrase
+      FROM w, (VALUES (1), (2), (3)) AS v(m)
+    ), f AS (
+      SELECT lang, m, phrase, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 10
+    ), total AS (
+      SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang
+    ), c AS (
+      SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE m > 1
+    ), cut AS (
+      SELECT c.lang, c.m, c.phrase, c.a, k, x.f AS l, y.f AS r,
+             CAST(CAST(1000000 AS HUGEINT) * c.a * c.a // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+      FROM (SELECT *, unnest(range(1, m)) AS k FROM c) AS c
+      JOIN f AS x ON x.lang = c.lang AND x.m = k AND x.phrase = array_to_string(ws[1 : k], ' ')
+      JOIN f AS y ON y.lang = c.lang AND y.m = c.m - k AND y.phrase = array_to_string(ws[k + 1 : c.m], ' ')
+    ), low AS (
+      SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+    ), inner_ AS (
+      SELECT lang, unnest([array_to_string(ws[1 : 2], ' '), array_to_string(ws[2 : 3], ' ')]) AS phrase, a
+      FROM c WHERE m = 3
+    ), cover AS (
+      SELECT lang, phrase, max(a) AS cover FROM inner_ GROUP BY ALL
+    ), ranked AS (
+      SELECT low.*, row_number() OVER (PARTITION BY low.lang ORDER BY score DESC, a DESC, low.phrase) AS rank
+      FROM low LEFT JOIN cover ON cover.lang = low.lang AND cover.phrase = low.phrase
+      WHERE cover IS NULL OR 100 * cover < 50 * a
+    )
+    SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_table(spark, sf_dir, "documents"))
