@@ -15,6 +15,7 @@ from .packing import pack
 from .quality_rules import apply_policy, rule_ledger
 from .sharding import shard_rows
 from .suffix_dedup import suffix_dedup
+from .suffix_trees import substring_dedup
 from .toxicity import toxicity
 from .warc import warc_round_trip
 
@@ -195,3 +196,28 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(_table(spark, sf_dir, "documents"))
+
+
+@_query(
+    "op12_substring_dedup",
+    r"""
+    WITH d AS (
+      SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+    ), w AS (
+      SELECT r, doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i, len(ws) AS n FROM d
+    ), h AS (
+      SELECT r, doc_id, i, n, md5(string_agg(w, ' ') OVER (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING)) AS h FROM w
+    ), again AS (
+      SELECT r, i FROM h WHERE i + 49 <= n QUALIFY min(doc_id) OVER (PARTITION BY h) < doc_id
+    ), gone AS (
+      SELECT DISTINCT r, unnest(range(i, i + 50)) AS i FROM again
+    ), kept AS (
+      SELECT w.r, string_agg(w.w, ' ' ORDER BY w.i) AS t, count(*) AS k FROM w ANTI JOIN gone USING (r, i) GROUP BY w.r
+    )
+    SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(k, 0) AS BIGINT) AS n_removed,
+           sha256(coalesce(t, '')) AS kept_sha256
+    FROM d LEFT JOIN kept USING (r)
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(_table(spark, sf_dir, "documents"))
