@@ -14,6 +14,7 @@ from .near_dedup import near_dedup
 from .packing import pack
 from .quality_rules import apply_policy, rule_ledger
 from .sharding import shard_rows
+from .spelling import spelling_variants
 from .suffix_dedup import suffix_dedup
 from .suffix_trees import substring_dedup
 from .toxicity import toxicity
@@ -221,3 +222,8 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(_table(spark, sf_dir, "documents"))
+
+
+@_query("op13_spelling_variants")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(_table(spark, sf_dir, "documents"))
