@@ -12,6 +12,7 @@ decide are counts of texts, whatever fingerprints collide.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,14 +22,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import python_ready, stored
-from .grams import Fingerprints, U, WordIds, hash_filter, mix, passes
+from .grams import Fingerprints, U, WordIds, hash_filter, mix, passes, words_of
 
 MAX_WORDS = 3
 MIN_COUNT = 10
 COVERED_PERCENT = 50
 TOP = 2000
-#: Words of a chunk: bounds a worker's memory; a longer text is one chunk.
-CHUNK_WORDS = 1 << 20
+#: Bytes of a chunk: bounds a worker's memory; a longer text is one chunk.
+CHUNK_BYTES = 6 << 20
 #: Partitions of a language's candidates that are ranked first.
 RANK_PARTS = 64
 
@@ -43,27 +44,29 @@ _TABLE[9] = 32
 _TABLE = bytes(_TABLE)
 
 
-def tokens(text: bytes) -> list[bytes]:
-    """The lower-cased words of the text's pieces, a break after each piece."""
-    return text.translate(_TABLE).replace(_BREAK, b" \xff ").split(b" ") + [_BREAK]
+def spaced(text: bytes) -> bytes:
+    """The lower-cased words of the text's pieces, each ended by a space, a break after each piece."""
+    return b" ".join([*text.translate(_TABLE).replace(_BREAK, b" \xff ").split(), _BREAK, b""])
 
 
 class _Chunk:
-    """Texts' words as numbers, with fingerprints by language."""
+    """Texts' words with fingerprints by language."""
 
-    def __init__(self, langs: list[str], texts: list[list[bytes]]):
-        self.ids = WordIds({_BREAK: 0})
+    def __init__(self, langs: list[str], texts: list[bytes]):
+        self.data = b"".join(texts)
+        hashes, begins, ends = words_of(self.data)
         self.langs = sorted(set(langs))
         number = {lang: k for k, lang in enumerate(self.langs)}
-        self.word = self.ids.of([w for t in texts for w in t])
-        self.lang = np.repeat([number[x] for x in langs], [len(t) for t in texts])
-        self.salt = WordIds({x.encode(): k for k, x in enumerate(self.langs)}).hashes()
-        self.breaks = np.concatenate([[0], np.cumsum(self.word == 0)])
-        self.prints = Fingerprints(self.ids.hashes()[self.word])
+        self.word_break = np.frombuffer(self.data, np.uint8)[begins] == 255
+        doc = np.searchsorted(np.cumsum([len(t) for t in texts]), begins, side="right")
+        self.lang = np.array([number[x] for x in langs], np.int64)[doc]
+        self.salt = np.array([int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest()) for x in self.langs], np.uint64)
+        self.breaks = np.concatenate([[0], np.cumsum(self.word_break)])
+        self.prints = Fingerprints(hashes)
 
     def starts(self, n: int) -> np.ndarray:
         """Where n words lie in one piece."""
-        if len(self.word) < n:
+        if len(self.word_break) < n:
             return np.empty(0, np.int64)
         return np.flatnonzero(self.breaks[n:] == self.breaks[: len(self.breaks) - n])
 
@@ -83,11 +86,10 @@ def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[_Chunk]:
     langs, texts, size = [], [], 0
     for batch in batches:
         for lang, data in zip(batch["lang"], batch["data"], strict=True):
-            words = [w for w in tokens(data) if w]
             langs.append(lang)
-            texts.append(words)
-            size += len(words)
-            if size >= CHUNK_WORDS:
+            texts.append(spaced(data))
+            size += len(texts[-1])
+            if size >= CHUNK_BYTES:
                 yield _Chunk(langs, texts)
                 langs, texts, size = [], [], 0
     if texts:
@@ -127,14 +129,16 @@ def _materialise(max_words: int, table: Broadcast):
 
     def phrases(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for chunk in _chunks(batches):
-            words = list(chunk.ids)
-            totals = np.bincount(chunk.lang[chunk.word != 0], minlength=len(chunk.langs))
+            ids = WordIds()
+            word = ids.of(chunk.data.split())
+            words = list(ids)
+            totals = np.bincount(chunk.lang[~chunk.word_break], minlength=len(chunk.langs))
             yield pd.DataFrame({"lang": chunk.langs, "n": 0, "phrase": b"", "f": totals})
             for n in range(1, max_words + 1):
                 at, prints = chunk.likely(n, table.value)
                 on = passes(table.value, prints)
-                for pointer, f in same_phrases(chunk.word, at[on], prints[on], n):
-                    columns = [chunk.word[pointer + k].tolist() for k in range(n)]
+                for pointer, f in same_phrases(word, at[on], prints[on], n):
+                    columns = [word[pointer + k].tolist() for k in range(n)]
                     texts = [b" ".join([words[i] for i in ids]) for ids in zip(*columns, strict=True)]
                     langs = np.array(chunk.langs, object)[chunk.lang[pointer]]
                     yield pd.DataFrame({"lang": langs, "n": n, "phrase": pd.Series(texts, dtype=object), "f": f})

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import python_ready, stored
+from .grams import words_of
 
 MIN_LETTERS = 6
 MIN_COUNT = 5
@@ -37,13 +38,15 @@ RATIO = 5
 #: One run in so many loses a letter.
 DROP_ONE_IN = 199
 #: Longest grams of the dictionaries, one after the other; the last makes every word's bound smaller than its grams.
-LONGEST = (6, 4, 3, 2)
+LONGEST = (4, 3, 2)
 SHORTEST = 2
 #: A gram is lengthened if more than one word in so many has it: bounds the dictionary, whatever the words.
 SHARE = 4000
 #: Words of a list that are compared as one tile, and letters compared at once.
 TILE = 2048
 PAIR_BYTES = 1 << 23
+#: Bytes of a run up to which its checksum is moved, not computed anew.
+MOVED = 60
 #: Distinct words held by a counting task before it hands them on.
 HELD = 300_000
 
@@ -56,16 +59,36 @@ for _c in range(65, 91):
 _TABLE = bytes(_TABLE)
 
 
-def noisy_words(doc_id: str, text: str, one_in: int = DROP_ONE_IN) -> Counter:
-    """How often each word (Latin-1 bytes) occurs in the text, after the contract's deletions."""
-    found = Counter(text.encode("latin-1", "replace").translate(_TABLE).split())
-    start, out = zlib.crc32(f"{doc_id}:".encode()), Counter()
-    for run, n in found.items():
-        h = zlib.crc32(run if run.isascii() else run.decode("latin-1").encode(), start)
-        if h % one_in == 0:
-            k = h % len(run)
-            run = run[:k] + run[k + 1 :]
-        out[run] += n
+def noisy_words(ids: list[str], texts: list[str], min_letters: int = MIN_LETTERS, one_in: int = DROP_ONE_IN) -> Counter:
+    """How often each word (Latin-1 bytes) occurs in the texts, after the contract's deletions.
+
+    The checksum of ``<id>:<run>`` is that of the run, moved by what the
+    beginning makes of as many zero bytes (it is linear): a run's is computed once.
+    """
+    spaced = [t.encode("latin-1", "replace").translate(_TABLE) + b" " for t in texts]
+    data = b"".join(spaced)
+    hashes, begins, ends = words_of(data)
+    on = ends - begins >= min_letters
+    begins, ends = begins[on], ends[on]
+    text = np.searchsorted(np.cumsum([len(t) for t in spaced]), begins, side="right")
+    # Runs of one text chunk are told apart by 64-bit hashes.
+    _, first, token = np.unique(hashes[on], return_index=True, return_inverse=True)
+    runs = [data[a:b] for a, b in zip(begins[first].tolist(), ends[first].tolist(), strict=True)]
+    whole = [w if w.isascii() else w.decode("latin-1").encode() for w in runs]
+    sums, size = np.fromiter(map(zlib.crc32, whole), np.int64, len(runs)), np.fromiter(map(len, whole), np.int64, len(runs))
+    starts = [zlib.crc32(f"{i}:".encode()) for i in ids]
+    widths = np.unique(np.minimum(size, MOVED + 1))
+    moves = np.array([[zlib.crc32(bytes(w), s) ^ zlib.crc32(bytes(w)) for w in widths.tolist()] for s in starts], np.int64)
+    h = sums[token] ^ moves.reshape(len(texts), -1)[text, np.searchsorted(widths, np.minimum(size[token], MOVED + 1))]
+    for k in np.flatnonzero(size[token] > MOVED).tolist():
+        h[k] = zlib.crc32(whole[token[k]], starts[text[k]])
+    hit = h % one_in == 0
+    counts = np.bincount(token[~hit], minlength=len(runs))
+    out = Counter({runs[k]: n for k, n in zip(np.flatnonzero(counts).tolist(), counts[counts > 0].tolist(), strict=True)})
+    for k, c in zip(token[hit].tolist(), h[hit].tolist(), strict=True):
+        run, at = runs[k], c % len(runs[k])
+        if len(run) > min_letters:
+            out[run[:at] + run[at + 1 :]] += 1
     return out
 
 
@@ -76,14 +99,12 @@ def _counted(min_letters: int, one_in: int):
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = Counter()
         for batch in batches:
-            for doc_id, text in zip(batch["id"], batch["text"], strict=True):
-                for word, n in noisy_words(doc_id, text, one_in).items():
-                    if len(word) >= min_letters:
-                        held[word] += n
-                if len(held) >= HELD:
-                    yield rows(held)
-                    held.clear()
-        yield rows(held)
+            held.update(noisy_words(batch["id"].tolist(), batch["text"].tolist(), min_letters, one_in))
+            if len(held) >= HELD:
+                yield rows(held)
+                held.clear()
+        if held:
+            yield rows(held)
 
     return count
 
@@ -165,7 +186,8 @@ def _gram_counts(longest: int):
             held = Counter()
             for word in batch["word"]:
                 held.update({word[a : a + k] for k in range(SHORTEST, longest + 1) for a in range(len(word) - k + 1)})
-            yield pd.DataFrame({"gram": list(held), "f": list(held.values())})
+            if held:
+                yield pd.DataFrame({"gram": list(held), "f": list(held.values())})
 
     return count
 
@@ -307,7 +329,9 @@ def near_words(words: DataFrame, longest: tuple[int, ...] = LONGEST, share: int
         near = stored(tiled.mapInPandas(_merged, "a string, b string").distinct(), "spelling-near")
         found = near if found is None else found.unionByName(near)
         rest = parts.where("beyond <= 0").select("word")
-    if not rest.isEmpty():
+        if rest.isEmpty():
+            break
+    else:
         raise ValueError("words so short that one edit may change all their grams")
     return found.distinct()
 

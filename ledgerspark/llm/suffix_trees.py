@@ -27,33 +27,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import python_ready, stored
-from .grams import Fingerprints, U, WordIds, hash_filter, mix, passes
+from .grams import Fingerprints, U, WordIds, hash_filter, mix, passes, words_of
 
 WINDOW = 50
 GRAM = 8
 #: Different runs of words that one subtree holds at most (about 30 MB in a task).
 LEAVES = 4096
-#: Words of a chunk: bounds a worker's memory; a longer text is one chunk.
-CHUNK_WORDS = 1 << 20
+#: Bytes of a chunk: bounds a worker's memory; a longer text is one chunk.
+CHUNK_BYTES = 6 << 20
 #: Rows without an id come after all others.
 LAST = (1 << 63) - 1
 
 
 class _Texts:
-    """Texts' words as one array of numbers, and the runs of their windows."""
+    """Texts' words, each ended by a space, and the runs of their windows."""
 
-    def __init__(self, rows: list[tuple], words: list[list[bytes]], window: int, gram: int):
-        self.rows, ids = rows, WordIds()
-        self.words = [w for t in words for w in t]
-        self.size = np.array([len(t) for t in words], np.int64)
+    def __init__(self, rows: list[tuple], texts: list[bytes], size: list[int], window: int, gram: int):
+        self.rows, self.data, self.size = rows, b"".join(texts), np.array(size, np.int64)
         self.offset = np.cumsum(self.size) - self.size
-        number = ids.of(self.words)
-        self.prints = Fingerprints(ids.hashes()[number])
+        hashes, self.begins, self.ends = words_of(self.data)
+        self.prints = Fingerprints(hashes)
         self.first = self.last = self.anchor = self.gram = self.own = np.empty(0, np.int64)
         n_windows = np.maximum(self.size - window + 1, 0)
         if not n_windows.any():
             return
-        at = np.arange(len(number) - gram + 1)
+        at = np.arange(len(hashes) - gram + 1)
         grams = self.prints.of(at, at + gram)
         low, span, wide = grams & ~U(0xFFFFFFFF) | at.astype(np.uint64), 1, window - gram + 1
         while span * 2 <= wide:
@@ -75,20 +73,22 @@ class _Texts:
 
 
 def _texts(batches: Iterator[pd.DataFrame], window: int, gram: int) -> Iterator[_Texts]:
-    rows, words, size = [], [], 0
+    rows, texts, sizes, total = [], [], [], 0
     for batch in batches:
         for id_, key, data in zip(batch["id"], batch["key"], batch["data"], strict=True):
-            text = data.split()
-            if len(text) < window:
+            words = data.split()
+            if len(words) < window:
                 continue
             rows.append((id_, key))
-            words.append(text)
-            size += len(text)
-            if size >= CHUNK_WORDS:
-                yield _Texts(rows, words, window, gram)
-                rows, words, size = [], [], 0
+            sizes.append(len(words))
+            words.append(b"")
+            texts.append(b" ".join(words))
+            total += len(texts[-1])
+            if total >= CHUNK_BYTES:
+                yield _Texts(rows, texts, sizes, window, gram)
+                rows, texts, sizes, total = [], [], [], 0
     if rows:
-        yield _Texts(rows, words, window, gram)
+        yield _Texts(rows, texts, sizes, window, gram)
 
 
 def _anchors(window: int, gram: int):
@@ -122,7 +122,8 @@ def _leaves(window: int, gram: int, table: Broadcast):
             ids = np.array(texts.rows, np.int64).reshape(-1, 2)[texts.own]
             run = texts.runs(np.arange(len(texts.own)), window)
             on = np.flatnonzero(passes(table.value, mix(texts.gram ^ run ^ ids[:, 0].view(np.uint64) ^ ids[:, 1].view(np.uint64))))
-            words = [b" ".join(texts.words[a : b + window]) for a, b in zip(texts.first[on].tolist(), texts.last[on].tolist(), strict=True)]
+            begins, ends = texts.begins[texts.first[on]], texts.ends[texts.last[on] + window - 1]
+            words = [texts.data[a:b] for a, b in zip(begins.tolist(), ends.tolist(), strict=True)]
             yield pd.DataFrame({"gram": texts.gram[on].view(np.int64), "run": run[on].view(np.int64), "id": ids[on, 0],
                                 "key": ids[on, 1], "words": pd.Series(words, dtype=object)})
 

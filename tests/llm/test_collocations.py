@@ -74,3 +74,15 @@ def test_filter_never_loses_a_member(spark):
     table = hash_filter(spark.createDataFrame([(int(x),) for x in h[:3000]], "h long"), 20).value
     on = passes(table, h.view(np.uint64), 20)
     assert on[:3000].all() and on[3000:].mean() < 0.01
+
+
+def test_word_hashes_do_not_depend_on_blocks(monkeypatch):
+    from ledgerspark.llm import grams
+
+    words = [bytes(random.Random(k).choices(range(97, 100), k=k % 7)) for k in range(500)] + [b"z" * 400]
+    data = b"".join(w + b" " for w in words)
+    whole = grams.words_of(data)[0]
+    monkeypatch.setattr(grams, "BLOCK_BYTES", 64)
+    cut, starts, ends = grams.words_of(data)
+    assert (whole == cut).all() and [data[a:b] for a, b in zip(starts, ends)] == words
+    assert len(set(whole.tolist())) == len(set(words))

@@ -101,3 +101,16 @@ def test_letter_tables():
 
 def test_empty_table(make_docs):
     assert S.spelling_variants(make_docs([])).count() == 0
+
+
+def test_moved_checksums():
+    text = "Étéland abcdefgh " + "ü" * 40 + " " + "y" * 200 + " abcdefgh"
+    for one_in in (1, 2, 3):
+        got = S.noisy_words(["7", ""], [text, text], 1, one_in)
+        want = Counter()
+        for i in ("7", ""):
+            for run in re.findall("[A-Za-zÀ-ÿ]+", text):
+                run = run.translate(LOWER)
+                h = zlib.crc32(f"{i}:{run}".encode())
+                want[run[: h % len(run)] + run[h % len(run) + 1 :] if h % one_in == 0 else run] += 1
+        assert {w.decode("latin-1"): n for w, n in got.items()} == dict(want)

@@ -62,7 +62,7 @@ def test_a_gram_as_long_as_the_window(make_docs):
 @pytest.fixture
 def small_chunks(monkeypatch):
     """Chunks and trees of a few rows, in the Python workers too: the module travels by value."""
-    monkeypatch.setattr(S, "CHUNK_WORDS", 100)
+    monkeypatch.setattr(S, "CHUNK_BYTES", 300)
     monkeypatch.setattr(S, "LEAVES", 2)
     cloudpickle.register_pickle_by_value(S)
     yield
