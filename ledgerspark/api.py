@@ -14,7 +14,7 @@ from .operators import quality
 from .plans import medallion, training
 from .sources import files, warehouse
 from .spec import LedgerSpec
-from .streaming import land, messages
+from .streaming import land, messages, positions
 
 
 # --- batch layers -------------------------------------------------------------
@@ -102,27 +102,27 @@ def consume(
 ) -> int:
     """Land a topic (or a folder of message files) in the append-only zone.
 
-    ``max_messages > 0`` lands exactly the first ``max_messages`` messages
-    in one bounded batch read; otherwise the stream runs until
-    ``batch_timeout`` seconds pass without input (0 = drain what is
-    there and stop).  ``batch_size`` caps each micro-batch (messages for
-    Kafka, files for a folder).  Returns the rows landed.
+    ``batch_size`` is a number of messages.  A folder is read by position:
+    ``max_messages > 0`` lands the next so many messages after the last
+    landed one, and a repeated call goes on from there; otherwise all are
+    landed, and those that come until ``batch_timeout`` seconds pass
+    without any (0 = land what is there and stop).  For Kafka a bounded
+    call lands the first ``max_messages`` in one batch read, and otherwise
+    the stream runs until ``batch_timeout`` seconds pass without input.
+    Returns the rows landed.
     """
     lineage = f"kafka:{topic}"
-    if max_messages and max_messages > 0:
-        if bootstrap_servers:
-            msgs = land.kafka_batch(spark, bootstrap_servers, topic)
-            order = ("partition", "offset")
-        else:
-            msgs = spark.read.text(source_path).withColumn("_file", F.col("_metadata.file_name"))
-            order = ("_file", "value")
-        run = land.land_bounded(msgs, out_path, lineage, max_rows=max_messages, order_by=order,
-                                quarantine_path=quarantine_path)
-        return run.landed
-    if bootstrap_servers:
-        source = land.kafka_source(spark, bootstrap_servers, topic, batch_rows=batch_size)
-    else:
-        source = land.file_source(spark, source_path, files_per_batch=batch_size)
+    bounded = max_messages and max_messages > 0
+    if not bootstrap_servers:
+        log = positions.MessageLog(spark, source_path, f"{checkpoint}/log")
+        if bounded:
+            return positions.land_next(log, out_path, lineage, max_messages, batch_size, quarantine_path).landed
+        return positions.land_until_idle(log, out_path, lineage, batch_size, batch_timeout, quarantine_path).landed
+    if bounded:
+        msgs = land.kafka_batch(spark, bootstrap_servers, topic)
+        return land.land_bounded(msgs, out_path, lineage, max_rows=max_messages, order_by=("partition", "offset"),
+                                 quarantine_path=quarantine_path).landed
+    source = land.kafka_source(spark, bootstrap_servers, topic, batch_rows=batch_size)
     run = land.land_stream(
         source,
         out_path,

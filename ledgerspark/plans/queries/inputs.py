@@ -96,12 +96,21 @@ def serving_tables(s: DataFrame) -> dict[str, DataFrame]:
 TOPIC = "ledger-transactions"
 
 
-def message_files(spark, sf_dir, n_files: int = 4, corrupt_flagged: bool = False) -> str:
-    """Write the ledger as JSON message files (the stand-in for a topic).
+#: Most bytes of messages in a micro-batch of the landing queries.
+BATCH_BYTES = 1 << 30
+
+
+def message_files(spark, sf_dir, corrupt_flagged: bool = False, ordered: bool = False, where=None) -> str:
+    """Write the ledger as JSON message files (the stand-in for a topic), one
+    per input partition; ``ordered`` by event, so that positions follow the events.
 
     With ``corrupt_flagged`` the messages of rows the legacy system flagged
     are cut to their first 20 characters (malformed JSON)."""
-    src = raw(spark, sf_dir).repartition(n_files)
+    src = read_ledger(spark, sf_dir)
+    if ordered:
+        src = src.repartitionByRange("event_id").sortWithinPartitions("event_id")
+    if where is not None:
+        src = src.where(where)
     value = F.to_json(messages.message_struct())
     if corrupt_flagged:
         value = F.when(F.col("isFlaggedFraud") == 1, F.substring(value, 1, 20)).otherwise(value)
@@ -112,7 +121,7 @@ def message_files(spark, sf_dir, n_files: int = 4, corrupt_flagged: bool = False
 
 def land_messages(spark, src_dir, out, ckpt, quarantine=None):
     return land.land_stream(
-        land.file_source(spark, src_dir, files_per_batch=1), out, ckpt, f"kafka:{TOPIC}", quarantine_path=quarantine
+        land.file_source(spark, src_dir, bytes_per_batch=BATCH_BYTES), out, ckpt, f"kafka:{TOPIC}", quarantine_path=quarantine
     )
 
 

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from ...session import scratch_path
 from ...sources import files
 from ...spec import RAW_COLUMNS
+from ...streaming import land, positions
 from .. import oracle as O
 from ..oracle import RAW_ORACLE
-from .inputs import bronze_table, land_messages, message_files
+from .inputs import TOPIC, bronze_table, land_messages, message_files
 from .registry import query
 
 
@@ -18,7 +19,7 @@ def q_stream_land(spark, sf_dir):
     src = message_files(spark, sf_dir)
     out = scratch_path(spark, "landing")
     land_messages(spark, src, out, scratch_path(spark, "ckpt"))
-    return files.read_table(spark, out).select(*RAW_COLUMNS)
+    return land.read_landing(spark, out).select(*RAW_COLUMNS)
 
 
 @query(
@@ -75,3 +76,57 @@ def q_stream_batch_union(spark, sf_dir):
         stream.select(*cols, F.lit("stream").alias("origin"))
     )
     return both.groupBy("origin", "type").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+RESUME_ROWS = 1000
+
+
+@query(
+    "stream_bounded_resume",
+    O.with_ledger(
+        f"""SELECT CAST(1 + (rn - 1) // {RESUME_ROWS} AS INTEGER) AS run, {", ".join(RAW_COLUMNS)}
+FROM (SELECT *, row_number() OVER (ORDER BY event_id) AS rn FROM ledger) WHERE rn <= {2 * RESUME_ROWS}"""
+    ),
+)
+def q_stream_bounded_resume(spark, sf_dir):
+    """A bounded consumer called twice: the second call goes on where the first stopped."""
+    log = positions.MessageLog(spark, message_files(spark, sf_dir, ordered=True), scratch_path(spark, "log"))
+    out, runs, seen = scratch_path(spark, "landing"), None, []
+    for run in (1, 2):
+        positions.land_next(log, out, f"kafka:{TOPIC}", max_rows=RESUME_ROWS)
+        new = land.read_landing(spark, out).where(~F.col("batch_id").isin(seen))
+        rows = new.select(F.lit(run).alias("run"), *RAW_COLUMNS)
+        runs = rows if runs is None else runs.unionByName(rows)
+        seen = [r["batch_id"] for r in land.read_landing(spark, out).select("batch_id").distinct().collect()]
+    return runs
+
+
+@query(
+    "stream_row_batches",
+    O.with_ledger(
+        """SELECT CAST((rn - 1) // 500 AS BIGINT) AS batch, COUNT(*) AS n_messages,
+  CAST(count_if(isFlaggedFraud = 1) AS BIGINT) AS n_quarantined
+FROM (SELECT *, row_number() OVER (ORDER BY event_id) AS rn FROM ledger) GROUP BY 1"""
+    ),
+)
+def q_stream_row_batches(spark, sf_dir):
+    """A folder drained in batches of 500 messages, bad ones (truncated JSON) included: each batch's account."""
+    folder = message_files(spark, sf_dir, corrupt_flagged=True, ordered=True)
+    log = positions.MessageLog(spark, folder, scratch_path(spark, "log"))
+    out, bad = scratch_path(spark, "landing"), scratch_path(spark, "quarantine")
+    positions.land_next(log, out, f"kafka:{TOPIC}", batch_rows=500, quarantine_path=bad)
+    good = land.read_landing(spark, out).select("batch_id", F.lit(0).alias("bad"))
+    lost = files.read_table(spark, bad).select(F.col("batch_id").cast("long"), F.lit(1).alias("bad"))
+    batch = ((F.col("batch_id") - positions.FIRST_BATCH) / 500).cast("long").alias("batch")
+    return good.unionByName(lost).groupBy(batch).agg(
+        F.count(F.lit(1)).alias("n_messages"), F.sum("bad").cast("long").alias("n_quarantined"))
+
+
+@query("stream_all_bad", O.with_ledger("SELECT CAST(0 AS BIGINT) AS n_landed, COUNT(*) AS n_quarantined FROM ledger WHERE isFlaggedFraud = 1"))
+def q_stream_all_bad(spark, sf_dir):
+    """A stream of bad messages alone leaves a landing zone that reads as no rows."""
+    src = message_files(spark, sf_dir, corrupt_flagged=True, where=F.col("isFlaggedFraud") == 1)
+    out, bad = scratch_path(spark, "landing"), scratch_path(spark, "quarantine")
+    land_messages(spark, src, out, scratch_path(spark, "ckpt"), quarantine=bad)
+    counts = (land.read_landing(spark, out).count(), files.read_table(spark, bad).count())
+    return spark.createDataFrame([counts], "n_landed bigint, n_quarantined bigint")

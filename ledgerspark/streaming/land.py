@@ -14,11 +14,13 @@ import time
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.clean import stamp_lineage
-from ..spec import RAW_COLUMNS, STREAM_BATCH_ROWS
+from ..spec import RAW_COLUMNS, RAW_SCHEMA, STREAM_BATCH_ROWS
 from .messages import parse_messages, valid_messages
 
 
@@ -46,10 +48,25 @@ def kafka_source(
     )
 
 
-def file_source(spark: SparkSession, path: str, files_per_batch: int = 1) -> DataFrame:
-    """Text files of one JSON message per line; ``files_per_batch`` caps
-    each micro-batch (the file analogue of a row cap)."""
-    return spark.readStream.format("text").option("maxFilesPerTrigger", str(files_per_batch)).load(path)
+def file_source(
+    spark: SparkSession, path: str, files_per_batch: int | None = 1, bytes_per_batch: int | None = None
+) -> DataFrame:
+    """Text files of one JSON message per line; a number of files or of
+    bytes caps each micro-batch (``positions`` caps by rows)."""
+    limit = ("maxBytesPerTrigger", bytes_per_batch) if bytes_per_batch else ("maxFilesPerTrigger", files_per_batch)
+    return spark.readStream.format("text").option(limit[0], str(limit[1])).load(path)
+
+
+def read_landing(spark: SparkSession, path: str) -> DataFrame:
+    """The landing zone with its fixed schema: no rows where only bad
+    messages, or none, have arrived."""
+    schema = StructType([*RAW_SCHEMA.fields]).add("ingestion_timestamp", "timestamp").add("source_file", "string").add("batch_id", "long")
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def default_quarantine(out_path: str) -> str:
@@ -58,7 +75,7 @@ def default_quarantine(out_path: str) -> str:
     return out_path.rstrip("/") + "__quarantine"
 
 
-def _rejected(parsed: DataFrame, lineage: str) -> DataFrame:
+def rejected(parsed: DataFrame, lineage: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Quarantine rows: the message text, why, and the lineage stamp (the
     same shape as the batch ingest quarantine)."""
     return parsed.select(
@@ -66,6 +83,7 @@ def _rejected(parsed: DataFrame, lineage: str) -> DataFrame:
         F.lit("undecodable message").alias("reason"),
         F.current_timestamp().alias("ingestion_timestamp"),
         F.lit(lineage).alias("source_file"),
+        *keep,
     )
 
 
@@ -141,7 +159,7 @@ def land_stream(
             good = stamp_lineage(counted.filter(ok).select(*RAW_COLUMNS), lineage)
             totals["landed"] += write_table(good, f"{out_path}/batch_id={batch_id}", partition_by=[partition_by])
             if seen.get["bad"]:
-                bad = _rejected(parsed.filter(~ok), lineage)
+                bad = rejected(parsed.filter(~ok), lineage)
                 totals["quarantined"] += write_table(bad, f"{quarantine_path}/batch_id={batch_id}")
             totals["batches"] += 1
         finally:
@@ -189,7 +207,7 @@ def land_bounded(
     ok = valid_messages(parsed)
     good = stamp_lineage(parsed.filter(ok).select(*RAW_COLUMNS), lineage)
     landed = write_table(good, f"{out_path.rstrip('/')}/{batch}", partition_by=[partition_by])
-    bad = write_table(_rejected(parsed.filter(~ok), lineage), f"{quarantine_path}/{batch}")
+    bad = write_table(rejected(parsed.filter(~ok), lineage), f"{quarantine_path}/{batch}")
     return LandingRun(landed=landed, quarantined=bad, batches=1)
 
 

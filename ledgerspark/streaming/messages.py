@@ -26,16 +26,16 @@ def to_messages(df: DataFrame, schema: StructType = RAW_SCHEMA, key: str | None
     return df.select(*cols)
 
 
-def parse_messages(messages: DataFrame, schema: StructType = RAW_SCHEMA, value: str = "value") -> DataFrame:
-    """Decode JSON text into the schema's columns, keeping the raw text.
+def parse_messages(messages: DataFrame, schema: StructType = RAW_SCHEMA, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Decode JSON text into the schema's columns, keeping the raw text (and the columns ``keep``).
 
     Parsing is permissive: malformed text, or a field of the wrong type,
     yields nulls (in the whole record or that field) rather than an error;
     :func:`valid_messages` decides which rows are usable.
     """
     parsed = F.from_json(F.col(value).cast("string"), schema, {"mode": "PERMISSIVE"})
-    return messages.select(F.col(value).cast("string").alias("raw_value"), parsed.alias("msg")).select(
-        "raw_value", "msg.*"
+    return messages.select(F.col(value).cast("string").alias("raw_value"), parsed.alias("msg"), *keep).select(
+        "raw_value", *keep, "msg.*"
     )
 
 
