@@ -91,6 +91,19 @@ def surrogate_key(*parts: str | Column) -> Column:
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
 
 
+def wide_key(*parts: str | Column) -> Column:
+    """Reproducible 128-bit surrogate key: md5 of the natural key, as 32 hex digits."""
+    return F.md5(key_text(*parts))
+
+
+def exact_text(amount: str | Column) -> Column:
+    """A text that tells any two doubles of 1/64 or more apart: six decimals,
+    and what they leave over in units of 1e-18 (the same in every SQL engine)."""
+    rounded = _c(amount).cast("decimal(38,6)")
+    rest = F.floor((_c(amount) - rounded.cast("double")) * F.lit(1e18))
+    return F.concat(rounded.cast("string"), F.lit(":"), rest.cast("string"))
+
+
 def money_text(amount: str | Column) -> Column:
     return _c(amount).cast("decimal(38,6)").cast("string")
 

@@ -15,7 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from ..sources.sinks import write_table
 from ..spec import LedgerSpec
+from .star import integrity_report, key_collisions, orphan_keys
 
 # How many offending values to name in an error message.
 MESSAGE_VALUES = 20
@@ -159,9 +161,11 @@ def validate_bronze(df: DataFrame, spec: LedgerSpec = LedgerSpec(), type_col: st
         if n_neg:
             problems.append(f"{n_neg} negative amounts")
     if total.n_offenders:
+        path = scratch_path(df.sparkSession, "bronze-offenders")
+        write_table(table.filter(~known), path)
         first = table.filter(~known).orderBy(F.desc("n_rows"), "value").limit(MESSAGE_VALUES).collect()
         names = ", ".join(f"{r.value!r} ({r.n_rows})" for r in first)
-        problems.append(f"{total.n_offenders} unexpected types: {names}")
+        problems.append(f"{total.n_offenders} unexpected types: {names} (all in {path})")
     _raise(problems, "bronze")
     return table.collect()
 
@@ -180,8 +184,30 @@ def validate_silver(df: DataFrame, spec: LedgerSpec = LedgerSpec()) -> DataFrame
     violated = report.filter("violated")
     n_violated = violated.count()
     if n_violated > MESSAGE_VALUES:
-        problems.append(f"{n_violated} types above their threshold, the first {MESSAGE_VALUES}")
+        path = scratch_path(df.sparkSession, "silver-violations")
+        write_table(violated, path)
+        problems.append(f"{n_violated} types above their threshold (all in {path}), the first {MESSAGE_VALUES}")
     for r in violated.limit(MESSAGE_VALUES).collect():
         problems.append(f"{r.transaction_type}: rate {r.rate:.1%} > threshold {r.threshold:.1%}")
     _raise(problems, "silver")
     return report
+
+
+def validate_gold(fact: DataFrame, accounts: DataFrame, time_dim: DataFrame, type_dim: DataFrame) -> DataFrame:
+    """Keys unique in fact and account dimension, and every reference of the
+    fact present in its dimension.  Returns the integrity report on success;
+    a failure names the tables that hold all offending keys."""
+    spark = fact.sparkSession
+    problems: list[str] = []
+    reports = {
+        "equal transaction keys": key_collisions(fact, "transaction_key"),
+        "equal account keys": key_collisions(accounts, "account_key"),
+        "references without a dimension row": orphan_keys(fact, accounts, time_dim, type_dim),
+    }
+    for what, rows in reports.items():
+        path = scratch_path(spark, "gold-gate")
+        n = write_table(rows, path)
+        if n:
+            problems.append(f"{n} {what} (all in {path})")
+    _raise(problems, "gold")
+    return integrity_report(fact, accounts, time_dim, type_dim)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import day_number, hour_of_day, money_text, surrogate_key
+from ..functions.columns import day_number, hour_of_day, exact_text, wide_key
 from ..functions.sizing import sized_broadcast
 from ..spec import LedgerSpec
 
@@ -75,12 +75,12 @@ def dim_account(silver: DataFrame) -> DataFrame:
     map-side, so a hot account costs one row per task in the shuffle.
     """
     accounts = account_roles(silver).groupBy("account_id").agg(F.min("account_type").alias("account_type"))
-    return accounts.withColumn("account_key", surrogate_key("account_id"))
+    return accounts.withColumn("account_key", wide_key("account_id"))
 
 
 def transaction_key(spec: LedgerSpec = LedgerSpec()):
-    parts = [money_text(c) if c == "amount" else F.col(c).cast("string") for c in spec.dedup_keys]
-    return surrogate_key(*parts)
+    parts = [exact_text(c) if c == "amount" else F.col(c).cast("string") for c in spec.dedup_keys]
+    return wide_key(*parts)
 
 
 def fact_transactions(silver: DataFrame, spec: LedgerSpec = LedgerSpec()) -> DataFrame:
@@ -115,7 +115,7 @@ def star_lookup(
     types = []
     for role in ("orig", "dest"):
         if accounts is None:
-            found = found.withColumn(f"{role}_account_key", surrogate_key(f"name_{role}"))
+            found = found.withColumn(f"{role}_account_key", wide_key(f"name_{role}"))
             continue
         types.append(f"{role}_account_type")
         a = accounts.select(

@@ -125,6 +125,8 @@ def run_medallion(
 
     for name, rows in build_gold(silver, f"{root}/gold", spec).items():
         counts.append(("gold", name, rows))
+    gold = [read_table(spark, f"{root}/gold/{n}") for n in ("fact_transactions", "dim_account", "dim_time", "dim_transaction_type")]
+    quality.validate_gold(*gold)
     n = write_table(feats.build_features(silver, spec), f"{root}/gold/ml_features")
     counts.append(("gold", "ml_features", n))
     return spark.createDataFrame(counts, SUMMARY_SCHEMA)

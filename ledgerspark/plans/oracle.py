@@ -79,9 +79,14 @@ def hash_key_sql(expr: str) -> str:
     return f"CAST('0x' || substr(md5({expr}), 1, 15) AS BIGINT)"
 
 
-TXN_KEY_SQL = hash_key_sql(
+def wide_key_sql(expr: str) -> str:
+    return f"md5({expr})"
+
+
+TXN_KEY_SQL = wide_key_sql(
     "concat_ws('|', coalesce(CAST(step AS VARCHAR), '<null>'), coalesce(transaction_type, '<null>'), "
-    "coalesce(CAST(CAST(amount AS DECIMAL(38,6)) AS VARCHAR), '<null>'), coalesce(name_orig, '<null>'), "
+    "coalesce(CAST(CAST(amount AS DECIMAL(38,6)) AS VARCHAR) || ':' || "
+    "CAST(CAST(floor((amount - CAST(CAST(amount AS DECIMAL(38,6)) AS DOUBLE)) * 1e18) AS BIGINT) AS VARCHAR), '<null>'), coalesce(name_orig, '<null>'), "
     "coalesce(name_dest, '<null>'))"
 )
 
@@ -109,7 +114,7 @@ dim_type AS (
 DIM_ACCOUNT_CTE = f"""
 dim_account AS (
   SELECT account_id, min(account_type) AS account_type,
-    {hash_key_sql("coalesce(account_id, '<null>')")} AS account_key
+    {wide_key_sql("coalesce(account_id, '<null>')")} AS account_key
   FROM (SELECT name_orig AS account_id, orig_account_type AS account_type FROM silver
         UNION ALL SELECT name_dest, dest_account_type FROM silver)
   GROUP BY account_id)"""
@@ -157,7 +162,8 @@ features AS (
 
 SPLIT_KEY_SQL = (
     "concat_ws('|', '42', coalesce(CAST(step AS VARCHAR), '<null>'), coalesce(CAST(is_transfer AS VARCHAR), '<null>'), "
-    "coalesce(CAST(CAST(amount AS DECIMAL(38,6)) AS VARCHAR), '<null>'), coalesce(name_orig, '<null>'), "
+    "coalesce(CAST(CAST(amount AS DECIMAL(38,6)) AS VARCHAR) || ':' || "
+    "CAST(CAST(floor((amount - CAST(CAST(amount AS DECIMAL(38,6)) AS DOUBLE)) * 1e18) AS BIGINT) AS VARCHAR), '<null>'), coalesce(name_orig, '<null>'), "
     "coalesce(name_dest, '<null>'))"
 )
 

@@ -211,3 +211,49 @@ def test_rates_equal_reference_style_rounding(spark):
     kpi = marts.kpi_summary(s).first().fraud_pct
     ref_pct = s.agg(F.round(F.sum("is_fraud") * 100.0 / F.count(F.lit(1)), 4).alias("p")).first().p
     assert kpi == float(ref_pct)
+
+
+def test_keys_tell_amounts_apart_beyond_six_decimals(spark, make_silver):
+    fact = star.fact_transactions(make_silver([dict(amount=1.0000001), dict(amount=1.0000002), dict(amount=100.0)]))
+    assert len({r.transaction_key for r in fact.collect()}) == 3
+
+
+def _star(silver):
+    return [star.fact_transactions(silver), star.dim_account(silver), star.dim_time(silver), star.dim_transaction_type(silver)]
+
+
+def test_gold_gate(spark, make_silver):
+    import re
+
+    import pytest
+
+    from ledgerspark.operators.quality import QualityError, validate_gold
+    from ledgerspark.sources.files import read_table
+
+    silver = make_silver([dict(step=k, name_orig=f"C{k}") for k in range(1, 60)])
+    good = _star(silver)
+    assert {r.n_missing_rows for r in validate_gold(*good).collect()} == {0}
+    orphaned = [good[0], good[1].where("account_id NOT IN ('C7', 'C8')"), good[2].where("time_key <> 9"), good[3]]
+    with pytest.raises(QualityError, match="3 references without") as error:
+        validate_gold(*orphaned)
+    path = re.search(r"all in (\S+)\)", str(error.value))[1]
+    assert sorted((r.role, r.key) for r in read_table(spark, path).collect()) == [("sender", "C7"), ("sender", "C8"), ("time", "9")]
+    twice = [good[0], good[1].withColumn("account_key", F.lit("same")), *good[2:]]
+    with pytest.raises(QualityError, match="1 equal account keys"):
+        validate_gold(*twice)
+    with pytest.raises(QualityError, match="59 equal transaction keys"):
+        validate_gold(good[0].unionByName(good[0]), *good[1:])
+
+
+def test_the_chain_stops_at_the_gold_gate(spark, make_silver, tmp_dir, monkeypatch):
+    import pytest
+
+    from ledgerspark.operators import quality
+    from ledgerspark.plans import medallion
+    from ledgerspark.spec import RAW_SCHEMA
+
+    whole = medallion.star.dim_account
+    monkeypatch.setattr(medallion.star, "dim_account", lambda s: whole(s).where("account_id <> 'C1'"))
+    rows = [(1, "CASH_OUT", 200.0, "C1", 1000.0, 800.0, "M9", 0.0, 0.0, 0, 0)]
+    with pytest.raises(quality.QualityError, match="references without"):
+        medallion.run_medallion(spark, spark.createDataFrame(rows, RAW_SCHEMA), tmp_dir)
