@@ -92,14 +92,33 @@ def running_total(df: DataFrame, group: str, keys: list, value: str, name: str,
 #: the corpus, and the plan is the same at every size; AQE splits a skewed key.
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``docs`` has it."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def _matched(docs: DataFrame, key: Column, pairs: DataFrame, how: str) -> DataFrame:
+    g = pairs.select(F.col("doc_id").alias("_pair_id"), F.col("key").alias("_pair_key"))
+    name = free_name(docs, "_key")
+    marked = docs.withColumn(name, key).alias("d")
+    same = F.col("d.doc_id").eqNullSafe(F.col("g._pair_id")) & (F.col(f"d.{name}") == F.col("g._pair_key"))
+    return marked.join(g.alias("g").hint("merge"), same, how).drop(name)
+
+
 def without(docs: DataFrame, key: Column, gone: DataFrame) -> DataFrame:
     """``docs`` without the rows whose doc_id and ``key`` are in ``gone`` (doc_id, key)."""
-    g = gone.select(F.col("doc_id").alias("_gone_id"), F.col("key").alias("_gone_key"))
-    marked = docs.withColumn("_key", key)
-    same = F.col("doc_id").eqNullSafe(F.col("_gone_id")) & (F.col("_key") == F.col("_gone_key"))
-    return marked.join(g.hint("merge"), same, "left_anti").drop("_key")
+    return _matched(docs, key, gone, "left_anti")
+
+
+def only(docs: DataFrame, key: Column, pairs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id and ``key`` are in ``pairs`` (doc_id, key)."""
+    return _matched(docs, key, pairs, "left_semi")
 
 
 def first_of_repeats(docs: DataFrame, key: Column) -> DataFrame:
     """One of the rows that share doc_id and ``key``."""
-    return docs.withColumn("_key", key).dropDuplicates(["doc_id", "_key"]).drop("_key")
+    name = free_name(docs, "_key")
+    return docs.withColumn(name, key).dropDuplicates(["doc_id", name]).drop(name)

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, python_ready
+from .common import free_name, held_out, python_ready
 
 UNKNOWN = "und"
 #: Hash buckets of bigrams and of trigrams.
@@ -192,7 +192,10 @@ def language_id(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
 
 
 def accepted(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
-    """The rows of ``docs`` whose language is clear: neither ``und`` nor ambiguous; all their columns."""
-    found = docs.withColumn("_language", language_column(docs, train(docs, train_rows)))
-    clear = (F.col("_language.lang_pred") != UNKNOWN) & ~F.col("_language.ambiguous")
-    return found.where(clear).drop("_language")
+    """The rows of ``docs`` whose language is clear: neither ``und`` nor ambiguous; all their columns, whatever
+    their names.  Null and empty texts are ``und`` and go; repeated rows are judged alike; an empty table gives
+    an empty result."""
+    name = free_name(docs, "_language")
+    found = docs.withColumn(name, language_column(docs, train(docs, train_rows)))
+    clear = (F.col(name)["lang_pred"] != UNKNOWN) & ~F.col(name)["ambiguous"]
+    return found.where(clear).drop(name)

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, first_of_repeats, python_ready, stored, without
+from .common import SPACE, first_of_repeats, only, python_ready, stored, without
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -393,7 +393,7 @@ def _repeats(signed: DataFrame) -> bool:
 
 def _verdicts(docs: DataFrame, threshold: float) -> DataFrame:
     rows = near_classes(docs, threshold)
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("void"), "doc_id", "row")).alias("first")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("void"), "doc_id", "row", "text_key")).alias("first")
     groups = stored(rows.groupBy("class").agg(first, F.count(F.lit(1)).alias("class_size")), "near-groups")
     return rows.join(groups, "class").select(
         "doc_id",
@@ -401,6 +401,7 @@ def _verdicts(docs: DataFrame, threshold: float) -> DataFrame:
         F.col("class_size").cast("long").alias("class_size"),
         (F.col("first.row") == F.col("row")).alias("kept"),
         "text_key",
+        (F.col("first.text_key") == F.col("text_key")).alias("keepers_text"),
     )
 
 
@@ -414,12 +415,21 @@ def near_dedup(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     shingle; null, empty and blank texts are classes of their own.  Other
     columns are ignored; an empty table gives an empty result.
     """
-    return _verdicts(docs, threshold).drop("text_key")
+    return _verdicts(docs, threshold).drop("text_key", "keepers_text")
 
 
 def near_unique(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
-    """The rows of ``docs`` that ``near_dedup`` keeps, with all their columns."""
+    """The rows of ``docs`` that ``near_dedup`` keeps, with all their columns, whatever their names.
+
+    Nulls, empty and blank texts, ties, repeated rows and an empty table are
+    treated as there: of rows with the keeper's id and text one stays, rows
+    with its id and another text go.
+    """
     verdicts = stored(_verdicts(docs, threshold).where(~F.col("kept")), "near-verdicts")
-    again = F.col("doc_id").eqNullSafe(F.col("class_id"))  # a repeat of the row that stays
-    left = without(docs, _text_key(), verdicts.where(~again).select("doc_id", F.col("text_key").alias("key")))
-    return left if verdicts.where(again).isEmpty() else first_of_repeats(left, _text_key())
+    pairs = verdicts.select("doc_id", F.col("text_key").alias("key"),
+                            (F.col("doc_id").eqNullSafe(F.col("class_id")) & F.col("keepers_text")).alias("again"))
+    again = stored(pairs.where("again").select("doc_id", "key").distinct(), "near-repeats")
+    left = without(docs, _text_key(), pairs.where("NOT again").select("doc_id", "key"))
+    if again.isEmpty():
+        return left
+    return without(left, _text_key(), again).unionByName(first_of_repeats(only(left, _text_key(), again), _text_key()))

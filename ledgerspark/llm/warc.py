@@ -227,6 +227,10 @@ def read_records(stream, keep_payload: bool = False) -> Iterator[dict]:
         unread = member.unread or stream.read(READ_BYTES)
 
 
+#: Most tasks that read archives; beyond that a task reads several.
+READ_TASKS = 100_000
+
+
 def read_archives(manifest: DataFrame, path: str, keep_payload: bool = False, id_type: str = "long") -> DataFrame:
     """One row per record of the manifest's archives under ``path``.
 
@@ -261,8 +265,8 @@ def read_archives(manifest: DataFrame, path: str, keep_payload: bool = False, id
                 if rows:
                     yield pd.DataFrame(rows, columns=names)
 
-    # One archive is the unit of work; a few per task at most.
-    spread = manifest.repartition("archive")
+    # One archive is the unit of work.  The number keeps AQE from merging the tasks: the manifest is tiny, the archives are not.
+    spread = manifest.repartition(min(max(manifest.count(), 1), READ_TASKS))
     found = spread.mapInPandas(read, schema)
     return found.withColumns({c: F.col(c).cast(id_type) for c in ("page_id", "refers_to")})
 

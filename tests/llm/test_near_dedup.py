@@ -115,3 +115,17 @@ def test_components_of_a_path_and_a_star(spark):
 def test_empty_table(make_docs):
     assert N.near_dedup(make_docs([])).count() == 0
     assert np.asarray(N.shingles(b" \n")[0]).size == 0
+
+
+def test_unique_rows_are_the_kept_ones(make_docs, awkward):
+    base = " ".join(f"w{k}" for k in range(200))
+    near = base.replace("w199", "other")
+    rows = awkward + [(20, base), (20, near), (20, base), (21, near), (None, near), (22, ""), (22, "")]
+    docs = make_docs(rows).selectExpr("*", "'mine' AS _key", "'own' AS _language")
+    kept = docs.join(N.near_dedup(docs).where("kept").select("doc_id").distinct(), "doc_id", "left_semi").count()
+    got = N.near_unique(docs)
+    assert got.columns == docs.columns
+    found = got.collect()
+    assert len(found) == N.near_dedup(docs).where("kept").count() and kept
+    assert {r["_key"] for r in found} == {"mine"}
+    assert sum(r["doc_id"] in (20, 21) for r in found) == 1 and sum(r["doc_id"] == 22 for r in found) == 2

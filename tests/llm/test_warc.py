@@ -74,3 +74,13 @@ def test_reader_rejects_damage(damage):
 
 def test_empty_table(spark):
     assert W.warc_round_trip(spark.createDataFrame([], KINDS)).count() == 0
+
+
+def test_archives_are_read_by_several_tasks(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    pages = spark.range(400).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.expr("repeat(md5(cast(id as string)), 40)").alias("html"))
+    manifest = W.write_archives(pages, str(tmp_path), archive_bytes=3000)
+    assert manifest.count() >= 4
+    tasks = W.read_archives(manifest, str(tmp_path)).select(F.spark_partition_id().alias("p")).groupBy("p").count().count()
+    assert tasks >= 3
