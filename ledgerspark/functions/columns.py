@@ -25,6 +25,16 @@ def account_type(name: str | Column, merchant_prefix: str = "M") -> Column:
     return F.when(_c(name).startswith(merchant_prefix), F.lit("MERCHANT")).otherwise(F.lit("CUSTOMER"))
 
 
+def known_amount(amount: str | Column) -> Column:
+    """The amount, 0.0 where it is null or not a number."""
+    return F.coalesce(F.nanvl(_c(amount), F.lit(None).cast("double")), F.lit(0.0))
+
+
+def balance_residual(before: str | Column, flow: str | Column, after: str | Column) -> Column:
+    """What a balance lacks after ``flow`` (money in is positive): before + flow - after; null if any is null."""
+    return _c(before) + _c(flow) - _c(after)
+
+
 def balance_inconsistent(
     txn_type: str | Column,
     old_balance: str | Column,
@@ -39,7 +49,7 @@ def balance_inconsistent(
     Three-valued on purpose: a debit-type row with a null balance yields
     NULL (unknown), a non-debit row yields 0.
     """
-    deviation = F.abs(_c(new_balance) - (_c(old_balance) - _c(amount)))
+    deviation = F.abs(balance_residual(old_balance, -_c(amount), new_balance))
     return (_c(txn_type).isin(*debit_types) & (deviation > F.lit(tolerance))).cast("int")
 
 

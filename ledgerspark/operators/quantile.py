@@ -1,18 +1,12 @@
-"""Exact percentile of a numeric column, without sorting the column.
+"""Exact percentile of a numeric column by radix selection.
 
-The value at 0-based rank k is found by narrowing a value range twice:
-
-1. split [min, max] into 65 536 equal ranges; one aggregation counts rows
-   per range (partial-aggregated, <= 65 536 rows) and running counts over
-   that small table locate the range holding rank k;
-2. repeat inside the located range, counting only its rows, until it holds
-   at most 100 000 rows (usually after one or two levels);
-3. count the rows of that range per distinct value and pick the value at
-   the remaining rank.
-
-Buckets are computed with the same monotone expression in every pass, so
-the bucket order always agrees with the value order; rounding cannot put a
-row on the wrong side.  Only the small histograms reach the driver.
+Doubles are ordered like a 64-bit integer made of their bit pattern
+(:func:`order_key`, built-in expressions only).  The value at a rank is
+found from the top 16 bits down: one aggregation counts rows per 16-bit
+digit among the rows that share the digits found so far, and the running
+counts locate the rank.  Four such levels end at a single value, whatever
+the distribution; a level sends the driver at most 65 536 rows (partial
+aggregation; a value that fills a third of the column is one row a task).
 
 ``percentile`` interpolates linearly between the two neighbouring order
 statistics, the usual default of numeric libraries.
@@ -21,19 +15,43 @@ statistics, the usual default of numeric libraries.
 from __future__ import annotations
 
 import math
+import struct
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-LEVEL = 1 << 16
-
-
-def _bucket(x: Column, lo: float, width: float) -> Column:
-    b = F.floor((x - F.lit(lo)) / F.lit(width))
-    return F.least(F.greatest(b, F.lit(0)), F.lit(LEVEL - 1)).cast("int")
-
-
-def _locate(counts: list[tuple], rank: int) -> tuple[object, int]:
+DIGIT_BITS = 16
+#: Least exponent of a normal double, and the key of infinity.
+LEAST_EXPONENT = -1022
+INFINITY_KEY = 0x7FF << 52
+
+
+def order_key(x: Column) -> Column:
+    """A long that orders doubles as their values do: the bits of the absolute
+    value with the sign of ``x``.  NaN comes last; null stays null."""
+    a = F.abs(x)
+    guess = F.floor(F.log2(a)).cast("double")
+    # The logarithm may be off by a rounding at a power of two.
+    power = F.pow(F.lit(2.0), guess)
+    exponent = F.when(power > a, guess - 1).when(power * 2 <= a, guess + 1).otherwise(guess)
+    mantissa = (a / F.pow(F.lit(2.0), exponent) - 1) * F.lit(float(1 << 52))
+    normal = (exponent.cast("long") - F.lit(LEAST_EXPONENT - 1)) * F.lit(1 << 52) + mantissa.cast("long")
+    tiny = (a * F.lit(2.0**1000) * F.lit(2.0**74)).cast("long")
+    bits = (
+        F.when(F.isnan(x), F.lit(INFINITY_KEY + 1))
+        .when(a == F.lit(math.inf), F.lit(INFINITY_KEY))
+        .when(a < F.lit(2.0**LEAST_EXPONENT), tiny)
+        .otherwise(normal)
+    )
+    return F.when(~F.isnan(x) & (x < 0), -bits).otherwise(bits)
+
+
+def key_value(key: int) -> float:
+    """The double that has ``key`` as its order key."""
+    return math.copysign(struct.unpack("<d", struct.pack("<q", abs(key)))[0], key)
+
+
+def _locate(counts: list[tuple], rank: int) -> tuple[int, int]:
     """(key, rank within key) for the 0-based ``rank`` over sorted counts."""
     seen = 0
     for key, n in counts:
@@ -43,72 +61,40 @@ def _locate(counts: list[tuple], rank: int) -> tuple[object, int]:
     raise ValueError("rank beyond the number of rows")
 
 
-# Rows in a located range small enough to count per value on the driver.
-MAX_FINAL_ROWS = 100_000
-# Each level divides the range by 2^16; past ~4 levels a double range has
-# no room left, so the remaining rows hold (nearly) one distinct value.
-MAX_LEVELS = 5
-
-
-def order_statistics(
-    df: DataFrame, col: str, ranks: list[int], lo: float, hi: float, n: int | None = None
-) -> list[float]:
-    """Values at the 0-based ``ranks`` of the non-null values of ``col``.
-
-    Each level splits the current range into 65 536 sub-ranges and counts
-    rows per sub-range (one aggregation, only over the rows of the current
-    range); the rank's sub-range becomes the next range.  Narrowing stops
-    once a range holds at most ``MAX_FINAL_ROWS`` rows (or after
-    ``MAX_LEVELS``), and then rows are counted per distinct value.  Ranks
-    that fall in the same range share its passes.
-    """
-    rows = df.select(F.col(col).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
-    out: dict[int, float] = {}
-
-    def solve(frame: DataFrame, rank_map: dict[int, int], lo_: float, width: float, n_rows: int, level: int):
-        if n_rows <= MAX_FINAL_ROWS or level >= MAX_LEVELS or width <= 0:
-            vals = frame.groupBy("_x").agg(F.count(F.lit(1)).alias("n")).orderBy("_x").collect()
-            counts = [(v._x, v.n) for v in vals]
-            for r, rr in rank_map.items():
-                out[r] = float(_locate(counts, rr)[0])
+def order_statistics(df: DataFrame, col: str, ranks: list[int]) -> list[float]:
+    """Values at the 0-based ``ranks`` of the non-null values of ``col``; ranks
+    that share their upper digits share the passes."""
+    keys = df.select(order_key(F.col(col).cast("double")).alias("_k")).filter(F.col("_k").isNotNull())
+    found: dict[int, int] = {}
+
+    def descend(frame: DataFrame, wanted: dict[int, int], shift: int) -> None:
+        digits = F.shiftright("_k", shift)
+        rows = frame.groupBy(digits.alias("d")).agg(F.count(F.lit(1)).alias("n")).collect()
+        counts = sorted((r.d, r.n) for r in rows)
+        located = {rank: _locate(counts, rest) for rank, rest in wanted.items()}
+        if shift == 0:
+            found.update({rank: key for rank, (key, _) in located.items()})
             return
-        w = width / LEVEL
-        b = _bucket(F.col("_x"), lo_, w)
-        hist = [(h.b, h.n) for h in frame.groupBy(b.alias("b")).agg(F.count(F.lit(1)).alias("n")).orderBy("b").collect()]
-        sizes = dict(hist)
-        located = {r: _locate(hist, rr) for r, rr in rank_map.items()}
-        for k in sorted({k for k, _ in located.values()}):
-            solve(
-                frame.filter(b == F.lit(k)),
-                {r: rr for r, (kk, rr) in located.items() if kk == k},
-                lo_ + k * w,
-                w,
-                sizes[k],
-                level + 1,
-            )
-
-    if hi <= lo:
-        return [float(lo)] * len(ranks)
-    solve(rows, {r: r for r in ranks}, lo, hi - lo, rows.count() if n is None else n, 0)
-    return [out[r] for r in ranks]
+        for key in sorted({key for key, _ in located.values()}):
+            inside = {rank: rest for rank, (k, rest) in located.items() if k == key}
+            descend(frame.filter(digits == F.lit(key)), inside, shift - DIGIT_BITS)
+
+    descend(keys, {r: r for r in ranks}, 64 - DIGIT_BITS)
+    return [key_value(found[r]) for r in ranks]
 
 
 def percentile(df: DataFrame, col: str, q: float) -> float | None:
     """Exact q-quantile (0 <= q <= 1) of ``col`` with linear interpolation
     between order statistics; None for an empty column."""
-    stats = df.agg(
-        F.count(F.col(col)).alias("n"), F.min(F.col(col)).cast("double").alias("lo"),
-        F.max(F.col(col)).cast("double").alias("hi"),
-    ).first()
-    n = stats.n
+    n = df.agg(F.count(F.col(col)).alias("n")).first().n
     if not n:
         return None
     pos = (n - 1) * q
     k = int(math.floor(pos))
     frac = pos - k
     if frac == 0 or k + 1 >= n:
-        return order_statistics(df, col, [k], stats.lo, stats.hi, n)[0]
-    lower, upper = order_statistics(df, col, [k, k + 1], stats.lo, stats.hi, n)
+        return order_statistics(df, col, [k])[0]
+    lower, upper = order_statistics(df, col, [k, k + 1])
     # The same interpolation arithmetic as numpy's default method.
     if frac >= 0.5:
         return upper - (upper - lower) * (1 - frac)

@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ...operators import metrics
-from ...operators import features as feats
 from ...session import scratch_path
 from ...sources import files, sinks, warehouse
 from ...sources.ledger import read_ledger
-from ...spec import RAW_COLUMNS
+from ...spec import FEATURE_COLUMNS, RAW_COLUMNS
 from ...streaming import messages
 from .. import oracle as O
 from .. import analytics
@@ -184,7 +183,7 @@ def q_bounded_replay(spark, sf_dir):
 def q_column_pruned_scan(spark, sf_dir):
     path = scratch_path(spark, "features")
     sinks.write_table(features(spark, sf_dir), path)
-    return files.read_columns(spark, path, [*feats.FEATURE_TABLE_COLUMNS[3:13], "label"])
+    return files.read_columns(spark, path, [*FEATURE_COLUMNS, "label"])
 
 
 @query("flat_parquet_roundtrip", O.with_silver("SELECT * FROM silver"))

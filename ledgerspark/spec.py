@@ -53,6 +53,8 @@ SILVER_RENAMES = {
 TRANSACTION_TYPES = ("CASH_IN", "CASH_OUT", "TRANSFER", "PAYMENT", "DEBIT")
 # Types where fraud occurs; the ML population.
 FRAUD_ELIGIBLE_TYPES = ("TRANSFER", "CASH_OUT")
+# Types marked by the feature is_transfer.
+INDICATOR_TYPES = ("TRANSFER",)
 # Types whose sender balance must move by the amount.
 SENDER_DEBIT_TYPES = ("CASH_OUT", "TRANSFER", "DEBIT", "PAYMENT")
 # Per-type ceiling on the balance-inconsistency rate (CASH_IN has none).
@@ -78,8 +80,6 @@ FOREST_TREES = 100
 FOREST_SAMPLE = 256
 MIN_CONTAMINATION = 1e-4
 STREAM_BATCH_ROWS = 200
-# --- end of fixed values ---------------------------------------------------
-
 # Silver column order (bronze lineage columns are carried when present).
 SILVER_COLUMNS = [
     "step",
@@ -97,7 +97,7 @@ SILVER_COLUMNS = [
     "is_flagged_fraud",
     "balance_inconsistent",
 ]
-
+# Model inputs, in vector order.
 FEATURE_COLUMNS = [
     "amount",
     "hour_of_day",
@@ -110,6 +110,24 @@ FEATURE_COLUMNS = [
     "error_balance_dest",
     "balance_inconsistent",
 ]
+# Columns of the feature table.
+FEATURE_TABLE_COLUMNS = [
+    "step",
+    "name_orig",
+    "name_dest",
+    "amount",
+    "hour_of_day",
+    "is_transfer",
+    "oldbalance_orig",
+    "newbalance_orig",
+    "oldbalance_dest",
+    "newbalance_dest",
+    "error_balance_orig",
+    "error_balance_dest",
+    "balance_inconsistent",
+    "label",
+]
+# --- end of fixed values ---------------------------------------------------
 
 
 @dataclass(frozen=True)
@@ -126,6 +144,7 @@ class LedgerSpec:
     steps_per_day: int = STEPS_PER_DAY
     types: tuple[str, ...] = TRANSACTION_TYPES
     eligible_types: tuple[str, ...] = FRAUD_ELIGIBLE_TYPES
+    indicator_types: tuple[str, ...] = INDICATOR_TYPES
     thresholds: dict = field(default_factory=lambda: dict(INCONSISTENCY_THRESHOLDS))
     band_edges: tuple[float, ...] = AMOUNT_BAND_EDGES
     band_labels: tuple[str, ...] = AMOUNT_BAND_LABELS
