@@ -10,9 +10,10 @@ Training never moves the data to one process:
    tree over the bounded pool).  Every tree therefore sees a uniform
    sample without replacement, chosen by hashes only -- the same forest on
    any partitioning.
-3. **Build.**  ``groupBy(tree).applyInPandas`` grows each tree from its
-   ``psi`` rows with numpy (random feature, uniform split between the
-   node's min and max, depth limit ceil(log2 psi)).
+3. **Build.**  All trees grow together, level by level: one aggregation
+   gives each node's least and greatest value per feature; feature and
+   split point (uniform between the two) are drawn from a hash of seed,
+   tree and node; depth limit ceil(log2 psi).  No Python.
 4. **Score.**  The forest is ``trees * (2 psi - 1)`` nodes at most (a
    proven bound, ~51k rows for 100 x 256), so it is shipped to the tasks
    and ``mapInPandas`` scores Arrow batches with vectorised traversal:
@@ -34,8 +35,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from ..functions.columns import surrogate_key
-from ..session import checkpoint_root, ship_package
+from ..functions.columns import key_text, surrogate_key
+from ..session import ship_package, stored
 from .quantile import percentile
 
 EULER_GAMMA = 0.5772156649015329
@@ -82,49 +83,84 @@ class IsolationForestModel:
         return feat, thr, left, right, size, depth
 
 
-def _grow(x: np.ndarray, rng: np.random.Generator, max_depth: int):
-    """Grow one isolation tree; returns node rows (node, feature, thr, l, r, size, depth)."""
-    rows = []
-    stack = [(0, np.arange(len(x)), 0)]
-    next_id = 1
-    while stack:
-        node, idx, depth = stack.pop()
-        sub = x[idx]
-        if depth >= max_depth or len(idx) <= 1:
-            rows.append((node, -1, 0.0, -1, -1, len(idx), depth))
-            continue
-        lo, hi = sub.min(axis=0), sub.max(axis=0)
-        candidates = np.flatnonzero(hi > lo)
-        if candidates.size == 0:
-            rows.append((node, -1, 0.0, -1, -1, len(idx), depth))
-            continue
-        f = int(rng.choice(candidates))
-        thr = float(rng.uniform(lo[f], hi[f]))
-        go_left = sub[:, f] < thr
-        left, right = next_id, next_id + 1
-        next_id += 2
-        rows.append((node, f, thr, left, right, len(idx), depth))
-        stack.append((left, idx[go_left], depth + 1))
-        stack.append((right, idx[~go_left], depth + 1))
-    return rows
-
-
-def _tree_builder(features: Sequence[str], psi: int, seed: int):
-    max_depth = int(math.ceil(math.log2(max(psi, 2))))
+def draw(*parts: str | Column) -> Column:
+    """A number in [0, 1) that the text of ``parts`` decides: 52 bits of its md5."""
+    digits = F.substring(F.md5(key_text(*parts)), 1, 13)
+    return F.conv(digits, 16, 10).cast("bigint").cast("double") / F.lit(float(1 << 52))
+
+
+def node_splits(rows: DataFrame, width: int, depth: int, max_depth: int, seed: int) -> DataFrame:
+    """(tree, node, feature, threshold, left, right, size, depth) of the nodes that ``rows``
+    (tree, node, x) have reached; a leaf has feature -1.
+
+    A node of several rows splits at a feature drawn among those that vary in
+    it, at a point drawn between that feature's least and greatest value
+    there; both sides get a row.
+    """
+    x = [F.col("x")[k] for k in range(width)]
+    spread = rows.groupBy("tree", "node").agg(
+        F.count(F.lit(1)).alias("size"),
+        *[F.min(c).alias(f"lo{k}") for k, c in enumerate(x)],
+        *[F.max(c).alias(f"hi{k}") for k, c in enumerate(x)],
+    )
+    varying = F.filter(
+        F.array(*[F.when(F.col(f"hi{k}") > F.col(f"lo{k}"), F.lit(k)) for k in range(width)]), lambda k: k.isNotNull()
+    )
+    lo, hi = (F.array(*[F.col(f"{end}{k}") for k in range(width)]) for end in ("lo", "hi"))
+    node = [F.lit(str(seed)), F.col("tree").cast("string"), F.col("node").cast("string")]
+    chosen = spread.select("tree", "node", "size", varying.alias("varying"), lo.alias("lo"), hi.alias("hi")).withColumn(
+        "feature",
+        F.when(
+            (F.size("varying") > 0) & F.lit(depth < max_depth),
+            F.get("varying", F.floor(draw(*node, F.lit("feature")) * F.size("varying")).cast("int")),
+        ),
+    )
+    low, high = F.get("lo", F.col("feature")), F.get("hi", F.col("feature"))
+    point = low + draw(*node, F.lit("point")) * (high - low)
+    inner = F.col("feature").isNotNull()
+
+    def child(k: int) -> Column:
+        return F.when(inner, 2 * F.col("node") + F.lit(k)).otherwise(-1).cast("int")
+
+    return chosen.select(
+        "tree",
+        "node",
+        F.coalesce("feature", F.lit(-1)).cast("int").alias("feature"),
+        F.when(inner, F.when(point > low, F.least(point, high)).otherwise(high)).otherwise(F.lit(0.0)).alias("threshold"),
+        child(1).alias("left"),
+        child(2).alias("right"),
+        F.col("size").cast("long").alias("size"),
+        F.lit(depth).cast("int").alias("depth"),
+    )
 
-    def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        tree = int(pdf["tree"].iloc[0])
-        x = pdf[list(features)].to_numpy(dtype=float)
-        rng = np.random.default_rng([seed, tree])
-        rows = _grow(x, rng, max_depth)
-        out = pd.DataFrame(rows, columns=["node", "feature", "threshold", "left", "right", "size", "depth"])
-        out.insert(0, "tree", tree)
-        return out.astype(
-            {"tree": "int32", "node": "int32", "feature": "int32", "left": "int32", "right": "int32",
-             "size": "int64", "depth": "int32"}
-        )
 
-    return build
+def grow_trees(samples: DataFrame, width: int, psi: int, seed: int) -> DataFrame:
+    """The node table of the trees over ``samples`` (tree, x): level by level,
+    one aggregation per level, all trees at once.  Nodes are numbered as in a
+    heap (children of k: 2k + 1 and 2k + 2)."""
+    max_depth = int(math.ceil(math.log2(max(psi, 2))))
+    rows, levels = samples.withColumn("node", F.lit(0)), None
+    for depth in range(max_depth + 1):
+        level = stored(node_splits(rows, width, depth, max_depth, seed), "forest-level")
+        levels = level if levels is None else levels.unionByName(level)
+        # At most trees * psi nodes: a proven bound.
+        split = F.broadcast(level.where("feature >= 0").select("tree", "node", "feature", "threshold", "left", "right"))
+        side = F.when(F.get("x", F.col("feature")) < F.col("threshold"), F.col("left")).otherwise(F.col("right"))
+        rows = rows.join(split, ["tree", "node"]).select("tree", "x", side.alias("node"))
+    return levels
+
+
+def tree_samples(
+    df: DataFrame, features: Sequence[str], key: Sequence[Column], trees: int, psi: int, seed: int, oversample: float, n: int
+) -> DataFrame:
+    """(tree, x): for every tree the ``psi`` pool rows of least hash."""
+    cut = int(min(1.0, oversample * trees * psi / max(n, 1)) * (1 << 60))
+    x = F.array(*[F.col(c).cast("double") for c in features]).alias("x")
+    pool = df.select(x, surrogate_key(F.lit(f"{seed}:pool"), *key).alias("_k")).filter(F.col("_k") < F.lit(cut))
+    offered = pool.select("x", "_k", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
+    turn = surrogate_key(F.lit(f"{seed}:tree"), F.col("tree").cast("string"), F.col("_k").cast("string"))
+    pick = Window.partitionBy("tree").orderBy("_t", "_k")
+    return offered.withColumn("_t", turn).withColumn("_rn", F.row_number().over(pick)).filter(F.col("_rn") <= psi).select("tree", "x")
 
 
 def fit_isolation_forest(
@@ -139,18 +175,10 @@ def fit_isolation_forest(
 ) -> IsolationForestModel:
     """Fit on ``df`` (nulls in ``features`` must already be filled); ``n``
     is its row count when already known."""
-    ship_package(df.sparkSession)
     n = df.count() if n is None else n
     psi = int(min(psi, max(n, 1)))
-    p = min(1.0, oversample * trees * psi / max(n, 1))
-    cut = int(p * (1 << 60))
-    pool = df.select(*features, surrogate_key(F.lit(f"{seed}:pool"), *key).alias("_k")).filter(F.col("_k") < F.lit(cut))
-    offered = pool.select(
-        *features, "_k", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree")
-    ).withColumn("_t", F.xxhash64(F.lit(seed), "tree", "_k"))
-    pick = Window.partitionBy("tree").orderBy("_t", "_k")
-    samples = offered.withColumn("_rn", F.row_number().over(pick)).filter(F.col("_rn") <= psi).select("tree", *features)
-    nodes = samples.groupBy("tree").applyInPandas(_tree_builder(features, psi, seed), NODE_SCHEMA)
+    samples = stored(tree_samples(df, features, key, trees, psi, seed, oversample, n), "forest-samples")
+    nodes = grow_trees(samples, len(features), psi, seed)
     # Bounded summary (<= trees * (2 psi - 1) rows) -> the model object.
     return IsolationForestModel(nodes=nodes.toPandas(), features=list(features), psi=psi, trees=trees)
 
@@ -195,10 +223,9 @@ def score_isolation_forest(df: DataFrame, model: IsolationForestModel, out_col:
 def anomaly_cut(scored: DataFrame, contamination: float, score: str = "score") -> float:
     """Score above which a row is predicted anomalous: the exact
     (1 - contamination) percentile of the training scores (linear
-    interpolation).  The scores are checkpointed first because the exact
+    interpolation).  The scores are stored first because the exact
     percentile makes a few passes and scoring runs trees in Python."""
-    checkpoint_root(scored.sparkSession)
-    q = percentile(scored.select(score).checkpoint(eager=True), score, 1.0 - contamination)
+    q = percentile(stored(scored.select(score), "forest-scores"), score, 1.0 - contamination)
     return float(q) if q is not None else float("inf")
 
 

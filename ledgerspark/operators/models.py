@@ -115,6 +115,29 @@ def score_logistic(model: PipelineModel, df: DataFrame, cols: Sequence[str] = FE
     )
 
 
+def logistic_gradient(
+    model: PipelineModel,
+    train: DataFrame,
+    cols: Sequence[str] = FEATURE_COLUMNS,
+    label: str = "label",
+    c: float = 1.0,
+    counts: dict[int, int] | None = None,
+) -> DataFrame:
+    """(term, gradient): the derivative of the objective that ``fit_logistic``
+    minimises -- the mean weighted loss plus the L2 penalty -- at the fitted
+    model, for each feature and the intercept.  It vanishes at the optimum,
+    and only there (the objective is convex).  One aggregate over ``train``."""
+    weighted, n = with_class_weights(train, label, counts=counts)
+    scored = score_logistic(model, weighted, cols)
+    pull = F.col("weight") * (F.col("score") - F.col(label)) / F.lit(float(max(n, 1)))
+    penalty = [float(w) / (c * max(n, 1)) for w in model.stages[-1].coefficients.toArray()]
+    sums = [F.sum(pull * z) + F.lit(p) for z, p in zip(scaled_expressions(model, cols), penalty)] + [F.sum(pull)]
+    terms = F.array(
+        *[F.struct(F.lit(t).alias("term"), g.alias("gradient")) for t, g in zip([*cols, "(intercept)"], sums)]
+    )
+    return scored.agg(terms.alias("terms")).select(F.explode("terms").alias("t")).select("t.*")
+
+
 def scaled_columns(model: PipelineModel, df: DataFrame, cols: Sequence[str] = FEATURE_COLUMNS) -> DataFrame:
     """The standardised features as plain columns (same names)."""
     return fill_features(df, cols).select(*scaled_expressions(model, cols))

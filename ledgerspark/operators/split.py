@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import surrogate_key
-from ..session import checkpoint_root
+from ..session import stored
 
 HASH_BITS = 60
 LEVEL_BITS = 16
@@ -79,7 +79,7 @@ def stratified_split(
     assignment.  The cuts (one per class) reach the driver and come back as
     literal maps, so the assignment is a projection -- no join -- plus a
     window over the ~n / 2^32 boundary rows.  When ``df`` is not a stored
-    table (its lineage has shuffles), ``materialize`` checkpoints the hashed
+    table (its lineage has shuffles), ``materialize`` stores the hashed
     rows once so the passes do not each replay that lineage.
     """
     h = df.withColumn("_h", row_hash(seed, key))
@@ -87,8 +87,7 @@ def stratified_split(
         "_b2", F.shiftright("_h", HASH_BITS - 2 * LEVEL_BITS).bitwiseAND(F.lit(MASK))
     )
     if materialize:
-        checkpoint_root(df.sparkSession)
-        h = h.checkpoint(eager=True)
+        h = stored(h, "split-rows")
     y = F.col(label)
 
     hist1 = h.groupBy(label, "_b1").agg(F.count(F.lit(1)).alias("_n"))

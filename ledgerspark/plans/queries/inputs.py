@@ -10,7 +10,7 @@ from ...operators import marts, models, star
 from ...operators.clean import silver_from_raw, stamp_lineage
 from ...operators.split import stratified_split
 from ...operators import features as feats
-from ...session import checkpoint_root, scratch_path
+from ...session import scratch_path, stored
 from ...sources import sinks
 from ...sources.ledger import read_ledger
 from ...spec import RAW_COLUMNS
@@ -25,11 +25,10 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver materialised once (checkpoint under ``spark.checkpoint.dir``),
-    for queries that derive several outputs from it -- as the batch chain
-    does with its written silver table."""
-    checkpoint_root(spark)
-    return silver(spark, sf_dir).checkpoint(eager=True)
+    """Silver stored once (Parquet under ``spark.checkpoint.dir``), for
+    queries that derive several outputs from it -- as the batch chain does
+    with its written silver table."""
+    return stored(silver(spark, sf_dir), "silver-once")
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import money_text
 from ..operators import iforest, metrics, models
 from ..operators.split import stratified_split
-from ..session import checkpoint_root
+from ..session import stored
 from ..spec import FEATURE_COLUMNS, FOREST_SAMPLE, FOREST_TREES, MIN_CONTAMINATION, LedgerSpec
 
 SCORED_COLUMNS = ["step", "name_orig", "name_dest", "amount", "label", "score", "prediction"]
@@ -40,7 +40,11 @@ class Trained:
     forest: iforest.IsolationForestModel
     forest_cut: float
     contamination: float
-    n_train: int
+    class_counts: dict[int, int]
+
+    @property
+    def n_train(self) -> int:
+        return sum(self.class_counts.values())
 
 
 def split(features: DataFrame, spec: LedgerSpec = LedgerSpec(), materialize: bool = True) -> DataFrame:
@@ -50,13 +54,12 @@ def split(features: DataFrame, spec: LedgerSpec = LedgerSpec(), materialize: boo
 def train(features: DataFrame, spec: LedgerSpec = LedgerSpec(), trees: int = FOREST_TREES, psi: int = FOREST_SAMPLE) -> Trained:
     """Split once, then fit both models on the training rows.
 
-    The split table is checkpointed (written under ``spark.checkpoint.dir``)
+    The split table is stored (Parquet under ``spark.checkpoint.dir``)
     before fitting: the solvers, the forest sampler, the quantile cut and
     both scorings then read that table instead of re-running the split's
     lineage, and a lost executor recomputes nothing before it.
     """
-    checkpoint_root(features.sparkSession)
-    s = split(features, spec).checkpoint(eager=True)
+    s = stored(split(features, spec), "split")
     train_rows = models.fill_features(s.filter(~F.col("is_test")))
     # One pass for the class sizes: class weights, contamination, forest size.
     counts = models.class_counts(train_rows)
@@ -70,8 +73,8 @@ def train(features: DataFrame, spec: LedgerSpec = LedgerSpec(), trees: int = FOR
     forest = iforest.fit_isolation_forest(
         train_rows, FEATURE_COLUMNS, row_key(), trees=trees, psi=psi, seed=spec.seed, n=n_train
     )
-    cut = iforest.anomaly_cut(iforest.score_isolation_forest(train_rows, forest), contamination)
-    return Trained(s, logistic, forest, cut, contamination, n_train)
+    cut = iforest.anomaly_cut(iforest.score_isolation_forest(train_rows.select(*FEATURE_COLUMNS), forest), contamination)
+    return Trained(s, logistic, forest, cut, contamination, counts)
 
 
 def test_rows(t: Trained) -> DataFrame:
@@ -83,7 +86,8 @@ def logistic_scores(t: Trained) -> DataFrame:
 
 
 def forest_scores(t: Trained) -> DataFrame:
-    scored = iforest.score_isolation_forest(test_rows(t), t.forest)
+    needed = dict.fromkeys([*SCORED_COLUMNS[:5], *FEATURE_COLUMNS])
+    scored = iforest.score_isolation_forest(test_rows(t).select(*needed), t.forest)
     return scored.withColumn("prediction", (F.col("score") > F.lit(t.forest_cut)).cast("int")).select(*SCORED_COLUMNS)
 
 
@@ -133,9 +137,15 @@ def train_and_evaluate(spark: SparkSession, features: DataFrame, spec: LedgerSpe
 
 
 def evaluation(t: Trained) -> DataFrame:
-    """Tidy metrics of both fitted models, including the training size."""
-    scored = evaluate(logistic_scores(t), "logistic_regression").unionByName(
-        evaluate(forest_scores(t), "isolation_forest")
+    """Tidy metrics of both fitted models, including the training size.
+
+    Every test row is scored once per model; the metrics read the stored
+    labels, scores and predictions."""
+    def scored_once(scores: DataFrame) -> DataFrame:
+        return stored(scores.select("label", "score", "prediction"), "scored")
+
+    scored = evaluate(scored_once(logistic_scores(t)), "logistic_regression").unionByName(
+        evaluate(scored_once(forest_scores(t)), "isolation_forest")
     )
     sizes = t.split.sparkSession.createDataFrame(
         [(m, "n_train", float(t.n_train)) for m in ("logistic_regression", "isolation_forest")],

@@ -14,7 +14,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -90,6 +90,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/ledgerspark/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet under the shared checkpoint folder and read
+    back: cuts the lineage, survives a lost executor, and later passes read
+    only the columns they need."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 _SHIPPED: set[str] = set()
 
 
@@ -131,4 +141,4 @@ def is_local_fs(path: str) -> bool:
     return "://" not in path or path.startswith("file:")
 
 
-__all__ = ["get_spark", "scale_conf", "checkpoint_root", "scratch_path", "ship_package", "local_path", "is_local_fs"]
+__all__ = ["get_spark", "scale_conf", "checkpoint_root", "scratch_path", "stored", "ship_package", "local_path", "is_local_fs"]
