@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..functions.columns import key_text, surrogate_key
-from ..session import ship_package, stored
+from ..session import scratch_path, ship_package, stored
 from .quantile import percentile
 
 EULER_GAMMA = 0.5772156649015329
@@ -139,15 +139,17 @@ def grow_trees(samples: DataFrame, width: int, psi: int, seed: int) -> DataFrame
     one aggregation per level, all trees at once.  Nodes are numbered as in a
     heap (children of k: 2k + 1 and 2k + 2)."""
     max_depth = int(math.ceil(math.log2(max(psi, 2))))
-    rows, levels = samples.withColumn("node", F.lit(0)), None
+    spark = samples.sparkSession
+    folder, rows, schema = scratch_path(spark, "forest-nodes"), samples.withColumn("node", F.lit(0)), None
     for depth in range(max_depth + 1):
-        level = stored(node_splits(rows, width, depth, max_depth, seed), "forest-level")
-        levels = level if levels is None else levels.unionByName(level)
+        level = node_splits(rows, width, depth, max_depth, seed)
+        schema = level.schema
+        level.write.parquet(f"{folder}/level={depth}")
         # At most trees * psi nodes: a proven bound.
-        split = F.broadcast(level.where("feature >= 0").select("tree", "node", "feature", "threshold", "left", "right"))
+        split = F.broadcast(spark.read.schema(schema).parquet(f"{folder}/level={depth}").where("feature >= 0"))
         side = F.when(F.get("x", F.col("feature")) < F.col("threshold"), F.col("left")).otherwise(F.col("right"))
         rows = rows.join(split, ["tree", "node"]).select("tree", "x", side.alias("node"))
-    return levels
+    return spark.read.schema(schema).parquet(folder)
 
 
 def tree_samples(
@@ -157,10 +159,12 @@ def tree_samples(
     cut = int(min(1.0, oversample * trees * psi / max(n, 1)) * (1 << 60))
     x = F.array(*[F.col(c).cast("double") for c in features]).alias("x")
     pool = df.select(x, surrogate_key(F.lit(f"{seed}:pool"), *key).alias("_k")).filter(F.col("_k") < F.lit(cut))
-    offered = pool.select("x", "_k", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
-    turn = surrogate_key(F.lit(f"{seed}:tree"), F.col("tree").cast("string"), F.col("_k").cast("string"))
+    pool = stored(pool.withColumn("_row", F.monotonically_increasing_id()), "forest-pool")
+    offered = pool.select("_row", "_k", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
+    turn = F.substring(F.md5(key_text(F.lit(f"{seed}:tree"), F.col("tree").cast("string"), F.col("_k").cast("string"))), 1, 15)
     pick = Window.partitionBy("tree").orderBy("_t", "_k")
-    return offered.withColumn("_t", turn).withColumn("_rn", F.row_number().over(pick)).filter(F.col("_rn") <= psi).select("tree", "x")
+    picked = offered.withColumn("_t", turn).withColumn("_rn", F.row_number().over(pick)).filter(F.col("_rn") <= psi)
+    return picked.select("tree", "_row").join(pool.select("_row", "x"), "_row").select("tree", "x")
 
 
 def fit_isolation_forest(
