@@ -25,6 +25,8 @@ UNKNOWN = "und"
 BUCKETS = 4096
 #: Labelled rows aimed at per language, and the longest text (bytes) taken as training row.
 TRAIN_ROWS = 400
+#: Most labelled rows over all languages: bounds what the driver holds, whatever the number of languages.
+TRAIN_TOTAL = 8000
 TRAIN_BYTES = 1 << 18
 #: A document is ambiguous if the best language's probability is below this.
 CLEAR = 0.6
@@ -62,6 +64,18 @@ def features(text: str, buckets: int = BUCKETS) -> np.ndarray:
     return np.sqrt(counts).astype(np.float32)
 
 
+def _sparse(x: np.ndarray) -> tuple[bytes, bytes]:
+    """Places and values of the numbers other than 0."""
+    at = np.flatnonzero(x)
+    return at.astype("<u2").tobytes(), x[at].astype("<f4").tobytes()
+
+
+def _dense(at: bytes, value: bytes, buckets: int = BUCKETS) -> np.ndarray:
+    x = np.zeros(2 * buckets, np.float32)
+    x[np.frombuffer(at, "<u2")] = np.frombuffer(value, "<f4")
+    return x
+
+
 def codewords(n: int, seed: int = 7) -> np.ndarray:
     """n codewords of +-1 bits: all useful bits for few languages, else the best of some random codes."""
     if n <= 1:
@@ -120,7 +134,8 @@ def fit(x: np.ndarray, languages: list[str], steps: int = 150, decay: float = 1e
 
 
 def train(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> LanguageModel | None:
-    """Fit on about ``train_rows`` rows per language of ``docs`` (doc_id, text, lang), none of them held out.
+    """Fit on about ``train_rows`` rows per language of ``docs`` (doc_id, text, lang), none of them held out;
+    on fewer per language where that would be over TRAIN_TOTAL rows in all.
 
     The rows are those with the smallest hash of their id, so the sample does
     not depend on partitions; rows without text or lang, or of more than
@@ -134,19 +149,20 @@ def train(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> LanguageModel | None
     sizes = {r[0]: r[1] for r in usable.groupBy("lang").count().collect()}  # one row per language
     if not sizes:
         return None
-    limit = F.create_map(*[F.lit(v) for k, n in sizes.items() for v in (k, int(min(1.0, train_rows / n) * (1 << 30)))])
+    each = min(train_rows, max(TRAIN_TOTAL // len(sizes), 1))
+    limit = F.create_map(*[F.lit(v) for k, n in sizes.items() for v in (k, int(min(1.0, each / n) * (1 << 30)))])
     sample = usable.where(F.col("draw") <= limit[F.col("lang")])
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [(v, features(t).astype("<f4").tobytes()) for v, t in zip(batch["lang"], batch["text"], strict=True) if has_letter(t)]
-            yield pd.DataFrame(rows, columns=["lang", "x"])
+            rows = [(v, *_sparse(features(t))) for v, t in zip(batch["lang"], batch["text"], strict=True) if has_letter(t)]
+            yield pd.DataFrame(rows, columns=["lang", "at", "value"])
 
-    rows = sample.select("lang", "text").mapInPandas(vectors, "lang string, x binary").collect()
+    rows = sample.select("lang", "text").mapInPandas(vectors, "lang string, at binary, value binary").collect()
     if not rows:
         return None
-    rows.sort(key=lambda r: (r["lang"], r["x"]))
-    return fit(np.stack([np.frombuffer(r["x"], "<f4") for r in rows]), [r["lang"] for r in rows])
+    known = sorted(((r["lang"], _dense(r["at"], r["value"])) for r in rows), key=lambda r: (r[0], r[1].tobytes()))
+    return fit(np.stack([x for _, x in known]), [lang for lang, _ in known])
 
 
 def predict_texts(model: LanguageModel | None, texts) -> tuple[list[str], np.ndarray, np.ndarray]:

@@ -33,6 +33,8 @@ LIKELY = 0.68
 #: Bytes of shingles, and members, of a bucket that are compared as one tile.
 TILE_BYTES = 2 * 1024 * 1024
 TILE = 512
+#: Tiles of a side that meet under one key: at most STRIP x STRIP comparisons of tiles in a task, however large the bucket.
+STRIP = 8
 CACHE_ENTRIES = 400_000
 
 U = np.uint64
@@ -366,14 +368,19 @@ def near_classes(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     loads = inside.join(lengths, "tid").groupBy("bucket").agg(F.sum("bytes").alias("bytes"))
     tiles = loads.select("bucket", F.ceil(F.col("bytes") / TILE_BYTES).alias("by_bytes"))
     open_ = inside.join(stored(tiles, "near-loads"), "bucket").join(texts, "tid")
-    tile = F.pmod(F.xxhash64("tid", "bucket"), F.greatest(F.col("by_bytes"), F.ceil(F.col("size") / TILE))).alias("tile")
+    count = F.greatest(F.col("by_bytes"), F.ceil(F.col("size") / TILE))
+    tile, strips = F.pmod(F.xxhash64("tid", "bucket"), count).alias("tile"), F.ceil(count / STRIP).alias("strips")
     item = F.struct("tid", "cls", "mark", "bands", "shingles").alias("item")
-    open_ = stored(open_.select("bucket", tile, (F.col("cls") != F.col("top")).alias("outside"), item), "near-open")
+    open_ = stored(open_.select("bucket", tile, strips, (F.col("cls") != F.col("top")).alias("outside"), item), "near-open")
 
-    def packed(rows: DataFrame, name: str) -> DataFrame:
-        return stored(rows.groupBy("bucket", "tile").agg(F.collect_list("item").alias(name)).drop("tile"), "near-tiles")
+    def packed(rows: DataFrame, name: str, own: str, other: str) -> DataFrame:
+        """The tiles, each once for every strip of the other side."""
+        tiles = stored(rows.groupBy("bucket", "tile", "strips").agg(F.collect_list("item").alias(name)), "near-tiles")
+        strip = F.floor(F.col("tile") / STRIP).alias(own)
+        return tiles.select("bucket", name, strip, F.explode(F.sequence(F.lit(0), F.col("strips") - 1)).alias(other))
 
-    pairs = packed(open_.where("outside"), "left").join(packed(open_, "right"), "bucket")
+    left, right = packed(open_.where("outside"), "left", "one", "two"), packed(open_, "right", "two", "one")
+    pairs = left.join(right, ["bucket", "one", "two"])
     links = links.unionByName(stored(pairs.mapInPandas(_tiles(threshold), "a long, b long"), "near-links"))
 
     roots = components(links)

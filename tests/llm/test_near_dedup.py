@@ -105,6 +105,41 @@ def test_mixed_buckets_lose_no_link(make_docs):
     assert got == {k: find(k) for k in range(60)}
 
 
+def test_a_large_bucket_meets_in_bounded_pieces(make_docs, monkeypatch):
+    """Tiles of two texts, strips of two tiles: many keys for one bucket, and the classes of one tile."""
+    rng = random.Random(12)
+    base = words(rng, 300)
+    rows = []
+    for k in range(60):
+        text = list(base)
+        for _ in range(rng.randrange(1, 9)):
+            text[rng.randrange(len(text))] = f"e{rng.randrange(10**6)}"
+        rows.append((k, " ".join(text)))
+    docs = make_docs(rows)
+    want = {r["doc_id"]: r["class_id"] for r in N.near_dedup(docs).collect()}
+    monkeypatch.setattr(N, "TILE", 2)
+    monkeypatch.setattr(N, "STRIP", 2)
+    assert {r["doc_id"]: r["class_id"] for r in N.near_dedup(docs).collect()} == want
+
+
+def test_recall_over_planted_near_copies(make_docs):
+    """600 pairs across 0.80 to 0.95 of similarity, no two pairs alike: the share found."""
+    rng, rows, true = random.Random(31), [], []
+    for p in range(600):
+        text = [f"{w}{p}" for w in words(rng, 120)]
+        other = list(text)
+        for place in rng.sample(range(0, 120, 6), rng.randrange(1, 4)):
+            other[place] = "edit"
+        rows += [(2 * p, " ".join(text)), (2 * p + 1, " ".join(other))]
+        true.append(similarity(shingle_counts(rows[-2][1]), shingle_counts(rows[-1][1])) >= 0.8)
+    got = {r["doc_id"]: r["class_id"] for r in N.near_dedup(make_docs(rows)).collect()}
+    found = [got[2 * p + 1] == 2 * p for p in range(600)]
+    hits = sum(f for f, t in zip(found, true, strict=True) if t)
+    print(f"{sum(true)} pairs of 0.8 or more, {hits} found")
+    assert sum(true) > 200 and hits >= 0.9 * sum(true)
+    assert not any(f for f, t in zip(found, true, strict=True) if not t)
+
+
 def test_components_of_a_path_and_a_star(spark):
     path = [(k, k + 1) for k in range(40)] + [(1000, 100 + k) for k in range(20)] + [(7, 7)]
     random.Random(0).shuffle(path)
