@@ -246,24 +246,6 @@ def q_warehouse_roundtrip(spark, sf_dir):
     return counts_frame(spark, counts)
 
 
-_SERVED_SQL = {
-    "agg_fraud_by_type_hour": f"""SELECT transaction_type, hour_of_day, n_transactions, n_fraud,
-  {O.ratio('n_fraud', 'n_transactions', 6)} AS fraud_rate FROM by_type_hour""",
-    "agg_fraud_by_amount_band": f"""SELECT amount_band, n_transactions, n_fraud,
-  {O.ratio('n_fraud', 'n_transactions', 6)} AS fraud_rate FROM by_band""",
-    "agg_top_accounts": "SELECT * FROM top_accounts",
-    "dim_transaction_type": "SELECT * FROM dim_type",
-}
-
-
-def _served(spark, sf_dir):
-    """The served tables published and read back: name -> table."""
-    target = warehouse.DirectoryTarget(scratch_path(spark, "warehouse"))
-    tables = serving_tables(silver_table(spark, sf_dir))
-    warehouse.load_serving(tables, target)
-    return {name: warehouse.read_served(spark, name, target) for name in tables}
-
-
 @query("metrics_json", CLASSIFICATION_REPORT_SQL)
 def q_metrics_json(spark, sf_dir):
     """Persist the evaluation report as JSON and read it back."""
