@@ -24,7 +24,14 @@ MESSAGE_VALUES = 20
 
 
 class QualityError(Exception):
-    """A data contract was violated; the message names every violation."""
+    """A data contract was violated; the message names every violation.
+
+    ``tables`` maps each kind of offender to the stored Parquet table that
+    holds all of them, however many the message names."""
+
+    def __init__(self, message: str, tables: Mapping[str, str] | None = None):
+        super().__init__(message)
+        self.tables = dict(tables or {})
 
 
 def required_columns_report(df: DataFrame, required: Sequence[str]) -> DataFrame:
@@ -118,9 +125,20 @@ def stored_report(report: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(report.schema).parquet(path)
 
 
-def _raise(problems: list[str], layer: str) -> None:
+def _raise(problems: list[str], layer: str, tables: Mapping[str, str] | None = None) -> None:
     if problems:
-        raise QualityError(f"{layer} quality gate failed: " + "; ".join(problems))
+        raise QualityError(f"{layer} quality gate failed: " + "; ".join(problems), tables)
+
+
+def offending_rows(df: DataFrame, spec: LedgerSpec = LedgerSpec(), type_col: str = "type") -> DataFrame:
+    """The rows that break a row-wise bronze rule, with ``reasons``: the
+    broken rules in the order null columns, amount, type."""
+    rules = [(f"null {c}", F.col(c).isNull()) for c in spec.required_columns if c in df.columns]
+    if "amount" in df.columns:
+        rules.append(("negative amount", F.col("amount") < 0))
+    rules.append(("unexpected type", ~F.coalesce(F.col(type_col).isin(*spec.types), F.lit(False))))
+    broken = F.array_compact(F.array(*[F.when(rule, F.lit(name)) for name, rule in rules]))
+    return df.withColumn("reasons", broken).filter(F.size("reasons") > 0)
 
 
 def bronze_profile(df: DataFrame, spec: LedgerSpec = LedgerSpec(), type_col: str = "type") -> DataFrame:
@@ -140,8 +158,12 @@ def validate_bronze(df: DataFrame, spec: LedgerSpec = LedgerSpec(), type_col: st
     profile rows on success (no more than the domain has values).
 
     Every row counts: the totals are summed by Spark over all types, and
-    only the message names no more than the first offending types."""
+    only the message names no more than the first offending types.  A
+    failure stores all offending types (``tables["types"]``) and all
+    offending rows (``tables["rows"]``); the rows cost a second pass, on
+    failure only."""
     problems: list[str] = []
+    tables: dict[str, str] = {}
     missing = [c for c in spec.required_columns if c not in df.columns]
     if missing:
         problems.append(f"missing columns {missing}")
@@ -161,20 +183,26 @@ def validate_bronze(df: DataFrame, spec: LedgerSpec = LedgerSpec(), type_col: st
         if n_neg:
             problems.append(f"{n_neg} negative amounts")
     if total.n_offenders:
-        path = scratch_path(df.sparkSession, "bronze-offenders")
+        path = tables["types"] = scratch_path(df.sparkSession, "bronze-offenders")
         write_table(table.filter(~known), path)
         first = table.filter(~known).orderBy(F.desc("n_rows"), "value").limit(MESSAGE_VALUES).collect()
         names = ", ".join(f"{r.value!r} ({r.n_rows})" for r in first)
         problems.append(f"{total.n_offenders} unexpected types: {names} (all in {path})")
-    _raise(problems, "bronze")
+    if bad_nulls or total.n_offenders or ("amount" in df.columns and total.n_negative):
+        tables["rows"] = scratch_path(df.sparkSession, "bronze-offending-rows")
+        n = write_table(offending_rows(df, spec, type_col), tables["rows"])
+        problems.append(f"{n} offending rows in {tables['rows']}")
+    _raise(problems, "bronze", tables)
     return table.collect()
 
 
 def validate_silver(df: DataFrame, spec: LedgerSpec = LedgerSpec()) -> DataFrame:
     """Non-empty, unique on the business key, and every per-type
     inconsistency rate at or under its threshold.  Returns the rate report
-    (sorted by type) on success."""
+    (sorted by type) on success; a failure stores all violated rates
+    (``tables["rates"]``)."""
     problems: list[str] = []
+    tables: dict[str, str] = {}
     dup = duplicates_report(df, spec.dedup_keys).first()
     if dup.n_rows == 0:
         problems.append("table is empty")
@@ -183,13 +211,13 @@ def validate_silver(df: DataFrame, spec: LedgerSpec = LedgerSpec()) -> DataFrame
     report = stored_report(inconsistency_report(df, spec.thresholds), "silver-rates").orderBy("transaction_type")
     violated = report.filter("violated")
     n_violated = violated.count()
-    if n_violated > MESSAGE_VALUES:
-        path = scratch_path(df.sparkSession, "silver-violations")
+    if n_violated:
+        path = tables["rates"] = scratch_path(df.sparkSession, "silver-violations")
         write_table(violated, path)
-        problems.append(f"{n_violated} types above their threshold (all in {path}), the first {MESSAGE_VALUES}")
+        problems.append(f"{n_violated} types above their threshold (all in {path}), no more than {MESSAGE_VALUES} named")
     for r in violated.limit(MESSAGE_VALUES).collect():
         problems.append(f"{r.transaction_type}: rate {r.rate:.1%} > threshold {r.threshold:.1%}")
-    _raise(problems, "silver")
+    _raise(problems, "silver", tables)
     return report
 
 
@@ -199,6 +227,7 @@ def validate_gold(fact: DataFrame, accounts: DataFrame, time_dim: DataFrame, typ
     a failure names the tables that hold all offending keys."""
     spark = fact.sparkSession
     problems: list[str] = []
+    tables: dict[str, str] = {}
     reports = {
         "equal transaction keys": key_collisions(fact, "transaction_key"),
         "equal account keys": key_collisions(accounts, "account_key"),
@@ -208,6 +237,7 @@ def validate_gold(fact: DataFrame, accounts: DataFrame, time_dim: DataFrame, typ
         path = scratch_path(spark, "gold-gate")
         n = write_table(rows, path)
         if n:
+            tables[what] = path
             problems.append(f"{n} {what} (all in {path})")
-    _raise(problems, "gold")
+    _raise(problems, "gold", tables)
     return integrity_report(fact, accounts, time_dim, type_dim)

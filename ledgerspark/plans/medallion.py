@@ -9,6 +9,8 @@ written.  Row counts come from observations on the writes.
 
 from __future__ import annotations
 
+from dataclasses import asdict
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -20,6 +22,7 @@ from ..sources.files import CORRUPT_COLUMN, read_raw_csv, read_table, split_corr
 from ..session import scratch_path
 from ..sources.sinks import write_table, write_tables
 from ..spec import LedgerSpec
+from .stages import Stages
 
 SUMMARY_SCHEMA = StructType(
     [
@@ -103,32 +106,65 @@ def run_medallion(
     root: str,
     spec: LedgerSpec = LedgerSpec(),
     source_name: str | None = None,
+    run_id: str | None = None,
 ) -> DataFrame:
     """Run the whole chain under ``root``; return (layer, table, rows).
 
     ``raw`` is a raw-ledger frame or the path of the raw CSV files (then
-    malformed lines are quarantined under ``root/quarantine``)."""
+    malformed lines are quarantined under ``root/quarantine``).
+
+    With a ``run_id``, the caller's name of the input, finished stages are
+    recorded under ``root/_stages``: a chain that a gate or a lost cluster
+    stopped starts again at the stage that failed when it is called with the
+    same ``run_id``.  A stage runs again if a parameter that it depends on
+    has changed; raised thresholds, say, repeat the silver gate and what
+    follows, not silver."""
     root = root.rstrip("/")
-    counts: list[tuple[str, str, int]] = []
-    if isinstance(raw, str):
-        n = ingest_bronze(spark, raw, f"{root}/bronze", quarantine=f"{root}/quarantine")
-    else:
-        n = write_table(stamp_lineage(raw, source_name), f"{root}/bronze", partition_by=["type"])
-    counts.append(("bronze", "transactions", n))
-    bronze = read_table(spark, f"{root}/bronze")
-    quality.validate_bronze(bronze, spec)
-
-    n = write_table(to_silver(bronze, spec), f"{root}/silver")
-    counts.append(("silver", "transactions", n))
-    silver = read_table(spark, f"{root}/silver")
-    quality.validate_silver(silver, spec)
-
-    for name, rows in build_gold(silver, f"{root}/gold", spec).items():
-        counts.append(("gold", name, rows))
-    gold = [read_table(spark, f"{root}/gold/{n}") for n in ("fact_transactions", "dim_account", "dim_time", "dim_transaction_type")]
-    quality.validate_gold(*gold)
-    n = write_table(feats.build_features(silver, spec), f"{root}/gold/ml_features")
-    counts.append(("gold", "ml_features", n))
+    stages = Stages(spark, root, run_id)
+    bronze, silver, gold = (f"{root}/{layer}" for layer in ("bronze", "silver", "gold"))
+
+    def table(path):
+        return read_table(spark, path)
+
+    def ingest():
+        if isinstance(raw, str):
+            return [("bronze", "transactions", ingest_bronze(spark, raw, bronze, quarantine=f"{root}/quarantine"))]
+        return [("bronze", "transactions", write_table(stamp_lineage(raw, source_name), bronze, partition_by=["type"]))]
+
+    def bronze_gate():
+        quality.validate_bronze(table(bronze), spec)
+        return []
+
+    def clean():
+        return [("silver", "transactions", write_table(to_silver(table(bronze), spec), silver))]
+
+    def silver_gate():
+        quality.validate_silver(table(silver), spec)
+        return []
+
+    def star_and_marts():
+        return [("gold", name, rows) for name, rows in build_gold(table(silver), gold, spec).items()]
+
+    def gold_gate():
+        names = ("fact_transactions", "dim_account", "dim_time", "dim_transaction_type")
+        quality.validate_gold(*[table(f"{gold}/{n}") for n in names])
+        return []
+
+    def feature_table():
+        return [("gold", "ml_features", write_table(feats.build_features(table(silver), spec), f"{gold}/ml_features"))]
+
+    every = asdict(spec)
+
+    def only(*names):
+        return {n: every[n] for n in names}
+
+    counts = stages.run("1-bronze", {"source": raw if isinstance(raw, str) else source_name}, ingest)
+    counts += stages.run("2-bronze-gate", only("types", "required_columns"), bronze_gate)
+    counts += stages.run("3-silver", only("dedup_keys", "dedup_order", "merchant_prefix", "debit_types", "tolerance"), clean)
+    counts += stages.run("4-silver-gate", only("dedup_keys", "thresholds"), silver_gate)
+    counts += stages.run("5-gold", only("steps_per_day", "band_edges", "band_labels", "top_accounts"), star_and_marts)
+    counts += stages.run("6-gold-gate", {}, gold_gate)
+    counts += stages.run("7-features", only("eligible_types", "indicator_types", "steps_per_day"), feature_table)
     return spark.createDataFrame(counts, SUMMARY_SCHEMA)
 
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from ...operators import metrics
+from ...operators.quality import QualityError
 from ...session import scratch_path
 from ...sources import files, sinks, warehouse
 from ...sources.ledger import read_ledger
@@ -13,6 +16,7 @@ from ...streaming import messages
 from .. import oracle as O
 from .. import analytics
 from ..medallion import build_gold, gold_tables, ingest_bronze, run_medallion
+from ..stages import stage_tables
 from ..oracle import (
     ACCOUNT_TOTALS_CTE,
     BY_BAND_CTE,
@@ -37,7 +41,7 @@ from .inputs import (
     silver,
     silver_table,
 )
-from . import marts as _marts  # noqa: F401  (registers the reports first)
+from . import marts as _marts, star as _star  # noqa: F401  (registers the reports first)
 from .registry import ORACLES, SPEC, query
 
 
@@ -246,6 +250,65 @@ def q_warehouse_roundtrip(spark, sf_dir):
     return counts_frame(spark, counts)
 
 
+# Served columns with the types of the serving store.
+SERVED_TYPES = {
+    "agg_fraud_by_type_hour": "transaction_type string, hour_of_day bigint, n_transactions bigint, n_fraud bigint, fraud_rate double",
+    "agg_top_accounts": "name_orig string, total_out double, n_transactions bigint, n_fraud bigint",
+    "agg_fraud_by_amount_band": "amount_band string, n_transactions bigint, n_fraud bigint, fraud_rate double",
+    "dim_transaction_type": "transaction_type string, type_key bigint",
+    "kpi_summary": "n_transactions bigint, n_fraud bigint, fraud_pct double, n_balance_inconsistent bigint",
+}
+
+
+def _served(spark, sf_dir, names):
+    """Publish the named tables twice (replace semantics) and read them back."""
+    target = warehouse.DirectoryTarget(scratch_path(spark, "warehouse"))
+    tables = serving_tables(silver_table(spark, sf_dir))
+    for _ in range(2):
+        warehouse.load_serving({n: tables[n] for n in names}, target)
+    return {n: warehouse.read_served(spark, n, target) for n in names}
+
+
+@query(
+    "warehouse_types",
+    "SELECT * FROM (VALUES "
+    + ", ".join(
+        "('{}', '{}', '{}')".format(name, *column.split(" "))
+        for name, columns in SERVED_TYPES.items()
+        for column in columns.split(", ")
+    )
+    + ") AS t(table_name, column_name, data_type)",
+)
+def q_warehouse_types(spark, sf_dir):
+    """Column types of every published table, as read back."""
+    served = _served(spark, sf_dir, list(SERVED_TYPES))
+    rows = [(name, column, kind) for name, df in served.items() for column, kind in df.dtypes]
+    return spark.createDataFrame(rows, "table_name string, column_name string, data_type string")
+
+
+def _register_served(name, report):
+    # The published rows are those of the report of the same table, in serving types.
+    sql = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
+    columns = [c.split(" ") for c in SERVED_TYPES[name].split(", ")]
+    casts = ", ".join(f"CAST({c} AS {sql[kind]}) AS {c}" for c, kind in columns)
+
+    @query(f"served_{report}", f"SELECT {casts} FROM ({ORACLES[report]})")
+    def run(spark, sf_dir):
+        return _served(spark, sf_dir, [name])[name]
+
+    return run
+
+
+for _name, _report in (
+    ("agg_fraud_by_type_hour", "fraud_by_type_hour"),
+    ("agg_top_accounts", "top_accounts"),
+    ("agg_fraud_by_amount_band", "fraud_by_amount_band"),
+    ("dim_transaction_type", "dim_transaction_type"),
+    ("kpi_summary", "kpi_summary"),
+):
+    _register_served(_name, _report)
+
+
 @query("metrics_json", CLASSIFICATION_REPORT_SQL)
 def q_metrics_json(spark, sf_dir):
     """Persist the evaluation report as JSON and read it back."""
@@ -258,3 +321,21 @@ def q_metrics_json(spark, sf_dir):
 @query("medallion_summary", MEDALLION_SQL)
 def q_medallion_summary(spark, sf_dir):
     return run_medallion(spark, read_ledger(spark, sf_dir), scratch_path(spark, "medallion"), SPEC, "events.parquet")
+
+
+RESUME_SQL = MEDALLION_SQL.replace("SELECT 'bronze'", "SELECT CAST(1 AS BIGINT) AS attempt, 'bronze'").replace(
+    "SELECT 'silver'", "SELECT 1, 'silver'"
+).replace("SELECT 'gold'", "SELECT 2, 'gold'")
+
+
+@query("medallion_resume", RESUME_SQL)
+def q_medallion_resume(spark, sf_dir):
+    """A threshold of 0 stops the chain at the silver gate; called again with
+    the real thresholds it writes the gold tables only."""
+    root, ledger = scratch_path(spark, "medallion"), read_ledger(spark, sf_dir)
+    strict = replace(SPEC, thresholds=dict.fromkeys(SPEC.thresholds, 0.0))
+    try:
+        run_medallion(spark, ledger, root, strict, "events.parquet", run_id=sf_dir)
+    except QualityError:
+        run_medallion(spark, ledger, root, SPEC, "events.parquet", run_id=sf_dir)
+    return stage_tables(spark, root)

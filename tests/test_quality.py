@@ -107,3 +107,25 @@ def test_bronze_rejects_null_required_values(spark):
     df = spark.createDataFrame([GOOD, tuple(null_name)], RAW_SCHEMA.simpleString())
     with pytest.raises(QualityError, match="nameOrig=1"):
         validate_bronze(df)
+
+
+def test_bronze_failure_stores_every_offender(spark):
+    def row(i, kind="TRANSFER", amount=10.0, name="C1"):
+        return (i, kind, amount, name, 10.0, 0.0, "C2", 0.0, 10.0, 0, 0)
+
+    rows = [row(0), row(1, amount=-1.0), row(2, kind=None, amount=-2.0, name=None)]
+    rows += [row(i, kind=f"T{i}") for i in range(3, 33)]
+    with pytest.raises(QualityError, match="31 unexpected types") as err:
+        validate_bronze(spark.createDataFrame(rows, RAW_SCHEMA.simpleString()))
+    assert spark.read.parquet(err.value.tables["types"]).count() == 31
+    found = {r.step: r.reasons for r in spark.read.parquet(err.value.tables["rows"]).collect()}
+    assert len(found) == 32 and 0 not in found
+    assert found[1] == ["negative amount"] and found[3] == ["unexpected type"]
+    assert found[2] == ["null nameOrig", "negative amount", "unexpected type"]
+
+
+def test_silver_failure_stores_every_violated_rate(spark, make_silver):
+    with pytest.raises(QualityError) as err:
+        validate_silver(make_silver([dict(transaction_type="DEBIT", balance_inconsistent=1)]))
+    rate = spark.read.parquet(err.value.tables["rates"]).first()
+    assert (rate.transaction_type, rate.rate, rate.violated) == ("DEBIT", 1.0, True)
