@@ -13,6 +13,7 @@ from .mixing import mix_taken
 from .near_dedup import near_dedup
 from .packing import pack
 from .quality_rules import apply_policy, rule_ledger
+from . import sharding
 from .sharding import shard_rows
 from .spelling import spelling_variants
 from .suffix_dedup import suffix_dedup
@@ -71,7 +72,53 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"))
 
 
-@_query("op5_sharding")
+def _feistel_sql(value: str) -> str:
+    """Four rounds of the network on a struct of halves ``l`` and ``r``, written out from its definition."""
+    halves = f"{{'l': ({value}) >> w, 'r': ({value}) & ((1 << w) - 1)}}"
+    for key in sharding._keys(sharding.SEED):
+        steps = [
+            f"(x.r * {sharding.MIX_A} + {key}) & 2147483647",
+            "xor(t, t >> 15)",
+            f"(t * {sharding.MIX_B}) & 2147483647",
+            "xor(t, t >> 13)",
+            "xor(t >> 3, t) & ((1 << w) - 1)",
+        ]
+        mixed = steps[0]
+        for step in steps[1:]:
+            mixed = f"list_transform([{mixed}], lambda t: {step})[1]"
+        halves = f"list_transform([{halves}], lambda x: {{'l': x.r, 'r': xor(x.l, {mixed})}})[1]"
+    return f"list_transform([{halves}], lambda x: (x.l << w) | x.r)[1]"
+
+
+@_query(
+    "op5_sharding",
+    f"""
+    WITH RECURSIVE crc_steps AS (
+      SELECT b, 0 AS k, b AS c FROM range(256) t(b)
+      UNION ALL SELECT b, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM crc_steps WHERE k < 8
+    ), crc_table AS (SELECT list(c ORDER BY b) AS tab FROM crc_steps WHERE k = 8
+    ), sized AS (
+      SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size,
+             CASE WHEN coalesce(text, '') = '' THEN 0 ELSE xor(list_reduce(list_prepend(4294967295,
+               list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda h: CAST('0x' || h AS BIGINT))),
+               lambda c, b: xor(tab[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) END AS crc
+      FROM documents, crc_table
+    ), numbered AS (
+      SELECT doc_id, size, crc, row_number() OVER (ORDER BY doc_id NULLS FIRST, crc, size) - 1 AS row_no,
+             count(*) OVER () AS n
+      FROM sized
+    ), walk AS (
+      SELECT *, CAST(greatest(1, (SELECT min(b) FROM range(1, 32) t(b) WHERE power(4, b) >= n)) AS BIGINT) AS w,
+             row_no AS place, FALSE AS moved FROM numbered
+      UNION ALL
+      SELECT doc_id, size, crc, row_no, n, w, {_feistel_sql('place')}, TRUE FROM walk WHERE NOT moved OR place >= n
+    )
+    SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(crc AS BIGINT) AS text_crc32, 'rows' AS law,
+           CAST(place % {sharding.SHARDS} AS INTEGER) AS shard, CAST(place // {sharding.SHARDS} AS BIGINT) AS slot,
+           CAST(NULL AS INTEGER) AS grown_shard, CAST(row_no AS BIGINT) AS row_no, CAST(place AS BIGINT) AS place
+    FROM walk WHERE moved AND place < n
+    """,
+)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(_table(spark, sf_dir, "documents"))
 
