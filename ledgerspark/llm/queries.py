@@ -13,7 +13,7 @@ from .mixing import mix_taken
 from .near_dedup import near_dedup
 from .packing import pack
 from .quality_rules import apply_policy, rule_ledger
-from . import sharding
+from . import mixing, sharding
 from .sharding import shard_rows
 from .spelling import spelling_variants
 from .suffix_dedup import suffix_dedup
@@ -35,6 +35,20 @@ def _query(name: str, sql: str | None = None):
     return register
 
 
+#: Steps and table of the CRC-32 register, one entry per byte.
+CRC_CTE = """crc_steps AS (
+      SELECT b, 0 AS k, b AS c FROM range(256) t(b)
+      UNION ALL SELECT b, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM crc_steps WHERE k < 8
+    ), crc_table AS (SELECT list(c ORDER BY b) AS tab FROM crc_steps WHERE k = 8)"""
+
+
+def _crc_sql(text: str) -> str:
+    """Unsigned CRC-32 of the UTF-8 bytes of a non-empty text, beside ``crc_table``."""
+    return f"""xor(list_reduce(list_prepend(4294967295,
+               list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: CAST('0x' || h AS BIGINT))),
+               lambda c, b: xor(tab[(xor(c, b) & 255) + 1], c >> 8)), 4294967295)"""
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -93,15 +107,9 @@ def _feistel_sql(value: str) -> str:
 @_query(
     "op5_sharding",
     f"""
-    WITH RECURSIVE crc_steps AS (
-      SELECT b, 0 AS k, b AS c FROM range(256) t(b)
-      UNION ALL SELECT b, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM crc_steps WHERE k < 8
-    ), crc_table AS (SELECT list(c ORDER BY b) AS tab FROM crc_steps WHERE k = 8
-    ), sized AS (
+    WITH RECURSIVE {CRC_CTE}, sized AS (
       SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size,
-             CASE WHEN coalesce(text, '') = '' THEN 0 ELSE xor(list_reduce(list_prepend(4294967295,
-               list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda h: CAST('0x' || h AS BIGINT))),
-               lambda c, b: xor(tab[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) END AS crc
+             CASE WHEN coalesce(text, '') = '' THEN 0 ELSE {_crc_sql('text')} END AS crc
       FROM documents, crc_table
     ), numbered AS (
       SELECT doc_id, size, crc, row_number() OVER (ORDER BY doc_id NULLS FIRST, crc, size) - 1 AS row_no,
@@ -123,12 +131,75 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(_table(spark, sf_dir, "documents"))
 
 
-@_query("op6_suffix_dedup")
+@_query(
+    "op6_suffix_dedup",
+    """
+    WITH d AS (
+      SELECT row_number() OVER () AS rid, doc_id, encode(coalesce(text, '')) AS b FROM documents
+    ), named AS (
+      SELECT rid, s, md5_number(b[s : s + 399]) AS h
+      FROM (SELECT rid, b, unnest(range(1, octet_length(b) - 398)) AS s FROM d WHERE octet_length(b) >= 400)
+    ), again AS (
+      SELECT rid, s FROM named WHERE h IN (SELECT h FROM named GROUP BY h HAVING count(*) > 1)
+    ), marked AS (
+      SELECT rid, s, coalesce(s > lag(s) OVER (PARTITION BY rid ORDER BY s) + 400, TRUE) AS opens FROM again
+    ), runs AS (
+      SELECT rid, min(s) AS low, max(s) + 400 AS high
+      FROM (SELECT rid, s, sum(CAST(opens AS INTEGER)) OVER (PARTITION BY rid ORDER BY s) AS run FROM marked)
+      GROUP BY rid, run
+    ), kept AS (
+      SELECT rid, low, high, coalesce(lag(high) OVER (PARTITION BY rid ORDER BY low), 1) AS since FROM runs
+    ), cut AS (
+      SELECT rid, count(*) AS n_spans, sum(high - low) AS n_removed, max(high) AS tail,
+             string_agg(hex(b[since : low - 1]), '' ORDER BY low) AS head
+      FROM kept JOIN d USING (rid) GROUP BY rid
+    )
+    SELECT doc_id, CAST(octet_length(b) AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+           CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+           sha256(CASE WHEN cut.rid IS NULL THEN b ELSE unhex(head || hex(b[tail : octet_length(b)])) END) AS kept_sha256
+    FROM d LEFT JOIN cut USING (rid)
+    """,
+)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(_table(spark, sf_dir, "documents"))
 
 
-@_query("op7_mixing")
+@_query(
+    "op7_mixing",
+    f"""
+    WITH sized AS (
+      SELECT row_number() OVER () AS rid, doc_id, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS key,
+             CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
+             md5(concat('{mixing.SEED}', coalesce(CAST(doc_id AS VARCHAR), ''))) AS draw
+      FROM documents
+    ), sums AS (SELECT key, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY key
+    ), weighed AS (
+      SELECT key, source_size, {mixing.MOST} * source_size AS most,
+             list_value{mixing.WEIGHTS}[(row_number() OVER (ORDER BY key) - 1) % {len(mixing.WEIGHTS)} + 1] AS weight
+      FROM sums
+    ), total AS (SELECT CAST({mixing.SHARE} AS DOUBLE) * sum(source_size) AS total, sum(weight) AS weights FROM weighed
+    ), steps AS (
+      -- With the first sources, by size for their weight, at their bound: the level of the others.
+      SELECT key, most / weight AS reach,
+             (total - CAST(coalesce(sum(most) OVER before, 0) AS DOUBLE)) / CAST(weights - coalesce(sum(weight) OVER before, 0) AS DOUBLE) AS level
+      FROM weighed, total
+      WINDOW before AS (ORDER BY most / weight, key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+    ), found AS (SELECT arg_min(level, reach) AS level FROM steps WHERE reach > level
+    ), targets AS (
+      SELECT key, source_size,
+             least(CAST(most AS DOUBLE), coalesce(level * weight, CAST(most AS DOUBLE))) AS target
+      FROM weighed, found
+    ), line AS (
+      SELECT *, CAST(floor(target + 0.5) AS BIGINT) AS words,
+             coalesce(sum(size) OVER (PARTITION BY key ORDER BY draw, rid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+      FROM sized JOIN targets USING (key)
+    )
+    SELECT doc_id, size, source_size, target,
+           CAST(CASE WHEN source_size = 0 THEN 0 ELSE (words // source_size) * size
+             + greatest(0, least(size, words % source_size - start)) END AS BIGINT) AS taken
+    FROM line
+    """,
+)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_taken(_table(spark, sf_dir, "documents"))
 
@@ -271,6 +342,40 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(_table(spark, sf_dir, "documents"))
 
 
-@_query("op13_spelling_variants")
+@_query(
+    "op13_spelling_variants",
+    rf"""
+    WITH RECURSIVE {CRC_CTE}, runs AS (
+      SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+      FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents)
+      GROUP BY ALL
+    ), drawn AS (
+      SELECT run, n, {_crc_sql("CAST(doc_id AS VARCHAR) || ':' || run")} AS h FROM runs, crc_table
+    ), words AS (
+      SELECT word, CAST(sum(n) AS BIGINT) AS n
+      FROM (SELECT n, CASE WHEN h % 199 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM drawn)
+      WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+    ), cuts AS (
+      SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS cut
+      FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+    ), near AS (
+      SELECT a.word, b.word AS other, b.n FROM cuts a JOIN cuts b ON a.i = b.i AND a.cut = b.cut AND a.word <> b.word
+      UNION SELECT a.word, b.word, b.n FROM cuts a JOIN words b ON a.cut = b.word
+      UNION SELECT b.word, a.word, a.n FROM cuts a JOIN words b ON a.cut = b.word
+    ), best AS (
+      SELECT word, count(*) AS n_near, arg_min(other, (-n, other)) AS other, max(n) AS other_n FROM near GROUP BY word
+    ), formed AS (
+      SELECT words.word, words.n, coalesce(n_near, 0) AS n_near,
+             CASE WHEN other_n >= 5 * words.n THEN other END AS form, CASE WHEN other_n >= 5 * words.n THEN other_n END AS form_n
+      FROM words LEFT JOIN best USING (word)
+    ), followed AS (
+      SELECT word, word AS root FROM formed
+      UNION ALL SELECT followed.word, formed.form FROM followed JOIN formed ON followed.root = formed.word WHERE formed.form IS NOT NULL
+    )
+    SELECT formed.word, form, root, formed.n, CAST(n_near AS BIGINT) AS n_near, CAST(form_n AS BIGINT) AS form_n
+    FROM formed JOIN followed ON formed.word = followed.word
+    WHERE root IN (SELECT word FROM formed WHERE form IS NULL)
+    """,
+)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(_table(spark, sf_dir, "documents"))
