@@ -38,6 +38,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--out", required=True, help="output folder (shared file system on a cluster)")
     ap.add_argument("--serve", help="Parquet-folder warehouse to publish the served tables to")
     ap.add_argument("--train", action="store_true", help="fit and evaluate the fraud models")
+    ap.add_argument("--run-id", help="name of the input; a stopped chain called with it again goes on at the stage that failed")
     ap.add_argument("--master", help="Spark master, e.g. local[8] (default: from spark-submit)")
     ap.add_argument("--shuffle-gb", type=float, help="expected size of the largest shuffle, sizes shuffle width")
     args = ap.parse_args(argv)
@@ -49,9 +50,9 @@ def main(argv: list[str] | None = None) -> int:
     out = args.out.rstrip("/")
     try:
         if args.csv:
-            summary = run_medallion(spark, args.csv, out, LedgerSpec())
+            summary = run_medallion(spark, args.csv, out, LedgerSpec(), run_id=args.run_id)
         else:
-            summary = run_medallion(spark, read_ledger(spark, args.events), out, SPEC, "events.parquet")
+            summary = run_medallion(spark, read_ledger(spark, args.events), out, SPEC, "events.parquet", run_id=args.run_id)
     except QualityError as err:
         print(f"stopped: {err}", file=sys.stderr)
         return 1

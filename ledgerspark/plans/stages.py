@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -48,7 +49,8 @@ def stage_tables(spark: SparkSession, root: str) -> DataFrame:
 @dataclass
 class Stages:
     """The stages of one chain under ``root``; without a ``run_id`` every
-    stage runs and no marker is kept."""
+    stage runs and no marker is kept, unless ``root`` holds markers of other
+    runs, which are then replaced, as their tables are."""
 
     spark: SparkSession
     root: str
@@ -58,9 +60,10 @@ class Stages:
     known: dict = field(default_factory=dict)
 
     def __post_init__(self):
-        if self.run_id is not None:
-            self.known = {r.stage: r for r in stage_log(self.spark, self.root).collect()}
-            self.attempt = 1 + max((r.attempt for r in self.known.values()), default=0)
+        self.known = {r.stage: r for r in stage_log(self.spark, self.root).collect()}
+        self.attempt = 1 + max((r.attempt for r in self.known.values()), default=0)
+        if self.known and self.run_id is None:
+            self.run_id = uuid.uuid4().hex
 
     def run(self, stage: str, params: dict, work: Callable[[], Counts]) -> Counts:
         """The rows per table of ``stage``, which runs unless it is done."""

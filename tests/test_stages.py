@@ -55,3 +55,11 @@ def test_stage_that_dies_runs_again(spark, tmp_dir):
 def test_no_run_id_keeps_no_markers(spark, tmp_dir):
     Stages(spark, tmp_dir).run("a", {}, lambda: [])
     assert stage_log(spark, tmp_dir).count() == 0
+
+
+def test_run_without_id_replaces_markers(spark, tmp_dir):
+    Stages(spark, tmp_dir, "x").run("a", {}, lambda: [])
+    Stages(spark, tmp_dir).run("a", {}, lambda: [])
+    ran = []
+    Stages(spark, tmp_dir, "x").run("a", {}, lambda: ran.append(1) or [])
+    assert ran  # the table is the other run's
