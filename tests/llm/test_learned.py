@@ -93,6 +93,50 @@ def test_toxicity_of_held_out_rows(spark, make_docs, awkward):
     assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5) for r in got)
 
 
+def test_every_labelled_row_trains_long_texts_too(spark, make_docs):
+    rows, labels = toxic_corpus(60)
+    rows += [(k, "rare " + "plain " * 30000, "aa", "s") for k in range(100, 112)]
+    labels += [(k, k % 2) for k in range(100, 112)]
+    table = spark.createDataFrame(labels, "doc_id long, toxic int")
+    stored = T.labelled_rows(make_docs(rows), table, None)
+    left = [r for r in rows if not held(r[0])]
+    assert stored.count() == len(left)
+    train = [r for r in left if zlib.crc32(str(r[0]).encode()) // 5 % 4]
+    assert stored.where("not check").count() == len(train)
+    words = T.counted_words(stored.where("not check"), {"und": 0.5}).set_index("word")
+    texts, toxic, expected = T.word_evidence([T.word_buckets(r[1]) for r in train], np.array([dict(labels)[r[0]] for r in train]), np.full(len(train), 0.5))
+    assert list(words.index) == list(np.flatnonzero(texts >= T.MIN_TEXTS))
+    assert list(words["texts"]) == list(texts[words.index]) and list(words["toxic"]) == list(toxic[words.index])
+    assert np.allclose(words["expected"] / T.FIXED, expected[words.index])
+    assert words.loc[T.word_buckets("rare")[0], "texts"] == sum(r[0] >= 100 for r in train)
+
+
+def test_toxicity_learned_in_many_blocks(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(T, "BLOCK_ROWS", 60)
+    rows, labels = toxic_corpus()
+    got = T.toxicity(make_docs(rows), spark.createDataFrame(labels, "doc_id long, toxic int")).collect()
+    mine = [r for r in got if r["held_out"]]
+    assert np.mean([r["predicted"] == dict(labels)[r["doc_id"]] for r in mine]) >= 0.95
+
+
+def test_thresholds_are_the_best_of_all_rows(spark):
+    rng = random.Random(3)
+    rows = [(rng.choice("pq"), int(rng.random() < 0.3), rng.randrange(40) / 8) for _ in range(400)] + [("r", 1, 9.0)] * 20
+    got = T.best_thresholds(spark.createDataFrame(rows, "lang string, toxic int, raw double"))
+
+    def brute(own):
+        def f(cut):
+            above = [y for _, y, x in own if x >= cut]
+            return 1.25 * sum(above) / (len(above) + 0.25 * sum(y for _, y, _ in own))
+        cuts = sorted({x for _, _, x in own}, reverse=True)
+        best = max(cuts, key=f)  # the highest of equal ones
+        return (best + max([x for x in cuts if x < best], default=best - 1)) / 2
+
+    assert set(got) == {None, "p", "q"}  # r has no row that is not toxic
+    for v, cut in got.items():
+        assert cut == brute([r for r in rows if v in (None, r[0])])
+
+
 def test_long_texts_are_read_whole(monkeypatch):
     rng = np.random.default_rng(1)
     model = T.fit([rng.integers(1, 50, 20) for _ in range(60)], (np.arange(60) % 2).astype(float), [], np.empty(0))
