@@ -119,7 +119,7 @@ def q_stream_row_batches(spark, sf_dir):
     out, bad = scratch_path(spark, "landing"), scratch_path(spark, "quarantine")
     positions.land_next(log, out, f"kafka:{TOPIC}", batch_rows=500, quarantine_path=bad)
     good = land.read_landing(spark, out).select("batch_id", F.lit(0).alias("bad"))
-    lost = files.read_table(spark, bad).select(F.col("batch_id").cast("long"), F.lit(1).alias("bad"))
+    lost = land.read_quarantine(spark, bad).select("batch_id", F.lit(1).alias("bad"))
     batch = ((F.col("batch_id") - positions.FIRST_BATCH) / 500).cast("long").alias("batch")
     return good.unionByName(lost).groupBy(batch).agg(
         F.count(F.lit(1)).alias("n_messages"), F.sum("bad").cast("long").alias("n_quarantined"))

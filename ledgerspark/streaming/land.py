@@ -24,6 +24,10 @@ from ..spec import RAW_COLUMNS, RAW_SCHEMA, STREAM_BATCH_ROWS
 from .messages import parse_messages, valid_messages
 
 
+#: The batch of a row in a folder that many batches share.
+ROW_BATCH = "row_batch"
+
+
 def kafka_source(
     spark: SparkSession,
     bootstrap_servers: str,
@@ -60,13 +64,23 @@ def file_source(
 def read_landing(spark: SparkSession, path: str) -> DataFrame:
     """The landing zone with its fixed schema: no rows where only bad
     messages, or none, have arrived."""
-    schema = StructType([*RAW_SCHEMA.fields]).add("ingestion_timestamp", "timestamp").add("source_file", "string").add("batch_id", "long")
+    return _read_batches(spark, path, StructType([*RAW_SCHEMA.fields]))
+
+
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """The quarantined messages with their batches; no rows where none was bad."""
+    return _read_batches(spark, path, StructType().add("raw_value", "string").add("reason", "string"))
+
+
+def _read_batches(spark: SparkSession, path: str, columns: StructType) -> DataFrame:
+    schema = StructType([*columns.fields]).add("ingestion_timestamp", "timestamp").add("source_file", "string").add(ROW_BATCH, "long").add("batch_id", "long")
     try:
-        return spark.read.schema(schema).parquet(path)
+        rows = spark.read.schema(schema).parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        rows = spark.createDataFrame([], schema)
+    return rows.withColumn("batch_id", F.coalesce(ROW_BATCH, "batch_id")).drop(ROW_BATCH)
 
 
 def default_quarantine(out_path: str) -> str:

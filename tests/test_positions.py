@@ -60,6 +60,23 @@ def test_batches_of_rows_with_bad_messages(spark):
     assert got == {1: 0, 2: 2, 3: 4}
 
 
+def test_small_batches_share_folders(spark, monkeypatch):
+    monkeypatch.setattr(positions, "FOLDER_ROWS", 40)
+    src = _files(spark, [[_msg(step=k) if k % 7 else "{" for k in range(60)], [_msg(step=k) for k in range(60, 100)]])
+    out, bad = scratch_path(spark, "landing"), scratch_path(spark, "bad")
+    log = positions.MessageLog(spark, src, scratch_path(spark, "log"))
+    positions.land_next(log, out, "t", max_rows=50, batch_rows=3, quarantine_path=bad)
+    positions.land_next(log, out, "t", batch_rows=3, quarantine_path=bad)
+    want = {k: k // 3 * 3 if k < 50 else 50 + (k - 50) // 3 * 3 for k in range(100)}
+    got = {r.step: r.batch_id - positions.FIRST_BATCH for r in land.read_landing(spark, out).collect()}
+    assert got == {k: b for k, b in want.items() if k >= 60 or k % 7}
+    lost = sorted(r.batch_id - positions.FIRST_BATCH for r in land.read_quarantine(spark, bad).collect())
+    assert lost == sorted(want[k] for k in range(0, 60, 7))
+    for zone in (out, bad):
+        folders = {int(f[len("batch_id="):]) - positions.FIRST_BATCH for f in os.listdir(local_path(zone)) if f.startswith("batch_id=")}
+        assert folders <= {0, 40, 50, 80}
+
+
 def test_lines_keep_their_place_in_a_file_read_in_blocks(spark):
     src = _files(spark, [["x" * 50 + str(k) for k in range(400)], ["y"]])
     log = positions.MessageLog(spark, src, scratch_path(spark, "log"))
