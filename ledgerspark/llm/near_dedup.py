@@ -35,7 +35,8 @@ TILE_BYTES = 2 * 1024 * 1024
 TILE = 512
 #: Tiles of a side that meet under one key: at most STRIP x STRIP comparisons of tiles in a task, however large the bucket.
 STRIP = 8
-CACHE_ENTRIES = 400_000
+#: Bounds what a reused worker keeps over the stages of a pipeline: about 20 MB.
+CACHE_ENTRIES = 100_000
 
 U = np.uint64
 _ODD = [U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F), U(0x165667B19E3779F9), U(0xD6E8FEB86659FD93), U(0xA0761D6478BD642F)]

@@ -23,7 +23,7 @@ MAX_TOKENS = 4096
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
 #: Entries kept per worker in each cache of encoded words.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 100_000
 
 # The tokenizer's split pattern, for lower-case text of U+0021..U+00FF.
 _LATIN = re.compile(
