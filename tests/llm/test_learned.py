@@ -1,7 +1,9 @@
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
+import pytest
 
 from ledgerspark.llm import langid as L
 from ledgerspark.llm import toxicity as T
@@ -111,6 +113,33 @@ def test_every_labelled_row_trains_long_texts_too(spark, make_docs):
     assert words.loc[T.word_buckets("rare")[0], "texts"] == sum(r[0] >= 100 for r in train)
 
 
+@pytest.mark.parametrize("arrow", ["false", "true"])
+def test_words_and_movements_reach_the_driver_as_arrays(spark, arrow):
+    n = 100_000
+    ids = np.arange(1, n + 1, dtype="<i4").tobytes()
+    rows = T.stored(spark.createDataFrame([(0, k % 2, "en", ids) for k in range(4)], "block long, toxic int, lang string, ids binary").coalesce(1), "many-words")
+    key, before = "spark.sql.execution.arrow.pyspark.enabled", spark.conf.get("spark.sql.execution.arrow.pyspark.enabled")
+    spark.conf.set(key, arrow)
+    tracemalloc.start()
+    try:
+        words = T.counted_words(rows, {"en": 0.5})
+        most = [tracemalloc.get_traced_memory()[1]]
+        net = T.first_network(words["word"].to_numpy(), *[words[c].to_numpy(float) for c in ("texts", "toxic", "expected")], seed=1)
+        shared, old = T.SharedNetwork.start(net, spark), (net.emb.copy(), net.small.copy())
+        tracemalloc.reset_peak()
+        held = tracemalloc.get_traced_memory()[0]
+        T.trained_pass(net, shared, rows, (0.5, 0.5), 1, 0)
+        most.append(tracemalloc.get_traced_memory()[1] - held)
+    finally:
+        tracemalloc.stop()
+        spark.conf.set(key, before)
+    assert words["word"].tolist() == list(range(1, n + 1)) and set(words["texts"]) == {4} and set(words["toxic"]) == {2}
+    wanted = T.train_block(T.Network(net.known, old[0], net.prior, net.free, old[1]), [np.arange(1, n + 1, dtype=np.int32)] * 4, np.arange(4) % 2, (0.5, 0.5), [1, 0, 0])
+    assert np.allclose(net.small - old[1], wanted[2], atol=1e-6)
+    assert np.allclose((net.emb - old[0])[wanted[0]], wanted[1], atol=1e-6)
+    assert max(most) < 100 * n  # bytes a word; as rows of Python objects over 300
+
+
 def test_toxicity_learned_in_many_blocks(spark, make_docs, monkeypatch):
     monkeypatch.setattr(T, "BLOCK_ROWS", 60)
     rows, labels = toxic_corpus()
