@@ -9,6 +9,7 @@ documents, and none needs padding.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -22,7 +23,7 @@ from .common import numbered, python_ready, stored
 MAX_TOKENS = 4096
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
-#: Entries kept per worker in each cache of encoded words.
+#: Encoded words of late, and as many before them, kept per worker.
 CACHE_ENTRIES = 100_000
 
 # The tokenizer's split pattern, for lower-case text of U+0021..U+00FF.
@@ -41,16 +42,22 @@ def _byte_letters() -> dict[int, str]:
 
 
 class _Cache(dict):
-    """Encoded strings by key, computed on first use; emptied when full."""
+    """Encoded strings by key, computed on first use.  When it is full, the strings are set aside, and
+    those not used again until it is full once more are lost: frequent words stay."""
 
     def __init__(self, encode):
         super().__init__()
         self.encode = encode
+        self.aside = {}
 
     def __missing__(self, key):
+        value = self.aside.get(key)
+        if value is None:
+            value = self.encode(key)
         if len(self) >= CACHE_ENTRIES:
+            self.aside = dict(self)
             self.clear()
-        self[key] = value = self.encode(key)
+        self[key] = value
         return value
 
 
@@ -69,20 +76,22 @@ class WordEncoder:
         self.model = self.tokenizer.model
         letters = _byte_letters()
         self.alphabet = lambda piece: "".join(letters[b] for b in piece.encode())
-        self.pieces = _Cache(self._piece)
         self.chunks = _Cache(self._chunk)
 
     def _piece(self, piece: str) -> bytes:
-        ids = [t.id for t in self.model.tokenize(self.alphabet(piece))]
-        return np.array(ids, dtype="<u4").tobytes()
+        # Printable ASCII stands for itself in the byte-level alphabet.
+        ids = [t.id for t in self.model.tokenize(piece if piece.isascii() else self.alphabet(piece))]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _chunk(self, chunk: str) -> bytes:
         if not chunk:
             return b""
+        if chunk.isascii() and chunk.isalpha():
+            return self._piece(chunk.lower())
         if _PLAIN.fullmatch(chunk) and "<|" not in chunk:
-            return b"".join([self.pieces[p] for p in _LATIN.findall(chunk.lower())])
+            return b"".join(map(self._piece, _LATIN.findall(chunk.lower())))
         ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-        return np.array(ids, dtype="<u4").tobytes()
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
         return b"".join(map(self.chunks.__getitem__, text.replace("\n", " ").split(" ")))

@@ -28,6 +28,16 @@ def test_encoder_equals_the_tokenizer(tokenizer, awkward):
         assert np.frombuffer(enc.encode(t), "<u4").tolist() == want, t
 
 
+def test_frequent_words_stay_in_a_full_cache(monkeypatch):
+    monkeypatch.setattr(P, "CACHE_ENTRIES", 50)
+    encoded = []
+    cache = P._Cache(lambda key: encoded.append(key) or key.encode())
+    for k in range(1000):  # 20 times as many rare words as it holds
+        assert cache[f"rare{k}"] == f"rare{k}".encode() and cache[f"often{k % 10}"] == f"often{k % 10}".encode()
+        assert len(cache) <= 50
+    assert len(encoded) == 1010 and len(cache.aside) <= 50
+
+
 def test_cut_is_a_power_of_two_decomposition():
     for n in [1, 2, 3, 4095, 4096, 4097, 10000]:
         parts = list(P.cut(n))
