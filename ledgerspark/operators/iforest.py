@@ -185,28 +185,27 @@ def fit_isolation_forest(
 
 def _scorer(model: IsolationForestModel, out_col: str):
     feat, thr, left, right, size, depth = model.arrays()
-    leaf_extra = average_path_length(size)
+    length = depth + average_path_length(size)
+    # A leaf leads to itself on both sides: a level is four look-ups, whatever nodes are reached.
+    here, leaf = np.arange(feat.shape[1]), feat < 0
+    step = np.stack([np.where(leaf, here, right), np.where(leaf, here, left)], axis=2).reshape(len(feat), -1)
+    read = np.where(leaf, 0, feat)
+    deepest = [int(d.max()) for d in depth]
     c_psi = float(average_path_length(np.array([model.psi]))[0]) or 1.0
     cols = model.features
-    max_depth = int(depth.max()) if depth.size else 0
 
     def score(batches):
         for pdf in batches:
-            x = pdf[cols].to_numpy(dtype=float)
-            m = len(x)
+            x = pdf[cols].to_numpy(dtype=float).ravel()
+            m = len(pdf)
             total = np.zeros(m)
-            rows = np.arange(m)
+            first = np.arange(m) * len(cols)
             for t in range(feat.shape[0]):
                 node = np.zeros(m, dtype=np.int64)
-                for _ in range(max_depth):
-                    f = feat[t, node]
-                    inner = f >= 0
-                    if not inner.any():
-                        break
-                    v = x[rows, np.where(inner, f, 0)]
-                    nxt = np.where(v < thr[t, node], left[t, node], right[t, node])
-                    node = np.where(inner, nxt, node)
-                total += depth[t, node] + leaf_extra[t, node]
+                for _ in range(deepest[t]):
+                    below = x[first + read[t][node]] < thr[t][node]
+                    node = step[t][2 * node + below]
+                total += length[t][node]
             mean_path = total / feat.shape[0]
             yield pdf.assign(**{out_col: np.power(2.0, -mean_path / c_psi)})
 

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import ledgerspark.operators.quantile as Q
 from ledgerspark.operators.quantile import key_value, order_key, percentile
@@ -67,3 +68,15 @@ def test_hot_value_and_signs(spark):
     df = spark.createDataFrame([(v,) for v in values] + [(None,)], "s double")
     for q in (0.0, 0.3, 0.5, 0.97, 1.0):
         assert percentile(df, "s", q) == pytest.approx(float(np.percentile(values, q * 100)), abs=1e-12)
+
+
+def test_the_column_is_computed_once_for_all_levels(spark):
+    n, computed = 300, spark.sparkContext.accumulator(0)
+
+    def value(k):
+        computed.add(1)
+        return k / 7
+
+    df = spark.range(n).select(F.udf(value, "double")("id").alias("x"))
+    assert percentile(df, "x", 0.5) == np.quantile(np.arange(n) / 7, 0.5)
+    assert computed.value <= 2 * n  # counted, then stored
