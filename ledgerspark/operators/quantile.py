@@ -66,7 +66,7 @@ def _locate(counts: list[tuple], rank: int) -> tuple[int, int]:
 def order_statistics(df: DataFrame, col: str, ranks: list[int]) -> list[float]:
     """Values at the 0-based ``ranks`` of the non-null values of ``col``; ranks
     that share their upper digits share the passes, which read the stored keys."""
-    keys = stored(df.select(order_key(F.col(col).cast("double")).alias("_k")).filter(F.col("_k").isNotNull()), "order-keys")
+    keys = stored(df.select(order_key(F.col(col).cast("double")).alias("_k")), "order-keys").filter(F.col("_k").isNotNull())
     found: dict[int, int] = {}
 
     def descend(frame: DataFrame, wanted: dict[int, int], shift: int) -> None:
