@@ -9,12 +9,13 @@ documents, and none needs padding.
 from __future__ import annotations
 
 import re
-import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +33,8 @@ _LATIN = re.compile(
     r"|[^\sa-z0-9ªµºß-öø-ÿ²³¹¼-¾]+"
 )
 _PLAIN = re.compile(r"[\x21-\x7e¡-¬®-ÿ]+")
+# A run of such marks after a word is one piece.
+_MARKS = ".,;:!?()[]{}\"*#$%&|>-_/"
 
 
 def _byte_letters() -> dict[int, str]:
@@ -61,12 +64,31 @@ class _Cache(dict):
         return value
 
 
+def _is_word(chunk: str) -> bool:
+    """Latin-1 letters only: one piece of the split pattern."""
+    return chunk.isalpha() and (chunk.isascii() or _PLAIN.fullmatch(chunk) is not None)
+
+
+class _Chunks(_Cache):
+    """Encoded chunks.  A word with capitals, or with marks at its end, is found by the bare word and not kept itself."""
+
+    def __missing__(self, key):
+        word = key.rstrip(_MARKS)
+        if len(word) < len(key):
+            if word and _is_word(word):
+                return self[word] + self[key[len(word) :]]
+        elif not key.islower() and _is_word(key) and (word := key.lower()) != key:
+            return self[word]
+        return super().__missing__(key)
+
+
 class WordEncoder:
-    """Text to little-endian uint32 ids, equal to the tokenizer's own.
+    """Texts to little-endian uint32 ids, equal to the tokenizer's own.
 
-    The tokenizer drops white space and never joins across it, so a text is
-    encoded chunk by chunk (between spaces and line feeds) and chunks repeat.
-    A chunk outside plain Latin-1 goes to the tokenizer as it is.
+    The tokenizer drops white space and never joins across it, so texts are
+    encoded chunk by chunk (between spaces and line feeds) and chunks repeat:
+    of many texts, each chunk is looked up once.  A chunk outside plain
+    Latin-1 goes to the tokenizer as it is.
     """
 
     def __init__(self, path: str):
@@ -75,26 +97,41 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         letters = _byte_letters()
-        self.alphabet = lambda piece: "".join(letters[b] for b in piece.encode())
-        self.chunks = _Cache(self._chunk)
+        # Printable ASCII stands for itself in the byte-level alphabet.
+        self.alphabet = {c: "".join(letters[b] for b in chr(c).encode()) for c in range(0x80, 0x100)}
+        self.chunks = _Chunks(self._chunk)
 
     def _piece(self, piece: str) -> bytes:
-        # Printable ASCII stands for itself in the byte-level alphabet.
-        ids = [t.id for t in self.model.tokenize(piece if piece.isascii() else self.alphabet(piece))]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        tokens = self.model.tokenize(piece if piece.isascii() else piece.translate(self.alphabet))
+        return array("I", [t.id for t in tokens]).tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
         if not chunk:
             return b""
-        if chunk.isascii() and chunk.isalpha():
+        if _is_word(chunk):
             return self._piece(chunk.lower())
         if _PLAIN.fullmatch(chunk) and "<|" not in chunk:
             return b"".join(map(self._piece, _LATIN.findall(chunk.lower())))
-        ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
+
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (null: none), and where each text's begin, with their end at last."""
+        lists = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+        words = lists.flatten().dictionary_encode()
+        found = list(map(self.chunks.__getitem__, words.dictionary.to_numpy(zero_copy_only=False).tolist()))
+        place, at = words.indices.to_numpy(), lists.offsets.to_numpy()
+        ids = np.frombuffer(b"".join(found), "<u4")
+        sizes = np.fromiter(map(len, found), np.int32, len(found)) // 4
+        begins = np.cumsum(sizes, dtype=np.int32) - sizes
+        # From the ids of the chunks to those of the texts: each word's run of ids.
+        sizes = sizes[place]
+        ends = np.cumsum(sizes, dtype=np.int32)
+        runs = np.repeat(begins[place] - (ends - sizes), sizes)
+        runs += np.arange(len(runs), dtype=np.int32)
+        return ids[runs], np.append(np.int32(0), ends)[at - at[0]]
 
     def encode(self, text: str) -> bytes:
-        return b"".join(map(self.chunks.__getitem__, text.replace("\n", " ").split(" ")))
+        return self.encode_all(pa.array([text], pa.string()))[0].tobytes()
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -130,25 +167,30 @@ def pieces(docs: DataFrame, max_tokens: int = MAX_TOKENS, tokenizer: str = TOKEN
     if with_ids:
         names, schema = [*names, "ids"], schema + ", ids array<long>"
 
-    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import public_tokenizers
 
         enc = encoder(public_tokenizers.path(tokenizer))
         end = np.array([END_ID], dtype="<u4").tobytes()
         for batch in batches:
+            ids, at = enc.encode_all(batch.column("text"))
             rows: list[tuple] = []
-            for k, text in enumerate(batch["text"]):
-                data = enc.encode(text or "") + end
+            lists: list[np.ndarray] = []
+            for k in range(len(batch)):
+                data = ids[at[k] : at[k + 1]].tobytes() + end
                 n = len(data) // 4
                 for start, length in cut(n, max_tokens):
                     part = data[4 * start : 4 * (start + length)]
-                    row = (k, start, length, zlib.crc32(part), n)
-                    rows.append((*row, np.frombuffer(part, "<u4").astype(np.int64)) if with_ids else row)
-            out = pd.DataFrame(rows, columns=names)
-            out["doc_id"] = batch["doc_id"].to_numpy()[out["doc_id"].to_numpy(dtype=np.int64)]
-            yield out
-
-    return docs.select("doc_id", "text").mapInPandas(split, schema)
+                    rows.append((k, start, length, zlib.crc32(part), n))
+                    if with_ids:
+                        lists.append(np.frombuffer(part, "<u4").astype(np.int64))
+            row, *numbers = np.array(rows, np.int64).reshape(-1, 5).T
+            columns = [batch.column("doc_id").take(pa.array(row)), *map(pa.array, numbers)]
+            if with_ids:
+                columns.append(pa.array(lists, pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    return docs.select("doc_id", "text").mapInArrow(split, schema)
 
 
 def pack(docs: DataFrame, max_tokens: int = MAX_TOKENS, tokenizer: str = TOKENIZER, with_ids: bool = False) -> DataFrame:

@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -38,6 +39,26 @@ def test_frequent_words_stay_in_a_full_cache(monkeypatch):
     assert len(encoded) == 1010 and len(cache.aside) <= 50
 
 
+def test_a_word_is_encoded_once_whatever_its_case_and_end(tokenizer, monkeypatch):
+    enc, pieces, looked = P.WordEncoder(PATH), [], []
+    one, get = enc._piece, enc.chunks.__getitem__
+    monkeypatch.setattr(enc, "_piece", lambda piece: pieces.append(piece) or one(piece))
+
+    class Chunks:
+        def __getitem__(self, key):
+            looked.append(key)
+            return get(key)
+
+    enc.chunks = Chunks()
+    texts = ["Ébloui ébloui. word? WORD", None, "", "word Word, ÉBLOUI! word", "word", "…word. İword. word.. ²word, word(#_$$$, word<|"]
+    ids, at = enc.encode_all(pa.array(texts))
+    assert len(at) == len(texts) + 1 and sorted(looked) == sorted({c for t in texts for c in (t or "").split(" ")})
+    for k, t in enumerate(texts):
+        assert ids[at[k] : at[k + 1]].tolist() == tokenizer.encode(t or "", add_special_tokens=False).ids
+    # "²word," is cut by the split pattern.
+    assert pieces.count("ébloui") == 1 and pieces.count("word") == 2
+
+
 def test_cut_is_a_power_of_two_decomposition():
     for n in [1, 2, 3, 4095, 4096, 4097, 10000]:
         parts = list(P.cut(n))
