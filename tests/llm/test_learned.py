@@ -140,6 +140,30 @@ def test_words_and_movements_reach_the_driver_as_arrays(spark, arrow):
     assert max(most) < 100 * n  # bytes a word; as rows of Python objects over 300
 
 
+def test_movements_shuffled_do_not_grow_with_the_blocks(spark):
+    n, blocks = 200, 40
+    ids = [np.arange(1, n + 1, dtype="<i4"), np.arange(1, 11, dtype="<i4")]
+    rows = spark.createDataFrame([(b, k % 2, "en", ids[b % 2].tobytes()) for b in range(blocks) for k in range(4)], "block long, toxic int, lang string, ids binary")
+    rows = T.stored(rows.repartition(blocks, "block"), "many-blocks")
+    words = T.counted_words(rows, {"en": 0.5})
+    net = T.first_network(words["word"].to_numpy(), *[words[c].to_numpy(float) for c in ("texts", "toxic", "expected")], seed=1)
+    shared, old = T.SharedNetwork.start(net, spark), (net.emb.copy(), net.small.copy())
+    width = -(-len(net.small) // T.DIM)
+    got = T.summed_moves(net, shared, rows, (0.5, 0.5), 1, 0).select("word", "blocks").collect()
+    assert sum(r["word"] == -1 for r in got) <= spark.sparkContext.defaultParallelism < blocks
+    assert sum(r["blocks"] for r in got if r["word"] < 0) == blocks * width
+    T.trained_pass(net, shared, rows, (0.5, 0.5), 1, 0)
+    start = T.Network(net.known, old[0], net.prior, net.free, old[1])
+    each = [T.train_block(start, [ids[b % 2]] * 4, np.arange(4) % 2, (0.5, 0.5), [1, 0, b]) for b in range(blocks)]
+    assert np.allclose(net.small - old[1], np.mean([s for _, _, s in each], axis=0), atol=1e-6)
+    sums, count = np.zeros_like(old[0], float), np.zeros(n + 1)
+    for moving, moved, _ in each:
+        sums[moving] += moved
+        count[moving] += 1
+    assert count[count > 0].min() < blocks  # a word counts only the blocks that moved it
+    assert np.allclose(net.emb - old[0], sums / np.maximum(count, 1)[:, None], atol=1e-6)
+
+
 def test_toxicity_learned_in_many_blocks(spark, make_docs, monkeypatch):
     monkeypatch.setattr(T, "BLOCK_ROWS", 60)
     rows, labels = toxic_corpus()
