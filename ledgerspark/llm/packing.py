@@ -26,6 +26,8 @@ END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
 #: Encoded words of late, and as many before them, kept per worker.
 CACHE_ENTRIES = 100_000
+#: Texts encoded together: bounds what a worker, reused by later stages, holds beside the cache.
+TEXTS = 500
 
 # The tokenizer's split pattern, for lower-case text of U+0021..U+00FF.
 _LATIN = re.compile(
@@ -172,7 +174,7 @@ def pieces(docs: DataFrame, max_tokens: int = MAX_TOKENS, tokenizer: str = TOKEN
 
         enc = encoder(public_tokenizers.path(tokenizer))
         end = np.array([END_ID], dtype="<u4").tobytes()
-        for batch in batches:
+        for batch in (b.slice(k, TEXTS) for b in batches for k in range(0, len(b), TEXTS)):
             ids, at = enc.encode_all(batch.column("text"))
             rows: list[tuple] = []
             lists: list[np.ndarray] = []
@@ -189,6 +191,7 @@ def pieces(docs: DataFrame, max_tokens: int = MAX_TOKENS, tokenizer: str = TOKEN
             if with_ids:
                 columns.append(pa.array(lists, pa.list_(pa.int64())))
             yield pa.RecordBatch.from_arrays(columns, names)
+            pa.default_memory_pool().release_unused()
 
     return docs.select("doc_id", "text").mapInArrow(split, schema)
 
