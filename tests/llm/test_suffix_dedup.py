@@ -79,5 +79,23 @@ def test_long_texts_in_small_chunks(make_docs, small_chunks):
     assert Counter(map(tuple, got.collect())) == brute(rows, 100)
 
 
+@pytest.mark.parametrize("size, n_removed", [(330, 0), (399, 0), (400, 400), (480, 480)])
+def test_passages_of_over_50_words_go_from_400_bytes_on(make_docs, size, n_removed):
+    rng = random.Random(size)
+
+    def prose(n):
+        return "".join(rng.choice("abcdefgh ") for _ in range(n))
+
+    letters = prose(size - 54).replace(" ", "i")
+    cuts = sorted(rng.sample(range(1, len(letters)), 54))
+    passage = " ".join(letters[a:b] for a, b in zip([0, *cuts], [*cuts, len(letters)]))
+    assert len(passage.split()) == 55 and len(passage) == size
+    rows = [(k, prose(700) + a + passage + b + prose(700)) for k, (a, b) in enumerate(["()", "[]", "<>"])]
+    rows.append((3, prose(1500)))
+    got = [tuple(r) for r in S.suffix_dedup(make_docs(rows)).collect()]
+    assert Counter(got) == brute(rows, 400)
+    assert {r[0]: r[2] for r in got} == {0: n_removed, 1: n_removed, 2: n_removed, 3: 0}
+
+
 def test_empty_table(make_docs):
     assert S.suffix_dedup(make_docs([])).count() == 0
